@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,21 +20,22 @@ def resume_append(
 ) -> DataFrame:
     """Enrich the rows whose key the output does not hold yet, append them, return the output.
 
-    A run that was cut off is simply started again: a write is committed as a whole, and the next
-    run sees the keys that made it.
+    A run that was cut off is simply started again: the next run sees the keys that made it.
     """
-    first_run = not _has_rows(spark, path)
-    pending = source if first_run else drop_known(source, spark.read.parquet(path), [key])
+    done = _existing(spark, path)
+    pending = source if done is None else drop_known(source, done, [key])
     enrich(pending).write.mode("append").parquet(path)
     return spark.read.parquet(path)
 
 
-def _has_rows(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.exists(hadoop_path) and files.exists(
-        spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    )
+def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The output so far; None before the first run has written a file."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def stream_append(
