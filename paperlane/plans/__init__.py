@@ -1,6 +1,6 @@
 """Registered queries, each with the SQL that checks it."""
 
-from paperlane.plans import automation
+from paperlane.plans import automation, profiling, relations
 from paperlane.plans.registry import REGISTRY
 
-__all__ = ["REGISTRY", "automation"]
+__all__ = ["REGISTRY", "automation", "profiling", "relations"]
