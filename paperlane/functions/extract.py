@@ -36,9 +36,12 @@ def case_id(text: Column, pattern: str = CASE_ID_PATTERN) -> Column:
 
 def parse_day(text: Column) -> Column:
     """Date of ``d.M.yyyy``, ``yyyy-MM-dd`` or ``d. month yyyy``; NULL for an impossible one."""
-    spelled = F.lower(text)
-    for number, month in enumerate(MONTHS, start=1):
-        spelled = F.regexp_replace(spelled, rf"\. ?{month} ", f".{number}.")
+    lower = F.lower(text)
+    month = F.regexp_extract(lower, f"({'|'.join(MONTHS)})", 1)
+    number = F.array_position(F.array(*[F.lit(name) for name in MONTHS]), month).cast("string")
+    spelled = F.regexp_replace(
+        lower, F.lit(rf"\. ?(?:{'|'.join(MONTHS)}) "), F.concat(F.lit("."), number, F.lit("."))
+    )
     dotted = F.try_to_timestamp(spelled, F.lit("d.M.yyyy")).cast("date")
     iso = F.try_to_timestamp(spelled, F.lit("yyyy-MM-dd")).cast("date")
     return F.when(spelled.contains("-"), iso).otherwise(dotted)

@@ -1,6 +1,8 @@
 """Registered queries, each with the SQL that checks it."""
 
-from paperlane.plans import automation, profiling, relations
+from paperlane.plans import answers, automation, loading, profiling, relations, scoring, texts
 from paperlane.plans.registry import REGISTRY
 
-__all__ = ["REGISTRY", "automation", "profiling", "relations"]
+__all__ = [
+    "REGISTRY", "answers", "automation", "loading", "profiling", "relations", "scoring", "texts",
+]

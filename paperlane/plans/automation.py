@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from paperlane.functions.parse import mentions_true, quoted_double, quoted_true
 from paperlane.functions.predicates import all_present, equals_quoted
 from paperlane.operators import jobs, joins, predictions as op, profile
-from paperlane.plans.registry import Tables, query, r6, rounded
+from paperlane.plans.registry import Tables, query, rounded
 
 # Valid in Spark SQL and in the checking SQL.
 PREDICTION_COLUMNS = (

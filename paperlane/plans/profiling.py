@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paperlane.functions.predicates import lookback, strictly_between
 from paperlane.operators import profile as op
-from paperlane.plans.registry import Tables, query, r6, rounded
+from paperlane.plans.registry import Tables, query, rounded
 
 # 1 = Sunday in Spark, 0 = Sunday in the SQL.
 _WEEKDAY_SQL = "['Sun', 'Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat'][dayofweek(day) + 1]"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from paperlane.functions import predicates as pr
 from paperlane.operators import joins as op
 from paperlane.operators import order
-from paperlane.plans.registry import Tables, query, r6
+from paperlane.plans.registry import Tables, query
 from paperlane.sources.tables import read_sql
 
 _EVENTS = """(SELECT event_id, user_id, value, CASE WHEN event_type = 'error' THEN NULL
