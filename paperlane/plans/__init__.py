@@ -1,8 +1,11 @@
 """Registered queries, each with the SQL that checks it."""
 
-from paperlane.plans import answers, automation, loading, profiling, relations, scoring, texts
+from paperlane.plans import (
+    answers, automation, increments, loading, profiling, relations, scoring, texts, training,
+)
 from paperlane.plans.registry import REGISTRY
 
 __all__ = [
-    "REGISTRY", "answers", "automation", "loading", "profiling", "relations", "scoring", "texts",
+    "REGISTRY", "answers", "automation", "increments", "loading", "profiling", "relations",
+    "scoring", "texts", "training",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that may be changed on a running session.
 RUNTIME_SETTINGS = {
@@ -54,3 +54,14 @@ def work_root(spark: SparkSession) -> str:
 def new_work_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
     return f"{work_root(spark)}/paperlane/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    For data that several jobs use: it is computed once, and the loss of an executor does not bring
+    its whole lineage back.
+    """
+    path = new_work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
