@@ -42,9 +42,8 @@ def parse_day(text: Column) -> Column:
     spelled = F.regexp_replace(
         lower, F.lit(rf"\. ?(?:{'|'.join(MONTHS)}) "), F.concat(F.lit("."), number, F.lit("."))
     )
-    dotted = F.try_to_timestamp(spelled, F.lit("d.M.yyyy")).cast("date")
-    iso = F.try_to_timestamp(spelled, F.lit("yyyy-MM-dd")).cast("date")
-    return F.when(spelled.contains("-"), iso).otherwise(dotted)
+    iso = F.regexp_replace(spelled, r"^([0-9]{1,2})\.([0-9]{1,2})\.([0-9]{4})$", "$3-$2-$1")
+    return iso.try_cast("date")
 
 
 def date_matches(text: Column, valid_only: bool = True) -> Column:

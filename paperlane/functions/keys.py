@@ -57,13 +57,15 @@ def export_key(created_at: Column, base: str, name: str = "export_data.json") ->
 
 def export_key_time(key: Column) -> Column:
     """UTC time held in the two folders above the file name; NULL for a malformed key."""
-    parts = F.split(key, "/")
-    day = F.try_element_at(parts, F.lit(-3))
-    minute = F.try_element_at(parts, F.lit(-2))
-    stamp = F.concat(day, F.lit(" "), minute)
-    wellformed = stamp.rlike(r"^[0-9]{4}_[0-9]{2}_[0-9]{2} [0-9]{4}$")
-    return F.when(
-        wellformed, F.try_to_timestamp(stamp, F.lit("yyyy_MM_dd HHmm")).cast("timestamp_ntz")
+    digits = F.regexp_extract(
+        key, r"(?:^|/)([0-9]{4}_[0-9]{2}_[0-9]{2}/[0-9]{4})/[^/]*$", 1
+    )
+
+    def part(start: int, length: int) -> Column:
+        return F.substring(digits, start, length).try_cast("int")
+
+    return F.try_make_timestamp_ntz(
+        part(1, 4), part(6, 2), part(9, 2), part(12, 2), part(14, 2), F.lit(0)
     )
 
 

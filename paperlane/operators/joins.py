@@ -18,15 +18,14 @@ def ticket_chain(
 ) -> DataFrame:
     """Ticket, attachment, prediction and OCR job in one row; newest first.
 
-    ``wanted`` is a table of ticket ids and replaces one query per id.
+    ``wanted`` is a table of ticket ids and replaces one query per id. The predictions, by far the
+    largest side, are joined last and so shuffled once.
     """
     if wanted is not None:
         tickets = only_listed(tickets, wanted, ["ticket_uuid"])
-    return (
-        predictions.join(attachments, "attachment_id")
-        .join(tickets, "ticket_uuid")
-        .join(jobs, "attachment_id")
-        .orderBy(F.desc("created_at"), "attachment_id", "prediction_id")
+    processed = attachments.join(jobs, "attachment_id").join(tickets, "ticket_uuid")
+    return predictions.join(processed, "attachment_id").orderBy(
+        F.desc("created_at"), "attachment_id", "prediction_id"
     )
 
 
@@ -56,16 +55,32 @@ def _merge(left, right, keys, suffix, columns, how) -> DataFrame:
     return left.join(right.select(*keys, *wanted).withColumnsRenamed(renamed), keys, how)
 
 
+def _with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the key as one struct; NULL, which matches nothing, where a part is missing."""
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    return df.withColumn("_key", F.when(known, F.struct(*keys)))
+
+
+def _key_set(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys of a table.
+
+    As a struct they no longer show the planner how they are partitioned. A join then shuffles both
+    sides itself, and adaptive execution splits a hot key only in such shuffles.
+    """
+    return _with_key(df.select(*keys).na.drop().distinct(), keys).select("_key")
+
+
 def outer_with_parents(children: DataFrame, parents: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join of children with parents that are unique by key.
 
     A full outer join cannot be split when one parent has very many children, so this is the left
     join plus the parents without a child.
     """
-    keys = list(keys)
-    with_children = children.select(*keys).distinct()
-    childless = parents.join(with_children, keys, "left_anti")
-    return children.join(parents, keys, "left").unionByName(childless, allowMissingColumns=True)
+    with_parents = children.join(parents, list(keys), "left")
+    childless = drop_known(parents, children, keys)
+    return with_parents.unionByName(childless, allowMissingColumns=True)
 
 
 def merge_daily(
@@ -79,15 +94,15 @@ def merge_daily(
 
 
 def drop_known(new: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not known yet."""
-    keys = list(keys)
-    return new.join(known.select(*keys).distinct(), keys, "left_anti")
+    """Rows whose key is not known yet; a missing key is never known."""
+    rows = _with_key(new, keys).join(_key_set(known, keys), "_key", "left_anti")
+    return rows.select(*new.columns)
 
 
 def only_listed(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is listed."""
-    keys = list(keys)
-    return df.join(listed.select(*keys).distinct(), keys, "left_semi")
+    rows = _with_key(df, keys).join(_key_set(listed, keys), "_key", "left_semi")
+    return rows.select(*df.columns)
 
 
 def drop_listed(df: DataFrame, lists: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -101,18 +116,24 @@ def drop_listed(df: DataFrame, lists: Sequence[DataFrame], keys: Sequence[str])
 
 def flag_listed(df: DataFrame, listed: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """Add a flag that tells whether the key is listed."""
-    keys = list(keys)
-    marks = listed.select(*keys).distinct().withColumn(flag, F.lit(True))
-    return df.join(marks, keys, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    marks = _key_set(listed, keys).withColumn("_listed", F.lit(True))
+    rows = _with_key(df, keys).join(marks, "_key", "left")
+    return rows.select(*df.columns, F.coalesce("_listed", F.lit(False)).alias(flag))
 
 
 def id_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Ids that only one of two sources has, with the side they come from."""
-    a, b = left.select(key), right.select(key)
-    return (
-        a.subtract(b).withColumn("side", F.lit("left_only"))
-        .unionByName(b.subtract(a).withColumn("side", F.lit("right_only")))
+    """Ids that only one of two sources has, with the side they come from.
+
+    Both sources are counted together per id, which needs no join and one shuffle.
+    """
+    both = left.select(key, F.lit(True).alias("_left")).unionByName(
+        right.select(key, F.lit(False).alias("_left"))
+    )
+    sides = both.groupBy(key).agg(
+        F.bool_or("_left").alias("_in_left"), F.bool_or(~F.col("_left")).alias("_in_right")
     )
+    side = F.when(F.col("_in_left"), "left_only").otherwise("right_only")
+    return sides.filter(F.col("_in_left") != F.col("_in_right")).select(key, side.alias("side"))
 
 
 def map_values(column: Column, mapping: Mapping[str, str]) -> Column:
@@ -136,9 +157,12 @@ def lookup_with_fallback(
     A key may occur several times in the first source; its last row counts. The second source is
     unique by key.
     """
-    latest = first.groupBy(key).agg(F.max_by(value, order).alias("_first"), F.lit(True).alias("_in"))
+    latest = _with_key(
+        first.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(value, order).alias("_first")),
+        [key],
+    ).select("_key", "_first", F.lit(True).alias("_in"))
     backup = second.select(key, F.col(value).alias("_second"))
-    found = df.join(latest, key, "left").join(backup, key, "left")
+    found = _with_key(df.join(backup, key, "left"), [key]).join(latest, "_key", "left")
     # a key the first source knows keeps that source's value, even a missing one
     chosen = F.when(F.col("_in"), F.col("_first")).otherwise(F.col("_second"))
     return found.select(*df.columns, chosen.alias(value))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperlane.operators.joins import flag_listed
 from paperlane.operators.order import running_totals, value_cuts
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -91,8 +92,10 @@ def distinct_per_day(df: DataFrame, time: str, columns: dict[str, str]) -> DataF
 def status_distribution(df: DataFrame, status: str, total_name: str = "TOTAL") -> DataFrame:
     """Rows per status with their percentage, and a total row."""
     total = df.agg(F.count("*")).scalar()
-    counts = df.rollup(status).agg(
-        F.count("*").alias("n_rows"), F.grouping(F.col(status)).alias("is_total")
+    # rollup copies its input, so it gets the few counts and not the rows
+    per_status = df.groupBy(status).agg(F.count("*").alias("_n"))
+    counts = per_status.rollup(status).agg(
+        F.sum("_n").alias("n_rows"), F.grouping(F.col(status)).alias("is_total")
     )
     name = F.when(F.col("is_total") == 1, F.lit(total_name)).otherwise(F.col(status))
     return counts.select(
@@ -206,9 +209,11 @@ def export_totals(messages: DataFrame, message_id: str, attachments: str) -> Dat
 
 def load_counters(new: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows offered for a load, those already known and those to be written."""
-    marks = known.select(key).distinct().withColumn("_known", F.lit(True))
-    joined = new.join(marks, key, "left")
-    return joined.agg(
-        F.count("*").alias("n_total"), F.count("_known").alias("n_known"),
-        F.count_if(F.col("_known").isNull()).alias("n_new"),
+    # counted per key first: a hot key is one row in the join
+    offered = new.groupBy(key).agg(F.count("*").alias("_n"))
+    marked = flag_listed(offered, known, [key], "_known")
+    return marked.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_total"),
+        F.coalesce(F.sum(F.when(F.col("_known"), F.col("_n"))), F.lit(0)).alias("n_known"),
+        F.coalesce(F.sum(F.when(~F.col("_known"), F.col("_n"))), F.lit(0)).alias("n_new"),
     )

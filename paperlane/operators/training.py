@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperlane.operators.order import shuffled_rank
@@ -31,10 +31,9 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int
 def class_sizes(df: DataFrame, label: str, part: str) -> DataFrame:
     """Rows per part and class with the share of the class in its part."""
     counts = df.groupBy(part, label).agg(F.count("*").alias("n_rows"))
-    totals = df.groupBy(part).agg(F.count("*").alias("_total"))
-    return counts.join(totals, part).select(
-        part, label, "n_rows", (F.col("n_rows") / F.col("_total")).alias("share")
-    )
+    # one row per part and class
+    total = F.sum("n_rows").over(Window.partitionBy(part))
+    return counts.withColumn("share", F.col("n_rows") / total)
 
 
 def forest(

@@ -102,9 +102,10 @@ def required_counts(t: Tables) -> DataFrame:
     return quality.missing_counts(joined, ["text", "quality", "toxic"])
 
 
-@query("SELECT text, count(*) AS n_rows FROM documents GROUP BY text HAVING count(*) > 1")
+@query("SELECT sha256(text) AS ocr_job_id, count(*) AS n_rows FROM documents GROUP BY text HAVING count(*) > 1")
 def duplicate_keys(t: Tables) -> DataFrame:
-    return quality.duplicate_keys(t("documents"), ["text"])
+    rows = t("documents").select(ids.text_hash(F.col("text")).alias("ocr_job_id"))
+    return quality.duplicate_keys(rows, ["ocr_job_id"])
 
 
 # Label definitions in use, and the rows of a load: some types known, some new, some missing.

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperlane.functions import predicates as pr
+from paperlane.functions.ids import text_hash
 from paperlane.operators import joins as op
 from paperlane.operators import order
 from paperlane.plans.registry import Tables, query
@@ -181,11 +182,13 @@ def orphan_profile(t: Tables) -> DataFrame:
     )
 
 
-@query("""(SELECT c_custkey AS key, 'left_only' AS side FROM customer EXCEPT SELECT o_custkey, 'left_only' FROM orders)
-    UNION ALL (SELECT o_custkey, 'right_only' FROM orders EXCEPT SELECT c_custkey, 'right_only' FROM customer)""")
+@query("""(SELECT user_id AS key, 'left_only' AS side FROM events WHERE value > 250
+        EXCEPT SELECT l_suppkey, 'left_only' FROM lineitem)
+    UNION ALL (SELECT l_suppkey, 'right_only' FROM lineitem
+        EXCEPT SELECT user_id, 'right_only' FROM events WHERE value > 250)""")
 def id_difference(t: Tables) -> DataFrame:
-    left = t("customer").select(F.col("c_custkey").alias("key"))
-    return op.id_difference(left, t("orders").select(F.col("o_custkey").alias("key")), "key")
+    left = t("events").filter("value > 250").select(F.col("user_id").alias("key"))
+    return op.id_difference(left, t("lineitem").select(F.col("l_suppkey").alias("key")), "key")
 
 
 @query("""SELECT o_orderkey, o_custkey FROM orders
@@ -266,10 +269,12 @@ def mismatch_rows(t: Tables) -> DataFrame:
     return op.mismatches(extractor_pairs(t), "found", "truth")
 
 
-@query("""SELECT text, doc_id, source FROM (SELECT text, doc_id, source,
+@query("""SELECT ocr_job_id, doc_id, source FROM (SELECT sha256(text) AS ocr_job_id, doc_id, source,
     row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1""")
 def keep_first(t: Tables) -> DataFrame:
-    return order.keep_first(t("documents").select("text", "doc_id", "source"), ["text"], ["doc_id"])
+    # copies meet by their hash; the texts themselves are not shuffled
+    rows = t("documents").select(text_hash(F.col("text")).alias("ocr_job_id"), "doc_id", "source")
+    return order.keep_first(rows, ["ocr_job_id"], ["doc_id"])
 
 
 @query("SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 1 OFFSET 6")
