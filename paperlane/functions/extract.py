@@ -8,9 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from paperlane.functions.binding import evaluate_once
 from paperlane.functions.text import BLANKS
 
-CASE_ID_PATTERN = r"(?U)\b1[0-9]{10,12}\b"
+# looking at the first character before the word boundary keeps the search fast
+CASE_ID_PATTERN = r"(?U)(?=1)\b1[0-9]{10,12}\b"
 
 # Month names, cue words, salutations.
 MONTHS = (
@@ -20,9 +22,10 @@ MONTHS = (
 CUES = ("gegen", r"\./\.")
 SALUTATIONS = r"\b(herrn?|frau|fräulein)\b"
 
+MONTH_NAMES = "|".join(MONTHS).replace("ä", "[äÄ]")
 DATE_PATTERN = (
-    r"(?iu)\b(?:[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{4}-[0-9]{2}-[0-9]{2}"
-    rf"|[0-9]{{1,2}}\. ?(?:{'|'.join(MONTHS)}) [0-9]{{4}})\b"
+    r"(?i)(?=[0-9])\b(?:[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{4}-[0-9]{2}-[0-9]{2}"
+    rf"|[0-9]{{1,2}}\. ?(?:{MONTH_NAMES}) [0-9]{{4}})\b"
 )
 MIN_YEAR = 2000
 ANY_BLANK = f"[{BLANKS}\n]"
@@ -64,13 +67,13 @@ def date_matches(text: Column, valid_only: bool = True) -> Column:
             end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans")
         )
 
-    # the piece after the last match has no match to go with
-    gaps = F.slice(between, F.lit(1), F.size(found))
-    pairs = F.arrays_zip(gaps.alias("gap"), found.alias("hit"))
-    spans = F.aggregate(pairs, zero, step, lambda state: state["spans"])
+    # the piece after the last match has no match to go with, so its hit is NULL
+    pairs = F.arrays_zip(between.alias("gap"), found.alias("hit"))
+    hits = F.filter(pairs, lambda pair: pair["hit"].isNotNull())
+    spans = F.aggregate(hits, zero, step, lambda state: state["spans"])
     if valid_only:
         spans = F.filter(spans, lambda span: F.year(parse_day(span["text"])) >= MIN_YEAR)
-    return F.when(F.size(spans) > 0, spans)
+    return evaluate_once(spans, lambda found: F.when(F.size(found) > 0, found))
 
 
 def date_contexts(text: Column, spans: Column, window: int = 40) -> Column:
@@ -111,14 +114,17 @@ def pick_name(context: Column) -> Column:
 
     A context of one line would need an entity model and gives NULL.
     """
-    lines = F.split(context, "\n")
-    first = F.trim(F.get(lines, F.lit(0)))
-    second = F.trim(F.get(lines, F.lit(1)))
-    return (
-        F.when(F.size(lines) < 2, None)
-        .when(F.length(first) > 1, _first_last(first))
-        .when(F.length(second) > 1, _first_last(second))
-    )
+
+    def pick(lines: Column) -> Column:
+        first = F.trim(F.get(lines, F.lit(0)))
+        second = F.trim(F.get(lines, F.lit(1)))
+        return (
+            F.when(F.size(lines) < 2, None)
+            .when(F.length(first) > 1, _first_last(first))
+            .when(F.length(second) > 1, _first_last(second))
+        )
+
+    return evaluate_once(F.split(context, "\n"), pick)
 
 
 def clean_name(name: Column) -> Column:

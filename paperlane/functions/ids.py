@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperlane.functions.binding import evaluate_once
+
 UUID_LENGTH = 36
 
 
@@ -12,16 +14,19 @@ def name_uuid(text: Column, purpose: str) -> Column:
     """Version-5 UUID of ``purpose:text`` in the nil namespace (RFC 4122 section 4.3)."""
     namespace = F.unhex(F.lit("0" * 32))
     name = F.encode(F.concat(F.lit(f"{purpose}:"), text), "UTF-8")
-    digest = F.sha1(F.concat(namespace, name))
-    # the variant keeps the low two bits of the nibble and sets the high ones to 10
-    variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab" * 4)
-    return F.concat(
-        F.substring(digest, 1, 8), F.lit("-"),
-        F.substring(digest, 9, 4), F.lit("-5"),
-        F.substring(digest, 14, 3), F.lit("-"),
-        variant, F.substring(digest, 18, 3), F.lit("-"),
-        F.substring(digest, 21, 12),
-    )
+
+    def dashed(digest: Column) -> Column:
+        # the variant keeps the low two bits of the nibble and sets the high ones to 10
+        variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab" * 4)
+        return F.concat(
+            F.substring(digest, 1, 8), F.lit("-"),
+            F.substring(digest, 9, 4), F.lit("-5"),
+            F.substring(digest, 14, 3), F.lit("-"),
+            variant, F.substring(digest, 18, 3), F.lit("-"),
+            F.substring(digest, 21, 12),
+        )
+
+    return evaluate_once(F.sha1(F.concat(namespace, name)), dashed)
 
 
 def text_hash(text: Column) -> Column:

@@ -32,7 +32,7 @@ def generated_ids(t: Tables) -> DataFrame:
     old = F.when(F.col("lang") == "de", F.concat(F.lit("keep-"), F.col("source"))).when(
         F.col("lang") == "fr", ids.name_uuid(F.col("source"), "old")
     )
-    return t("documents").select(
+    return t.texts("documents").select(
         "doc_id", ids.name_uuid(text, "ticket_uuid").alias("ticket_uuid"),
         ids.text_hash(text).alias("ocr_job_id"),
         ids.renew_uuid(old, ids.name_uuid(text, "attachment_id")).alias("attachment_id"),
@@ -52,7 +52,7 @@ _CORPUS_CTE = f"""old_rows AS ({_FILLED.format(ticket='NULL', link='NULL', where
 
 
 def _rows(t: Tables) -> DataFrame:
-    return t("documents").select(
+    return t.texts("documents").select(
         "text", F.col("source").alias("document_type"), (F.col("n_chars") > 2000).alias("is_long"),
         "lang", "doc_id",
     )
@@ -98,13 +98,13 @@ def quality_report(t: Tables) -> DataFrame:
 @query("""SELECT count(*) - count(text) AS text, count(*) - count(quality) AS quality, count(*) - count(toxic) AS toxic
     FROM documents LEFT JOIN labels USING (doc_id)""")
 def required_counts(t: Tables) -> DataFrame:
-    joined = t("documents").join(t("labels"), "doc_id", "left")
+    joined = t.texts("documents").join(t("labels"), "doc_id", "left")
     return quality.missing_counts(joined, ["text", "quality", "toxic"])
 
 
 @query("SELECT sha256(text) AS ocr_job_id, count(*) AS n_rows FROM documents GROUP BY text HAVING count(*) > 1")
 def duplicate_keys(t: Tables) -> DataFrame:
-    rows = t("documents").select(ids.text_hash(F.col("text")).alias("ocr_job_id"))
+    rows = t.texts("documents").select(ids.text_hash(F.col("text")).alias("ocr_job_id"))
     return quality.duplicate_keys(rows, ["ocr_job_id"])
 
 
@@ -132,7 +132,7 @@ _STAMPS = f"TIMESTAMP '{AS_OF}' AS created_at, TIMESTAMP '{AS_OF}' AS updated_at
 
 
 def _load(t: Tables, dry_run: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
-    docs = t("documents").select("doc_id", "text", "lang", "source")
+    docs = t.texts("documents").select("doc_id", "text", "lang", "source")
     joined = t("labels").join(docs, "doc_id")
     defs = joined.groupBy(
         F.concat_ws("/", "lang", "source").alias("type"), F.lit("none").alias("subtype"),

@@ -43,14 +43,14 @@ def _tokens_sql(column: str) -> str:
 
 @query(f"SELECT page_id, {_clean_sql('html')} AS cleaned_text FROM pages")
 def clean_text(t: Tables) -> DataFrame:
-    return t("pages").select("page_id", tx.clean_text(F.col("html")).alias("cleaned_text"))
+    return t.texts("pages").select("page_id", tx.clean_text(F.col("html")).alias("cleaned_text"))
 
 
 @query("""SELECT page_id, coalesce(html, '') AS untouched,
     regexp_replace(coalesce(html, ''), '<[^>]*>', '', 'g') AS no_tags FROM pages""")
 def clean_text_switches(t: Tables) -> DataFrame:
     off = dict(normalize_whitespace=False, remove_short_lines=False, lowercase=False)
-    return t("pages").select(
+    return t.texts("pages").select(
         "page_id", tx.clean_text(F.col("html"), strip_html=False, **off).alias("untouched"),
         tx.clean_text(F.col("html"), **off).alias("no_tags"),
     )
@@ -63,7 +63,7 @@ TAGGABLE = """concat(text, chr(10), 'Art. 5 Abs. 2, DR II ', doc_id, '/24, ', n_
 
 
 def _tagged(t: Tables) -> DataFrame:
-    return t("documents").select(
+    return t.texts("documents").select(
         "doc_id", "lang", tx.replace_with_tags(F.expr(TAGGABLE)).alias("text_w_tags")
     )
 
@@ -82,7 +82,7 @@ def tag_counts(t: Tables) -> DataFrame:
 
 
 def tokenized(t: Tables) -> DataFrame:
-    return t("documents").select(
+    return t.texts("documents").select(
         "doc_id", "lang", "text", tx.tokens(F.col("text"), STOP_WORDS).alias("tokenized")
     )
 
@@ -114,7 +114,7 @@ def token_search(t: Tables) -> DataFrame:
     FROM documents""")
 def mark_tokens(t: Tables) -> DataFrame:
     text = F.lower("text")
-    return t("documents").select(
+    return t.texts("documents").select(
         "doc_id", tx.mark_tokens(text, ["ein", "", F.col("source")]).alias("marked")
     )
 
@@ -162,7 +162,7 @@ _ENRICHED_CTE = f"src AS (SELECT doc_id, {ENRICHED} AS text FROM documents)"
 
 
 def enriched(t: Tables) -> DataFrame:
-    return t("documents").select("doc_id", F.expr(ENRICHED).alias("text"))
+    return t.texts("documents").select("doc_id", F.expr(ENRICHED).alias("text"))
 
 
 @query(f"""WITH {_ENRICHED_CTE}
@@ -172,7 +172,7 @@ def case_id(t: Tables) -> DataFrame:
     return enriched(t).select("doc_id", extract.case_id(F.col("text")).alias("case_id"))
 
 
-_DATE_RE = extract.DATE_PATTERN.replace("(?iu)", "(?i)")
+_DATE_RE = extract.DATE_PATTERN.replace("(?=[0-9])", "")
 
 
 def _parse_day_sql(column: str) -> str:
@@ -226,11 +226,11 @@ def date_context(t: Tables) -> DataFrame:
             substr(whole, 1 + CASE WHEN i = 1 THEN 0 ELSE s[i - 1] + length(h[i - 1]) END,
                    s[i] - CASE WHEN i = 1 THEN 0 ELSE s[i - 1] + length(h[i - 1]) END) || '[[' || x || ']]'),
             'string_agg', '')
-        || substr(whole, 1 + s[len(s)] + length(h[len(h)])) AS marked FROM joined""")
+        || substr(whole, 1 + s[len(s)] + length(h[len(h)])) AS marked FROM joined
+    UNION ALL SELECT doc_id, text FROM src WHERE doc_id NOT IN (SELECT doc_id FROM valid)""")
 def mark_dates(t: Tables) -> DataFrame:
     spans = enriched(t).withColumn("spans", extract.date_matches(F.col("text")))
-    known = spans.filter(F.col("spans").isNotNull())
-    return known.select("doc_id", tx.mark_spans(F.col("text"), F.col("spans")).alias("marked"))
+    return spans.select("doc_id", tx.mark_spans(F.col("text"), F.col("spans")).alias("marked"))
 
 
 _ANY = f"[{_B}\n]"
@@ -373,21 +373,21 @@ def blocks_to_text(t: Tables) -> DataFrame:
     SELECT doc_id, line AS "Text", 'line_' || i AS "Id", 'LINE' AS "BlockType", 99.0::double AS "Confidence"
     FROM l WHERE regexp_replace(line, '[%s]+', '', 'g') <> ''""" % _B)
 def text_to_blocks(t: Tables) -> DataFrame:
-    return t("documents").select("doc_id", F.inline(parse.text_to_blocks(F.col("text"))))
+    return t.texts("documents").select("doc_id", F.inline(parse.text_to_blocks(F.col("text"))))
 
 
 @query("""SELECT doc_id, CAST(to_json(list_filter(list_transform(string_split(text, chr(10)), lambda line, i:
         {'BlockType': 'LINE', 'Text': line, 'Id': 'line_' || (i - 1), 'Confidence': 99.0::double}),
         lambda b: regexp_replace(b."Text", '[%s]+', '', 'g') <> '')) AS varchar) AS blocks FROM documents""" % _B)
 def blocks_as_json(t: Tables) -> DataFrame:
-    return t("documents").select("doc_id", blocks_json(F.col("text")).alias("blocks"))
+    return t.texts("documents").select("doc_id", blocks_json(F.col("text")).alias("blocks"))
 
 
 @query("""SELECT doc_id, CASE WHEN source = 'src3' THEN '' ELSE array_to_string(list_filter(string_split(text, chr(10)),
     lambda line: regexp_replace(line, '[%s]+', '', 'g') <> ''), chr(10)) END AS text FROM documents""" % _B)
 def text_from_blocks_json(t: Tables) -> DataFrame:
     stored = F.when(differs(F.col("source"), "src3"), blocks_json(F.col("text")))
-    return t("documents").select("doc_id", text_from_json(stored).alias("text"))
+    return t.texts("documents").select("doc_id", text_from_json(stored).alias("text"))
 
 
 PROMPT = "Classify $lang text.\n--- START ---\n${clean_text}\n--- END --- $unknown ${lang}"

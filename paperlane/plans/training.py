@@ -57,7 +57,7 @@ def fold_counts(t: Tables) -> DataFrame:
 def prepared(t: Tables) -> DataFrame:
     """Labelled documents, cleaned, tagged, split and tokenised; written once for the jobs below."""
     labels = t("labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    docs = t("documents").select("doc_id", "text").join(labels, "doc_id")
+    docs = t.texts("documents").select("doc_id", "text").join(labels, "doc_id")
     split = op.stratified_split(docs, "label", "doc_id")
     tagged = split.withColumn("text_w_tags", replace_with_tags(clean_text(F.col("text"))))
     tokenized = tagged.withColumn("tokenized", tokens(F.col("text_w_tags"), STOP_WORDS))

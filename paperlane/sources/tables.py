@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+SPREAD_BELOW = 32 * 1024 * 1024
+
 
 def read_corpus(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """CSV corpus whose texts hold line breaks and doubled quotes.
@@ -22,6 +24,17 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread_small(df: DataFrame, bytes_per_core: int = SPREAD_BELOW) -> DataFrame:
+    """Spread a small table over all cores, before costly work on each row.
+
+    A small file has one row group, which one task reads. Tables that are large enough to keep all
+    cores busy with row groups of their own are left as they are, and nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * bytes_per_core else df
+
+
 def read_many(spark: SparkSession, pattern: str, file_format: str = "parquet", **options) -> DataFrame:
     """All chunk files of a pattern or folder as one table."""
     return spark.read.options(**options).load(pattern, format=file_format)
