@@ -102,25 +102,19 @@ def class_report(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     return grouped.select(F.inline(lines))
 
 
-def score_counts(df: DataFrame, truth: str, score: str) -> DataFrame:
-    """Positive and negative rows per distinct score."""
-    scored = df.filter(F.col(score).isNotNull() & ~F.isnan(score) & F.col(truth).isNotNull())
-    return scored.groupBy(F.col(score).alias("score")).agg(
-        F.count_if(F.col(truth)).alias("pos"), F.count_if(~F.col(truth)).alias("neg")
-    )
-
-
 def _score_curve(df: DataFrame, truth: str, score: str, descending: bool = True) -> DataFrame:
-    return running_totals(
-        score_counts(df, truth, score), "score", {"pos": "tp", "neg": "fp"},
-        value_cuts(df, score), descending=descending, overall={"pos": "n_pos", "neg": "n_neg"},
+    """Positive and negative rows per distinct score with their running counts."""
+    scored = df.select(F.col(score).alias("score"), F.col(truth).alias("truth")).filter(
+        F.col("score").isNotNull() & ~F.isnan("score") & F.col("truth").isNotNull()
     )
+    measures = {"pos": F.count_if("truth"), "neg": F.count_if(~F.col("truth"))}
+    return running_totals(scored, "score", measures, value_cuts(scored, "score"), descending=descending)
 
 
 def roc_auc(df: DataFrame, truth: str, score: str) -> DataFrame:
     """Area under the ROC curve by the rank sum, ties counted half; NULL with one class only."""
     curve = _score_curve(df, truth, score, descending=False)
-    below = F.col("fp") - F.col("neg")
+    below = F.col("neg_upto") - F.col("neg")
     wins = F.sum(F.col("pos") * (below + F.col("neg") / 2.0))
     area = F.try_divide(wins, F.sum("pos").cast("double") * F.sum("neg"))
     return curve.agg(
@@ -132,8 +126,8 @@ def roc_points(df: DataFrame, truth: str, score: str) -> DataFrame:
     """False and true positive rate at each distinct score; the start point has no threshold."""
     curve = _score_curve(df, truth, score).select(
         F.col("score").alias("threshold"),
-        F.try_divide(F.col("fp").cast("double"), F.col("n_neg")).alias("fpr"),
-        F.try_divide(F.col("tp").cast("double"), F.col("n_pos")).alias("tpr"),
+        F.try_divide(F.col("neg_upto").cast("double"), F.col("neg_all")).alias("fpr"),
+        F.try_divide(F.col("pos_upto").cast("double"), F.col("pos_all")).alias("tpr"),
     )
     start = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
@@ -143,10 +137,10 @@ def roc_points(df: DataFrame, truth: str, score: str) -> DataFrame:
 
 def pr_points(df: DataFrame, truth: str, score: str) -> DataFrame:
     """Precision and recall at each distinct score; the end point has no threshold."""
-    tp, fp = F.col("tp"), F.col("fp")
+    tp, fp = F.col("pos_upto"), F.col("neg_upto")
     curve = _score_curve(df, truth, score).select(
         F.col("score").alias("threshold"), ratio(tp, tp + fp).alias("precision"),
-        F.try_divide(tp.cast("double"), F.col("n_pos")).alias("recall"),
+        F.try_divide(tp.cast("double"), F.col("pos_all")).alias("recall"),
     )
     end = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HASH_CELLS = 4096  # three hex digits
-VALUE_CELLS = 128
+VALUE_CELLS = 256
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -117,39 +117,44 @@ def value_cuts(df: DataFrame, column: str, cells: int = VALUE_CELLS) -> list[flo
 
 
 def running_totals(
-    hist: DataFrame, value: str, totals: dict[str, str], cuts: list[float],
-    group: Sequence[str] = (), descending: bool = False, overall: dict[str, str] | None = None,
+    df: DataFrame, value: str, measures: dict[str, Column], cuts: list[float],
+    group: Sequence[str] = (), descending: bool = False,
 ) -> DataFrame:
-    """Add running sums over a value, this row included, without one global window.
+    """Sums per distinct value with their running sums, without one global window.
 
-    ``hist`` has one row per group and value; ``totals`` maps a column to the name of its running
-    sum, ``overall`` to the name of its sum over the whole group. The cuts split the values into
-    cells: the sums of whole cells are few rows and are accumulated first, then each cell is
-    accumulated by itself.
+    ``measures`` are aggregates that add up, such as counts. For a measure ``n`` the result has
+    ``n``, the running sum ``n_upto``, this value included, and the sum of the whole group
+    ``n_all``.
+
+    The cuts split the values into cells. The sums of whole cells are few rows and are accumulated
+    first, straight from the table; then each cell accumulates its own values. Equal values are
+    summed before the shuffle, so a hot value is one row per task.
     """
-    overall = overall or {}
-    splits = [float("-inf"), *(cuts or [0.0]), float("inf")]
-    bucketizer = Bucketizer(splits=splits, inputCol=value, outputCol="_cell")
-    rows, keys = _spread_keys(bucketizer.transform(hist), group)
+    cell = Bucketizer(
+        splits=[float("-inf"), *(cuts or [0.0]), float("inf")], inputCol=value, outputCol="_cell"
+    )
+    rows, keys = _spread_keys(cell.transform(df).withColumn("_cell", F.col("_cell").cast("int")), group)
+    summed = [measure.alias(name) for name, measure in measures.items()]
+    to_here = Window.unboundedPreceding, Window.currentRow
+    before = Window.unboundedPreceding, -1
 
     cell_order = F.col("_cell").desc() if descending else F.col("_cell").asc()
-    value_order = F.col(value).desc() if descending else F.col(value).asc()
+    over_cells = Window.partitionBy(*keys).orderBy(cell_order).rowsBetween(*before)
     # at most one row per cut and group
-    per_cell = rows.groupBy(*keys, "_cell").agg(*[F.sum(c).alias(c) for c in totals])
-    upto = Window.partitionBy(*keys).orderBy(cell_order).rowsBetween(Window.unboundedPreceding, -1)
+    per_cell = rows.groupBy(*keys, "_cell").agg(*summed)
     cells = per_cell.select(
         *keys, "_cell",
-        *[F.coalesce(F.sum(c).over(upto), F.lit(0)).alias(f"_before_{c}") for c in totals],
-        *[F.sum(c).over(Window.partitionBy(*keys)).alias(name) for c, name in overall.items()],
+        *[F.coalesce(F.sum(n).over(over_cells), F.lit(0)).alias(f"_before_{n}") for n in measures],
+        *[F.sum(n).over(Window.partitionBy(*keys)).alias(f"{n}_all") for n in measures],
     )
 
-    inside = (
-        Window.partitionBy(*keys, "_cell").orderBy(value_order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    within = rows.select("*", *[F.sum(c).over(inside).alias(f"_inside_{c}") for c in totals])
+    value_order = F.col(value).desc() if descending else F.col(value).asc()
+    over_values = Window.partitionBy(*keys, "_cell").orderBy(value_order).rowsBetween(*to_here)
+    hist = rows.groupBy(*group, *keys, "_cell", value).agg(*summed)
+    within = hist.select("*", *[F.sum(n).over(over_values).alias(f"_within_{n}") for n in measures])
+    # same keys as the window, so the values are not shuffled again
     return within.join(cells, [*keys, "_cell"]).select(
-        *hist.columns,
-        *[(F.col(f"_before_{c}") + F.col(f"_inside_{c}")).alias(n) for c, n in totals.items()],
-        *overall.values(),
+        *group, value, *measures,
+        *[(F.col(f"_before_{n}") + F.col(f"_within_{n}")).alias(f"{n}_upto") for n in measures],
+        *[f"{n}_all" for n in measures],
     )

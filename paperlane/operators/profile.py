@@ -112,20 +112,18 @@ def describe(df: DataFrame, value: str, group: str) -> DataFrame:
     out, as a group-by of the surveyed project does.
     """
     known = df.select(group, value).filter(F.col(value).isNotNull() & ~F.isnan(value))
-    hist = known.groupBy(group, value).agg(F.count("*").alias("n"))
-    ranked = running_totals(
-        hist, value, {"n": "upto"}, value_cuts(known, value), [group], overall={"n": "_size"}
-    )
+    ranked = running_totals(known, value, {"n": F.count("*")}, value_cuts(known, value), [group])
 
     def at(share: float) -> Column:
-        return F.lit(share) * (F.col("_size") - 1)
+        return F.lit(share) * (F.col("n_all") - 1)
 
     picks = []
     for share in QUARTILES:
         name = f"q{int(share * 100)}"
         for edge, rank in (("low", F.floor(at(share))), ("high", F.ceil(at(share)))):
-            picks.append(F.min(F.when(F.col("upto") > rank, F.col(value))).alias(f"_{edge}_{name}"))
-    edges = ranked.groupBy(group, "_size").agg(*picks)
+            picked = F.min(F.when(F.col("n_upto") > rank, F.col(value)))
+            picks.append(picked.alias(f"_{edge}_{name}"))
+    edges = ranked.groupBy(group, "n_all").agg(*picks)
 
     quartiles = []
     for share in QUARTILES:
@@ -139,7 +137,10 @@ def describe(df: DataFrame, value: str, group: str) -> DataFrame:
         F.stddev_samp(value).alias("std"), F.min(value).alias("minimum"),
         F.max(value).alias("maximum"),
     )
-    return moments.join(edges.select(group, *quartiles), group)
+    names = [f"q{int(share * 100)}" for share in QUARTILES]
+    return moments.join(edges.select(group, *quartiles), group).select(
+        group, "n_values", "mean", "std", "minimum", *names, "maximum"
+    )
 
 
 def describe_all(df: DataFrame, value: str) -> DataFrame:
