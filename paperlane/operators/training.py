@@ -43,12 +43,12 @@ def forest(
     """Random forest with the square root of the features tried per split.
 
     Trees go as deep as Spark allows. Splits are found on binned features, so single scores differ
-    from a forest with exact splits; quality is comparable. Further ``settings`` are those of
+from a forest with exact splits; quality is comparable. Further ``settings`` are those of
     Spark's classifier.
     """
     return RandomForestClassifier(
         numTrees=trees, maxDepth=max_depth, seed=seed, featureSubsetStrategy="sqrt",
-        featuresCol=features, labelCol=label, **settings,
+        featuresCol=features, labelCol=label, **{"cacheNodeIds": True, **settings},
     )
 
 

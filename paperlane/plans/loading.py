@@ -9,6 +9,7 @@ from paperlane.functions import ids
 from paperlane.operators import corpus as op
 from paperlane.operators import quality
 from paperlane.plans.registry import Tables, query
+from paperlane.session import materialize
 
 PREFIX = "store://results/"
 REQUIRED = ("text", "document_type", "is_long")
@@ -139,7 +140,8 @@ def _load(t: Tables, dry_run: bool = False) -> tuple[dict[str, DataFrame], DataF
         F.when(F.col("toxic") == 1, "other").otherwise("review").alias("nature"),
     ).agg(F.min("doc_id").alias("id"))
     kind = F.concat(F.nullif("lang", F.lit("es")), F.lit("/"), F.col("source"))
-    rows = op.fill_ids(docs.select("text", kind.alias("document_type")), PREFIX)
+    # ids are computed once and stored without the texts, which a load does not need
+    rows = materialize(op.fill_ids(docs.select("text", kind.alias("document_type")), PREFIX).drop("text"), "load")
     labelled = joined.filter("toxic = 1").select(ids.name_uuid(F.col("text"), "ticket_uuid").alias("ticket_uuid"))
     label_ids, _ = op.ensure_labels(defs, op.loadable(rows, "en/src5"), "review", AS_OF, dry_run)
     return op.plan_load(rows, defs, labelled, "review", "en/src5", AS_OF, dry_run), label_ids

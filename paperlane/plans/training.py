@@ -57,9 +57,10 @@ def fold_counts(t: Tables) -> DataFrame:
 def prepared(t: Tables) -> DataFrame:
     """Labelled documents, cleaned, tagged, split and tokenised; written once for the jobs below."""
     labels = t("labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    docs = t.texts("documents").select("doc_id", "text").join(labels, "doc_id")
-    split = op.stratified_split(docs, "label", "doc_id")
-    tagged = split.withColumn("text_w_tags", replace_with_tags(clean_text(F.col("text"))))
+    # ranks are drawn over the narrow labels and written, which shows the join how small they are
+    split = materialize(op.stratified_split(labels, "label", "doc_id"), "split")
+    docs = t.texts("documents").select("doc_id", "text").join(split, "doc_id")
+    tagged = docs.withColumn("text_w_tags", replace_with_tags(clean_text(F.col("text"))))
     tokenized = tagged.withColumn("tokenized", tokens(F.col("text_w_tags"), STOP_WORDS))
     return materialize(tokenized.select("doc_id", "label", "split", "tokenized"), "prepared")
 
