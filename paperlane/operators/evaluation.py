@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperlane.operators.order import running_totals, value_cuts
@@ -154,23 +155,34 @@ def threshold_sweep(
 ) -> DataFrame:
     """Precision, recall, F1 and predicted positives at each threshold.
 
-    The table is read once: every threshold is a pair of conditional counts in one aggregate.
+    The table is read once and counted per band between two thresholds. The few bands are then
+    added up for each threshold. A score that is missing or NaN is below all of them.
     """
-    y = F.col(truth)
-    value = F.nanvl(F.col(score), F.lit(None).cast("double"))
-    counts = [F.count("*").alias("total"), F.count_if(y).alias("n_pos")]
-    for i, threshold in enumerate(thresholds):
-        counts.append(F.count_if(value >= threshold).alias(f"_pp_{i}"))
-        counts.append(F.count_if((value >= threshold) & y).alias(f"_tp_{i}"))
-    cells = [
-        F.struct(F.lit(float(t)).alias("threshold"), F.col(f"_pp_{i}").alias("predicted_positive"),
-                 F.col(f"_tp_{i}").alias("tp"))
-        for i, t in enumerate(thresholds)
-    ]
-    rows = df.agg(*counts).select("total", "n_pos", F.inline(F.array(*cells)))
+    steps = sorted(set(thresholds))
+    infinity = float("inf")
+    value = F.coalesce(F.nanvl(F.col(score), F.lit(None).cast("double")), F.lit(-infinity))
+    rows = df.select(value.alias("_value"), F.col(truth).alias("_truth"))
+    bucketizer = Bucketizer(splits=[-infinity, *steps, infinity], inputCol="_value", outputCol="_band")
+    bands = bucketizer.transform(rows).groupBy("_band").agg(
+        F.count("*").alias("_n"), F.count_if("_truth").alias("_pos")
+    )
+
+    # one row per band, also for those without a row; band i starts at threshold i
+    grid = df.sparkSession.range(len(steps) + 1).select(F.col("id").cast("double").alias("_band"))
+    filled = grid.join(bands, "_band", "left").na.fill(0)
+    from_here = Window.orderBy(F.desc("_band"))
+    everywhere = Window.partitionBy()
+    starts = F.array(F.lit(None).cast("double"), *[F.lit(float(step)) for step in steps])
+    table = filled.select(
+        F.get(starts, F.col("_band").cast("int")).alias("threshold"),
+        F.sum("_n").over(from_here).alias("predicted_positive"),
+        F.sum("_pos").over(from_here).alias("tp"),
+        F.sum("_n").over(everywhere).alias("total"),
+        F.sum("_pos").over(everywhere).alias("n_pos"),
+    ).filter("threshold IS NOT NULL")
     precision = ratio(F.col("tp"), F.col("predicted_positive"))
     recall = ratio(F.col("tp"), F.col("n_pos"))
-    return rows.select(
+    return table.select(
         "threshold", precision.alias("precision"), recall.alias("recall"),
         f1(precision, recall).alias("f1"), "predicted_positive", "total",
     )

@@ -176,17 +176,20 @@ def class_summary(
     subtype, value, order = F.col(names.subtype), F.col(names.value), F.col(names.order)
     is_true = (subtype == names.class_flag) & quoted_true(value)
     is_probability = subtype == names.probability
-    winner = F.lit(None).cast("string")
-    for name in reversed(list(classes)):
-        winner = F.when(F.col(names.type).contains(name), F.lit(name)).otherwise(winner)
-    return predictions.groupBy(names.entity).agg(
-        first_value(winner, is_true, order).alias("winner"),
+    # the position of the class has a fixed width, its name has not
+    position = F.lit(None).cast("int")
+    for i, name in reversed(list(enumerate(classes))):
+        position = F.when(F.col(names.type).contains(name), F.lit(i)).otherwise(position)
+    summary = predictions.groupBy(names.entity).agg(
+        first_value(position, is_true, order).alias("_position"),
         *[
             first_value(quoted_double(value), is_probability & (F.col(names.type) == kind), order)
             .alias(f"prob_{name}")
             for name, kind in classes.items()
         ],
     )
+    winner = F.get(F.array(*[F.lit(name) for name in classes]), F.col("_position"))
+    return summary.withColumn("_position", winner).withColumnRenamed("_position", "winner")
 
 
 def _in_band(score: Column, band: tuple[str, float, float]) -> Column:
