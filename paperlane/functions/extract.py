@@ -1,6 +1,6 @@
 """Case ids, dates and names found in a text.
 
-Patterns that the surveyed project only imports are this package's own specification.
+The patterns are this package's own specification.
 """
 
 from __future__ import annotations

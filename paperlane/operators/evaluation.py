@@ -8,6 +8,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperlane.functions.numbers import round_even
 from paperlane.operators.order import running_totals, value_cuts
 
 # Steps of five percent, and single percents above 0.9.
@@ -193,7 +194,7 @@ def threshold_summary(
 ) -> DataFrame:
     """The sweep at the key thresholds, in percent with two digits."""
     sweep = threshold_sweep(df, truth, score, thresholds)
-    percents = [F.bround(F.col(c) * 100, 2).alias(c) for c in ("precision", "recall", "f1")]
+    percents = [round_even(F.col(c) * 100, 2).alias(c) for c in ("precision", "recall", "f1")]
     return sweep.select("threshold", *percents, "predicted_positive", "total")
 
 

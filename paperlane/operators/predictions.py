@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperlane.functions.numbers import round_even
 from paperlane.functions.parse import mentions_true, quoted_double, quoted_true
 from paperlane.functions.predicates import is_present
 from paperlane.operators.order import first_known, first_value
@@ -223,5 +224,5 @@ def band_presence(df: DataFrame, score: str, fields: Sequence[str]) -> DataFrame
     share = F.try_divide(F.lit(100.0) * F.col("present"), F.col("total"))
     return rows.select(
         "band", "field", "total", "present", (F.col("total") - F.col("present")).alias("missing"),
-        F.coalesce(F.bround(share, 1), F.lit(0.0)).alias("pct"),
+        F.coalesce(round_even(share, 1), F.lit(0.0)).alias("pct"),
     )

@@ -109,7 +109,7 @@ def describe(df: DataFrame, value: str, group: str) -> DataFrame:
 
     Quartiles are exact and interpolate linearly. They are read off running counts over the
     distinct values, so that no task holds all values of a group. Rows without a group are left
-    out, as a group-by of the surveyed project does.
+    out.
     """
     known = df.select(group, value).filter(F.col(value).isNotNull() & ~F.isnan(value))
     ranked = running_totals(known, value, {"n": F.count("*")}, value_cuts(known, value), [group])

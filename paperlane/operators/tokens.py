@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperlane.functions.numbers import round_even
 from paperlane.functions.text import TAGS, count_tag
 
 
@@ -17,7 +18,7 @@ def token_frequency(df: DataFrame, tokens: str, normalize: bool = True) -> DataF
     )
     if normalize:
         documents = df.agg(F.count("*")).scalar()
-        frequency = F.bround(F.col("n_total") / documents, 2)
+        frequency = round_even(F.col("n_total") / documents, 2)
     else:
         frequency = F.col("n_total").cast("double")
     return counts.withColumn("frequency", frequency).orderBy(F.desc("frequency"), "token")

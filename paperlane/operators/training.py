@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
+from paperlane.functions.numbers import round_even
 from paperlane.operators.order import shuffled_rank
 
 
@@ -19,7 +20,7 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split``: exactly ``round(share * n)`` rows of each class are ``test``."""
     ranked = shuffled_rank(df, [label], key, seed, "_rank", "_size")
-    n_test = F.bround(F.lit(test_share) * F.col("_size"), 0)
+    n_test = round_even(F.lit(test_share) * F.col("_size"), 0)
     split = F.when(F.col("_rank") <= n_test, "test").otherwise("train")
     return ranked.select(*df.columns, split.alias("split"))
 

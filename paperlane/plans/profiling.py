@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperlane.functions.numbers import round_even
 from paperlane.functions.predicates import lookback, strictly_between
 from paperlane.operators import profile as op
 from paperlane.plans.registry import Tables, query, rounded
@@ -143,13 +144,13 @@ def lookback_window(t: Tables) -> DataFrame:
     FROM lineitem GROUP BY l_returnflag""")
 def score_describe(t: Tables) -> DataFrame:
     table = op.describe(t("lineitem"), "l_extendedprice", "l_returnflag")
-    return table.withColumns({c: F.bround(c, 4) for c in ("mean", "std", "q25", "q50", "q75")})
+    return table.withColumns({c: round_even(c, 4) for c in ("mean", "std", "q25", "q50", "q75")})
 
 
 @query("""SELECT min(l_extendedprice) AS minimum, max(l_extendedprice) AS maximum,
     round_even(avg(l_extendedprice), 4) AS mean FROM lineitem""")
 def score_range(t: Tables) -> DataFrame:
-    return op.describe_all(t("lineitem"), "l_extendedprice").withColumn("mean", F.bround("mean", 4))
+    return op.describe_all(t("lineitem"), "l_extendedprice").withColumn("mean", round_even("mean", 4))
 
 
 _MIXED = ("o_orderstatus", "o_orderpriority", "o_custkey", "o_orderdate")

@@ -6,8 +6,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from paperlane.functions.numbers import round_even
 from paperlane.session import tune
 from paperlane.sources.tables import spread_small
 
@@ -51,7 +51,7 @@ def query(sql: str | None = None, name: str | None = None):
 
 def r6(column: Column | str) -> Column:
     """Six digits, half to even, as ``round_even(x, 6)`` in the SQL."""
-    return F.bround(F.col(column) if isinstance(column, str) else column, 6)
+    return round_even(column, 6)
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperlane.functions.numbers import round_even
 from paperlane.functions import predicates as pr
 from paperlane.functions.ids import text_hash
 from paperlane.operators import joins as op
@@ -159,7 +160,7 @@ def attachments_and_predictions(t: Tables) -> DataFrame:
 def outer_daily(t: Tables) -> DataFrame:
     orders = t("orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n_orders"))
     lines = t("lineitem").filter("l_returnflag = 'R'").groupBy(F.to_date("l_shipdate").alias("day")).agg(
-        F.count("*").alias("n_lines"), F.bround(F.sum("l_quantity"), 2).alias("quantity")
+        F.count("*").alias("n_lines"), round_even(F.sum("l_quantity"), 2).alias("quantity")
     )
     return op.merge_daily([orders, lines])
 
