@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,17 +39,20 @@ def build_session(app: str = "paperlane", master: str | None = None, **conf: str
 def work_root(spark: SparkSession) -> str:
     """Shared folder of the cluster, named by ``spark.checkpoint.dir``.
 
-    Only a local master may go without that setting: there, and only there, a temporary folder is
-    made and kept in the session for the calls that follow.
+    Only a local master may go without that setting: there, and only there, one temporary folder
+    serves all calls of the process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    root = tempfile.mkdtemp(prefix="paperlane-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="paperlane-")
 
 
 def new_work_path(spark: SparkSession, label: str) -> str:
