@@ -8,7 +8,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HASH_CELLS = 4096  # three hex digits
+HASH_CELLS = 4096  # 12 of the 60 bits of the hash
 VALUE_CELLS = 256
 
 
@@ -48,8 +48,14 @@ def nth_row(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
 
 
 def hash_order(key: str, seed: int) -> Column:
-    """Pseudo-random order of a key, the same in every run, layout and engine."""
-    return F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
+    """Pseudo-random order of a key, the same in every run, layout and engine.
+
+    The first 60 bits of the MD5 of ``key:seed`` as a number; ties are left to the key.
+    """
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
+    number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+    # never missing, which also spares joins on it a check that would compute it once more
+    return F.coalesce(number, F.lit(0).cast("long"))
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
@@ -88,7 +94,7 @@ def shuffled_rank(
     group, so a group with a third of all rows is still spread over all executors.
     """
     rows, keys = _spread_keys(df.withColumn("_hash", hash_order(key, seed)), group)
-    rows = rows.withColumn("_cell", F.substring("_hash", 1, 3))
+    rows = rows.withColumn("_cell", F.shiftright("_hash", 48).cast("int"))
 
     # at most HASH_CELLS rows per group
     counts = rows.groupBy(*keys, "_cell").agg(F.count("*").alias("_n"))
@@ -98,10 +104,11 @@ def shuffled_rank(
         F.sum("_n").over(Window.partitionBy(*keys)).alias(size),
     )
 
-    inside = Window.partitionBy(*keys, "_cell").orderBy("_hash", key)
+    # the cell leads, as sorting is fastest on a plain number
+    inside = Window.partitionBy("_cell", *keys).orderBy("_hash", key)
     ranked = rows.withColumn("_inside", F.row_number().over(inside))
     # same keys as the window, so the rows are not shuffled again
-    return ranked.join(cells, [*keys, "_cell"]).select(
+    return ranked.join(cells, ["_cell", *keys]).select(
         *df.columns, (F.col("_before") + F.col("_inside")).alias(rank), size
     )
 
@@ -149,11 +156,11 @@ def running_totals(
     )
 
     value_order = F.col(value).desc() if descending else F.col(value).asc()
-    over_values = Window.partitionBy(*keys, "_cell").orderBy(value_order).rowsBetween(*to_here)
+    over_values = Window.partitionBy("_cell", *keys).orderBy(value_order).rowsBetween(*to_here)
     hist = rows.groupBy(*group, *keys, "_cell", value).agg(*summed)
     within = hist.select("*", *[F.sum(n).over(over_values).alias(f"_within_{n}") for n in measures])
     # same keys as the window, so the values are not shuffled again
-    return within.join(cells, [*keys, "_cell"]).select(
+    return within.join(cells, ["_cell", *keys]).select(
         *group, value, *measures,
         *[(F.col(f"_before_{n}") + F.col(f"_within_{n}")).alias(f"{n}_upto") for n in measures],
         *[f"{n}_all" for n in measures],

@@ -71,3 +71,19 @@ def test_counters_join_keys_and_not_rows(spark, hot):
     row = profile.load_counters(hot, known, "k").first()
     assert row.n_total == 300000 and row.n_known + row.n_new == 300000
     assert row.n_known == hot.filter("k < 10").count()
+
+
+def test_ranked_rows_are_shuffled_once(spark, no_broadcast, hot):
+    rows = hot.withColumn("hot", F.col("k") == 7)
+    plan = order.shuffled_rank(rows, ["hot"], "v")._jdf.queryExecution().executedPlan().toString()
+    # the rows once; the few counts per cell, per group, and back per cell
+    assert plan.count("Exchange hashpartitioning") == 4
+    assert "Filter" not in plan
+
+
+def test_values_are_not_shuffled_for_the_cell_totals(spark, no_broadcast):
+    frame = spark.range(1000).select((F.col("id") % 7).cast("double").alias("s"))
+    totals = order.running_totals(frame, "s", {"n": F.count("*")}, [2.0, 4.0])
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    # per value, per cell of values, and the counts per cell; those few go to one window and back
+    assert plan.count("Exchange hashpartitioning") <= 4
