@@ -9,13 +9,15 @@ language whose profile has the largest cosine with its own vector.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperlane.llm.tasks import map_texts
+
 DIMENSIONS = 1024
 ORDER = 3
 UNKNOWN = "und"
@@ -145,7 +147,7 @@ def profiles(labelled: DataFrame, text: str, label: str, dimensions: int = DIMEN
 
 def identify(
     df: DataFrame, text: str, known: dict[str, np.ndarray], out: str = "lang_pred", score: str = "score",
-    dimensions: int = DIMENSIONS, order: int = ORDER,
+    dimensions: int = DIMENSIONS, order: int = ORDER, keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add the best label of each text and its cosine, from 0 to 1.
 
@@ -156,22 +158,22 @@ def identify(
     names = sorted(known)
     matrix = np.array([known[x] for x in names]).reshape(len(names), dimensions)
     matrix = matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1)
-    kept = [c for c in df.columns if c not in (out, score)]
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         profiler = Profiler(dimensions, order)
-        for batch in batches:
+
+        def work(texts: list[str]) -> list[list]:
             labels, scores = [], []
-            for _, vectors, letters in profiler(batch.column(batch.num_columns - 1).to_pylist()):
+            for _, vectors, letters in profiler(texts):
                 cosines = np.clip(np.round(vectors @ matrix.T, 9), 0, 1) if names else np.zeros((len(letters), 1))
                 best = cosines.argmax(axis=1)
-                labels += [names[b] if names and k else UNKNOWN for b, k in zip(best, letters)]
+                labels += [names[b] if names and k else UNKNOWN for b, k in zip(best, letters, strict=True)]
                 scores += np.where(letters, cosines[np.arange(len(best)), best], 0.0).tolist()
-            columns = [*batch.columns[:-1], pa.array(labels, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, out, score])
+            return [labels, scores]
+
+        return work
 
-    schema = df.select(*kept).schema.add(out, "string").add(score, "double")
-    return df.select(*kept, F.col(text).alias("_text_")).mapInArrow(predict, schema)
+    return map_texts(df, text, {out: "string", score: "double"}, start, keep)
 
 
 def held_out(key: Column, parts: int, part: int) -> Column:

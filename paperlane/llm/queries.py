@@ -2,18 +2,35 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlane.llm import langid
+from paperlane.llm import bpe, langid, unigram
 from paperlane.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
 
+# Folder of the public vocabulary files; it must exist on every executor.
+VOCABULARIES = os.environ.get("PAPERLANE_VOCABULARIES", "/opt/tokenizers")
+
+
+@query()
+def op6_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return bpe.round_trip_digests(docs, "text", f"{VOCABULARIES}/byte_bpe_50k.json", keep=["doc_id"])
+
+
+@query()
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return unigram.token_counts(docs, "text", f"{VOCABULARIES}/piece_bpe_32k.model", keep=["doc_id"])
+
 
 @query()
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", langid.held_out(F.col("doc_id"), 4, 2))
     known = langid.profiles(docs.filter("NOT held_out"), "text", "lang")
-    return langid.identify(docs.select("doc_id", "held_out", "text"), "text", known).drop("text")
+    return langid.identify(docs, "text", known, keep=["doc_id", "held_out"])
