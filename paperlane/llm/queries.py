@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlane.llm import bpe, langid, unigram
+from paperlane.llm import bpe, langid, pii, unigram
 from paperlane.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -16,6 +16,19 @@ __all__ = ["QUERIES", "SQL"]
 VOCABULARIES = os.environ.get("PAPERLANE_VOCABULARIES", "/opt/tokenizers")
 
 
+@query()
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = pii.detect(docs, "text", pii.learn(docs, "text"), spans="found", keep=["doc_id"])
+
+    def joined(spans: str) -> Column:
+        return F.expr(f"array_join(transform({spans}, x -> concat_ws(':', x.kind, x.start, x.end)), ',')")
+
+    counts = [F.expr(f"CAST(size(filter(found, x -> x.base AND x.kind = '{k}')) AS bigint)").alias(f"n_{k}") for k in pii.KINDS]
+    base = F.sha2(joined("filter(found, x -> x.base)"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, joined("found").alias("spans"))
+
+
 @query()
 def op6_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
