@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlane.llm import bpe, langid, pii, unigram
+from paperlane.llm import bpe, decontamination, langid, pii, unigram, urls
 from paperlane.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -16,6 +16,31 @@ __all__ = ["QUERIES", "SQL"]
 VOCABULARIES = os.environ.get("PAPERLANE_VOCABULARIES", "/opt/tokenizers")
 
 
+WORDS_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({WORDS_SQL}, []) AS w FROM documents),
+    i AS (SELECT CAST(item_id AS varchar) AS item_id, {WORDS_SQL} AS w FROM benchmark WHERE text IS NOT NULL),
+    windows AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, unnest(CASE WHEN len(w) = 0 THEN [] ELSE
+        list_transform(range(0, len(w) - least(len(w), 10) + 1), lambda k: array_to_string(w[k + 1 : k + least(len(w), 10)], ' ')) END) AS g FROM i),
+    lengths AS (SELECT DISTINCT n FROM windows),
+    grams AS (SELECT r, n, k, array_to_string(w[k + 1 : k + n], ' ') AS g
+        FROM (SELECT r, w, n, unnest(range(0, len(w) - n + 1)) AS k FROM d, lengths WHERE len(w) >= n)),
+    hits AS (SELECT r, item_id, k, n FROM grams JOIN windows USING (n, g)),
+    places AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS p FROM hits) GROUP BY r),
+    items AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM hits GROUP BY r)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN places USING (r) LEFT JOIN items USING (r)""")
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark")
+    found = decontamination.contamination(docs, items)
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), "contaminated",
+    )
+
+
 @query()
 def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -47,3 +72,37 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = docs.withColumn("held_out", langid.held_out(F.col("doc_id"), 4, 2))
     known = langid.profiles(docs.filter("NOT held_out"), "text", "lang")
     return langid.identify(docs, "text", known, keep=["doc_id", "held_out"])
+
+
+# Rules for hosts, which come first, and patterns for pages that are rarely worth reading.
+HOST_RULES = (
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"), ("net", "/fr/", "block"),
+)
+BLOCKED_PATTERNS = (
+    "^ads^", "^adserver^", "^banner^", "^casino^", "^poker^", "^porn^", "^xxx^", "^warez^", "^torrent^",
+    "^login^", "^logout^", "^signup^", "^cart^", "^checkout^", "^doubleclick^", "^tag/*/page^", "^wp-admin^",
+    "^adult^", "^bets^", "^pills^", "^spam^", "^track^", "^tracker^",
+)
+URL_RULES = (
+    *(urls.host_rule(*r) for r in HOST_RULES), *(urls.pattern_rule(p, urls.BLOCK) for p in BLOCKED_PATTERNS),
+)
+FITTING_SQL = " UNION ALL ".join(
+    f"SELECT '{h}{p}' AS rule, '{v}' AS verdict, '{h}' AS rule_host, '{p}' AS rule_path" for h, p, v in HOST_RULES
+)
+PATTERN_SQL = " OR ".join(f"regexp_matches(host || path, '{r.regex}')" for r in URL_RULES if r.grade == 0)
+
+
+@query(f"""WITH rules AS ({FITTING_SQL}), u AS (SELECT row_number() OVER () AS r, page_id,
+        coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+    fits AS (SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM u, rules
+        WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY r)
+    SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN {PATTERN_SQL} THEN 'block' ELSE 'allow' END) AS verdict
+    FROM u LEFT JOIN fits USING (r)""")
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    judged = urls.judge(pages, "url", URL_RULES)
+    # a pattern is part of the method: only rules for hosts are named
+    named = F.when(F.col("rule").isin([h + p for h, p, _ in HOST_RULES]), F.col("rule"))
+    return judged.select("page_id", "host", "path", named.alias("rule"), "verdict")
