@@ -1,0 +1,300 @@
+"""Exact near-duplicate classes of documents by the Jaccard similarity of their word shingles.
+
+Two sets of sizes x and y are linked when their overlap reaches T, the smallest number with
+``100 T >= percent * (x + y - T)``; for a set of x shingles alone, T is at least x * percent / 100.
+That makes the search a T-occurrence problem over inverted lists (shingle -> sets), solved as in
+DivideSkip: of a set's lists, the longest ones are left out of the merge and only probed, by binary
+search, for the sets that the short ones bring up.
+
+1. *Occurrence filter.* A set can have a partner only if enough of its shingles occur in other texts.
+   Tasks announce packed 32-bit shingle prints, dealt over ranges of the hash, and learn how many of
+   theirs occur elsewhere. Wrong prints only let through too many. Nothing else goes on.
+2. *Order.* Shingles are ordered by the length of their list, as far as it is long, then by hash. Any
+   order is right; this one keeps long lists out of the merge.
+3. *Merge.* Of x shingles in that order, the first x - T + 1 go into the merge: a partner shares one.
+   Copies and large classes make lists long where all sets belong together, so a list is not paired
+   off at once: its first sets are compared with all others, and it is done when all its sets are in
+   one component. The number of such first sets grows fourfold each round until no list is left.
+4. *Probe.* The overlap of a pair is counted by binary search in sorted shingle arrays.
+
+Shingles are 64-bit hashes. Documents with equal texts, and texts with equal sets, are one node.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from paperlane.llm.components import components
+from paperlane.llm.hashing import BASE, WordHasher, lowered, mix
+from paperlane.llm.sizes import broadcast_if_small
+from paperlane.session import materialize
+
+SHINGLE, PERCENT = 5, 75
+TEXT_PER_RANGE = 48 << 20  # bytes of text whose prints one task of the filter compares
+SLICE_BYTES = 1 << 24
+LONG_LIST, LONG_LISTS = 32, 100_000  # lists at least so long, and so many of them, are put last
+
+
+def shingle_sets(texts: list[bytes], hasher: WordHasher, words: int = SHINGLE) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text; a text with fewer words is one shingle."""
+    hashes, counts = hasher(texts)
+    out, at = [], 0
+    for n in counts.tolist():
+        own, at = hashes[at : at + n], at + n
+        k = min(words, n)
+        shingles = np.full(n - k + 1 if n else 0, n if n < words else words, dtype=np.uint64)
+        for j in range(k):
+            shingles = mix(shingles * np.uint64(BASE) + own[j : j + len(shingles)])
+        out.append(np.unique(shingles))
+    return out
+
+
+def least_overlap(n: int, percent: int) -> int:
+    """Least overlap of a set of n shingles with any partner."""
+    return -(-n * percent // 100)
+
+
+def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[tuple[list[bytes], list[bytes]]]:
+    """Keys and lowered texts of a batch of (key, text) without repeated keys, in groups of bounded size."""
+    keys, texts, total, seen = [], [], 0, set()
+    for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        if key in seen:
+            continue
+        seen.add(key)
+        keys.append(key)
+        texts.append(lowered(text))
+        total += len(texts[-1])
+        if total >= size:
+            yield keys, texts
+            keys, texts, total = [], [], 0
+    if keys:
+        yield keys, texts
+
+
+def announce(ranges: int, words: int, percent: int):
+    """Per group of texts and range: prints that one text has, the texts they belong to, prints that
+    several texts have, and facts about the texts whose key falls into the range."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
+        for batch in batches:
+            for keys, texts in slices(batch):
+                sets = shingle_sets(texts, hasher, words)
+                some = [least_overlap(n, percent) for n in map(len, sets)]
+                # with the first n - T + l shingles by hash, a partner shares l of them
+                first = [s[: len(s) - t + -(-len(s) // 4)] for s, t in zip(sets, some, strict=True)]
+                owner = np.repeat(np.arange(len(first), dtype=np.uint32), [len(x) for x in first])
+                every = np.concatenate(first) if first else np.zeros(0, np.uint64)
+                order = np.argsort(every, kind="stable")
+                every, owner = every[order], owner[order]
+                new = np.ones(len(every), dtype=bool)
+                new[1:] = every[1:] != every[:-1]
+                starts = np.flatnonzero(new)
+                alone = np.diff(np.append(starts, len(every))) == 1
+                shared = np.bincount(owner[~np.repeat(alone, np.diff(np.append(starts, len(every))))], minlength=len(keys))
+                prints, owner = every[starts], owner[starts]
+                place = (prints & np.uint64(0xFFFFF)) % np.uint64(ranges)
+                order = np.lexsort((~alone, place))
+                prints = (prints[order] >> np.uint64(20)).astype(np.uint32)
+                place, alone, owner = place[order], alone[order], owner[order]
+                cuts = np.searchsorted(place, np.arange(ranges + 1))
+                number = np.array([int.from_bytes(k[:8], "little", signed=True) for k in keys], dtype=np.int64)
+                facts: dict[int, list] = {}
+                for k, key in enumerate(keys):
+                    facts.setdefault(int(number[k]) % ranges, []).append((key, len(sets[k]), int(shared[k])))
+                rows: list[list] = [[], [], [], [], [], []]
+                for r in range(ranges):
+                    a, b = cuts[r], cuts[r + 1]
+                    m = a + int(alone[a:b].sum())
+                    if a == b and r not in facts:
+                        continue
+                    texts_here, local = np.unique(owner[a:m], return_inverse=True)
+                    told = facts.get(r, [])
+                    for column, value in zip(rows, (
+                        r, prints[a:m].tobytes(), local.astype(np.uint16 if len(texts_here) < 1 << 16 else np.uint32).tobytes(),
+                        number[texts_here].tobytes(), prints[m:b].tobytes(),
+                        b"".join(key + np.array([n, s], dtype=np.int32).tobytes() for key, n, s in told),
+                    ), strict=True):
+                        column.append(value)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows[0], pa.int32()), *(pa.array(c, pa.binary()) for c in rows[1:])],
+                    names=["range", "alone", "owner", "texts", "several", "facts"],
+                )
+
+    return run
+
+
+def answer(group: pd.DataFrame) -> pd.DataFrame:
+    """How many of the prints announced by each text occur in other announcements; and the facts."""
+    alone = [np.frombuffer(x, dtype=np.uint32) for x in group["alone"]]
+    several = [np.frombuffer(x, dtype=np.uint32) for x in group["several"]]
+    values, counts = np.unique(np.concatenate([*alone, *several]), return_counts=True)
+    common = values[counts > 1]
+    numbers, shared, keys, sizes = [], [], [], []
+    for prints, owner, texts, facts in zip(alone, group["owner"], group["texts"], group["facts"], strict=True):
+        texts = np.frombuffer(texts, dtype=np.int64)
+        if len(prints):
+            owner = np.frombuffer(owner, dtype=np.uint16 if len(owner) == 2 * len(prints) else np.uint32)
+            found = np.searchsorted(common, prints)
+            found = (found < len(common)) & (common[np.minimum(found, max(len(common) - 1, 0))] == prints) if len(common) else np.zeros(len(prints), bool)
+            n = np.bincount(owner[found], minlength=len(texts))
+            some = np.flatnonzero(n)
+            numbers += texts[some].tolist()
+            shared += n[some].tolist()
+            keys += [None] * len(some)
+            sizes += [0] * len(some)
+        for at in range(0, len(facts), 24):
+            n, own = np.frombuffer(facts[at + 16 : at + 24], dtype=np.int32).tolist()
+            numbers.append(int.from_bytes(facts[at : at + 8], "little", signed=True))
+            shared.append(own)
+            keys.append(facts[at : at + 16])
+            sizes.append(n)
+    return pd.DataFrame({"number": pd.Series(numbers, dtype="int64"), "shared": pd.Series(shared, dtype="int64"), "key": pd.Series(keys, dtype=object), "n": pd.Series(sizes, dtype="int64")})
+
+
+def occurrence_filter(texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Size of the set of each distinct text, and whether it may have a partner."""
+    spark = texts.sparkSession
+    volume = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = min(1 << 20, max(int(spark.conf.get("spark.sql.shuffle.partitions")), volume // TEXT_PER_RANGE))
+    kinds = "range int, alone binary, owner binary, texts binary, several binary, facts binary"
+    told = texts.mapInArrow(announce(ranges, words, percent), kinds)
+    answers = told.groupBy("range").applyInPandas(answer, "number bigint, shared bigint, key binary, n bigint")
+    # a number may stand for several texts, which then count each other's prints: never too few
+    sums = answers.groupBy("number").agg(F.sum("shared").alias("shared"), F.collect_set(F.when(F.col("key").isNotNull(), F.struct("key", "n"))).alias("texts"))
+    return sums.select(F.explode("texts").alias("t"), "shared").select("t.key", "t.n", ((F.col("n") > 0) & (F.col("shared") >= F.ceil(F.col("n") / 4))).alias("open"))
+
+
+def sets_of(texts: DataFrame, words: int) -> DataFrame:
+    """Set digest and sorted shingles of texts, one row for each text of a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, seen = WordHasher(), set()
+        for batch in batches:
+            for keys, group in slices(batch, 1 << 22):
+                rows = [(k, s) for k, s in zip(keys, shingle_sets(group, hasher, words), strict=True) if k not in seen]
+                seen.update(k for k, _ in rows)
+                digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for _, s in rows]
+                shingles = pa.array([s.view(np.int64) for _, s in rows], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.binary()), pa.array(digests, pa.binary()), shingles], names=["key", "digest", "shingles"])
+
+    return texts.mapInArrow(run, "key binary, digest binary, shingles array<bigint>")
+
+
+def merged_lists(sets: DataFrame, percent: int) -> DataFrame:
+    """Postings (shingle, node, n) of the shingles of each set that go into the merge."""
+    lengths = sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("length"))
+    long = lengths.filter(F.col("length") >= LONG_LIST).orderBy(F.desc("length"), "shingle").limit(LONG_LISTS).collect()
+    long = sorted((r["shingle"], r["length"]) for r in long)
+    names, weights = np.array([s for s, _ in long], dtype=np.int64), np.array([n for _, n in long], dtype=np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, shingles in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = shingles.values.to_numpy()
+                weight = np.zeros(len(own), dtype=np.int64)
+                if len(names):
+                    at = np.minimum(np.searchsorted(names, own), len(names) - 1)
+                    weight = np.where(names[at] == own, weights[at], 0)
+                first = own[np.lexsort((own, weight))][: len(own) - least_overlap(len(own), percent) + 1]
+                yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(np.full(len(first), node)), pa.array(np.full(len(first), len(own), dtype=np.int32))], names=["shingle", "node", "n"])
+
+    return sets.select("node", "shingles").mapInArrow(run, "shingle bigint, node bigint, n int")
+
+
+def probe(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Roots of the pairs of nodes ``a``, ``b`` whose overlap, counted by binary search, is large enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = batch.column(2), batch.column(3)
+            good = np.zeros(batch.num_rows, dtype=bool)
+            for i in range(batch.num_rows):
+                # sorted as numbers without a sign
+                x, y = (c[i].values.to_numpy().view(np.uint64) for c in (left, right))
+                if len(x) > len(y):
+                    x, y = y, x
+                overlap = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                good[i] = 100 * overlap >= percent * (len(x) + len(y) - overlap)
+            kept = batch.filter(pa.array(good))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
+
+    one = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
+    both = one.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
+    return both.select("root_a", "root_b", "left", "right").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def classes(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``node`` and ``root`` (a node of the same component) for every set."""
+    rooted = sets.select("node", F.col("node").alias("root"))
+    lists = materialize(lists.withColumn("root", F.col("node")), "lists")
+    heads = 1
+    while True:
+        # a list is open as long as its sets are in several components
+        open_lists = lists.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+        lists = materialize(lists.join(materialize(open_lists.select("shingle"), "open"), "shingle"), "lists")
+        if not lists.limit(1).count():
+            return rooted
+        order = Window.partitionBy("shingle").orderBy(F.xxhash64("node"), "node")
+        first = lists.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= heads)
+        first = materialize(first.select("shingle", F.col("node").alias("head"), F.col("n").alias("head_n"), F.col("root").alias("head_root")), "heads")
+        near = (F.col("root") != F.col("head_root")) & (100 * F.least("n", "head_n") >= percent * F.greatest("n", "head_n"))
+        met = lists.join(first, "shingle").filter(near)
+        swap = F.col("node") < F.col("head")
+        pairs = met.select(
+            F.greatest("node", "head").alias("a"), F.least("node", "head").alias("b"),
+            F.when(swap, F.col("head_root")).otherwise(F.col("root")).alias("root_a"),
+            F.when(swap, F.col("root")).otherwise(F.col("head_root")).alias("root_b"),
+        ).distinct()
+        joined = components(probe(materialize(pairs, "pairs"), sets, percent)).select(F.col("node").alias("root"), F.col("root").alias("new"))
+        moved = F.coalesce("new", "root").alias("root")
+        rooted = materialize(rooted.join(joined, "root", "left").select("node", moved), "rooted")
+        rest = lists.join(first.select("shingle", F.col("head").alias("node")), ["shingle", "node"], "left_anti")
+        lists = materialize(rest.join(joined, "root", "left").select("shingle", "node", "n", moved), "lists")
+        heads *= 4
+
+
+def near_duplicate_classes(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE, percent: int = PERCENT,
+    size: str = "n_shingles", component: str = "component_id",
+) -> DataFrame:
+    """Add to each document the size of its shingle set and the smallest id reachable by links.
+
+    Words are what white space parts, with A-Z in lower case. A missing or empty text has no set and
+    is linked with nothing: its component is its own id. Rows with the same text or the same set are
+    linked, however many there are; a missing id never names a component that has another id. Columns
+    named like the added ones are replaced.
+    """
+    kept = [c for c in docs.columns if c.lower() not in (size.lower(), component.lower())]
+    key = F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+    texts = docs.filter(F.col(text).isNotNull()).select(key.alias("key"), F.col(text).alias("text"))
+
+    facts = materialize(occurrence_filter(texts, words, percent), "facts")
+    hopeful = materialize(facts.filter("open").select("key"), "hopeful")
+    stored = materialize(sets_of(texts.join(broadcast_if_small(hopeful), "key"), words), "sets")
+    # eight of the sixteen bytes name a set, if that is unambiguous
+    sizes = stored.agg(F.count_distinct("digest").alias("n"), *(F.count_distinct(F.substring("digest", at, 8)).alias(f"at_{at}") for at in (1, 9))).first()
+    at = next((x for x in (1, 9) if sizes[f"at_{x}"] == sizes["n"]), None)
+    if at is None:
+        raise ValueError("two different sets have the same name")
+    node = F.conv(F.hex(F.substring("digest", at, 8)), 16, -10).cast("bigint")
+    stored = stored.withColumn("node", node)
+    sets = materialize(stored.select("node", "shingles").dropDuplicates(["node"]), "nodes")
+    rooted = classes(merged_lists(sets, percent), sets, percent)
+
+    low = materialize(docs.select(key.alias("key"), F.col(doc_id).alias("id")).groupBy("key").agg(F.min("id").alias("low")), "low")
+    members = stored.select("key", "node").distinct().join(rooted, "node").join(low, "key").select("key", "root", "low")
+    members = materialize(members, "members")
+    lowest = materialize(members.groupBy("root").agg(F.min("low").alias("lowest")), "lowest")
+    named = members.join(lowest, "root").select("key", "lowest")
+    known = low.join(facts.select("key", "n"), "key", "left").join(named, "key", "left")
+    known = materialize(known.select("key", F.coalesce("n", F.lit(0)).cast("long").alias("_n_"), F.coalesce("lowest", "low").alias("_component_")), "known")
+    found = docs.select(*kept, key.alias("_key_"), F.col(doc_id).alias("_id_")).join(known.withColumnRenamed("key", "_key_"), "_key_", "left")
+    return found.select(*kept, F.col("_n_").alias(size), F.when(F.col("_n_") > 0, F.col("_component_")).otherwise(F.col("_id_")).alias(component))

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlane.llm import bpe, decontamination, langid, pii, unigram, urls
+from paperlane.llm import bpe, decontamination, jaccard, langid, pii, unigram, urls
 from paperlane.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -16,6 +16,12 @@ __all__ = ["QUERIES", "SQL"]
 VOCABULARIES = os.environ.get("PAPERLANE_VOCABULARIES", "/opt/tokenizers")
 
 
+@query()
+def op1_jaccard_classes(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return jaccard.near_duplicate_classes(docs).drop("text")
+
+
 WORDS_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
