@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlane.llm import bpe, decontamination, jaccard, langid, pii, unigram, urls
+from paperlane.llm import bpe, decontamination, jaccard, langid, pii, repeats, unigram, urls
 from paperlane.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -47,6 +47,17 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op3_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    found = repeats.remove_repeats(docs.select("doc_id", "text", n_bytes.alias("n_bytes")))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query()
 def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")

@@ -31,6 +31,12 @@ def columns_besides(df: DataFrame, added: Iterable[str], keep: Sequence[str] | N
     return [c for c in (df.columns if keep is None else keep) if c.lower() not in names]
 
 
+def schema_with(df: DataFrame, added: dict[str, str]) -> T.StructType:
+    """Schema of a table with added columns at its end."""
+    fields = (T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in added.items())
+    return T.StructType([*df.schema.fields, *fields])
+
+
 def map_texts(
     df: DataFrame, text: str, added: dict[str, str], start: Callable[[], Callable[[list[str]], Sequence[Sequence]]],
     keep: Sequence[str] | None = None,
@@ -42,8 +48,8 @@ def map_texts(
     of the same name.
     """
     kept = columns_besides(df, added, keep)
-    types = [f.dataType for f in T._parse_datatype_string(", ".join(f"{n} {t}" for n, t in added.items())).fields]
-    schema = T.StructType([*df.select(*kept).schema.fields, *(T.StructField(n, t) for n, t in zip(added, types, strict=True))])
+    schema = schema_with(df.select(*kept), added)
+    types = [f.dataType for f in schema.fields[len(kept) :]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
