@@ -34,11 +34,13 @@ from pyspark.sql import functions as F
 from paperlane.llm.components import components
 from paperlane.llm.hashing import BASE, WordHasher, lowered, mix
 from paperlane.llm.sizes import broadcast_if_small
+from paperlane.llm.tasks import rows_per_batch
 from paperlane.session import materialize
 
 SHINGLE, PERCENT = 5, 75
 TEXT_PER_RANGE = 48 << 20  # bytes of text whose prints one task of the filter compares
 SLICE_BYTES = 1 << 24
+PROBED_ROWS = 256  # pairs of shingle arrays in one batch
 LONG_LIST, LONG_LISTS = 32, 100_000  # lists at least so long, and so many of them, are put last
 
 
@@ -253,7 +255,10 @@ def classes(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             F.when(swap, F.col("head_root")).otherwise(F.col("root")).alias("root_a"),
             F.when(swap, F.col("root")).otherwise(F.col("head_root")).alias("root_b"),
         ).distinct()
-        joined = components(probe(materialize(pairs, "pairs"), sets, percent)).select(F.col("node").alias("root"), F.col("root").alias("new"))
+        pairs = materialize(pairs, "pairs")
+        with rows_per_batch(sets.sparkSession, PROBED_ROWS):
+            links = materialize(probe(pairs, sets, percent), "links")
+        joined = components(links).select(F.col("node").alias("root"), F.col("root").alias("new"))
         moved = F.coalesce("new", "root").alias("root")
         rooted = materialize(rooted.join(joined, "root", "left").select("node", moved), "rooted")
         rest = lists.join(first.select("shingle", F.col("head").alias("node")), ["shingle", "node"], "left_anti")

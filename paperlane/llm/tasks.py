@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +38,18 @@ def schema_with(df: DataFrame, added: dict[str, str]) -> T.StructType:
     return T.StructType([*df.schema.fields, *fields])
 
 
+@contextmanager
+def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Smaller Arrow batches for the jobs run inside, where rows are long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def map_texts(
     df: DataFrame, text: str, added: dict[str, str], start: Callable[[], Callable[[list[str]], Sequence[Sequence]]],
     keep: Sequence[str] | None = None,
