@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlane.llm import bpe, decontamination, jaccard, langid, pii, repeats, unigram, urls
+from paperlane.llm import bpe, decontamination, jaccard, langid, ngramlm, pii, repeats, unigram, urls
 from paperlane.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -123,3 +123,10 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     # a pattern is part of the method: only rules for hosts are named
     named = F.when(F.col("rule").isin([h + p for h, p, _ in HOST_RULES]), F.col("rule"))
     return judged.select("page_id", "host", "path", named.alias("rule"), "verdict")
+
+
+@query()
+def op9_ngram_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", langid.held_out(F.col("doc_id"), 7, 2))
+    return ngramlm.score_texts(docs, "text", ~F.col("held_out"), keep=["doc_id", "held_out"])
