@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlane.llm import bpe, decontamination, jaccard, langid, ngramlm, pii, repeats, unigram, urls
+from paperlane.llm import bpe, decontamination, jaccard, langid, ngramlm, pii, repeats, topk, unigram, urls
 from paperlane.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -71,6 +71,17 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, base, joined("found").alias("spans"))
 
 
+@query("""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS double) * 64) AS bigint)) AS c FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(CAST(q.c AS double[]), CAST(v.c AS double[])) AS bigint) AS score
+        FROM v AS q, v WHERE q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS int) AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""")
+def op5_top_inner_products(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return topk.top_inner_products(vectors, F.col("vec_id") % 20 == 0)
+
+
 @query()
 def op6_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
