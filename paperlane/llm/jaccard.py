@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from paperlane.llm.components import components
 from paperlane.llm.hashing import BASE, WordHasher, lowered, mix
 from paperlane.llm.sizes import broadcast_if_small
-from paperlane.llm.tasks import rows_per_batch
+from paperlane.llm.tasks import columns_besides, rows_per_batch
 from paperlane.session import materialize
 
 SHINGLE, PERCENT = 5, 75
@@ -268,16 +268,18 @@ def classes(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicate_classes(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE, percent: int = PERCENT,
-    size: str = "n_shingles", component: str = "component_id",
+    size: str = "n_shingles", component: str = "component_id", group: str | None = None,
 ) -> DataFrame:
-    """Add to each document the size of its shingle set and the smallest id reachable by links.
+    """Add to each document the size of its shingle set and the smallest id reachable by links; on
+    request also the name of its ``group``, which rows without an id have too (NULL without a set).
 
     Words are what white space parts, with A-Z in lower case. A missing or empty text has no set and
     is linked with nothing: its component is its own id. Rows with the same text or the same set are
     linked, however many there are; a missing id never names a component that has another id. Columns
     named like the added ones are replaced.
     """
-    kept = [c for c in docs.columns if c.lower() not in (size.lower(), component.lower())]
+    added = [x for x in (size, component, group) if x is not None]
+    kept = columns_besides(docs, added, None)
     key = F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
     texts = docs.filter(F.col(text).isNotNull()).select(key.alias("key"), F.col(text).alias("text"))
 
@@ -297,9 +299,31 @@ def near_duplicate_classes(
     low = materialize(docs.select(key.alias("key"), F.col(doc_id).alias("id")).groupBy("key").agg(F.min("id").alias("low")), "low")
     members = stored.select("key", "node").distinct().join(rooted, "node").join(low, "key").select("key", "root", "low")
     members = materialize(members, "members")
-    lowest = materialize(members.groupBy("root").agg(F.min("low").alias("lowest")), "lowest")
-    named = members.join(lowest, "root").select("key", "lowest")
+    lowest = materialize(members.groupBy("root").agg(F.min("low").alias("lowest"), F.min("key").alias("first")), "lowest")
+    named = members.join(lowest, "root").select("key", "lowest", "first")
     known = low.join(facts.select("key", "n"), "key", "left").join(named, "key", "left")
-    known = materialize(known.select("key", F.coalesce("n", F.lit(0)).cast("long").alias("_n_"), F.coalesce("lowest", "low").alias("_component_")), "known")
-    found = docs.select(*kept, key.alias("_key_"), F.col(doc_id).alias("_id_")).join(known.withColumnRenamed("key", "_key_"), "_key_", "left")
-    return found.select(*kept, F.col("_n_").alias(size), F.when(F.col("_n_") > 0, F.col("_component_")).otherwise(F.col("_id_")).alias(component))
+    known = known.select(
+        F.col("key").alias("_key_"), F.coalesce("n", F.lit(0)).cast("long").alias("_n_"),
+        F.when(F.col("first").isNull(), F.col("low")).otherwise(F.col("lowest")).alias("_component_"), F.coalesce("first", "key").alias("_group_"),
+    )
+    found = docs.select(*kept, key.alias("_key_"), F.col(doc_id).alias("_id_")).join(materialize(known, "known"), "_key_", "left")
+    linked = F.col("_n_") > 0
+    columns = [F.col("_n_").alias(size), F.when(linked, F.col("_component_")).otherwise(F.col("_id_")).alias(component)]
+    if group is not None:
+        columns.append(F.when(linked, F.col("_group_")).alias(group))
+    return found.select(*kept, *columns)
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row of every group of near duplicates: the one with the smallest id, if any has one.
+
+    Rows without a word are in no group and stay.
+    """
+    found = near_duplicate_classes(docs, doc_id, text, words, percent, "_n_words_", "_component_id_", "_class_")
+    first = found.filter(F.col("_class_").isNull() | F.col(doc_id).eqNullSafe(F.col("_component_id_")))
+    # only rows with a repeated id, or groups without ids, leave several: just those are shuffled
+    several = first.filter("_class_ IS NOT NULL").groupBy("_class_").agg(F.count("*").alias("n")).filter("n > 1").select("_class_")
+    several = broadcast_if_small(materialize(several, "several"))
+    order = Window.partitionBy("_class_").orderBy(F.xxhash64(*docs.columns))
+    rest = first.join(several, "_class_", "left_semi").withColumn("_place_", F.row_number().over(order)).filter("_place_ = 1")
+    return first.join(several, "_class_", "left_anti").select(docs.columns).unionByName(rest.select(docs.columns))
