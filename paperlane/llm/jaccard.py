@@ -3,19 +3,20 @@
 Two sets of sizes x and y are linked when their overlap reaches T, the smallest number with
 ``100 T >= percent * (x + y - T)``; for a set of x shingles alone, T is at least x * percent / 100.
 That makes the search a T-occurrence problem over inverted lists (shingle -> sets), solved as in
-DivideSkip: of a set's lists, the longest ones are left out of the merge and only probed, by binary
-search, for the sets that the short ones bring up.
+DivideSkip: the longest lists of a set are left out of the merge and only probed for the sets that
+the short ones bring up.
 
 1. *Occurrence filter.* A set can have a partner only if enough of its shingles occur in other texts.
    Tasks announce packed 32-bit shingle prints, dealt over ranges of the hash, and learn how many of
    theirs occur elsewhere. Wrong prints only let through too many. Nothing else goes on.
 2. *Order.* Shingles are ordered by the length of their list, as far as it is long, then by hash. Any
    order is right; this one keeps long lists out of the merge.
-3. *Merge.* Of x shingles in that order, the first x - T + 1 go into the merge: a partner shares one.
-   Copies and large classes make lists long where all sets belong together, so a list is not paired
-   off at once: its first sets are compared with all others, and it is done when all its sets are in
-   one component. The number of such first sets grows fourfold each round until no list is left.
-4. *Probe.* The overlap of a pair is counted by binary search in sorted shingle arrays.
+3. *Merge.* Of x shingles in that order, the first x - T + 1 are merged: partners share one of them.
+   All sets of a list meet under the name of its lowest set. Lists of near copies have the same
+   lowest set, so a set goes to few places, and no pairs are formed before they meet.
+4. *Probe.* A meeting is split into blocks of bounded size, and each two blocks are compared in one
+   task: short lists count their pairs, long ones are probed for all sets at once, as columns of
+   0 and 1 whose product counts what two sets share. Only a spanning forest of the links goes on.
 
 Shingles are 64-bit hashes. Documents with equal texts, and texts with equal sets, are one node.
 """
@@ -28,20 +29,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperlane.llm.components import components
 from paperlane.llm.hashing import BASE, WordHasher, lowered, mix
 from paperlane.llm.sizes import broadcast_if_small
-from paperlane.llm.tasks import columns_besides, rows_per_batch
+from paperlane.llm.tasks import columns_besides
 from paperlane.session import materialize
 
 SHINGLE, PERCENT = 5, 75
-TEXT_PER_RANGE = 48 << 20  # bytes of text whose prints one task of the filter compares
+TEXT_PER_RANGE, LEAST_RANGES = 48 << 20, 16  # bytes of text whose prints one task of the filter compares
 SLICE_BYTES = 1 << 24
-PROBED_ROWS = 256  # pairs of shingle arrays in one batch
 LONG_LIST, LONG_LISTS = 32, 100_000  # lists at least so long, and so many of them, are put last
+BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 18  # of a meeting, in one block
+SHORT, COLUMNS = 16, 1024  # lists whose pairs are counted one by one; long lists probed at once
 
 
 def shingle_sets(texts: list[bytes], hasher: WordHasher, words: int = SHINGLE) -> list[np.ndarray]:
@@ -81,97 +84,95 @@ def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[tuple[lis
 
 
 def announce(ranges: int, words: int, percent: int):
-    """Per group of texts and range: prints that one text has, the texts they belong to, prints that
-    several texts have, and facts about the texts whose key falls into the range."""
+    """Per slice of texts and range: prints that one of its texts has, the texts they belong to, and
+    prints that several have. One of the rows tells of the texts themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
+        hasher, number = WordHasher(), TaskContext.get().partitionId() << 32
         for batch in batches:
             for keys, texts in slices(batch):
                 sets = shingle_sets(texts, hasher, words)
-                some = [least_overlap(n, percent) for n in map(len, sets)]
-                # with the first n - T + l shingles by hash, a partner shares l of them
-                first = [s[: len(s) - t + -(-len(s) // 4)] for s, t in zip(sets, some, strict=True)]
+                # of the first n - T + l shingles by hash, partners share l; here l = n / 4
+                first = [s[: len(s) - least_overlap(len(s), percent) + quarter(len(s))] for s in sets]
                 owner = np.repeat(np.arange(len(first), dtype=np.uint32), [len(x) for x in first])
-                every = np.concatenate(first) if first else np.zeros(0, np.uint64)
+                every = np.concatenate(first)
                 order = np.argsort(every, kind="stable")
                 every, owner = every[order], owner[order]
                 new = np.ones(len(every), dtype=bool)
                 new[1:] = every[1:] != every[:-1]
                 starts = np.flatnonzero(new)
-                alone = np.diff(np.append(starts, len(every))) == 1
-                shared = np.bincount(owner[~np.repeat(alone, np.diff(np.append(starts, len(every))))], minlength=len(keys))
+                counts = np.diff(np.append(starts, len(every)))
+                alone = counts == 1
+                shared = np.bincount(owner[~np.repeat(alone, counts)], minlength=len(keys))
+                facts = b"".join(k + np.array([len(s), n], dtype=np.int32).tobytes() for k, s, n in zip(keys, sets, shared, strict=True))
                 prints, owner = every[starts], owner[starts]
                 place = (prints & np.uint64(0xFFFFF)) % np.uint64(ranges)
                 order = np.lexsort((~alone, place))
                 prints = (prints[order] >> np.uint64(20)).astype(np.uint32)
                 place, alone, owner = place[order], alone[order], owner[order]
                 cuts = np.searchsorted(place, np.arange(ranges + 1))
-                number = np.array([int.from_bytes(k[:8], "little", signed=True) for k in keys], dtype=np.int64)
-                facts: dict[int, list] = {}
-                for k, key in enumerate(keys):
-                    facts.setdefault(int(number[k]) % ranges, []).append((key, len(sets[k]), int(shared[k])))
-                rows: list[list] = [[], [], [], [], [], []]
+                rows: list[list] = [[] for _ in range(6)]
+                telling = (number * 0x9E3779B1 >> 7) % ranges
                 for r in range(ranges):
                     a, b = cuts[r], cuts[r + 1]
                     m = a + int(alone[a:b].sum())
-                    if a == b and r not in facts:
+                    if a == b and r != telling:
                         continue
-                    texts_here, local = np.unique(owner[a:m], return_inverse=True)
-                    told = facts.get(r, [])
+                    narrow = np.uint16 if len(keys) < 1 << 16 else np.uint32
                     for column, value in zip(rows, (
-                        r, prints[a:m].tobytes(), local.astype(np.uint16 if len(texts_here) < 1 << 16 else np.uint32).tobytes(),
-                        number[texts_here].tobytes(), prints[m:b].tobytes(),
-                        b"".join(key + np.array([n, s], dtype=np.int32).tobytes() for key, n, s in told),
+                        number, r, prints[a:m].tobytes(), owner[a:m].astype(narrow).tobytes(), prints[m:b].tobytes(),
+                        facts if r == telling else b"",
                     ), strict=True):
                         column.append(value)
+                number += 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[0], pa.int32()), *(pa.array(c, pa.binary()) for c in rows[1:])],
-                    names=["range", "alone", "owner", "texts", "several", "facts"],
+                    [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()), *(pa.array(c, pa.binary()) for c in rows[2:])],
+                    names=["slice", "range", "alone", "owner", "several", "facts"],
                 )
 
     return run
 
 
+def quarter(n: int) -> int:
+    return -(-n // 4)
+
+
 def answer(group: pd.DataFrame) -> pd.DataFrame:
-    """How many of the prints announced by each text occur in other announcements; and the facts."""
+    """Per slice, how many of the prints of each of its texts other slices or several texts announce."""
     alone = [np.frombuffer(x, dtype=np.uint32) for x in group["alone"]]
     several = [np.frombuffer(x, dtype=np.uint32) for x in group["several"]]
     values, counts = np.unique(np.concatenate([*alone, *several]), return_counts=True)
-    common = values[counts > 1]
-    numbers, shared, keys, sizes = [], [], [], []
-    for prints, owner, texts, facts in zip(alone, group["owner"], group["texts"], group["facts"], strict=True):
-        texts = np.frombuffer(texts, dtype=np.int64)
-        if len(prints):
-            owner = np.frombuffer(owner, dtype=np.uint16 if len(owner) == 2 * len(prints) else np.uint32)
-            found = np.searchsorted(common, prints)
-            found = (found < len(common)) & (common[np.minimum(found, max(len(common) - 1, 0))] == prints) if len(common) else np.zeros(len(prints), bool)
-            n = np.bincount(owner[found], minlength=len(texts))
-            some = np.flatnonzero(n)
-            numbers += texts[some].tolist()
-            shared += n[some].tolist()
-            keys += [None] * len(some)
-            sizes += [0] * len(some)
-        for at in range(0, len(facts), 24):
-            n, own = np.frombuffer(facts[at + 16 : at + 24], dtype=np.int32).tolist()
-            numbers.append(int.from_bytes(facts[at : at + 8], "little", signed=True))
-            shared.append(own)
-            keys.append(facts[at : at + 16])
-            sizes.append(n)
-    return pd.DataFrame({"number": pd.Series(numbers, dtype="int64"), "shared": pd.Series(shared, dtype="int64"), "key": pd.Series(keys, dtype=object), "n": pd.Series(sizes, dtype="int64")})
+    common = np.append(values[counts > 1], np.uint32(0))
+    texts, found = [], []
+    for prints, owner in zip(alone, group["owner"], strict=True):
+        owner = np.frombuffer(owner, dtype=np.uint16 if len(owner) == 2 * len(prints) else np.uint32)
+        at = np.searchsorted(common[:-1], prints)
+        n = np.bincount(owner[(at < len(common) - 1) & (common[at] == prints)])
+        some = np.flatnonzero(n)
+        texts.append(some.astype(np.uint32).tobytes())
+        found.append(n[some].astype(np.uint32).tobytes())
+    return pd.DataFrame({"slice": group["slice"].to_numpy(), "texts": texts, "found": found, "facts": group["facts"].to_numpy()})
+
+
+def settle(group: pd.DataFrame) -> pd.DataFrame:
+    """Texts of a slice: key, size of the set, and whether enough of it occurs in other texts."""
+    facts = np.frombuffer(b"".join(group["facts"]), dtype=np.dtype([("key", "V16"), ("n", "<i4"), ("shared", "<i4")]))
+    shared = facts["shared"].astype(np.int64)
+    for texts, found in zip(group["texts"], group["found"], strict=True):
+        shared[np.frombuffer(texts, dtype=np.uint32)] += np.frombuffer(found, dtype=np.uint32)
+    n = facts["n"].astype(np.int64)
+    return pd.DataFrame({"key": [k.tobytes() for k in facts["key"]], "n": n, "open": (n > 0) & (shared >= -(-n // 4))})
 
 
 def occurrence_filter(texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Size of the set of each distinct text, and whether it may have a partner."""
-    spark = texts.sparkSession
     volume = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = min(1 << 20, max(int(spark.conf.get("spark.sql.shuffle.partitions")), volume // TEXT_PER_RANGE))
-    kinds = "range int, alone binary, owner binary, texts binary, several binary, facts binary"
+    ranges = min(1 << 20, max(LEAST_RANGES, volume // TEXT_PER_RANGE))
+    kinds = "slice bigint, range int, alone binary, owner binary, several binary, facts binary"
     told = texts.mapInArrow(announce(ranges, words, percent), kinds)
-    answers = told.groupBy("range").applyInPandas(answer, "number bigint, shared bigint, key binary, n bigint")
-    # a number may stand for several texts, which then count each other's prints: never too few
-    sums = answers.groupBy("number").agg(F.sum("shared").alias("shared"), F.collect_set(F.when(F.col("key").isNotNull(), F.struct("key", "n"))).alias("texts"))
-    return sums.select(F.explode("texts").alias("t"), "shared").select("t.key", "t.n", ((F.col("n") > 0) & (F.col("shared") >= F.ceil(F.col("n") / 4))).alias("open"))
+    answers = told.groupBy("range").applyInPandas(answer, "slice bigint, texts binary, found binary, facts binary")
+    settled = answers.groupBy("slice").applyInPandas(settle, "key binary, n bigint, open boolean")
+    return settled.groupBy("key").agg(F.max("n").alias("n"), F.bool_or("open").alias("open"))
 
 
 def sets_of(texts: DataFrame, words: int) -> DataFrame:
@@ -211,59 +212,103 @@ def merged_lists(sets: DataFrame, percent: int) -> DataFrame:
     return sets.select("node", "shingles").mapInArrow(run, "shingle bigint, node bigint, n int")
 
 
-def probe(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Roots of the pairs of nodes ``a``, ``b`` whose overlap, counted by binary search, is large enough."""
+def meetings(lists: DataFrame) -> DataFrame:
+    """Distinct (head, node, n): sets that share a list meet under the lowest node of the list."""
+    lists = materialize(lists, "lists")
+    heads = lists.groupBy("shingle").agg(F.min("node").alias("head"), F.count("*").alias("length")).filter("length > 1")
+    met = lists.join(materialize(heads.select("shingle", "head"), "heads"), "shingle")
+    return materialize(met.select("head", "node", "n").distinct(), "meetings")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column(2), batch.column(3)
-            good = np.zeros(batch.num_rows, dtype=bool)
-            for i in range(batch.num_rows):
-                # sorted as numbers without a sign
-                x, y = (c[i].values.to_numpy().view(np.uint64) for c in (left, right))
-                if len(x) > len(y):
-                    x, y = y, x
-                overlap = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                good[i] = 100 * overlap >= percent * (len(x) + len(y) - overlap)
-            kept = batch.filter(pa.array(good))
-            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
-
-    one = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
-    both = one.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
-    return both.select("root_a", "root_b", "left", "right").mapInArrow(run, "a bigint, b bigint").distinct()
-
-
-def classes(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``node`` and ``root`` (a node of the same component) for every set."""
-    rooted = sets.select("node", F.col("node").alias("root"))
-    lists = materialize(lists.withColumn("root", F.col("node")), "lists")
-    heads = 1
-    while True:
-        # a list is open as long as its sets are in several components
-        open_lists = lists.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-        lists = materialize(lists.join(materialize(open_lists.select("shingle"), "open"), "shingle"), "lists")
-        if not lists.limit(1).count():
-            return rooted
-        order = Window.partitionBy("shingle").orderBy(F.xxhash64("node"), "node")
-        first = lists.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= heads)
-        first = materialize(first.select("shingle", F.col("node").alias("head"), F.col("n").alias("head_n"), F.col("root").alias("head_root")), "heads")
-        near = (F.col("root") != F.col("head_root")) & (100 * F.least("n", "head_n") >= percent * F.greatest("n", "head_n"))
-        met = lists.join(first, "shingle").filter(near)
-        swap = F.col("node") < F.col("head")
-        pairs = met.select(
-            F.greatest("node", "head").alias("a"), F.least("node", "head").alias("b"),
-            F.when(swap, F.col("head_root")).otherwise(F.col("root")).alias("root_a"),
-            F.when(swap, F.col("root")).otherwise(F.col("head_root")).alias("root_b"),
-        ).distinct()
-        pairs = materialize(pairs, "pairs")
-        with rows_per_batch(sets.sparkSession, PROBED_ROWS):
-            links = materialize(probe(pairs, sets, percent), "links")
-        joined = components(links).select(F.col("node").alias("root"), F.col("root").alias("new"))
-        moved = F.coalesce("new", "root").alias("root")
-        rooted = materialize(rooted.join(joined, "root", "left").select("node", moved), "rooted")
-        rest = lists.join(first.select("shingle", F.col("head").alias("node")), ["shingle", "node"], "left_anti")
-        lists = materialize(rest.join(joined, "root", "left").select("shingle", "node", "n", moved), "lists")
-        heads *= 4
+
+def block_pairs(met: DataFrame) -> DataFrame:
+    """Each set once for every pair of blocks it belongs to: head, first and second block, side."""
+    sizes = met.groupBy("head").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
+    blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    sizes = materialize(sizes.filter("sets > 1").select("head", blocks.alias("blocks")), "sizes")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")
+    placed = met.join(sizes, "head").select("head", "node", own, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return placed.select(
+        "head", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node", (F.col("own") > F.col("other")).alias("second")
+    )
+
+
+def shared_counts(values: np.ndarray, left: np.ndarray, right: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """Overlaps of all sets of one side with all of the other.
+
+    ``values`` are the shingles of both, ``left`` and ``right`` the number of the set on each side, -1
+    where it is not on that side.
+    """
+    overlap = np.zeros(shape, dtype=np.float32)
+    order = np.argsort(values, kind="stable")
+    values, left, right = values[order], left[order], right[order]
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = values[1:] != values[:-1]
+    starts = np.flatnonzero(new)
+    length = np.diff(np.append(starts, len(values)))
+    # short lists: each pair of their sets counts one
+    for n in range(1 if (left[right >= 0] >= 0).any() else 2, SHORT + 1):
+        at = starts[length == n][:, None] + np.arange(n)
+        if len(at):
+            a, b = np.broadcast_arrays(left[at][:, :, None], right[at][:, None, :])
+            both = (a >= 0) & (b >= 0)
+            np.add.at(overlap, (a[both], b[both]), 1)
+    # long lists: columns of 0 and 1
+    long = np.flatnonzero(length > SHORT)
+    for some in (long[k : k + COLUMNS] for k in range(0, len(long), COLUMNS)):
+        place = np.concatenate([np.arange(starts[i], starts[i] + length[i]) for i in some])
+        column = np.repeat(np.arange(len(some)), length[some])
+        x, y = np.zeros((shape[0], len(some)), dtype=np.float32), np.zeros((shape[1], len(some)), dtype=np.float32)
+        on = left[place] >= 0
+        x[left[place][on], column[on]] = 1
+        on = right[place] >= 0
+        y[right[place][on], column[on]] = 1
+        overlap += x @ y.T
+    return overlap
+
+
+def forest(links: np.ndarray) -> np.ndarray:
+    """Root of each node of a symmetric table of links."""
+    root = np.full(len(links), -1)
+    for i in range(len(links)):
+        if root[i] < 0:
+            front = np.zeros(len(links), dtype=bool)
+            front[i] = True
+            while front.any():
+                root[front] = i
+                front = links[front].any(axis=0) & (root < 0)
+    return root
+
+
+def compare(percent: int):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        """Spanning forest of the links between two blocks, or within one."""
+        nodes = group["node"].to_numpy(dtype=np.int64)
+        sets = group["shingles"].tolist()
+        sizes = np.array([len(s) for s in sets])
+        second = group["second"].to_numpy(dtype=bool)
+        within = int(group["low"].iloc[0]) == int(group["high"].iloc[0])
+        one, two = (np.arange(len(sets)),) * 2 if within else (np.flatnonzero(~second), np.flatnonzero(second))
+        left, right = np.full(len(sets), -1), np.full(len(sets), -1)
+        left[one], right[two] = np.arange(len(one)), np.arange(len(two))
+        values = np.concatenate(sets)
+        overlap = shared_counts(values, np.repeat(left, sizes), np.repeat(right, sizes), (len(one), len(two)))
+        linked = 100 * overlap >= percent * (sizes[one][:, None] + sizes[two][None, :] - overlap)
+        links = np.zeros((len(sets), len(sets)), dtype=bool)
+        links[np.ix_(one, two)] = linked
+        links |= links.T
+        root = forest(links)
+        child = np.flatnonzero(root != np.arange(len(root)))
+        return pd.DataFrame({"a": nodes[child], "b": nodes[root[child]]})
+
+    return run
+
+
+def classes(sets: DataFrame, percent: int) -> DataFrame:
+    """``node`` and ``root`` (the lowest node of its component) for every set."""
+    pairs = block_pairs(meetings(merged_lists(sets, percent)))
+    compared = pairs.join(sets.select("node", "shingles"), "node").groupBy("head", "low", "high")
+    joined = components(compared.applyInPandas(compare(percent), "a bigint, b bigint"))
+    return sets.select("node").join(joined, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
 def near_duplicate_classes(
@@ -284,8 +329,8 @@ def near_duplicate_classes(
     texts = docs.filter(F.col(text).isNotNull()).select(key.alias("key"), F.col(text).alias("text"))
 
     facts = materialize(occurrence_filter(texts, words, percent), "facts")
-    hopeful = materialize(facts.filter("open").select("key"), "hopeful")
-    stored = materialize(sets_of(texts.join(broadcast_if_small(hopeful), "key"), words), "sets")
+    hopeful = broadcast_if_small(facts.filter("open").select("key"))
+    stored = materialize(sets_of(texts.join(hopeful, "key"), words), "sets")
     # eight of the sixteen bytes name a set, if that is unambiguous
     sizes = stored.agg(F.count_distinct("digest").alias("n"), *(F.count_distinct(F.substring("digest", at, 8)).alias(f"at_{at}") for at in (1, 9))).first()
     at = next((x for x in (1, 9) if sizes[f"at_{x}"] == sizes["n"]), None)
@@ -294,7 +339,7 @@ def near_duplicate_classes(
     node = F.conv(F.hex(F.substring("digest", at, 8)), 16, -10).cast("bigint")
     stored = stored.withColumn("node", node)
     sets = materialize(stored.select("node", "shingles").dropDuplicates(["node"]), "nodes")
-    rooted = classes(merged_lists(sets, percent), sets, percent)
+    rooted = classes(sets, percent)
 
     low = materialize(docs.select(key.alias("key"), F.col(doc_id).alias("id")).groupBy("key").agg(F.min("id").alias("low")), "low")
     members = stored.select("key", "node").distinct().join(rooted, "node").join(low, "key").select("key", "root", "low")
