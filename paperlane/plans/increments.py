@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from paperlane.functions.ids import text_hash
 from paperlane.functions.parse import text_to_blocks
@@ -15,14 +16,20 @@ from paperlane.sources.tables import append_rows
 from paperlane.streaming import incremental as op
 
 
+def stream_source(t: Tables, name: str) -> tuple[str, StructType]:
+    """Path and schema of a table, whether it is one file or a folder."""
+    return f"{t.folder}/{name}.parquet", t(name).schema
+
+
 # An hour is closed once the watermark, one hour behind the newest event, has passed its end.
-@query("""SELECT date_trunc('hour', ts) AS hour, count(*) AS n_messages FROM events
-    WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY 1""")
+@query("""SELECT date_trunc('hour', ts) AS hour, count(*) AS n_messages,
+    date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR AS closed
+    FROM events GROUP BY 1""")
 def stream_hourly(t: Tables) -> DataFrame:
     path, checkpoint = new_work_path(t.spark, "hourly"), new_work_path(t.spark, "hourly-state")
-    stream = op.read_stream(t.spark, t.folder, t("events").schema, "events*.parquet")
+    stream = op.read_stream(t.spark, *stream_source(t, "events"))
     op.run_hourly_counts(stream, "event_id", "ts", path, checkpoint, delay="1 hour")
-    return t.spark.read.parquet(path).select(F.col("hour").cast("timestamp_ntz").alias("hour"), "n_messages")
+    return op.read_hourly_counts(t.spark, path, delay="1 hour")
 
 
 @query("""SELECT doc_id, sha256(text) AS job_id, CAST(len(list_filter(string_split(text, chr(10)),
@@ -50,7 +57,7 @@ def stream_append(t: Tables) -> DataFrame:
 
     # the second run finds no new file and adds nothing
     for _ in range(2):
-        stream = op.read_stream(t.spark, t.folder, t("pages").schema, "pages*.parquet")
+        stream = op.read_stream(t.spark, *stream_source(t, "pages"))
         op.stream_append(stream, enrich, path, checkpoint)
     return t.spark.read.parquet(path)
 

@@ -68,4 +68,5 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     path = new_work_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # the schema is known, so no job has to look into the files
+    return df.sparkSession.read.schema(df.schema).parquet(path)

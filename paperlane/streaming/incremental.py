@@ -8,8 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paperlane.operators.joins import drop_known
 
@@ -20,9 +21,11 @@ def resume_append(
 ) -> DataFrame:
     """Enrich the rows whose key the output does not hold yet, append them, return the output.
 
-    A run that was cut off is simply started again: the next run sees the keys that made it.
+    A run that was cut off is simply started again: the next run sees the keys that made it. Rows
+    without a key could never be told from those already there; they are set aside.
     """
     done = _existing(spark, path)
+    source = source.filter(F.col(key).isNotNull())
     pending = source if done is None else drop_known(source, done, [key])
     enrich(pending).write.mode("append").parquet(path)
     return spark.read.parquet(path)
@@ -52,33 +55,67 @@ def stream_append(
     query.awaitTermination()
 
 
-def read_stream(spark: SparkSession, folder: str, schema, pattern: str | None = None, **options) -> DataFrame:
-    """Stream of the parquet files in a folder, optionally those whose name fits a pattern."""
-    reader = spark.readStream.schema(schema).options(**options)
-    if pattern is not None:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.parquet(folder)
+def read_stream(spark: SparkSession, path: str, schema, **options) -> DataFrame:
+    """Stream of the parquet files of a table, which is a folder of files or one file.
+
+    A plain path would have to be a folder, so its last letter becomes a pattern.
+    """
+    path = path.rstrip("/")
+    return spark.readStream.schema(schema).options(**options).parquet(f"{path[:-1]}[{path[-1]}]")
+
+
+def utc_instant(time: Column) -> Column:
+    """A time without a zone, taken as UTC, as a point in time, whatever the zone of the session."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), time.cast("timestamp_ntz")).cast("timestamp")
+
+
+def utc_clock(instant: Column) -> Column:
+    """A point in time as a UTC time without a zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
 def unique_messages(stream: DataFrame, message_id: str, time: str, delay: str) -> DataFrame:
     """Messages whose id was not seen within the delay. Times without a zone are taken as UTC."""
-    stamped = stream.withColumn(time, F.col(time).cast("timestamp"))
+    stamped = stream
+    if isinstance(stream.schema[time].dataType, T.TimestampNTZType):
+        stamped = stream.withColumn(time, utc_instant(F.col(time)))
     return stamped.withWatermark(time, delay).dropDuplicatesWithinWatermark([message_id])
 
 
 def hourly_counts(messages: DataFrame, time: str) -> DataFrame:
-    """Messages per hour."""
-    counted = messages.groupBy(F.window(time, "1 hour")).agg(F.count("*").alias("n_messages"))
-    return counted.select(F.col("window.start").alias("hour"), "n_messages")
+    """Messages per hour (UTC, without a zone), with the time of the newest one."""
+    counted = messages.groupBy(F.window(time, "1 hour")).agg(F.count("*").alias("n_messages"), F.max(time).alias("newest"))
+    return counted.select(
+        utc_clock(F.col("window.start")).alias("hour"), "n_messages", utc_clock(F.col("newest")).alias("newest")
+    )
 
 
 def run_hourly_counts(
     stream: DataFrame, message_id: str, time: str, path: str, checkpoint: str, delay: str = "1 day"
-) -> None:
-    """Count the messages of all new files per hour of arrival and append closed hours to a table."""
+) -> int:
+    """Count the messages of all new files per hour of arrival; open hours are counted as well.
+
+    Every batch writes the hours it has changed into its own folder, which it replaces if it has to
+    run again. Returns the number of rows that came after the delay and were left out.
+    """
     counts = hourly_counts(unique_messages(stream, message_id, time, delay), time)
+
+    def write(hours: DataFrame, batch: int) -> None:
+        hours.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
     query = (
-        counts.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
+        counts.writeStream.outputMode("update").foreachBatch(write)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    states = [s for progress in query.recentProgress for s in progress["stateOperators"]]
+    return sum(s["numRowsDroppedByWatermark"] for s in states)
+
+
+def read_hourly_counts(spark: SparkSession, path: str, delay: str = "1 day") -> DataFrame:
+    """Latest count of every hour, and whether it is closed: no message within the delay can change it."""
+    hours = spark.read.parquet(path)
+    latest = hours.groupBy("hour").agg(F.max_by("n_messages", "batch").alias("n_messages"))
+    newest = hours.agg(F.max("newest")).scalar()
+    end = F.col("hour") + F.expr("INTERVAL 1 HOUR")
+    return latest.select("hour", "n_messages", (end <= newest - F.expr(f"INTERVAL {delay}")).alias("closed"))
