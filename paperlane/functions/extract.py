@@ -1,6 +1,7 @@
 """Case ids, dates and names found in a text.
 
-The patterns are this package's own specification.
+The patterns are this package's own specification, but for the cue words, month names and salutations,
+which are fixed values.
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ MONTHS = (
     "juli", "august", "september", "oktober", "november", "dezember",
 )
 CUES = ("gegen", r"\./\.")
-SALUTATIONS = r"\b(herrn?|frau|fräulein)\b"
+SALUTATION_WORDS = ("herr", "herrn", "frau", "fräulein")
+
+SALUTATIONS = rf"\b({'|'.join(SALUTATION_WORDS)})\b"
 
 MONTH_NAMES = "|".join(MONTHS).replace("ä", "[äÄ]")
 DATE_PATTERN = (
@@ -78,8 +81,13 @@ def date_matches(text: Column, valid_only: bool = True) -> Column:
 
 def date_contexts(text: Column, spans: Column, window: int = 40) -> Column:
     """The text around the first match of each distinct date, clipped at both ends."""
+
+    def firsts(both: Column) -> Column:
+        place = F.map_from_arrays(both["distinct"], F.transform(both["distinct"], lambda t: F.array_position(both["texts"], t)))
+        return F.transform(F.map_values(place), lambda i: F.get(spans, (i - 1).cast("int")))
+
     texts = F.transform(spans, lambda span: span["text"])
-    first = F.filter(spans, lambda span, i: F.array_position(texts, span["text"]) == i + 1)
+    first = evaluate_once(F.struct(texts.alias("texts"), F.array_distinct(texts).alias("distinct")), firsts)
 
     def context(span: Column) -> Column:
         start = F.greatest(span["start"] - window, F.lit(0))
@@ -103,39 +111,34 @@ def name_context(text: Column, window: int = 15) -> Column:
     return F.nullif(F.regexp_replace(context, f"^[{BLANKS}]+", ""), F.lit(""))
 
 
-def _first_last(block: Column) -> Column:
-    parts = F.split(block, ",")
-    swapped = F.concat_ws(" ", F.trim(F.get(parts, F.lit(1))), F.trim(F.get(parts, F.lit(0))))
-    return F.when(block.contains(","), swapped).otherwise(block)
-
-
 def pick_name(context: Column) -> Column:
-    """The first line of a context, or the second if the first is empty; ``Last, First`` is turned.
+    """The line of a context that holds the name: of its first two, the first with two letters or more.
 
-    A context of one line would need an entity model and gives NULL.
+    A context of one line gives NULL, as nothing tells where its name ends. What follows the first
+    comma of the line is a first name and moves to the front.
     """
+    lines = F.split(context, "\n")
+    two = F.when(F.size(lines) > 1, F.transform(F.slice(lines, 1, 2), lambda line: F.trim(line)))
+    line = F.get(F.filter(two, lambda line: F.length(line) > 1), F.lit(0))
 
-    def pick(lines: Column) -> Column:
-        first = F.trim(F.get(lines, F.lit(0)))
-        second = F.trim(F.get(lines, F.lit(1)))
-        return (
-            F.when(F.size(lines) < 2, None)
-            .when(F.length(first) > 1, _first_last(first))
-            .when(F.length(second) > 1, _first_last(second))
-        )
+    def turned(line: Column) -> Column:
+        comma = F.instr(line, ",")
+        last, first = F.substring_index(line, ",", 1), F.get(F.split(line, ",", 3), F.lit(1))
+        return F.when(comma > 0, F.concat_ws(" ", F.trim(first), F.trim(last))).otherwise(line)
 
-    return evaluate_once(F.split(context, "\n"), pick)
+    return evaluate_once(line, turned)
 
 
 def clean_name(name: Column) -> Column:
-    """Name without salutation, ``c/o``, digits and punctuation, words capitalised."""
-    cleaned = F.regexp_replace(F.lower(name), f"(?U){SALUTATIONS}", "")
-    cleaned = F.replace(cleaned, F.lit("c/o"), F.lit(""))
-    cleaned = F.regexp_replace(cleaned, f"[^a-zA-ZÀ-ÿß{BLANKS}\n-]", "")
-    cleaned = F.regexp_replace(cleaned, f"^{ANY_BLANK}+", "")
-    cleaned = F.regexp_replace(cleaned, r"(?s)\n.*", "")
-    cleaned = F.trim(F.regexp_replace(cleaned, f"{ANY_BLANK}+", " "))
-    return F.nullif(F.initcap(cleaned), F.lit(""))
+    """The words of a name: letters and hyphens, the first letter upper case, the others lower case.
+
+    Words are what blanks part. ``c/o``, salutations and words without a letter or hyphen are left out;
+    NULL when no word is left.
+    """
+    words = F.filter(F.split(F.lower(name), f"{ANY_BLANK}+"), lambda word: word != "c/o")
+    letters = F.transform(words, lambda word: F.regexp_replace(word, r"[^\p{L}-]+", ""))
+    kept = F.filter(letters, lambda word: (word != "") & ~word.isin(*SALUTATION_WORDS))
+    return F.nullif(F.initcap(F.array_join(kept, " ")), F.lit(""))
 
 
 def has_salutation(text: Column) -> Column:
@@ -145,13 +148,16 @@ def has_salutation(text: Column) -> Column:
 
 def main_punctuation(context: Column) -> Column:
     """The most frequent punctuation sign; the one seen first wins a tie."""
-    signs = F.regexp_extract_all(context, F.lit(r"(\p{P})"), F.lit(1))
-    counted = F.transform(
-        F.array_distinct(signs),
-        lambda sign: F.struct(
-            F.size(F.filter(signs, lambda other: other == sign)).alias("n"),
-            (-F.array_position(signs, sign)).alias("earliest"),
-            sign.alias("sign"),
-        ),
-    )
-    return F.array_max(counted)["sign"]
+
+    def most(signs: Column) -> Column:
+        counted = F.transform(
+            F.array_distinct(signs),
+            lambda sign: F.struct(
+                F.size(F.filter(signs, lambda other: other == sign)).alias("n"),
+                (-F.array_position(signs, sign)).alias("earliest"),
+                sign.alias("sign"),
+            ),
+        )
+        return F.array_max(counted)["sign"]
+
+    return evaluate_once(F.regexp_extract_all(context, F.lit(r"(\p{P})"), F.lit(1)), most)

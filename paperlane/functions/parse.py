@@ -8,9 +8,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from paperlane.functions.binding import evaluate_once
+
 BLOCK_TYPE = "array<struct<BlockType:string,Text:string,Id:string,Confidence:double>>"
 LINE_CONFIDENCE = 99.0
 
+# How a Python literal becomes JSON, in the order of replacement.
+JSON_WORDS = ((" ", ""), ("\n", ""), ("True", "true"), ("False", "false"), ("None", "null"), ("'", '"'))
+
 
 def quoted_true(value: Column) -> Column:
     """Exactly the word True in single quotes."""
@@ -22,16 +27,21 @@ def mentions_true(value: Column) -> Column:
     return value.contains("True")
 
 
+# A whole or decimal number with an exponent if need be; Spark alone would also read 0.95d and 1f.
+NUMBER_PATTERN = r"^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)? *$"
+
+
 def quoted_double(value: Column) -> Column:
-    """Number stored with quotes around it; NULL when it is no number or NaN."""
-    number = F.replace(value, F.lit("'"), F.lit("")).try_cast("double")
-    return F.nanvl(number, F.lit(None).cast("double"))
+    """Number stored with quotes around it; NULL when it is no plain number."""
+
+    def read(text: Column) -> Column:
+        return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+
+    return evaluate_once(F.replace(value, F.lit("'"), F.lit("")), read)
 
 
 def _as_json(answer: Column) -> Column:
-    for old, new in (
-        (" ", ""), ("\n", ""), ("True", "true"), ("False", "false"), ("None", "null"), ("'", '"'),
-    ):
+    for old, new in JSON_WORDS:
         answer = F.replace(answer, F.lit(old), F.lit(new))
     return answer
 

@@ -12,6 +12,8 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from paperlane.functions.binding import evaluate_once
+
 # Every Unicode blank but the line feed.
 BLANKS = "\t\x0b\x0c\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -27,6 +29,16 @@ TAG_PATTERNS = (
 )
 TAGS = tuple(tag for tag, _ in TAG_PATTERNS)
 
+# The same matches in time that grows with the text alone: a run that is part of no match is tried
+# only from its first character (or right after a match), and numbers are never given back.
+_NUMBER = "[0-9]++(?:[.,][0-9]++)*+"
+LINEAR_PATTERNS = {
+    "<EMAIL>": r"(?:\G|(?<![A-Za-z0-9._%+-]))" + dict(TAG_PATTERNS)["<EMAIL>"],
+    "<LEGAL_ARTICLE>": dict(TAG_PATTERNS)["<LEGAL_ARTICLE>"].replace("§+", r"(?:\G|(?<!§))§++"),
+    "<CUR>": rf"(?i)(?:[€$£] ?{_NUMBER}|(?:\G|(?<![0-9])(?<![0-9][.,])){_NUMBER} ?(?:[€$£]|eur|usd))",
+    "<NUMBER>": _NUMBER,
+}
+
 TOKEN_GAP = r"[^\p{L}\p{N}<>_]+"
 MAX_TOKEN_LENGTH = 45
 
@@ -46,7 +58,7 @@ def clean_text(
     """
     text = F.coalesce(text, F.lit(""))
     if strip_html:
-        text = F.regexp_replace(text, "<[^>]*>", "")
+        text = without_tags(text)
     if normalize_whitespace:
         text = F.regexp_replace(text, f"[{BLANKS}]+", " ")
         text = F.regexp_replace(text, "(?md)^ | $", "")
@@ -58,10 +70,27 @@ def clean_text(
     return text
 
 
+def without_tags(text: Column) -> Column:
+    """Text without ``<...>``, from a ``<`` to the next ``>``.
+
+    Every piece between two ``>`` loses what follows its first ``<``, which reads the text once; a
+    pattern would read on to the end of the text from every ``<`` that nothing closes.
+    """
+
+    def strip(pieces: Column) -> Column:
+        def kept(piece: Column, i: Column) -> Column:
+            closed = F.when(piece.contains("<"), F.substring_index(piece, "<", 1)).otherwise(F.concat(piece, F.lit(">")))
+            return F.when(i < F.size(pieces) - 1, closed).otherwise(piece)
+
+        return F.array_join(F.transform(pieces, kept), "")
+
+    return evaluate_once(F.split(text, ">", -1), strip)
+
+
 def replace_with_tags(text: Column) -> Column:
     """Put a tag in the place of each address, reference, amount, phone number and number."""
     for tag, pattern in TAG_PATTERNS:
-        text = F.regexp_replace(text, pattern, tag)
+        text = F.regexp_replace(text, LINEAR_PATTERNS.get(tag, pattern), tag)
     return text
 
 
@@ -115,19 +144,18 @@ def mark_tokens(
 
 def mark_spans(text: Column, spans: Column, opening: str = "[[", closing: str = "]]") -> Column:
     """Put marks around spans ``(text, start, end)`` that are in order and do not overlap."""
-    zero = F.struct(F.lit(0).alias("done"), F.lit("").alias("out"))
 
-    def step(state: Column, span: Column) -> Column:
-        before = F.substring(text, state["done"] + 1, span["start"] - state["done"])
-        out = F.concat(state["out"], before, F.lit(opening), span["text"], F.lit(closing))
-        return F.struct(span["end"].alias("done"), out.alias("out"))
+    def marked(spans: Column) -> Column:
+        def piece(span: Column, i: Column) -> Column:
+            done = F.when(i == 0, 0).otherwise(F.get(spans, i - 1)["end"])
+            before = F.substring(text, done + 1, span["start"] - done)
+            return F.concat(before, F.lit(opening), span["text"], F.lit(closing))
 
-    def finish(state: Column) -> Column:
-        rest = F.substring(text, state["done"] + 1, F.length(text))
-        return F.concat(state["out"], rest)
+        done = F.coalesce(F.try_element_at(spans, F.lit(-1))["end"], F.lit(0))
+        return F.concat(F.array_join(F.transform(spans, piece), ""), F.substring(text, done + 1, F.length(text)))
 
     empty = F.array().cast("array<struct<text:string,start:int,end:int>>")
-    return F.aggregate(F.coalesce(spans, empty), zero, step, finish)
+    return evaluate_once(F.coalesce(spans, empty), marked)
 
 
 def show_line_breaks(text: Column, mark: str = "<LINE_BREAK>") -> Column:

@@ -9,6 +9,7 @@ from paperlane.functions import extract, keys, parse, text as tx
 from paperlane.functions.predicates import differs
 from paperlane.operators import profile, tfidf, tokens as op
 from paperlane.plans.registry import Tables, query, rounded
+from paperlane.session import materialize
 from paperlane.sources.documents import blocks_json, text_from_json
 
 _B = tx.BLANKS
@@ -43,14 +44,14 @@ def _tokens_sql(column: str) -> str:
 
 @query(f"SELECT page_id, {_clean_sql('html')} AS cleaned_text FROM pages")
 def clean_text(t: Tables) -> DataFrame:
-    return t.texts("pages").select("page_id", tx.clean_text(F.col("html")).alias("cleaned_text"))
+    return t("pages").select("page_id", tx.clean_text(F.col("html")).alias("cleaned_text"))
 
 
 @query("""SELECT page_id, coalesce(html, '') AS untouched,
     regexp_replace(coalesce(html, ''), '<[^>]*>', '', 'g') AS no_tags FROM pages""")
 def clean_text_switches(t: Tables) -> DataFrame:
     off = dict(normalize_whitespace=False, remove_short_lines=False, lowercase=False)
-    return t.texts("pages").select(
+    return t("pages").select(
         "page_id", tx.clean_text(F.col("html"), strip_html=False, **off).alias("untouched"),
         tx.clean_text(F.col("html"), **off).alias("no_tags"),
     )
@@ -63,7 +64,7 @@ TAGGABLE = """concat(text, chr(10), 'Art. 5 Abs. 2, DR II ', doc_id, '/24, ', n_
 
 
 def _tagged(t: Tables) -> DataFrame:
-    return t.texts("documents").select(
+    return t("documents").select(
         "doc_id", "lang", tx.replace_with_tags(F.expr(TAGGABLE)).alias("text_w_tags")
     )
 
@@ -82,7 +83,7 @@ def tag_counts(t: Tables) -> DataFrame:
 
 
 def tokenized(t: Tables) -> DataFrame:
-    return t.texts("documents").select(
+    return t("documents").select(
         "doc_id", "lang", "text", tx.tokens(F.col("text"), STOP_WORDS).alias("tokenized")
     )
 
@@ -114,7 +115,7 @@ def token_search(t: Tables) -> DataFrame:
     FROM documents""")
 def mark_tokens(t: Tables) -> DataFrame:
     text = F.lower("text")
-    return t.texts("documents").select(
+    return t("documents").select(
         "doc_id", tx.mark_tokens(text, ["ein", "", F.col("source")]).alias("marked")
     )
 
@@ -124,7 +125,7 @@ def visible_breaks(t: Tables) -> DataFrame:
     return t("documents").select("doc_id", tx.show_line_breaks(F.col("text")).alias("visible"))
 
 
-_VOCABULARY_SQL = f"""{_TOKENS_CTE}, terms AS (
+VOCABULARY_SQL = f"""{_TOKENS_CTE}, terms AS (
         SELECT term, count(*) AS cf, count(DISTINCT doc_id) AS df
         FROM (SELECT doc_id, unnest(tokenized) AS term FROM tok) GROUP BY term
     ), n AS (SELECT count(*) AS n FROM documents), kept AS (
@@ -133,21 +134,21 @@ _VOCABULARY_SQL = f"""{_TOKENS_CTE}, terms AS (
     ), vocab AS (SELECT *, row_number() OVER (ORDER BY term) - 1 AS idx FROM kept)"""
 
 
-@query(f"""WITH {_VOCABULARY_SQL}
+@query(f"""WITH {VOCABULARY_SQL}
     SELECT term, CAST(idx AS int) AS idx, cf, df, round_even(idf, 6) AS idf FROM vocab""")
 def tfidf_vocabulary(t: Tables) -> DataFrame:
     return rounded(tfidf.vocabulary(tokenized(t), "tokenized"), "idf")
 
 
-@query(f"""WITH {_VOCABULARY_SQL}, tf AS (
+@query(f"""WITH {VOCABULARY_SQL}, tf AS (
         SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(tokenized) AS term FROM tok) GROUP BY 1, 2
     ), raw AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN vocab USING (term))
-    SELECT doc_id, term, round_even(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw""")
+    SELECT doc_id, term, round_even(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight
+    FROM documents LEFT JOIN raw USING (doc_id)""")
 def tfidf_weights(t: Tables) -> DataFrame:
-    docs = tokenized(t)
-    model = tfidf.vectorizer(tfidf.vocabulary(docs, "tokenized"), "tokenized")
-    vectors = tfidf.vectorize(model, docs.select("doc_id", "tokenized"))
-    return rounded(tfidf.vector_entries(vectors, "doc_id", model), "weight")
+    # the tokens are read twice, by the vocabulary and by the weights
+    docs = materialize(tokenized(t).select("doc_id", "tokenized"), "tokens")
+    return rounded(tfidf.weights(docs, "doc_id", "tokenized", tfidf.vocabulary(docs, "tokenized")), "weight")
 
 
 # Adds an id, a date and a name with a cue to every text; valid in both SQL dialects.
@@ -162,7 +163,7 @@ _ENRICHED_CTE = f"src AS (SELECT doc_id, {ENRICHED} AS text FROM documents)"
 
 
 def enriched(t: Tables) -> DataFrame:
-    return t.texts("documents").select("doc_id", F.expr(ENRICHED).alias("text"))
+    return t("documents").select("doc_id", F.expr(ENRICHED).alias("text"))
 
 
 @query(f"""WITH {_ENRICHED_CTE}
@@ -244,21 +245,19 @@ def name_context(t: Tables) -> DataFrame:
     return enriched(t).select("doc_id", extract.name_context(F.col("text")).alias("context"))
 
 
-_PICK = """CASE WHEN len(l) < 2 THEN NULL
-    WHEN length(trim(l[1])) > 1 THEN CASE WHEN contains(trim(l[1]), ',')
-        THEN trim(split_part(trim(l[1]), ',', 2)) || ' ' || trim(split_part(trim(l[1]), ',', 1)) ELSE trim(l[1]) END
-    WHEN length(trim(l[2])) > 1 THEN CASE WHEN contains(trim(l[2]), ',')
-        THEN trim(split_part(trim(l[2]), ',', 2)) || ' ' || trim(split_part(trim(l[2]), ',', 1)) ELSE trim(l[2]) END
-    END"""
-_NAME = f"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(regexp_replace(lower(picked),
-    '\\b(herrn?|frau|fräulein)\\b', '', 'g'), 'c/o', ''), '[^a-zA-ZÀ-ÿß{_B}\n-]', '', 'g'),
-    '^{_ANY}+', ''), '(?s)\n.*', ''), '{_ANY}+', ' ', 'g'))"""
+_SALUTED = ", ".join(f"'{w}'" for w in extract.SALUTATION_WORDS)
 
 
 @query(f"""WITH {_ENRICHED_CTE}, ctx AS (SELECT doc_id, string_split({_CONTEXT}, chr(10)) AS l FROM src),
-    p AS (SELECT doc_id, {_PICK} AS picked FROM ctx)
-    SELECT doc_id, picked, nullif(array_to_string(list_transform(string_split({_NAME}, ' '),
-        lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' '), '') AS name FROM p""")
+    p AS (SELECT doc_id, CASE WHEN len(l) > 1 THEN
+        list_filter(list_transform(l[1:2], lambda x: trim(x)), lambda x: length(x) > 1)[1] END AS line FROM ctx),
+    q AS (SELECT doc_id, CASE WHEN contains(line, ',')
+        THEN trim(split_part(line, ',', 2)) || ' ' || trim(split_part(line, ',', 1)) ELSE line END AS picked FROM p),
+    w AS (SELECT doc_id, picked, list_filter(list_transform(list_filter(
+        regexp_split_to_array(lower(picked), '{_ANY}+'), lambda x: x <> 'c/o'),
+        lambda x: regexp_replace(x, '[^\\p{{L}}-]+', '', 'g')), lambda x: x <> '' AND x NOT IN ({_SALUTED})) AS words FROM q)
+    SELECT doc_id, picked, nullif(array_to_string(list_transform(words,
+        lambda x: upper(substr(x, 1, 1)) || substr(x, 2)), ' '), '') AS name FROM w""")
 def name_extraction(t: Tables) -> DataFrame:
     # one step per column, so that Spark evaluates each of them once
     contexts = enriched(t).select("doc_id", extract.name_context(F.col("text")).alias("context"))
@@ -308,13 +307,13 @@ def safe_dates(t: Tables) -> DataFrame:
 @query("""SELECT page_id, nullif(regexp_extract(url, '^[a-z0-9]+://([^/]+)/', 1), '') AS bucket,
         nullif(regexp_extract(url, '(?s)^[a-z0-9]+://[^/]+/(.+)$', 1), '') AS object_key,
         list_last(string_split(url, '/')) AS file_name, 'https://review.example.com/' || url AS link,
-        list_last(string_split(nullif(url, ''), '.')) IS NOT NULL AS has_extension FROM pages""")
+        list_last(string_split(url, '.')) = 'html' AS has_extension FROM pages""")
 def uri_parts(t: Tables) -> DataFrame:
     url = F.col("url")
     return t("pages").select(
         "page_id", keys.uri_bucket(url).alias("bucket"), keys.uri_key(url).alias("object_key"),
         keys.file_name(url).alias("file_name"), keys.review_link(url, "https://review.example.com/").alias("link"),
-        keys.file_extension(F.nullif(url, F.lit(""))).isNotNull().alias("has_extension"),
+        (keys.file_extension(url) == "html").alias("has_extension"),
     )
 
 
@@ -373,21 +372,21 @@ def blocks_to_text(t: Tables) -> DataFrame:
     SELECT doc_id, line AS "Text", 'line_' || i AS "Id", 'LINE' AS "BlockType", 99.0::double AS "Confidence"
     FROM l WHERE regexp_replace(line, '[%s]+', '', 'g') <> ''""" % _B)
 def text_to_blocks(t: Tables) -> DataFrame:
-    return t.texts("documents").select("doc_id", F.inline(parse.text_to_blocks(F.col("text"))))
+    return t("documents").select("doc_id", F.inline(parse.text_to_blocks(F.col("text"))))
 
 
 @query("""SELECT doc_id, CAST(to_json(list_filter(list_transform(string_split(text, chr(10)), lambda line, i:
         {'BlockType': 'LINE', 'Text': line, 'Id': 'line_' || (i - 1), 'Confidence': 99.0::double}),
         lambda b: regexp_replace(b."Text", '[%s]+', '', 'g') <> '')) AS varchar) AS blocks FROM documents""" % _B)
 def blocks_as_json(t: Tables) -> DataFrame:
-    return t.texts("documents").select("doc_id", blocks_json(F.col("text")).alias("blocks"))
+    return t("documents").select("doc_id", blocks_json(F.col("text")).alias("blocks"))
 
 
 @query("""SELECT doc_id, CASE WHEN source = 'src3' THEN '' ELSE array_to_string(list_filter(string_split(text, chr(10)),
     lambda line: regexp_replace(line, '[%s]+', '', 'g') <> ''), chr(10)) END AS text FROM documents""" % _B)
 def text_from_blocks_json(t: Tables) -> DataFrame:
     stored = F.when(differs(F.col("source"), "src3"), blocks_json(F.col("text")))
-    return t.texts("documents").select("doc_id", text_from_json(stored).alias("text"))
+    return t("documents").select("doc_id", text_from_json(stored).alias("text"))
 
 
 PROMPT = "Classify $lang text.\n--- START ---\n${clean_text}\n--- END --- $unknown ${lang}"
