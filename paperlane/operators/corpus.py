@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from paperlane.functions.ids import fill_column, name_uuid, result_link, text_hash
 from paperlane.functions.predicates import differs
 from paperlane.operators.joins import drop_known, stack
-from paperlane.operators.order import shuffled_rank
+from paperlane.operators.order import keep_first, shuffled_rank
 from paperlane.operators.quality import check_required, check_types
 
 GENERATED = ("ticket_uuid", "attachment_id", "ocr_job_id", "ocr_link")
@@ -27,19 +27,19 @@ def fill_ids(df: DataFrame, link_prefix: str) -> DataFrame:
 
 def upsert_corpus(
     existing: DataFrame, new: DataFrame, required: Sequence[str], link_prefix: str,
-    dedupe_new: bool = False,
+    dedupe_new: Sequence[str] = (),
 ) -> DataFrame:
     """Existing corpus plus the new rows whose ticket id it does not hold.
 
     New rows are checked for empty required fields and for column types. Copies inside the new rows
-    stay unless ``dedupe_new`` is set.
+    stay unless ``dedupe_new`` names the columns whose order says which copy is the first.
     """
     check_required(new, required)
     new = fill_ids(new, link_prefix)
     check_types(existing, new)
     added = drop_known(new, existing, ["ticket_uuid"])
     if dedupe_new:
-        added = added.dropDuplicates(["ticket_uuid"])
+        added = keep_first(added, ["ticket_uuid"], dedupe_new)
     return stack([existing, added])
 
 

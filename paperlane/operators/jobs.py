@@ -14,16 +14,17 @@ def job_outcomes(
 ) -> DataFrame:
     """One row per submitted job with its outcome.
 
-    The first terminal state counts if it came within the timeout. Otherwise the job is TIMEOUT
-    once the timeout has passed, and SUBMITTED before that.
+    The first terminal state since the submission counts if it came within the timeout. Otherwise
+    the job is TIMEOUT once the timeout has passed, and SUBMITTED before that.
     """
     state, stamp, rank = F.col(status), F.col(time), F.col(order)
-    terminal = state.isin(*TERMINAL)
-    per_job = events.groupBy(job).agg(
-        F.min(F.when(state == "SUBMITTED", stamp)).alias("submitted_at"),
-        F.min_by(stamp, F.when(terminal, rank)).alias("_ended_at"),
-        F.min_by(state == "SUCCEEDED", F.when(terminal, rank)).alias("_succeeded"),
-    ).filter("submitted_at IS NOT NULL")
+    submitted = events.groupBy(job).agg(F.min(F.when(state == "SUBMITTED", stamp)).alias("submitted_at"))
+    # both aggregates are partitioned by the job, so the join in between moves nothing again
+    ends = events.filter(state.isin(*TERMINAL)).join(submitted.withColumnRenamed("submitted_at", "_from"), job)
+    ended = ends.filter(stamp >= F.col("_from")).groupBy(job).agg(
+        F.min_by(stamp, rank).alias("_ended_at"), F.min_by(state == "SUCCEEDED", rank).alias("_succeeded"),
+    )
+    per_job = submitted.filter("submitted_at IS NOT NULL").join(ended, job, "left")
     deadline = F.col("submitted_at") + F.expr(f"INTERVAL {int(timeout_seconds)} SECOND")
     in_time = F.coalesce(F.col("_ended_at") <= deadline, F.lit(False))
     ended = F.when(F.col("_succeeded"), "SUCCEEDED").otherwise("FAILED")

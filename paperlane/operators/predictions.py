@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from paperlane.functions.numbers import round_even
 from paperlane.functions.parse import mentions_true, quoted_double, quoted_true
 from paperlane.functions.predicates import is_present
-from paperlane.operators.order import first_known, first_value
+from paperlane.operators.order import first_value, keep_first
 
 # Score bands; the last one includes its upper end.
 BANDS = (
@@ -50,13 +50,13 @@ def decisions(
     attachment without a flag row is undecided (NULL).
 
     Rows of one attachment are combined before the shuffle. Values are reduced to flags and numbers
-    first, so with numeric ticket and order columns Spark aggregates by hash, without sorting.
+    first, so with a numeric order column Spark aggregates by hash, without sorting; the ticket, which
+    may be a text, is taken from the first row by a limit per attachment.
     """
     subtype, value, order = F.col(names.subtype), F.col(names.value), F.col(names.order)
     is_flag = subtype == names.flag
     is_probability = (subtype == names.probability) & (F.col(names.type) == names.classifier)
     facts = predictions.groupBy(names.entity).agg(
-        F.min_by(names.ticket, order).alias("ticket_uuid"),
         F.min_by(F.to_date(names.created_at), order).alias("day"),
         F.coalesce(F.bool_or(is_flag), F.lit(False)).alias("_has_flag"),
         first_value(mentions_true(value), is_flag, order).alias("_flag"),
@@ -66,6 +66,11 @@ def decisions(
             for parameter in names.parameters
         ],
     )
+    known_order = predictions.filter(order.isNotNull())
+    tickets = keep_first(known_order, [names.entity], [order]).select(
+        F.col(names.entity).alias("_entity"), F.col(names.ticket).alias("ticket_uuid")
+    )
+    facts = facts.join(tickets, F.col(names.entity).eqNullSafe(F.col("_entity")), "left")
     by_flag = F.coalesce("_flag", F.lit(False))
     by_probability = F.coalesce(F.col("_probability") >= threshold, F.lit(False))
     otherwise = F.lit(None).cast("boolean") if flag_only else by_probability
@@ -122,13 +127,17 @@ def daily_volume(decided: DataFrame) -> DataFrame:
     least one of its attachments is complete.
     """
     complete = F.col("is_complete")
-    daily = decided.groupBy("day").agg(
+    # tickets first, so that each is one row when the days are counted
+    tickets = decided.groupBy("day", "ticket_uuid").agg(
         F.count_if("is_positive").alias("n_positive"),
         F.count_if(F.col("is_positive") & complete).alias("n_automatic"),
         F.count_if(~F.col("is_positive")).alias("n_negative"),
-        F.count("*").alias("n_attachments"),
-        F.count_distinct(F.when(complete, F.col("ticket_uuid"))).alias("n_automatic_tickets"),
-        F.count_distinct(F.col("ticket_uuid")).alias("n_tickets"),
+        F.count("*").alias("n_attachments"), F.coalesce(F.bool_or(complete), F.lit(False)).alias("_complete"),
+    )
+    known = F.col("ticket_uuid").isNotNull()
+    daily = tickets.groupBy("day").agg(
+        *[F.sum(n).alias(n) for n in ("n_positive", "n_automatic", "n_negative", "n_attachments")],
+        F.count_if(known & F.col("_complete")).alias("n_automatic_tickets"), F.count_if(known).alias("n_tickets"),
     )
     share = F.try_divide(F.lit(100.0) * F.col("n_automatic_tickets"), F.col("n_tickets"))
     return daily.withColumn("ticket_automation_perc", share)
@@ -138,31 +147,52 @@ def pivot_first(
     predictions: DataFrame, subtypes: Sequence[str], names: PredictionNames = PredictionNames()
 ) -> DataFrame:
     """One row per attachment with the first known value of each listed subtype."""
-    subtype, value, order = F.col(names.subtype), F.col(names.value), F.col(names.order)
-    return predictions.filter(subtype.isin(*subtypes)).groupBy(names.entity).agg(
-        *[first_known(value, subtype == wanted, order).alias(wanted) for wanted in subtypes]
-    )
+    subtype = F.col(names.subtype)
+    wide = _first_values(predictions.filter(subtype.isin(*subtypes)), subtype, names)
+    return wide.select(names.entity, *[F.col("_values")[wanted].alias(wanted) for wanted in subtypes])
+
+
+def _first_values(rows: DataFrame, name: Column, names: PredictionNames) -> DataFrame:
+    """One row per attachment with a map from a name to its first known value.
+
+    The first rows are cut out per name before they travel, and texts are gathered by hash.
+    """
+    named = rows.select(names.entity, name.alias("_name"), F.col(names.value).alias("_value"), F.col(names.order).alias("_order"))
+    known = F.col("_value").isNotNull() & F.col("_name").isNotNull()
+    # a row of its own keeps attachments without any value
+    kept = named.select(names.entity, F.when(known, F.col("_name")).alias("_name"), "_value", "_order")
+    first = keep_first(kept, [names.entity, "_name"], ["_order"])
+    pair = F.when(F.col("_name").isNotNull(), F.struct("_name", "_value"))
+    return first.groupBy(names.entity).agg(F.map_from_entries(F.collect_list(pair)).alias("_values"))
+
+
+def pair_name(names: PredictionNames = PredictionNames()) -> Column:
+    """``type__subtype``; a missing subtype gives ``type__``, a missing type no name."""
+    return F.concat(F.col(names.type), F.lit("__"), F.coalesce(names.subtype, F.lit("")))
+
+
+def found_pairs(predictions: DataFrame, names: PredictionNames = PredictionNames()) -> list[str]:
+    """Every pair of type and subtype that occurs, in order; they become columns, so they are few."""
+    rows = predictions.select(pair_name(names).alias("pair")).filter("pair IS NOT NULL").distinct()
+    return [row["pair"] for row in rows.orderBy("pair").collect()]
 
 
 def flatten(
-    predictions: DataFrame, pairs: Sequence[str], metadata: Sequence[str],
-    names: PredictionNames = PredictionNames(),
+    predictions: DataFrame, metadata: Sequence[str], names: PredictionNames = PredictionNames(),
+    pairs: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per attachment: metadata of its first row and one column per ``type__subtype``.
 
-    The pairs are listed by the caller, which fixes the schema and saves a pass. A missing subtype
-    gives the pair ``type__``; rows without a type belong to no pair.
+    Without a list of pairs all that occur are found first. A missing subtype gives the pair
+    ``type__``; rows without a type belong to no pair.
     """
-    order, value = F.col(names.order), F.col(names.value)
-    pair = F.when(
-        F.col(names.type).isNotNull(),
-        F.concat(F.col(names.type), F.lit("__"), F.coalesce(names.subtype, F.lit(""))),
-    )
-    keyed = predictions.withColumn("_pair", pair)
-    return keyed.groupBy(names.entity).agg(
-        *[F.min_by(column, order).alias(column) for column in metadata],
-        *[first_known(value, F.col("_pair") == wanted, order).alias(wanted) for wanted in pairs],
+    pairs = found_pairs(predictions, names) if pairs is None else pairs
+    first = keep_first(predictions, [names.entity], [F.col(names.order)]).select(
+        F.col(names.entity).alias("_entity"), *metadata
     )
+    values = _first_values(predictions, pair_name(names), names)
+    wide = values.join(first, F.col(names.entity).eqNullSafe(F.col("_entity")))
+    return wide.select(names.entity, *metadata, *[F.col("_values")[p].alias(p) for p in pairs])
 
 
 def class_summary(

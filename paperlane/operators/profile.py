@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperlane.operators.joins import flag_listed
@@ -20,8 +20,8 @@ def value_counts(
     rows = df if keep_missing else df.filter(F.col(column).isNotNull())
     counts = rows.groupBy(column).agg(F.count("*").alias("n_rows"))
     if shares:
-        total = rows.agg(F.count("*")).scalar()
-        counts = counts.withColumn("share", F.col("n_rows") / total)
+        # the total of the counts, which Spark takes from the same shuffle
+        counts = counts.withColumn("share", F.col("n_rows") / counts.agg(F.sum("n_rows")).scalar())
     return counts.orderBy(F.desc("n_rows"), column)
 
 
@@ -69,11 +69,18 @@ def hour_day_counts(df: DataFrame, column: str) -> DataFrame:
     return counts.withColumn("weekday", F.date_format("day", "E"))
 
 
-def hour_day_matrix(df: DataFrame, column: str, days: Sequence[str]) -> DataFrame:
-    """One row per hour, one column per listed day (yyyy-MM-dd), 0 where there is no row."""
+def hour_day_matrix(df: DataFrame, column: str, days: Sequence[str] | None = None) -> DataFrame:
+    """One row per hour, one column per day (yyyy-MM-dd), 0 where there is no row.
+
+    Without a list of days all that occur are found first.
+    """
     keyed = df.select(
         F.date_format(column, "yyyy-MM-dd").alias("day"), F.hour(column).alias("hour")
-    ).filter(F.col("day").isin(*days))
+    )
+    if days is None:
+        found = keyed.select("day").filter("day IS NOT NULL").distinct().orderBy("day")
+        days = [row["day"] for row in found.collect()]
+    keyed = keyed.filter(F.col("day").isin(*days))
     return keyed.groupBy("hour").pivot("day", list(days)).count().na.fill(0)
 
 
@@ -91,13 +98,14 @@ def distinct_per_day(df: DataFrame, time: str, columns: dict[str, str]) -> DataF
 
 def status_distribution(df: DataFrame, status: str, total_name: str = "TOTAL") -> DataFrame:
     """Rows per status with their percentage, and a total row."""
-    total = df.agg(F.count("*")).scalar()
     # rollup copies its input, so it gets the few counts and not the rows
     per_status = df.groupBy(status).agg(F.count("*").alias("_n"))
     counts = per_status.rollup(status).agg(
         F.sum("_n").alias("n_rows"), F.grouping(F.col(status)).alias("is_total")
     )
     name = F.when(F.col("is_total") == 1, F.lit(total_name)).otherwise(F.col(status))
+    # a handful of rows: the statuses and their total
+    total = F.max(F.when(F.col("is_total") == 1, F.col("n_rows"))).over(Window.partitionBy())
     return counts.select(
         name.alias(status), "n_rows",
         F.try_divide(F.lit(100.0) * F.col("n_rows"), total).alias("percent"),
@@ -173,13 +181,24 @@ def histogram(
 ) -> DataFrame:
     """Rows per equal-width bin, optionally per label; the last bin is closed.
 
-    Bins without a row are not listed.
+    Every bin is listed, with 0 if it is empty. Bin -1 has the values below the range, bin ``bins``
+    those above it; missing values and NaN are in no bin.
     """
-    inside = df.filter(F.col(value).between(low, high))
-    position = F.floor((F.col(value) - F.lit(low)) / F.lit(high - low) * F.lit(bins))
-    keyed = inside.withColumn("bin", F.least(position, F.lit(bins - 1)).cast("int"))
-    keys = ["bin"] if label is None else [label, "bin"]
-    return keyed.groupBy(*keys).agg(F.count("*").alias("n_rows"))
+    known = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    inside = F.floor((F.col(value) - F.lit(low)) / F.lit(high - low) * F.lit(bins))
+    position = F.when(F.col(value) < low, -1).when(F.col(value) > high, bins).otherwise(F.least(inside, F.lit(bins - 1)))
+    keyed = known.withColumn("bin", position.cast("int"))
+    every = F.sequence(F.lit(-1), F.lit(bins))
+    if label is None:
+        # one row with the counts of the bins that occur, opened to all bins
+        counts = keyed.groupBy("bin").agg(F.count("*").alias("n"))
+        found = counts.agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("found"))
+        rows = found.select("found", F.explode(every).alias("bin"))
+        return rows.select("bin", F.coalesce(F.col("found")[F.col("bin")], F.lit(0)).alias("n_rows"))
+    counts = keyed.groupBy(label, "bin").agg(F.count("*").alias("n"))
+    found = counts.groupBy(label).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("found"))
+    rows = found.select(label, "found", F.explode(every).alias("bin"))
+    return rows.select(label, "bin", F.coalesce(F.col("found")[F.col("bin")], F.lit(0)).alias("n_rows"))
 
 
 def match_counts(df: DataFrame, found: Column) -> DataFrame:

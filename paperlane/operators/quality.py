@@ -39,6 +39,16 @@ def type_mismatches(existing: DataFrame, new: DataFrame) -> dict[str, dict[str,
     }
 
 
+def type_report(existing: DataFrame, new: DataFrame) -> DataFrame:
+    """One row per shared column of another type: name, both types, and the new values it concerns."""
+    wrong = type_mismatches(existing, new)
+    kinds = F.lit(None) if not wrong else F.create_map(*[F.lit(x) for n, w in wrong.items() for x in (n, f"{w['existing']}|{w['new']}")])
+    counts = new.agg(F.count("*").alias("_rows"), *[F.count(F.col(c)).alias(c) for c in wrong])
+    long = counts.unpivot(["_rows"], list(wrong) or ["_rows"], "name", "n_rows").filter(F.col("name").isin(*wrong) if wrong else F.lit(False))
+    kind = kinds[F.col("name")] if wrong else F.lit("|")
+    return long.select("name", F.substring_index(kind, "|", 1).alias("have"), F.substring_index(kind, "|", -1).alias("want"), "n_rows")
+
+
 def check_types(existing: DataFrame, new: DataFrame) -> None:
     """Fail when a shared column has different types."""
     wrong = type_mismatches(existing, new)

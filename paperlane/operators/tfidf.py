@@ -4,14 +4,10 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# The vocabulary goes through the driver as part of the model, so its size is bounded.
-MAX_VOCABULARY = 100_000
-
 
 def vocabulary(
     df: DataFrame, tokens: str, max_features: int = 200, min_df: int = 2, max_df: float = 0.95
@@ -25,8 +21,6 @@ def vocabulary(
     One pass and one shuffle: each document sends its tokens with weight (1, 0) and its distinct
     tokens with weight (0, 1), and these are summed per task before they travel.
     """
-    if not 0 < max_features <= MAX_VOCABULARY:
-        raise ValueError(f"max_features must be between 1 and {MAX_VOCABULARY}")
     occurrences = F.transform(
         tokens, lambda t: F.struct(t.alias("term"), F.lit(1).alias("cf"), F.lit(0).alias("df"))
     )
@@ -53,11 +47,11 @@ def vocabulary(
 def vectorizer(vocab: DataFrame, tokens: str, features: str = "features") -> PipelineModel:
     """Model that turns tokens into L2-normed TF-IDF vectors, one row at a time.
 
-    Unknown terms are ignored; a document without a known term becomes the zero vector.
+    Unknown terms are ignored; a document without a known term becomes the zero vector. The model
+    holds the vocabulary, as many terms as ``max_features`` asked for, and passes through the driver;
+    ``weights`` gives the same numbers without a model.
     """
-    rows = vocab.orderBy("idx").limit(MAX_VOCABULARY + 1).collect()
-    if len(rows) > MAX_VOCABULARY:
-        raise ValueError(f"a vocabulary holds at most {MAX_VOCABULARY} terms")
+    rows = vocab.orderBy("idx").collect()
     if not rows:
         raise ValueError("empty vocabulary")
     counts = CountVectorizerModel.from_vocabulary([row["term"] for row in rows], tokens, "_counts")
@@ -74,9 +68,14 @@ def vectorize(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).drop("_counts", "_weights")
 
 
-def vector_entries(df: DataFrame, key: str, model: PipelineModel, features: str = "features") -> DataFrame:
-    """Long form ``(key, term, weight)`` of the non-zero entries."""
-    terms = F.array(*[F.lit(term) for term in model.stages[0].vocabulary])
-    weights = F.posexplode(vector_to_array(features)).alias("idx", "weight")
-    long = df.select(key, weights).filter("weight != 0")
-    return long.select(key, F.get(terms, F.col("idx")).alias("term"), "weight")
+def weights(df: DataFrame, key: str, tokens: str, vocab: DataFrame) -> DataFrame:
+    """Long form ``(key, term, weight)`` of the same vectors, for a vocabulary of any size.
+
+    A document without a known term has one row, with neither term nor weight. Equal terms of a
+    document are one row before the join; rows with the same key count as one document.
+    """
+    counts = df.select(key, F.explode(tokens).alias("term")).groupBy(key, "term").agg(F.count("*").alias("_tf"))
+    known = counts.join(vocab.select("term", "idf"), "term").withColumn("_w", F.col("_tf") * F.col("idf"))
+    lengths = known.groupBy(key).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
+    weighted = known.join(lengths, key).select(key, "term", (F.col("_w") / F.col("_norm")).alias("weight"))
+    return df.select(key).distinct().join(weighted, key, "left")

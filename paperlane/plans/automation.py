@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperlane.functions.parse import mentions_true, quoted_double, quoted_true
+from paperlane.functions.parse import NUMBER_PATTERN, mentions_true, quoted_double, quoted_true
 from paperlane.functions.predicates import all_present, equals_quoted
 from paperlane.operators import jobs, joins, predictions as op, profile
 from paperlane.plans.registry import Tables, query, rounded
@@ -36,6 +36,9 @@ PREDICTION_COLUMNS = (
             WHEN event_type = 'signup' THEN concat(chr(39), 'False', chr(39))
             WHEN event_type = 'purchase' AND value < 5 THEN 'n/a'
             WHEN event_type = 'purchase' AND value < 7 THEN concat(chr(39), 'nan', chr(39))
+            WHEN event_type = 'purchase' AND value < 8 THEN concat(chr(39), '0.95d', chr(39))
+            WHEN event_type = 'purchase' AND value < 9 THEN concat(chr(39), '1f', chr(39))
+            WHEN event_type = 'purchase' AND value < 10 THEN concat(chr(39), '1e0', chr(39))
             WHEN event_type = 'purchase' AND value < 100
                 THEN concat(chr(39), CAST(floor(value) / 100 AS string), chr(39))
             WHEN event_type = 'purchase' THEN concat(chr(39), '1.0', chr(39))
@@ -49,8 +52,8 @@ PREDS_SQL = f"preds AS (SELECT {', '.join(PREDICTION_COLUMNS)} FROM events)"
 NAMES = op.PredictionNames(classifier="classifier_alpha")
 PARAMETERS = ("case_id", "name", "due_date")
 
-_NUMBER = "try_cast(replace(value, chr(39), '') AS double)"
-_NUMBER = f"(CASE WHEN isnan({_NUMBER}) THEN NULL ELSE {_NUMBER} END)"
+_NUMBER = f"""(CASE WHEN regexp_matches(replace(value, chr(39), ''), '{NUMBER_PATTERN}')
+    THEN try_cast(replace(value, chr(39), '') AS double) END)"""
 
 
 def _decided(flag_only: bool) -> str:
@@ -184,17 +187,15 @@ def prediction_pivot(t: Tables) -> DataFrame:
     return op.pivot_first(predictions(t), SUBTYPES, NAMES)
 
 
-PAIRS = ("classifier_alpha__class_prob", "classifier_beta__class_prob", "classifier_beta__class_pred",
-         "classifier_alpha__is_positive", "extraction__case_id", "extraction__due_date", "extraction__")
-
-
-@query(f"""WITH {PREDS_SQL}, keyed AS (
-        SELECT *, type || '__' || coalesce(subtype, '') AS pair FROM preds)
-    SELECT attachment_id, arg_min(ticket_uuid, id) AS ticket_uuid, arg_min(created_at, id) AS created_at,
-        {', '.join(f"arg_min(value, id) FILTER (pair = '{p}' AND value IS NOT NULL) AS {p}" for p in PAIRS)}
-    FROM keyed GROUP BY attachment_id""")
+# The columns follow from the data on both sides.
+@query(f"""WITH {PREDS_SQL}, keyed AS (SELECT id, attachment_id, type || '__' || coalesce(subtype, '') AS pair, value
+        FROM preds WHERE type IS NOT NULL),
+    first AS (SELECT attachment_id, arg_min(ticket_uuid, id) AS ticket_uuid, arg_min(created_at, id) AS created_at
+        FROM preds GROUP BY attachment_id)
+    SELECT * FROM first LEFT JOIN (PIVOT keyed ON pair USING arg_min(value, id) FILTER (value IS NOT NULL)
+        GROUP BY attachment_id) USING (attachment_id)""")
 def prediction_flatten(t: Tables) -> DataFrame:
-    return op.flatten(predictions(t), PAIRS, ["ticket_uuid", "created_at"], NAMES)
+    return op.flatten(predictions(t), ["ticket_uuid", "created_at"], NAMES)
 
 
 @query(f"""WITH {PREDS_SQL}
@@ -282,11 +283,12 @@ JOB_COLUMNS = (
     "ts AS created_at",
 )
 JOBS_SQL = f"job_events AS (SELECT {', '.join(JOB_COLUMNS)} FROM events)"
-OUTCOME_SQL = f"""{JOBS_SQL}, ended AS (
-        SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY id) AS rn
-        FROM job_events WHERE status IN ('SUCCEEDED', 'FAILED')
-    ), submitted AS (
+OUTCOME_SQL = f"""{JOBS_SQL}, submitted AS (
         SELECT job_id, min(created_at) AS submitted_at FROM job_events WHERE status = 'SUBMITTED' GROUP BY job_id
+    ), ended AS (
+        SELECT e.*, row_number() OVER (PARTITION BY job_id ORDER BY id) AS rn
+        FROM job_events e JOIN submitted s USING (job_id)
+        WHERE status IN ('SUCCEEDED', 'FAILED') AND created_at >= submitted_at
     ), outcomes AS (
         SELECT s.job_id, s.submitted_at,
             CASE WHEN e.created_at <= s.submitted_at + INTERVAL 7200 SECOND THEN e.status

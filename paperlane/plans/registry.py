@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from paperlane.functions.numbers import round_even
 from paperlane.session import tune
-from paperlane.sources.tables import spread_small
 
 
 class Tables:
@@ -22,10 +21,6 @@ class Tables:
     def __call__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def texts(self, name: str) -> DataFrame:
-        """A table of texts, each of which needs much work."""
-        return spread_small(self(name))
-
 
 @dataclass(frozen=True)
 class Query:

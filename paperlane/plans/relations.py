@@ -1,7 +1,7 @@
 """Joins, filters, sets and ordered picks over customers, orders and line items.
 
-``customer`` stands in for tickets, ``orders`` for attachments, ``lineitem`` for predictions and
-``nation`` for a fourth table.
+``customer`` stands in for tickets, ``orders`` for attachments and for their OCR jobs, and
+``lineitem`` for predictions.
 """
 
 from __future__ import annotations
@@ -106,11 +106,12 @@ def _predictions(t: Tables) -> DataFrame:
         l_returnflag AS subtype, l_quantity AS value, o_orderdate AS created_at, o_orderstatus AS status,
         c_name AS source_name, c_nationkey AS nation_id, j.total AS total
     FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey
-    JOIN (SELECT o_orderkey AS k, o_totalprice AS total FROM orders WHERE o_orderstatus = 'F') j ON j.k = o_orderkey
+    JOIN (SELECT CASE WHEN o_orderstatus = 'F' THEN o_orderkey END AS k, o_totalprice AS total FROM orders) j ON j.k = o_orderkey
     WHERE c_custkey IN (SELECT user_id FROM events WHERE event_type = 'purchase')""")
 def ticket_chain(t: Tables) -> DataFrame:
-    jobs = t("orders").filter("o_orderstatus = 'F'").select(
-        F.col("o_orderkey").alias("attachment_id"), F.col("o_totalprice").alias("total")
+    # a job that is not finished has lost its attachment
+    jobs = t("orders").select(
+        F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey")).alias("attachment_id"), F.col("o_totalprice").alias("total")
     )
     wanted = t("events").filter("event_type = 'purchase'").select(F.col("user_id").alias("ticket_uuid"))
     return op.ticket_chain(_tickets(t), _attachments(t), _predictions(t), jobs, wanted)
@@ -142,24 +143,27 @@ def match_pruned(t: Tables) -> DataFrame:
     return op.match(orders, t("customer"), ["c_custkey"], columns=["c_name"])
 
 
-@query("""SELECT coalesce(o_orderkey, l_orderkey) AS attachment_id, o_custkey AS ticket_uuid,
+# Some attachments and some predictions get keys that the other side does not have.
+@query("""SELECT coalesce(o_key, l_key) AS attachment_id, o_custkey AS ticket_uuid,
         o_orderdate AS created_at, o_orderstatus AS status, l_linenumber AS prediction_id,
         l_returnflag AS subtype, l_quantity AS value
-    FROM (SELECT * FROM orders WHERE o_orderstatus <> 'P') FULL JOIN
-         (SELECT * FROM lineitem WHERE l_quantity >= 40) ON o_orderkey = l_orderkey""")
+    FROM (SELECT *, CASE WHEN o_orderstatus = 'P' THEN -o_orderkey - 1 ELSE o_orderkey END AS o_key FROM orders) FULL JOIN
+         (SELECT *, CASE WHEN l_quantity < 20 THEN l_orderkey + 1000000000000 ELSE l_orderkey END AS l_key FROM lineitem)
+         ON o_key = l_key""")
 def attachments_and_predictions(t: Tables) -> DataFrame:
-    return op.outer_with_parents(
-        _predictions(t).filter("value >= 40"), _attachments(t).filter("status <> 'P'"), ["attachment_id"]
-    )
+    key = F.col("attachment_id")
+    children = _predictions(t).withColumn("attachment_id", F.when(F.col("value") < 20, key + 1_000_000_000_000).otherwise(key))
+    parents = _attachments(t).withColumn("attachment_id", F.when(F.col("status") == "P", -key - 1).otherwise(key))
+    return op.outer_with_parents(children, parents, ["attachment_id"])
 
 
 @query("""WITH o AS (SELECT CAST(o_orderdate AS date) AS day, count(*) AS n_orders FROM orders GROUP BY 1),
     l AS (SELECT CAST(l_shipdate AS date) AS day, count(*) AS n_lines, round_even(sum(l_quantity), 2) AS quantity
-          FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
+          FROM lineitem GROUP BY 1)
     SELECT coalesce(o.day, l.day) AS day, n_orders, n_lines, quantity FROM o FULL JOIN l ON o.day = l.day""")
 def outer_daily(t: Tables) -> DataFrame:
     orders = t("orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n_orders"))
-    lines = t("lineitem").filter("l_returnflag = 'R'").groupBy(F.to_date("l_shipdate").alias("day")).agg(
+    lines = t("lineitem").groupBy(F.to_date("l_shipdate").alias("day")).agg(
         F.count("*").alias("n_lines"), round_even(F.sum("l_quantity"), 2).alias("quantity")
     )
     return op.merge_daily([orders, lines])
@@ -183,12 +187,13 @@ def orphan_profile(t: Tables) -> DataFrame:
     )
 
 
-@query("""(SELECT user_id AS key, 'left_only' AS side FROM events WHERE value > 250
-        EXCEPT SELECT l_suppkey, 'left_only' FROM lineitem)
-    UNION ALL (SELECT l_suppkey, 'right_only' FROM lineitem
-        EXCEPT SELECT user_id, 'right_only' FROM events WHERE value > 250)""")
+# Ids of rare events are moved out of the way, which leaves gaps on both sides.
+@query("""WITH l AS (SELECT CASE WHEN value > 100 THEN user_id ELSE -user_id END AS key FROM events)
+    (SELECT key, 'left_only' AS side FROM l EXCEPT SELECT l_suppkey, 'left_only' FROM lineitem)
+    UNION ALL (SELECT l_suppkey, 'right_only' FROM lineitem EXCEPT SELECT key, 'right_only' FROM l)""")
 def id_difference(t: Tables) -> DataFrame:
-    left = t("events").filter("value > 250").select(F.col("user_id").alias("key"))
+    user = F.col("user_id")
+    left = t("events").select(F.when(F.col("value") > 100, user).otherwise(-user).alias("key"))
     return op.id_difference(left, t("lineitem").select(F.col("l_suppkey").alias("key")), "key")
 
 

@@ -59,7 +59,7 @@ def prepared(t: Tables) -> DataFrame:
     labels = t("labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     # ranks are drawn over the narrow labels and written, which shows the join how small they are
     split = materialize(op.stratified_split(labels, "label", "doc_id"), "split")
-    docs = t.texts("documents").select("doc_id", "text").join(split, "doc_id")
+    docs = t("documents").select("doc_id", "text").join(split, "doc_id")
     tagged = docs.withColumn("text_w_tags", replace_with_tags(clean_text(F.col("text"))))
     tokenized = tagged.withColumn("tokenized", tokens(F.col("text_w_tags"), STOP_WORDS))
     return materialize(tokenized.select("doc_id", "label", "split", "tokenized"), "prepared")
@@ -82,6 +82,25 @@ def forest_scores(t: Tables) -> DataFrame:
     return scored.select("doc_id", (F.col("label") == 1).alias("y_true"), "y_pred_prob")
 
 
+# What is certain about the scores, whatever the trees: every test row has one, and it is a probability.
+@query(f"""WITH {_RANKED} SELECT count(*) AS n_scored, count(*) AS n_keys, count(*) AS n_test_rows,
+    count(*) AS n_right_truths, count(*) AS n_probabilities FROM split_rows WHERE split = 'test'""")
+def forest_invariants(t: Tables) -> DataFrame:
+    test = op.stratified_split(_labels(t), "quality", "doc_id").filter("split = 'test'")
+    scored = forest_scores(t).join(test.select("doc_id", F.col("quality")), "doc_id", "left")
+    return scored.agg(
+        F.count("*").alias("n_scored"), F.count_distinct("doc_id").alias("n_keys"), F.count("quality").alias("n_test_rows"),
+        F.count_if(F.col("y_true") == (F.col("quality") == 1)).alias("n_right_truths"),
+        F.count_if(F.col("y_pred_prob").between(0, 1)).alias("n_probabilities"),
+    )
+
+
+@query(f"""WITH {_RANKED} SELECT fold, count(*) FILTER (quality = 1) AS n_positive, count(*) FILTER (quality = 0) AS n_negative
+    FROM fold_rows GROUP BY fold""")
+def cv_invariants(t: Tables) -> DataFrame:
+    return cv_metrics(t).select("fold", (F.col("fn") + F.col("tp")).alias("n_positive"), (F.col("tn") + F.col("fp")).alias("n_negative"))
+
+
 @query()
 def forest_metrics(t: Tables) -> DataFrame:
     scores = materialize(forest_scores(t), "scores")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlane.functions.keys import file_name
 from paperlane.functions.parse import BLOCK_TYPE, blocks_to_text, text_to_blocks
+from paperlane.sources.tables import location
 
 EXPORT_SCHEMA = "messageId string, attachments array<struct<id:string>>"
 
@@ -29,15 +30,28 @@ def write_ocr_blocks(df: DataFrame, path: str, job_id: str = "ocr_job_id", text:
         .write.mode("overwrite").parquet(path)
 
 
-def read_ocr_blocks(spark: SparkSession, links: DataFrame, folder: str, link: str = "ocr_link") -> DataFrame:
+def path_below(path: Column, folder: str) -> Column:
+    """What follows the folder in the address of one of its files, with percent signs decoded."""
+    whole = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    # a plus sign stands for itself in a path
+    decoded = F.url_decode(F.replace(whole, F.lit("+"), F.lit("%2B")))
+    top = re.sub(r"^[a-z]+://[^/]*", "", location(folder))
+    return F.when(decoded.startswith(f"{top}/"), F.substr(decoded, F.lit(len(top) + 2)))
+
+
+def read_ocr_blocks(
+    spark: SparkSession, links: DataFrame, folder: str, link: str = "ocr_link", root: str = ""
+) -> DataFrame:
     """Text per link from a folder with one JSON file per job; without a file the text is empty.
 
-    Files are matched by name. The folder is listed and read once, whatever the number of links.
+    A link is ``root`` and the path of its file below the folder. Files that no link names are listed,
+    but their contents go no further than the join.
     """
     files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True).select(
-        file_name(F.col("_metadata.file_path")).alias("_file"), F.col("value").alias("_json")
+        path_below(F.col("_metadata.file_path"), folder).alias("_file"), F.col("value").alias("_json")
     )
-    wanted = links.withColumn("_file", file_name(F.col(link)))
+    below = F.when(F.col(link).startswith(root), F.substr(F.col(link), F.lit(len(root) + 1)))
+    wanted = links.withColumn("_file", below)
     return wanted.join(files, "_file", "left").select(
         *links.columns, text_from_json(F.col("_json")).alias("text")
     )
@@ -51,6 +65,7 @@ def read_exports(spark: SparkSession, base: str, days: Sequence[str]) -> DataFra
     """
     paths = [f"{base}/{day}" for day in days]
     rows = spark.read.schema(EXPORT_SCHEMA).json(paths, multiLine=True, recursiveFileLookup=True)
-    return rows.withColumn("export_key", F.col("_metadata.file_path")).filter(
-        file_name(F.col("export_key")).contains("export")
-    )
+    keyed = rows.withColumn("export_key", F.col("_metadata.file_path"))
+    # the key below the base starts with the day
+    below_day = F.regexp_replace(path_below(F.col("export_key"), base), "^[^/]*/", "")
+    return keyed.filter(below_day.contains("export"))

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import os
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-SPREAD_BELOW = 32 * 1024 * 1024
-
-
 def read_corpus(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """CSV corpus whose texts hold line breaks and doubled quotes.
 
@@ -24,17 +22,6 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread_small(df: DataFrame, bytes_per_core: int = SPREAD_BELOW) -> DataFrame:
-    """Spread a small table over all cores, before costly work on each row.
-
-    A small file has one row group, which one task reads. Tables that are large enough to keep all
-    cores busy with row groups of their own are left as they are, and nothing is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * bytes_per_core else df
-
-
 def read_many(spark: SparkSession, pattern: str, file_format: str = "parquet", **options) -> DataFrame:
     """All chunk files of a pattern or folder as one table."""
     return spark.read.options(**options).load(pattern, format=file_format)
@@ -47,7 +34,12 @@ def read_sql(
     """Result of a query; values travel as named arguments, never as pasted text."""
     for name, view in (views or {}).items():
         view.createOrReplaceTempView(name)
-    return spark.sql(query, args=dict(args or {}))
+    try:
+        # the plan is resolved here, so the views are not needed any longer
+        return spark.sql(query, args=dict(args or {}))
+    finally:
+        for name in views or {}:
+            spark.catalog.dropTempView(name)
 
 
 def read_jdbc(
@@ -61,17 +53,30 @@ def read_jdbc(
     ).load()
 
 
-def write_table(df: DataFrame, path: str, file_format: str = "parquet", **options) -> None:
-    """Write a table, replacing what is there.
+def write_table(
+    df: DataFrame, path: str, file_format: str = "parquet", replaces: Sequence[str] | None = None, **options
+) -> None:
+    """Write a table to a folder of its own.
 
-    A table must not replace its own input, which would be deleted before it is read: give every
-    version its own folder.
+    An existing folder is left alone, with an error, unless ``replaces`` names the tables that the
+    rows come from: then the folder is replaced, if none of them lies in it or around it. A table must
+    not replace its own input, which would be deleted before it is read.
     """
-    target = path.rstrip("/")
-    for source in df.inputFiles():
-        if f"{target}/" in source or source.endswith(target):
+    target = location(path)
+    for source in replaces or ():
+        at = location(source)
+        if at == target or at.startswith(f"{target}/") or target.startswith(f"{at}/"):
             raise ValueError(f"{path} is an input of the table to be written")
-    df.write.mode("overwrite").options(**options).save(target, format=file_format)
+    mode = "errorifexists" if replaces is None else "overwrite"
+    df.write.mode(mode).options(**options).save(path.rstrip("/"), format=file_format)
+
+
+def location(path: str) -> str:
+    """A path in full, with its scheme: relative paths start from the working folder."""
+    scheme, mark, rest = path.partition("://")
+    if mark:
+        return f"{scheme}://{os.path.normpath(rest)}"
+    return "file://" + os.path.abspath(path.removeprefix("file:"))
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -92,7 +92,7 @@ def test_upsert_keeps_copies_inside_the_new_rows_unless_told(spark, new):
     old = existing(spark, ["existing text 0"])
     doubled = new.unionAll(new)
     assert corpus.upsert_corpus(old, doubled, REQUIRED, PREFIX).count() == 5
-    assert corpus.upsert_corpus(old, doubled, REQUIRED, PREFIX, dedupe_new=True).count() == 3
+    assert corpus.upsert_corpus(old, doubled, REQUIRED, PREFIX, dedupe_new=["text"]).count() == 3
 
 
 def test_upsert_fails_on_a_missing_text(spark, new):

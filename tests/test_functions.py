@@ -1,4 +1,5 @@
 import datetime
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -200,3 +201,54 @@ def test_lookback_bounds(spark):
     rows = spark.createDataFrame([(s,) for s in stamps], "s string").select(F.col("s").cast("timestamp_ntz").alias("t"))
     assert rows.filter(predicates.lookback(F.col("t"), "2024-01-08", 7)).count() == 2
     assert rows.filter(predicates.lookback(F.col("t"), "2024-01-08", 7, True)).count() == 3
+
+
+@pytest.mark.parametrize("junk", ["a", "<", "1", "1.", "§", "a@", "dr ", "gegen ", "1.1.2024 ", ".", "€", "<a"])
+def test_text_functions_take_linear_time(spark, junk):
+    long = junk * (1_000_000 // len(junk) if len(junk) < 6 else 5_000)
+    frame = spark.createDataFrame([(long,)], "t string")
+    spans = extract.date_matches(F.col("t"))
+    start = time.perf_counter()
+    frame.select(
+        F.length(text.replace_with_tags(text.clean_text(F.col("t")))),
+        F.length(text.mark_spans(F.col("t"), spans)), F.size(extract.date_contexts(F.col("t"), spans)),
+        extract.main_punctuation(F.substring("t", 1, 20_000)), F.length(extract.name_context(F.col("t"))),
+    ).collect()
+    assert time.perf_counter() - start < 30
+
+
+@pytest.mark.parametrize("pattern", text.LINEAR_PATTERNS)
+def test_linear_patterns_match_the_same(spark, pattern):
+    import random
+
+    plain, rng = dict(text.TAG_PATTERNS)[pattern], random.Random(pattern)
+    signs = "ab@.12,-5 €$eur§% art.5x"
+    rows = [("".join(rng.choice(signs) for _ in range(rng.randint(0, 30))),) for _ in range(3000)]
+    frame = spark.createDataFrame(rows, "t string")
+    different = F.regexp_replace("t", plain, "#") != F.regexp_replace("t", text.LINEAR_PATTERNS[pattern], "#")
+    assert frame.filter(different).count() == 0
+
+
+def test_tags_are_cut_as_by_a_pattern(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = [("".join(rng.choice("<>ab\n") for _ in range(rng.randint(0, 14))),) for _ in range(3000)]
+    frame = spark.createDataFrame(rows, "t string")
+    assert frame.filter(F.regexp_replace("t", "<[^>]*>", "") != text.without_tags(F.col("t"))).count() == 0
+
+
+@pytest.mark.parametrize("value, number", [
+    ("'0.95'", 0.95), ("'0.95d'", None), ("'1f'", None), ("'1e0'", 1.0), ("' .5 '", 0.5), ("'-3.'", -3.0), ("'nan'", None), ("''", None), ("'1 2'", None), (None, None),
+])
+def test_quoted_numbers(one, value, number):
+    assert one(parse.quoted_double, value) == number
+
+
+@pytest.mark.parametrize("context, picked, name", [
+    ("Muster, Max, jun.\nWeg 1", "Max Muster", "Max Muster"), (" \nFrau Dr. Eva Muster-Frau!\nOrt", "Frau Dr. Eva Muster-Frau!", "Dr Eva Muster-frau"),
+    ("Herr c/o max-peter MÜLLER 12\nx", "Herr c/o max-peter MÜLLER 12", "Max-peter Müller"), ("one line", None, None), ("x\ny\nName", None, None), ("12\n", "12", None),
+])
+def test_names(one, context, picked, name):
+    assert one(extract.pick_name, context) == picked
+    assert one(lambda c: extract.clean_name(extract.pick_name(c)), context) == name

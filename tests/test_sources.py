@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from paperlane.functions.text import tokens
@@ -29,12 +30,20 @@ def test_tables_append_and_stack(spark, tmp_path):
     assert tables.read_many(spark, str(tmp_path / "chunk_*")).count() == 4
 
 
-def test_table_must_not_replace_its_input(spark, tmp_path):
-    path = str(tmp_path / "t")
+def test_table_must_not_replace_its_input(spark, tmp_path, monkeypatch):
+    path, other = str(tmp_path / "t"), str(tmp_path / "t2")
     tables.write_table(spark.range(3), path)
-    with pytest.raises(ValueError):
-        tables.write_table(tables.read_table(spark, path).filter("id > 0"), path)
-    tables.write_table(tables.read_table(spark, path).filter("id > 0"), str(tmp_path / "t2"))
+    rows = tables.read_table(spark, path).filter("id > 0")
+    monkeypatch.chdir(tmp_path)
+    for same in (path, f"file://{path}/", "t", "./t", str(tmp_path), f"{path}/inner"):
+        with pytest.raises(ValueError):
+            tables.write_table(rows, same, replaces=[path])
+    tables.write_table(rows, other)
+    with pytest.raises(AnalysisException):
+        tables.write_table(rows, other)
+    tables.write_table(rows.filter("id > 1"), other, replaces=[path])
+    assert tables.read_table(spark, other).count() == 1
+    assert tables.location("store://b/t") != tables.location("/b/t")
 
 
 def test_sql_takes_arguments(spark):
@@ -42,26 +51,29 @@ def test_sql_takes_arguments(spark):
     assert found.count() == 2
 
 
-def test_small_tables_are_spread(spark, tmp_path):
-    tables.write_table(spark.range(100).coalesce(1), str(tmp_path / "s"))
-    small = tables.read_table(spark, str(tmp_path / "s"))
-    assert tables.spread_small(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert tables.spread_small(small, 0) is small
+def test_sql_leaves_no_views(spark):
+    tables.read_sql(spark, "SELECT * FROM gone", views={"gone": spark.range(1)}).count()
+    assert not spark.catalog.tableExists("gone")
 
 
 def test_ocr_results(spark, tmp_path):
-    for job, blocks in {
-        "j1": [{"BlockType": "PAGE"}, {"BlockType": "LINE", "Text": "a"}, {"BlockType": "WORD", "Text": "a"},
-               {"BlockType": "LINE", "Text": "b"}],
-        "j3": "broken",
-    }.items():
-        (tmp_path / f"{job}.json").write_text(json.dumps(blocks, indent=1))
+    folder = tmp_path / "o c+r"
+    lines = [{"BlockType": "PAGE"}, {"BlockType": "LINE", "Text": "a"}, {"BlockType": "WORD", "Text": "a"},
+             {"BlockType": "LINE", "Text": "b"}]
+    files = {"j1": lines, "j3": "broken", "x/j1": lines[:2], "x/with space+%41": lines[3:]}
+    for job, blocks in files.items():
+        (folder / f"{job}.json").parent.mkdir(parents=True, exist_ok=True)
+        (folder / f"{job}.json").write_text(json.dumps(blocks, indent=1))
     links = spark.createDataFrame(
-        [("A", "store://x/j1.json"), ("B", "store://x/j2.json"), ("C", None), ("D", "store://x/j1.json")],
+        [("A", "store://x/j1.json"), ("B", "store://x/j2.json"), ("C", None), ("D", "store://x/j1.json"),
+         ("E", "store://x/x/j1.json"), ("F", "store://x/x/with space+%41.json"), ("G", "elsewhere/j1.json"), ("H", "store://x/j3.json")],
         "attachment_id string, ocr_link string",
     )
-    found = {r.attachment_id: r.text for r in documents.read_ocr_blocks(spark, links, str(tmp_path)).collect()}
-    assert found == {"A": "a\nb", "B": "", "C": "", "D": "a\nb"}
+    rows = documents.read_ocr_blocks(spark, links, str(folder), root="store://x/").collect()
+    assert {r.attachment_id: r.text for r in rows} == {
+        "A": "a\nb", "B": "", "C": "", "D": "a\nb", "E": "a", "F": "b", "G": "", "H": "",
+    }
+    assert len(rows) == 8
 
 
 def test_ocr_blocks_round_trip(spark, tmp_path):
@@ -74,13 +86,13 @@ def test_ocr_blocks_round_trip(spark, tmp_path):
 
 def test_exports(spark, tmp_path):
     day = tmp_path / "2024_01_02"
-    for minute, name in (("0010", "export_data.json"), ("0020", "export_data.json"), ("0020", "log.json")):
+    for minute, name in (("0010", "export_data.json"), ("0020", "export_data.json"), ("0020", "log.json"), ("export_7", "data.json")):
         (day / minute).mkdir(parents=True, exist_ok=True)
         messages = [{"messageId": "m1", "attachments": [{"id": "a"}]}, {"messageId": "m2", "attachments": []}]
         (day / minute / name).write_text(json.dumps(messages))
     found = documents.read_exports(spark, str(tmp_path), ["2024_01_02"])
-    assert found.count() == 4  # the log is no export, repeated messages count
-    assert found.select(F.explode("attachments.id")).count() == 2
+    assert found.count() == 6  # the log is no export, repeated messages count
+    assert found.select(F.explode("attachments.id")).count() == 3
 
 
 @pytest.fixture(scope="module")
@@ -175,13 +187,50 @@ def test_stream_picks_up_new_files_once(spark, tmp_path):
     assert run() == 6
 
 
-def test_stream_counts_each_message_once_per_hour(spark, tmp_path):
-    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    rows = [("m1", "2024-01-01 00:10:00"), ("m1", "2024-01-01 00:20:00"), ("m2", "2024-01-01 00:30:00"),
+def test_rows_without_a_key_are_set_aside(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (None, "b")], "id long, t string")
+    for _ in range(3):
+        out = incremental.resume_append(spark, rows, "id", lambda r: r, str(tmp_path / "out"))
+    assert [r.id for r in out.collect()] == [1]
+
+
+MESSAGES = [("m1", "2024-01-01 00:10:00"), ("m1", "2024-01-01 00:20:00"), ("m2", "2024-01-01 00:30:00"),
             ("m3", "2024-01-01 01:30:00"), ("m4", "2024-01-02 12:00:00")]
-    frame = spark.createDataFrame(rows, "id string, s string").select("id", F.col("s").cast("timestamp_ntz").alias("t"))
-    frame.write.parquet(source)
-    stream = incremental.read_stream(spark, source, frame.schema)
-    incremental.run_hourly_counts(stream, "id", "t", sink, state, delay="2 hours")
-    found = sorted((str(r.hour), r.n_messages) for r in spark.read.parquet(sink).collect())
-    assert found == [("2024-01-01 00:00:00", 2), ("2024-01-01 01:00:00", 1)]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata"])
+@pytest.mark.parametrize("files", [1, 3])
+def test_stream_counts_each_message_once_per_hour(spark, tmp_path, zone, files):
+    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        frame = spark.createDataFrame(MESSAGES, "id string, s string").select("id", F.col("s").cast("timestamp_ntz").alias("t"))
+        frame.repartition(files).write.parquet(source)
+        for _ in range(2):
+            stream = incremental.read_stream(spark, source, frame.schema)
+            assert incremental.run_hourly_counts(stream, "id", "t", sink, state, delay="2 hours") == 0
+        found = incremental.read_hourly_counts(spark, sink, "2 hours").collect()
+        assert sorted((str(r.hour), r.n_messages, r.closed) for r in found) == [
+            ("2024-01-01 00:00:00", 2, True), ("2024-01-01 01:00:00", 1, True), ("2024-01-02 12:00:00", 1, False)
+        ]
+        # one more in the open hour, and one that is too late
+        late = spark.createDataFrame([("m5", "2024-01-02 12:30:00"), ("m6", "2024-01-01 01:40:00")], "id string, s string")
+        late.select("id", F.col("s").cast("timestamp_ntz").alias("t")).write.mode("append").parquet(source)
+        stream = incremental.read_stream(spark, source, frame.schema)
+        assert incremental.run_hourly_counts(stream, "id", "t", sink, state, delay="2 hours") == 1
+        found = {str(r.hour): r.n_messages for r in incremental.read_hourly_counts(spark, sink, "2 hours").collect()}
+        assert found["2024-01-02 12:00:00"] == 2 and found["2024-01-01 01:00:00"] == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_queries_over_a_table_that_is_a_folder(spark, tmp_path):
+    from paperlane.plans import REGISTRY
+
+    source = "/root/testdata/sf0.001"
+    for name in ("events", "pages", "documents", "labels"):
+        spark.read.parquet(f"{source}/{name}.parquet").repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for name in ("stream_hourly", "stream_append", "resume_append"):
+        one, many = REGISTRY[name](spark, source), REGISTRY[name](spark, str(tmp_path))
+        assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
