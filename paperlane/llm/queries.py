@@ -51,7 +51,7 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op3_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    found = repeats.remove_repeats(docs.select("doc_id", "text", n_bytes.alias("n_bytes")))
+    found = repeats.remove_repeats(docs.withColumn("n_bytes", n_bytes), keep=["doc_id", "n_bytes"])
     return found.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),

@@ -19,7 +19,7 @@ costs one entry per task. Equality rests on two 64-bit hashes, of the trigger an
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperlane.llm.hashing import BASE, INVERSE, byte_numbers, mix, powers, running
-from paperlane.llm.tasks import schema_with
+from paperlane.llm.tasks import columns_besides, schema_with
 from paperlane.session import materialize
 
 LENGTH = 200
@@ -333,7 +333,10 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, kept: str = "kept", removed: str = "removed") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, text: str = "text", length: int = LENGTH, kept: str = "kept", removed: str = "removed",
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
     """Add the bytes of each text that no repeated string of ``length`` bytes covers, and the maximal
     runs of the others (``start``, ``end`` in bytes).
 
@@ -344,7 +347,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, ke
     """
     if not 16 <= length <= 500:
         raise ValueError("strings of 16 to 500 bytes can be compared")
-    stay = [c for c in docs.columns if c.lower() not in (kept.lower(), removed.lower())]
+    stay = columns_besides(docs, (kept, removed), keep)
+    carried = stay if text in stay else [*stay, text]
+    at = carried.index(text)
     key = text_key(F.col(text))
     texts = docs.filter(F.octet_length(F.col(text)) >= length).select(key.alias("key"), F.col(text).alias("text"))
     volume = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -365,15 +370,15 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, ke
     marks = marks.unionByName(starts.select("key", none.alias("repeats"), "starts", F.lit(0).alias("n")))
     marks = marks.unionByName(texts.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key", none.alias("repeats"), none.alias("starts"), "n"))
     marks = marks.groupBy("key").agg(F.collect_list("repeats").alias("repeats"), F.collect_list("starts").alias("starts"), F.max("n").alias("n"))
-    marks = materialize(marks, "marks").withColumnRenamed("key", "_key_")
+    marks = materialize(marks, "marks").toDF("_key_", "_repeats_", "_starts_", "_n_")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, n, repeats, single = (batch.column(batch.num_columns - i).to_pylist() for i in (4, 3, 2, 1))
+            raw, n, repeats, single = (batch.column(i).to_pylist() for i in (at, *range(len(carried), len(carried) + 3)))
             out = [cut_out((t or "").encode("utf-8", "surrogatepass"), length, bool(c), r or [], s or []) for t, c, r, s in zip(raw, n, repeats, single, strict=True)]
             runs = pa.array([x for _, x in out], pa.list_(pa.struct({"start": pa.int32(), "end": pa.int32()})))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-4], pa.array([x for x, _ in out], pa.binary()), runs], names=[*stay, kept, removed])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(stay)], pa.array([x for x, _ in out], pa.binary()), runs], names=[*stay, kept, removed])
 
-    rows = docs.select(*stay, F.col(text).alias("_text_"), key.alias("_key_")).join(marks, "_key_", "left")
+    rows = docs.select(*carried, key.alias("_key_")).join(marks, "_key_", "left")
     schema = schema_with(docs.select(*stay), {kept: "binary", removed: "array<struct<start: int, end: int>>"})
-    return rows.select(*stay, "_text_", "n", "repeats", "starts").mapInArrow(run, schema)
+    return rows.select(*carried, "_n_", "_repeats_", "_starts_").mapInArrow(run, schema)
