@@ -19,6 +19,7 @@ with P(w) = (c(w) + 1) / (N + V + 1). Both quantities of the pair are quantised
 from __future__ import annotations
 
 import tempfile
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -36,7 +37,7 @@ from paperlane.session import materialize
 END = np.uint64(0x1F83D9ABFB41BD6B)  # stands for the end of a text
 WEIGHT = 4.0
 LOWEST, LEVELS = -9.0, 254
-PACK_BYTES = 1 << 21
+PACK_BYTES = 1 << 22
 TEXT_PER_RANGE, LEAST_RANGES = 24 << 20, 16
 HOT_SHARE = 8  # a context with more than this part of a range's tokens is spread over ranges
 PACKS_PER_BATCH = 4
@@ -54,6 +55,24 @@ def restore(level: np.ndarray) -> np.ndarray:
     return table[level]
 
 
+def squeeze(values: np.ndarray, rising: bool = False) -> bytes:
+    """Whole numbers as few bytes: differences if they rise, then all low bytes, all second bytes, and so on."""
+    values = values.astype("<u8")
+    if rising and len(values):
+        values = np.diff(values, prepend=np.uint64(0))
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = values.view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
+
+
+def unsqueeze(data: bytes, rising: bool = False) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data[1:]), dtype=np.uint8).reshape(data[0], -1)
+    out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    out[:, : data[0]] = planes.T
+    out = out.view("<u8").ravel()
+    return np.cumsum(out, dtype=np.uint64) if rising else out
+
+
 def mapped(values: np.ndarray) -> np.ndarray:
     """The array in a memory-mapped file without a name."""
     if not len(values):
@@ -171,9 +190,7 @@ def pack_texts(kept: Sequence[str]) -> Callable:
                 seen = np.bincount(local[np.repeat(own, lengths)], minlength=len(words))
                 rows = pa.StructArray.from_arrays([c.slice(at, i + 1 - at) for c in batch.columns[:-2]], names=list(kept))
                 values = (
-                    words.tobytes(), seen.astype(np.uint32).tobytes(),
-                    local.astype(np.uint16 if len(words) < 1 << 16 else np.uint32).tobytes(),
-                    lengths.astype(np.uint32).tobytes(), own.tobytes(),
+                    squeeze(words, rising=True), squeeze(seen), squeeze(local), squeeze(lengths), own.tobytes(),
                 )
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([number]), *(pa.array([v], pa.binary()) for v in values), pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)],
@@ -185,11 +202,6 @@ def pack_texts(kept: Sequence[str]) -> Callable:
     return run
 
 
-def numbers(data: bytes, n: int | None = None) -> np.ndarray:
-    """Numbers of two or four bytes, by how many there are."""
-    return np.frombuffer(data, dtype=np.uint16 if n is not None and len(data) == 2 * n else np.uint32)
-
-
 def split(place: np.ndarray, ranges: int) -> Iterator[tuple[int, np.ndarray]]:
     """Entries of each range that has any."""
     order = np.argsort(place, kind="stable")
@@ -206,8 +218,8 @@ def announce_words(ranges: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for pack, words, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words, counts = np.frombuffer(words, dtype=np.uint64), numbers(counts)
-                rows = [(r, words[some].tobytes(), counts[some].tobytes()) for r, some in split(word_range(words, ranges), ranges)]
+                words, counts = unsqueeze(words, rising=True), unsqueeze(counts)
+                rows = [(r, squeeze(words[some], rising=True), squeeze(counts[some])) for r, some in split(word_range(words, ranges), ranges)]
                 columns = [pa.array([r for r, _, _ in rows], pa.int32()), pa.array([pack] * len(rows), pa.int64()), *(pa.array([x[i] for x in rows], pa.binary()) for i in (1, 2))]
                 yield pa.RecordBatch.from_arrays(columns, names=["range", "pack", "words", "counts"])
 
@@ -217,16 +229,17 @@ def announce_words(ranges: int) -> Callable:
 def count_words(ranges: int) -> Callable:
     def run(group: pd.DataFrame) -> pd.DataFrame:
         """Corpus count and number of the words of each pack; totals once."""
-        parts = [np.frombuffer(x, dtype=np.uint64) for x in group["words"]]
+        parts = [unsqueeze(x, rising=True) for x in group["words"]]
         words, which = np.unique(np.concatenate(parts), return_inverse=True)
-        counts = np.bincount(which, weights=np.concatenate([numbers(x) for x in group["counts"]]), minlength=len(words)).astype(np.int64)
+        counts = np.bincount(which, weights=np.concatenate([unsqueeze(x) for x in group["counts"]]), minlength=len(words)).astype(np.int64)
         ids = np.arange(len(words), dtype=np.int64) * ranges + int(group["range"].iloc[0])
         ends = np.cumsum([len(x) for x in parts])
         which = np.split(which, ends[:-1])
         first = np.arange(len(parts)) == 0
         return pd.DataFrame({
-            "pack": group["pack"].to_numpy(), "range": group["range"].to_numpy(), "counts": [counts[w].tobytes() for w in which],
-            "ids": [ids[w].astype(np.uint32 if len(words) * ranges < 1 << 32 else np.uint64).tobytes() for w in which],
+            "pack": group["pack"].to_numpy(), "range": group["range"].to_numpy(), "counts": [squeeze(counts[w]) for w in which],
+            # the words of a pack are in order, and so are their numbers
+            "ids": [squeeze(ids[w], rising=True) for w in which],
             "tokens": np.where(first, counts.sum(), 0), "distinct": np.where(first, (counts > 0).sum(), 0),
         })
 
@@ -237,23 +250,26 @@ class Pack:
     """A pack with the answers about its words."""
 
     def __init__(self, row: dict, ranges: int):
-        words = np.frombuffer(row["words"], dtype=np.uint64)
-        self.lengths = numbers(row["lengths"]).astype(np.int64)
-        self.tokens = numbers(row["tokens"], int(self.lengths.sum())).astype(np.int64)
+        words = unsqueeze(row["words"], rising=True)
+        self.lengths = unsqueeze(row["lengths"]).astype(np.int64)
+        self.tokens = unsqueeze(row["tokens"]).astype(np.int64)
         self.train = np.frombuffer(row["train"], dtype=bool)
         self.counts, self.ids = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.uint64)
         answers = {a["range"]: a for a in row["answers"]}
         for r, some in split(word_range(words, ranges), ranges):
-            self.counts[some] = np.frombuffer(answers[r]["counts"], dtype=np.int64)
-            ids = answers[r]["ids"]
-            self.ids[some] = np.frombuffer(ids, dtype=np.uint32 if len(ids) == 4 * len(some) else np.uint64)
+            self.counts[some] = unsqueeze(answers[r]["counts"])
+            self.ids[some] = unsqueeze(answers[r]["ids"], rising=True)
         end = int(np.searchsorted(words, END))
         starts = np.cumsum(self.lengths) - self.lengths
         before = np.empty_like(self.tokens)
         before[1:] = self.tokens[:-1]
         before[starts] = end
-        codes, self.which = np.unique(before * len(words) + self.tokens, return_inverse=True)
-        self.context, self.word = codes // len(words), codes % len(words)
+        # by the numbers of context and word, so that both come in order
+        order = np.argsort(self.ids, kind="stable")
+        rank = np.empty(len(words), dtype=np.int64)
+        rank[order] = np.arange(len(words))
+        codes, self.which = np.unique(rank[before] * len(words) + rank[self.tokens], return_inverse=True)
+        self.context, self.word = order[codes // len(words)], order[codes % len(words)]
         self.starts = starts
 
     def pair_ranges(self, ranges: int, hot: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -278,12 +294,13 @@ def announce_pairs(ranges: int, hot: int) -> Callable:
             out: list[list] = [[] for _ in range(7)]
             for r, some in pack.pair_ranges(ranges, hot):
                 # pairs are in order of their context
-                context, first = np.unique(pack.context[some], return_index=True)
-                many = seen[some].max() > 255
+                context = pack.context[some]
+                first = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+                context = context[first]
+                counts = pack.counts[context]
                 for column, value in zip(out, (
-                    r, row["pack"], pack.ids[context].tobytes(), pack.counts[context].astype(np.uint64).tobytes(),
-                    np.diff(np.append(first, len(some))).astype(np.uint32).tobytes(), pack.ids[pack.word[some]].astype(np.uint32 if pack.ids.max() < 1 << 32 else np.uint64).tobytes(),
-                    seen[some].astype(np.uint32 if many else np.uint8).tobytes(),
+                    r, row["pack"], squeeze(pack.ids[context], rising=True), squeeze(np.where(counts > hot, counts, 0)),
+                    squeeze(np.diff(np.append(first, len(some)))), squeeze(pack.ids[pack.word[some]]), squeeze(seen[some]),
                 ), strict=True):
                     column.append(value)
             kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
@@ -295,12 +312,12 @@ def announce_pairs(ranges: int, hot: int) -> Callable:
 def answer_pairs(weight: float) -> Callable:
     def run(group: pd.DataFrame) -> pd.DataFrame:
         """Build the part of the trie that lies in a range, and look up the pairs of all packs."""
-        runs = [numbers(x).astype(np.int64) for x in group["runs"]]
+        runs = [unsqueeze(x).astype(np.int64) for x in group["runs"]]
         sizes = [int(x.sum()) for x in runs]
-        context = np.concatenate([np.repeat(np.frombuffer(x, dtype=np.uint64), n) for x, n in zip(group["contexts"], runs, strict=True)])
-        seen = np.concatenate([np.repeat(np.frombuffer(x, dtype=np.uint64), n) for x, n in zip(group["seen"], runs, strict=True)])
-        word = np.concatenate([np.frombuffer(x, dtype=np.uint32 if len(x) == 4 * n else np.uint64).astype(np.uint64) for x, n in zip(group["words"], sizes, strict=True)])
-        count = np.concatenate([np.frombuffer(x, dtype=np.uint8 if len(x) == n else np.uint32).astype(np.int64) for x, n in zip(group["counts"], sizes, strict=True)])
+        context = np.concatenate([np.repeat(unsqueeze(x, rising=True), n) for x, n in zip(group["contexts"], runs, strict=True)])
+        seen = np.concatenate([np.repeat(unsqueeze(x).astype(np.int64), n) for x, n in zip(group["seen"], runs, strict=True)])
+        word = np.concatenate([unsqueeze(x) for x in group["words"]])
+        count = np.concatenate([unsqueeze(x).astype(np.int64) for x in group["counts"]])
         order = np.lexsort((word, context))
         order = order[count[order] > 0]
         c, w = context[order], word[order]
@@ -308,8 +325,12 @@ def answer_pairs(weight: float) -> Callable:
         new[1:] = (c[1:] != c[:-1]) | (w[1:] != w[:-1])
         first = np.flatnonzero(new)
         sums = np.add.reduceat(count[order], first) if len(first) else np.zeros(0, dtype=np.int64)
-        trie = Trie(c[first], w[first], sums, seen[order][first], weight)
-        del order, c, w, new
+        # a context is seen as often as all its successors; of a hot one only some are here, so it comes along
+        contexts, place = np.unique(c[first], return_inverse=True)
+        totals = np.bincount(place, weights=sums, minlength=len(contexts)).astype(np.int64)
+        told = seen[order][first]
+        trie = Trie(c[first], w[first], sums, np.where(told > 0, told, totals[place] if len(contexts) else 0), weight)
+        del order, c, w, new, seen, count
         levels = np.split(trie.find(context, word), np.cumsum(sizes)[:-1])
         return pd.DataFrame({"pack": group["pack"].to_numpy(), "range": group["range"].to_numpy(), "levels": [x.tobytes() for x in levels]})
 
@@ -373,9 +394,9 @@ def score_texts(
 
         known = answers.groupBy("pack").agg(F.collect_list(F.struct("range", "counts", "ids")).alias("answers"))
         facts = ["pack", "words", "tokens", "lengths", "train"]
-        full = materialize(packs.select(*facts, "rows").join(known, "pack"), "known")
+        full = packs.select(*facts, "rows").join(known, "pack")
         kinds = "range int, pack bigint, contexts binary, seen binary, runs binary, words binary, counts binary"
-        told = full.select(*facts, "answers").mapInArrow(announce_pairs(ranges, hot), kinds)
+        told = packs.select(*facts).join(known, "pack").mapInArrow(announce_pairs(ranges, hot), kinds)
         pairs = told.groupBy("range").applyInPandas(answer_pairs(weight), "pack bigint, range int, levels binary")
         pairs = pairs.groupBy("pack").agg(F.collect_list(F.struct("range", "levels")).alias("pairs"))
         kinds = T.StructType([*rows.select(*names).schema.fields, *(T.StructField(n, T.DataType.fromDDL(k)) for n, k in ADDED.items())])
