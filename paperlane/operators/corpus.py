@@ -107,13 +107,16 @@ def plan_load(
     corpus: DataFrame, defs: DataFrame, ticket_labels: DataFrame, nature: str, excluded_type: str,
     as_of: str, dry_run: bool = False,
 ) -> dict[str, DataFrame]:
-    """The three tables a load would append. Nothing is written; that is a call of its own."""
+    """The three tables a load would append, and the label ids of all types it has.
+
+    Nothing is written; that is a call of its own.
+    """
     check_required(corpus, GENERATED)
     rows = loadable(corpus, excluded_type)
     label_ids, new_defs = ensure_labels(defs, rows, nature, as_of, dry_run)
     new = new_tickets(rows, ticket_labels)
     return {
-        "label_defs": new_defs,
+        "label_ids": label_ids, "label_defs": new_defs,
         "ticket_labels": label_assignments(new, label_ids, as_of),
         "ocr_jobs": job_registrations(new, as_of),
     }

@@ -8,8 +8,16 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HASH_CELLS = 4096  # 12 of the 60 bits of the hash
-VALUE_CELLS = 256
+HASH_BITS = 60
+CELLS_PER_PARTITION = 4
+
+
+def cell_count(df: DataFrame) -> int:
+    """Cells that ranks and running totals are cut into: a few per shuffle partition.
+
+    They decide which task handles a row, never a result.
+    """
+    return CELLS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -94,9 +102,10 @@ def shuffled_rank(
     group, so a group with a third of all rows is still spread over all executors.
     """
     rows, keys = _spread_keys(df.withColumn("_hash", hash_order(key, seed)), group)
-    rows = rows.withColumn("_cell", F.shiftright("_hash", 48).cast("int"))
+    width = HASH_BITS - (cell_count(df) - 1).bit_length()
+    rows = rows.withColumn("_cell", F.shiftright("_hash", width).cast("int"))
 
-    # at most HASH_CELLS rows per group
+    # at most one row per cell and group
     counts = rows.groupBy(*keys, "_cell").agg(F.count("*").alias("_n"))
     upto = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = counts.select(
@@ -113,11 +122,12 @@ def shuffled_rank(
     )
 
 
-def value_cuts(df: DataFrame, column: str, cells: int = VALUE_CELLS) -> list[float]:
+def value_cuts(df: DataFrame, column: str, cells: int | None = None) -> list[float]:
     """Cut points that spread the values of a column evenly over cells; at most ``cells`` numbers.
 
     The cuts only decide which task handles a value, never a result, so they may be approximate.
     """
+    cells = cells or cell_count(df)
     shares = [i / cells for i in range(1, cells)]
     cuts = df.approxQuantile(column, shares, 0.5 / cells)
     return sorted({cut for cut in cuts if cut == cut})

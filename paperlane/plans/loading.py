@@ -132,7 +132,7 @@ _LOAD_CTE = f"""defs AS ({_DEFS}), load_rows AS (
 _STAMPS = f"TIMESTAMP '{AS_OF}' AS created_at, TIMESTAMP '{AS_OF}' AS updated_at"
 
 
-def _load(t: Tables, dry_run: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
+def _load(t: Tables, dry_run: bool = False) -> dict[str, DataFrame]:
     docs = t("documents").select("doc_id", "text", "lang", "source")
     joined = t("labels").join(docs, "doc_id")
     defs = joined.groupBy(
@@ -143,25 +143,24 @@ def _load(t: Tables, dry_run: bool = False) -> tuple[dict[str, DataFrame], DataF
     # ids are computed once and stored without the texts, which a load does not need
     rows = materialize(op.fill_ids(docs.select("text", kind.alias("document_type")), PREFIX).drop("text"), "load")
     labelled = joined.filter("toxic = 1").select(ids.name_uuid(F.col("text"), "ticket_uuid").alias("ticket_uuid"))
-    label_ids, _ = op.ensure_labels(defs, op.loadable(rows, "en/src5"), "review", AS_OF, dry_run)
-    return op.plan_load(rows, defs, labelled, "review", "en/src5", AS_OF, dry_run), label_ids
+    return op.plan_load(rows, defs, labelled, "review", "en/src5", AS_OF, dry_run)
 
 
 @query(f"""WITH {_LOAD_CTE} SELECT label_id AS id, document_type AS type, 'none' AS subtype, 'review' AS nature,
     {_STAMPS}, NULL::varchar AS datatype FROM numbered""")
 def label_defs(t: Tables) -> DataFrame:
-    return _load(t)[0]["label_defs"]
+    return _load(t)["label_defs"]
 
 
 @query(f"WITH {_LOAD_CTE} SELECT * FROM label_ids")
 def label_ids(t: Tables) -> DataFrame:
-    return _load(t)[1]
+    return _load(t)["label_ids"]
 
 
 @query(f"""WITH {_LOAD_CTE} SELECT document_type, NULL::bigint AS label_id FROM numbered UNION ALL
     SELECT document_type, label_id FROM known WHERE document_type IN (SELECT document_type FROM load_rows)""")
 def label_ids_dry_run(t: Tables) -> DataFrame:
-    return _load(t, dry_run=True)[1]
+    return _load(t, dry_run=True)["label_ids"]
 
 
 _ASSIGN = """SELECT ticket_uuid, NULL::varchar AS source_id, NULL::varchar AS comment_id, attachment_id, label_id,
@@ -170,15 +169,15 @@ _ASSIGN = """SELECT ticket_uuid, NULL::varchar AS source_id, NULL::varchar AS co
 
 @query(f"WITH {_LOAD_CTE} {_ASSIGN.format(stamps=_STAMPS, ids='label_ids')}")
 def label_assign(t: Tables) -> DataFrame:
-    return _load(t)[0]["ticket_labels"]
+    return _load(t)["ticket_labels"]
 
 
 @query(f"WITH {_LOAD_CTE} {_ASSIGN.format(stamps=_STAMPS, ids='known')}")
 def label_assign_dry_run(t: Tables) -> DataFrame:
-    return _load(t, dry_run=True)[0]["ticket_labels"]
+    return _load(t, dry_run=True)["ticket_labels"]
 
 
 @query(f"""WITH {_LOAD_CTE} SELECT attachment_id, ocr_job_id AS job_id, 'SUCCEEDED' AS status, ocr_link, {_STAMPS}
     FROM new_rows""")
 def job_register(t: Tables) -> DataFrame:
-    return _load(t)[0]["ocr_jobs"]
+    return _load(t)["ocr_jobs"]

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from paperlane.operators import joins, order, profile
+from paperlane.operators import joins, order, predictions, profile, tokens
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -87,3 +87,43 @@ def test_values_are_not_shuffled_for_the_cell_totals(spark, no_broadcast):
     plan = totals._jdf.queryExecution().executedPlan().toString()
     # per value, per cell of values, and the counts per cell; those few go to one window and back
     assert plan.count("Exchange hashpartitioning") <= 4
+
+
+@pytest.mark.parametrize("build", [
+    lambda rows: predictions.decisions(rows), lambda rows: predictions.pivot_first(rows, ["name", "class_prob"]),
+    lambda rows: predictions.flatten(rows, ["ticket_uuid", "created_at"], pairs=["a__name"]),
+    lambda rows: predictions.daily_volume(predictions.decisions(rows)),
+], ids=["decisions", "pivot", "flatten", "daily_volume"])
+def test_text_ids_are_aggregated_by_hash(spark, build):
+    kinds = "id long, attachment_id string, ticket_uuid string, created_at timestamp, type string, subtype string, value string"
+    rows = spark.createDataFrame([(1, "a", "t", None, "a", "name", "x")], kinds)
+    plan = build(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Expand" not in plan
+
+
+def test_counts_are_made_once(spark, tmp_path):
+    spark.range(100).select((F.col("id") % 7).cast("string").alias("k")).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    frame = profile.status_distribution(rows, "k")
+    assert plan_after_run(frame).split("== Initial Plan ==")[0].count("FileScan") == 1
+
+
+def test_sorted_results_are_in_order(spark):
+    rows = spark.createDataFrame([("b", 1), ("a", 1), ("c", 2), ("c", 3), (None, 4)], "k string, v int")
+    assert [r.k for r in profile.value_counts(rows, "k").collect()] == ["c", "a", "b"]
+    words = spark.createDataFrame([(["x", "y", "y"],), (["a"],)], "t array<string>")
+    assert [r.token for r in tokens.token_frequency(words, "t").collect()] == ["y", "a", "x"]
+
+
+def test_cells_follow_the_partitions(spark):
+    rows = spark.range(500).select("id", (F.col("id") % 3).alias("g"))
+    expected = None
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in ("1", "3", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            found = sorted(map(tuple, order.shuffled_rank(rows, ["g"], "id").collect()))
+            expected = expected or found
+            assert found == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
