@@ -38,7 +38,7 @@ END = np.uint64(0x1F83D9ABFB41BD6B)  # stands for the end of a text
 WEIGHT = 4.0
 LOWEST, LEVELS = -9.0, 254
 PACK_BYTES = 1 << 22
-TEXT_PER_RANGE, LEAST_RANGES = 24 << 20, 16
+TEXT_PER_RANGE, LEAST_RANGES = 16 << 20, 16
 HOT_SHARE = 8  # a context with more than this part of a range's tokens is spread over ranges
 PACKS_PER_BATCH = 4
 
