@@ -16,7 +16,19 @@ __all__ = ["QUERIES", "SQL"]
 VOCABULARIES = os.environ.get("PAPERLANE_VOCABULARIES", "/opt/tokenizers")
 
 
-@query()
+SPACED_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+
+
+@query(f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({SPACED_SQL}, []) AS w FROM documents),
+    s AS (SELECT DISTINCT r, array_to_string(w[k + 1 : k + 5], ' ') AS g
+        FROM (SELECT r, w, unnest(range(0, greatest(len(w) - 4, 1))) AS k FROM d WHERE len(w) > 0)),
+    n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+    pairs AS (SELECT a.r AS a, b.r AS b, count(*) AS i FROM s a JOIN s b USING (g) WHERE a.r < b.r GROUP BY 1, 2),
+    links AS (SELECT a, b FROM pairs JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * i >= 75 * (x.n + y.n - i)),
+    around AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach(a, b) AS (SELECT r, r FROM d UNION SELECT reach.a, around.b FROM reach JOIN around ON around.a = reach.b),
+    least AS (SELECT reach.a AS r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.b GROUP BY 1)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d JOIN least USING (r) LEFT JOIN n USING (r)""")
 def op1_jaccard_classes(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return jaccard.near_duplicate_classes(docs).drop("text")
@@ -47,7 +59,17 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query()
+@query("""WITH b AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    w AS (SELECT r, p, md5(substr(h, 2 * p + 1, 400)) AS k FROM (SELECT r, h, unnest(range(0, length(h) // 2 - 199)) AS p FROM b WHERE length(h) >= 400)),
+    hit AS (SELECT r, p FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+    part AS (SELECT r, p, CASE WHEN p <= lag(p) OVER (PARTITION BY r ORDER BY p) + 200 THEN 0 ELSE 1 END AS new FROM hit),
+    run AS (SELECT r, min(p) AS a, max(p) + 200 AS z FROM (SELECT r, p, sum(new) OVER (PARTITION BY r ORDER BY p) AS i FROM part) GROUP BY r, i),
+    gap AS (SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM run),
+    cut AS (SELECT r, CAST(sum(z - a) AS bigint) AS n_removed, count(*) AS n_spans,
+        string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(z) + 1) AS kept
+        FROM gap JOIN b USING (r) GROUP BY r)
+    SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+        sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM b LEFT JOIN cut USING (r)""")
 def op3_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
