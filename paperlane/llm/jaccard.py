@@ -24,13 +24,13 @@ Shingles are 64-bit hashes. Documents with equal texts, and texts with equal set
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperlane.llm.components import components
@@ -311,21 +311,14 @@ def classes(sets: DataFrame, percent: int) -> DataFrame:
     return sets.select("node").join(joined, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
-def near_duplicate_classes(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE, percent: int = PERCENT,
-    size: str = "n_shingles", component: str = "component_id", group: str | None = None,
-) -> DataFrame:
-    """Add to each document the size of its shingle set and the smallest id reachable by links; on
-    request also the name of its ``group``, which rows without an id have too (NULL without a set).
+def text_key(text: str) -> Column:
+    """Name of a text; a missing one counts as empty."""
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
 
-    Words are what white space parts, with A-Z in lower case. A missing or empty text has no set and
-    is linked with nothing: its component is its own id. Rows with the same text or the same set are
-    linked, however many there are; a missing id never names a component that has another id. Columns
-    named like the added ones are replaced.
-    """
-    added = [x for x in (size, component, group) if x is not None]
-    kept = columns_besides(docs, added, None)
-    key = F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+
+def classes_by_text(docs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
+    """Per distinct text its key, the size of its set, the smallest id of its class and the class's name."""
+    key = text_key(text)
     texts = docs.filter(F.col(text).isNotNull()).select(key.alias("key"), F.col(text).alias("text"))
 
     facts = materialize(occurrence_filter(texts, words, percent), "facts")
@@ -349,26 +342,54 @@ def near_duplicate_classes(
     known = low.join(facts.select("key", "n"), "key", "left").join(named, "key", "left")
     known = known.select(
         F.col("key").alias("_key_"), F.coalesce("n", F.lit(0)).cast("long").alias("_n_"),
-        F.when(F.col("first").isNull(), F.col("low")).otherwise(F.col("lowest")).alias("_component_"), F.coalesce("first", "key").alias("_group_"),
+        F.when(F.col("first").isNull(), F.col("low")).otherwise(F.col("lowest")).alias("_component_"), F.coalesce("first", "key").alias("_class_"),
     )
-    found = docs.select(*kept, key.alias("_key_"), F.col(doc_id).alias("_id_")).join(materialize(known, "known"), "_key_", "left")
-    linked = F.col("_n_") > 0
-    columns = [F.col("_n_").alias(size), F.when(linked, F.col("_component_")).otherwise(F.col("_id_")).alias(component)]
-    if group is not None:
-        columns.append(F.when(linked, F.col("_group_")).alias(group))
-    return found.select(*kept, *columns)
+    return materialize(known, "known")
+
+
+def near_duplicate_classes(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE, percent: int = PERCENT,
+    size: str = "n_shingles", component: str = "component_id", keep: Sequence[str] | None = None,
+) -> DataFrame:
+    """Add to each document the size of its shingle set and the smallest id reachable by links.
+
+    Words are what white space parts, with A-Z in lower case. A missing or empty text has no set and
+    is linked with nothing: its component is its own id. Rows with the same text or the same set are
+    linked, however many there are; a missing id never names a component that has another id. Columns
+    named like the added ones are replaced.
+    """
+    kept = columns_besides(docs, (size, component), keep)
+    known = classes_by_text(docs, doc_id, text, words, percent)
+    found = docs.select(*kept, text_key(text).alias("_key_"), F.col(doc_id).alias("_id_")).join(known, "_key_", "left")
+    named = F.when(F.col("_n_") > 0, F.col("_component_")).otherwise(F.col("_id_"))
+    return found.select(*kept, F.col("_n_").alias(size), named.alias(component))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row of every group of near duplicates: the one with the smallest id, if any has one.
 
-    Rows without a word are in no group and stay.
+    Rows without a word are in no group and stay. What goes is worked out on ids and keys of texts, so
+    that texts only move if very many rows go.
     """
-    found = near_duplicate_classes(docs, doc_id, text, words, percent, "_n_words_", "_component_id_", "_class_")
-    first = found.filter(F.col("_class_").isNull() | F.col(doc_id).eqNullSafe(F.col("_component_id_")))
-    # only rows with a repeated id, or groups without ids, leave several: just those are shuffled
-    several = first.filter("_class_ IS NOT NULL").groupBy("_class_").agg(F.count("*").alias("n")).filter("n > 1").select("_class_")
-    several = broadcast_if_small(materialize(several, "several"))
+    key = text_key(text)
+    rows = docs.select(key.alias("_key_"), F.col(doc_id).alias("_id_")).groupBy("_key_", "_id_").agg(F.count("*").alias("_rows_"))
+    judged = materialize(rows, "rows").join(classes_by_text(docs, doc_id, text, words, percent), "_key_")
+    stays = (F.col("_n_") == 0) | F.col("_id_").eqNullSafe(F.col("_component_"))
+    judged = materialize(judged.withColumn("_stays_", stays), "judged")
+
+    def without(df: DataFrame, listed: DataFrame, how: str = "left_anti") -> DataFrame:
+        same = (F.col("_key_") == key) & F.col("_id_").eqNullSafe(F.col(doc_id))
+        return df.join(broadcast_if_small(listed.select("_key_", "_id_")), same, how)
+
+    first = without(docs, judged.filter("NOT _stays_"))
+    # only rows with a repeated id, or classes without ids, leave several
+    several = judged.filter("_stays_ AND _n_ > 0").groupBy("_class_").agg(F.sum("_rows_").alias("n")).filter("n > 1").select("_class_")
+    several = materialize(judged.filter("_stays_").join(several, "_class_", "left_semi"), "several")
+    if not several.limit(1).count():
+        return first
     order = Window.partitionBy("_class_").orderBy(F.xxhash64(*docs.columns))
-    rest = first.join(several, "_class_", "left_semi").withColumn("_place_", F.row_number().over(order)).filter("_place_ = 1")
-    return first.join(several, "_class_", "left_anti").select(docs.columns).unionByName(rest.select(docs.columns))
+    marked = docs.withColumn("_text_key_", key).join(
+        several.select("_key_", "_id_", "_class_"), (F.col("_key_") == F.col("_text_key_")) & F.col("_id_").eqNullSafe(F.col(doc_id))
+    )
+    chosen = marked.withColumn("_place_", F.row_number().over(order)).filter("_place_ = 1")
+    return without(first, several).unionByName(chosen.select(docs.columns))

@@ -30,8 +30,7 @@ SPACED_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     least AS (SELECT reach.a AS r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.b GROUP BY 1)
     SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d JOIN least USING (r) LEFT JOIN n USING (r)""")
 def op1_jaccard_classes(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    return jaccard.near_duplicate_classes(docs).drop("text")
+    return jaccard.near_duplicate_classes(table(spark, folder, "documents"), keep=["doc_id"])
 
 
 WORDS_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
