@@ -26,7 +26,7 @@ WORDS = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
-REMEMBERED_WORDS, REMEMBERED_PAIRS, LONGEST_REMEMBERED = 700_000, 1_000_000, 64
+REMEMBERED_WORDS, REMEMBERED_PAIRS, LONGEST_REMEMBERED = 400_000, 400_000, 64
 SHORT, NEVER = 64, 1 << 62
 
 
@@ -77,6 +77,10 @@ class ByteBpe:
         self.fits: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
 
+    def forget(self) -> None:
+        """Free the memory of what was learned about words and pairs."""
+        self.known, self.fits = {}, {}
+
     def merge(self, word: bytes) -> list[int]:
         """Exact encoding of a word: again and again the pair of lowest rank, leftmost first."""
         if len(word) > SHORT:
@@ -203,7 +207,7 @@ class ByteBpe:
 
 
 def codec_of(vocabulary: str) -> ByteBpe:
-    """The codec of a file, kept as long as the Python worker lives, with the words it knows."""
+    """The codec of a file, kept as long as the Python worker lives, without the words it knows."""
     kept = sys.__dict__.setdefault("_paperlane_codecs", {})
     if vocabulary not in kept:
         kept[vocabulary] = ByteBpe(vocabulary)
@@ -230,7 +234,7 @@ def round_trip(
 
         return work
 
-    return map_texts(df, text, {ids: "array<int>", decoded: "string"}, start, keep)
+    return map_texts(df, text, {ids: "array<int>", decoded: "string"}, start, keep, lambda: codec_of(vocabulary).forget())
 
 
 def round_trip_digests(df: DataFrame, text: str, vocabulary: str, keep: Sequence[str] | None = None) -> DataFrame:
@@ -251,4 +255,4 @@ def round_trip_digests(df: DataFrame, text: str, vocabulary: str, keep: Sequence
         return work
 
     added = {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}
-    return map_texts(df, text, added, start, keep)
+    return map_texts(df, text, added, start, keep, lambda: codec_of(vocabulary).forget())

@@ -41,7 +41,7 @@ from paperlane.session import materialize
 
 SHINGLE, PERCENT = 5, 75
 TEXT_PER_RANGE, LEAST_RANGES = 48 << 20, 16  # bytes of text whose prints one task of the filter compares
-SLICE_BYTES = 1 << 24
+SLICE_BYTES = 1 << 22
 LONG_LIST, LONG_LISTS = 32, 100_000  # lists at least so long, and so many of them, are put last
 BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 18  # of a meeting, in one block
 SHORT, COLUMNS = 16, 1024  # lists whose pairs are counted one by one; long lists probed at once
@@ -69,12 +69,12 @@ def least_overlap(n: int, percent: int) -> int:
 def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[tuple[list[bytes], list[bytes]]]:
     """Keys and lowered texts of a batch of (key, text) without repeated keys, in groups of bounded size."""
     keys, texts, total, seen = [], [], 0, set()
-    for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+    for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
         if key in seen:
             continue
         seen.add(key)
         keys.append(key)
-        texts.append(lowered(text))
+        texts.append(lowered(text.as_py()))
         total += len(texts[-1])
         if total >= size:
             yield keys, texts
@@ -181,7 +181,7 @@ def sets_of(texts: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = WordHasher(), set()
         for batch in batches:
-            for keys, group in slices(batch, 1 << 22):
+            for keys, group in slices(batch):
                 rows = [(k, s) for k, s in zip(keys, shingle_sets(group, hasher, words), strict=True) if k not in seen]
                 seen.update(k for k, _ in rows)
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for _, s in rows]

@@ -24,6 +24,7 @@ UNKNOWN = "und"
 UNIT = 1 << 20  # profiles add whole numbers, so the order of addition does not matter
 BLOCK_DOCUMENTS, BLOCK_CHARS, BLOCK_GRAMS = 64, 1 << 19, 4096
 TABLE = 1 << 22
+SLICE_ROWS = 512
 MAX_LANGUAGES = 10_000
 
 
@@ -122,7 +123,7 @@ def profiles(labelled: DataFrame, text: str, label: str, dimensions: int = DIMEN
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiler, sums = Profiler(dimensions, order), {}
-        for batch in batches:
+        for batch in (b.slice(i, SLICE_ROWS) for b in batches for i in range(0, b.num_rows, SLICE_ROWS)):
             names = batch.column(1).to_pylist()
             for start, vectors, known in profiler(batch.column(0).to_pylist()):
                 whole = np.rint(vectors * UNIT).astype(np.int64)

@@ -176,9 +176,9 @@ def pack_texts(kept: Sequence[str]) -> Callable:
         for batch in batches:
             at, size, texts = 0, 0, []
             train = np.array(batch.column(batch.num_columns - 1).to_pylist(), dtype=bool)
-            column = batch.column(batch.num_columns - 2).to_pylist()
+            column = batch.column(batch.num_columns - 2)
             for i, text in enumerate(column):
-                texts.append(lowered(text))
+                texts.append(lowered(text.as_py()))
                 size += len(texts[-1])
                 if size < PACK_BYTES and i < len(column) - 1:
                     continue

@@ -34,7 +34,7 @@ from paperlane.session import materialize
 LENGTH = 200
 CHUNK = 1 << 20
 PLACE = np.uint64(0xFFFFFF)
-SLICE_BYTES = 1 << 24
+SLICE_BYTES = 1 << 23
 TEXT_PER_RANGE, LEAST_RANGES = 48 << 20, 16
 
 
@@ -127,11 +127,11 @@ def text_slices(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[tuple
     """Keys and texts of batches of (key, text), each key once per task, in groups of bounded size."""
     keys, texts, total, seen = [], [], 0, set()
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             if key in seen:
                 continue
             seen.add(key)
-            raw = text.encode("utf-8", "surrogatepass")
+            raw = text.as_py().encode("utf-8", "surrogatepass")
             if len(raw) < least:
                 continue
             keys.append(key)

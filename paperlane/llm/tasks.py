@@ -52,13 +52,13 @@ def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
 
 def map_texts(
     df: DataFrame, text: str, added: dict[str, str], start: Callable[[], Callable[[list[str]], Sequence[Sequence]]],
-    keep: Sequence[str] | None = None,
+    keep: Sequence[str] | None = None, stop: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Add columns made from a text column, row by row, without a shuffle.
 
     ``start`` runs once per task and gives the function from a group of texts to the values of each
-    added column. ``keep`` names the columns that stay (all by default); added columns replace those
-    of the same name.
+    added column; ``stop`` runs when the task ends. ``keep`` names the columns that stay (all by
+    default); added columns replace those of the same name.
     """
     kept = columns_besides(df, added, keep)
     schema = schema_with(df.select(*kept), added)
@@ -68,12 +68,16 @@ def map_texts(
         from pyspark.sql.pandas.types import to_arrow_type
 
         work, arrow = start(), [to_arrow_type(t) for t in types]
-        for batch in batches:
-            at = 0
-            for group in slices(batch.column(batch.num_columns - 1).to_pylist()):
-                values = [pa.array(v, t) for v, t in zip(work(group), arrow, strict=True)]
-                part = batch.slice(at, len(group))
-                at += len(group)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *values], names=[*kept, *added])
+        try:
+            for batch in batches:
+                at = 0
+                for group in slices(x.as_py() for x in batch.column(batch.num_columns - 1)):
+                    values = [pa.array(v, t) for v, t in zip(work(group), arrow, strict=True)]
+                    part = batch.slice(at, len(group))
+                    at += len(group)
+                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], *values], names=[*kept, *added])
+        finally:
+            if stop is not None:
+                stop()
 
     return df.select(*kept, F.col(text).alias("_text_")).mapInArrow(run, schema)

@@ -43,6 +43,10 @@ class UnigramCounter:
         self.scores: list[float] = []
         self.counts: list[int] = []
 
+    def forget(self) -> None:
+        """Free the memory of what was learned about words."""
+        self.place, self.scores, self.counts = {}, [], []
+
     def best(self, text: str) -> tuple[float, int]:
         """Best score and its number of tokens."""
         n = len(text)
@@ -127,7 +131,7 @@ def read_pieces(path: str) -> tuple[dict[str, float], bool]:
 
 
 def counter_of(path: str) -> UnigramCounter:
-    """The counter of a file, kept as long as the Python worker lives, with the words it knows."""
+    """The counter of a file, kept as long as the Python worker lives, without the words it knows."""
     kept = sys.__dict__.setdefault("_paperlane_counters", {})
     if path not in kept:
         kept[path] = UnigramCounter(*read_pieces(path))
@@ -148,4 +152,4 @@ def token_counts(
         counter = counter_of(vocabulary)
         return lambda texts: list(zip(*((n, x) for x, n in map(counter, texts)), strict=True))
 
-    return map_texts(df, text, {count: "bigint", score: "double"}, start, keep)
+    return map_texts(df, text, {count: "bigint", score: "double"}, start, keep, lambda: counter_of(vocabulary).forget())
