@@ -51,8 +51,16 @@ def test_flatten_names_missing_parts(spark):
     rows = table(spark, [(None, "v"), ("name", "n")]).unionAll(
         table(spark, [("name", "dropped")]).withColumn("type", F.lit(None).cast("string"))
     )
-    row = op.flatten(rows, ["ext__", "ext__name"], ["ticket_uuid"], NAMES).first()
-    assert (row["ext__"], row["ext__name"]) == ("v", "n")
+    for pairs in (None, ["ext__", "ext__name"]):
+        wide = op.flatten(rows, ["ticket_uuid"], NAMES, pairs)
+        assert [c for c in wide.columns if c.startswith("ext__")] == ["ext__", "ext__name"]
+        row = wide.first()
+        assert (row["ext__"], row["ext__name"]) == ("v", "n")
+
+
+def test_flatten_keeps_attachments_without_a_pair(spark):
+    rows = table(spark, [("name", None)])
+    assert op.flatten(rows, ["ticket_uuid"], NAMES).first()["ext__name"] is None
 
 
 def test_winner_is_the_first_true_class(spark):
