@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from paperlane.llm.tasks import tune_batches
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -23,4 +25,6 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of a folder; the session is set up for long texts."""
+    tune_batches(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE_CHARS = 1 << 22
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 
 def slices(texts: Iterable[str | None], chars: int = SLICE_CHARS) -> Iterator[list[str]]:
@@ -38,16 +39,23 @@ def schema_with(df: DataFrame, added: dict[str, str]) -> T.StructType:
     return T.StructType([*df.schema.fields, *fields])
 
 
+def tune_batches(spark: SparkSession) -> SparkSession:
+    """Batches of fewer rows for Python tasks, as texts are long; a smaller setting stays."""
+    before = int(spark.conf.get(BATCH_SETTING))
+    if not 0 < before <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    return spark
+
+
 @contextmanager
 def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Smaller Arrow batches for the jobs run inside, where rows are long."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    """Arrow batches of so many rows for the jobs run inside."""
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(rows))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(BATCH_SETTING, before)
 
 
 def map_texts(
