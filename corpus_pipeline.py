@@ -14,22 +14,28 @@ from pyspark.sql import functions as F
 from paperlane.llm import bpe, decontamination, jaccard, langid, pii
 from paperlane.llm.queries import VOCABULARIES
 from paperlane.llm.registry import table
+from paperlane.llm.tasks import tune_batches
 from paperlane.session import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in no language: without a letter. A missing label is filled in, others stay."""
+    """Drop documents whose language stays unknown. A missing label is filled in, others stay.
+
+    Where no document has a label there is nothing to learn, and only those without a letter go.
+    """
+    tune_batches(spark)
     known = langid.profiles(docs, "text", "lang")
     found = langid.identify(docs, "text", known, out="_language_", score="_cosine_", keep=COLUMNS)
-    some = found.filter(F.col("text").rlike(r"\p{L}"))
+    some = found.filter(F.col("_language_") != langid.UNKNOWN if known else F.col("text").rlike(r"\p{L}"))
     guessed = F.when(F.col("_language_") != langid.UNKNOWN, F.col("_language_"))
     return some.withColumn("lang", F.coalesce("lang", guessed)).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates."""
+    tune_batches(spark)
     return jaccard.one_of_each(docs.select(*COLUMNS))
 
 
@@ -41,6 +47,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by its kind."""
+    tune_batches(spark)
     found = pii.detect(docs, "text", pii.learn(docs, "text"), spans="_spans_", masked="_masked_", keep=COLUMNS)
     masked = F.when(F.col("text").isNotNull(), F.col("_masked_")).alias("text")
     changed = found.select("doc_id", masked, "lang", "source", (F.size("_spans_") > 0).alias("changed"), "n_chars")
@@ -50,6 +57,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encode each text, and tell whether decoding gives it back."""
+    tune_batches(spark)
     found = bpe.round_trip(docs, "text", f"{VOCABULARIES}/byte_bpe_50k.json", ids="ids", decoded="_decoded_", keep=COLUMNS)
     same = F.col("_decoded_") == F.coalesce("text", F.lit(""))
     return found.select(*COLUMNS, F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
