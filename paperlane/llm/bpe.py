@@ -26,7 +26,7 @@ WORDS = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
-REMEMBERED_WORDS, REMEMBERED_PAIRS, LONGEST_REMEMBERED = 400_000, 400_000, 64
+REMEMBERED_WORDS, REMEMBERED_PAIRS, LONGEST_REMEMBERED = 300_000, 200_000, 64
 SHORT, NEVER = 64, 1 << 62
 
 
