@@ -1,19 +1,23 @@
 """Language-model scores from an n-gram trie in Elias-Fano form.
 
-Texts are packed into slices of some megabytes that hold each token as a small number. Two exchanges
-follow, each over ranges of a hash: words give their training counts and get the corpus count and a
-global number; word pairs give their training counts, and each range builds its part of the trie,
-answers the pairs asked about, and is gone. No task sees the whole model, and nothing of it passes
-through the driver.
-
-A part of the trie has two levels. The first lists its contexts (previous words) with a quantised
-weight for backing off, and, in Elias-Fano form, monotone pointers to their successors. The second is
-one Elias-Fano sequence of all successors, made monotone by the place of the context, with a
-quantised probability each. A pair is found by successor search relative to its context. The levels
-are memory-mapped from an unnamed file that ends with the task.
-
-Probabilities are smoothed towards single words: P(w | v) = c(v w) / (c(v) + M) + M / (c(v) + M) P(w)
-with P(w) = (c(w) + 1) / (N + V + 1). Both quantities of the pair are quantised to 8 bits.
+Texts are packed into slices of some megabytes that hold each token as a small number. Exchanges
+follow one after another, each over ranges of a hash: words give their training counts and get the
+corpus count and a global number; then the n-grams of each level, from pairs up to the order, give
+their training counts as (number of the context, number of the word), and each range builds its part
+of the trie, answers the n-grams asked about with their probability, count and number, and is gone
+before the next level. No task sees the whole model, and nothing of it passes through the driver.
+
+A part of a level lists its contexts (words, or n-grams one word shorter) and, in Elias-Fano form,
+monotone pointers to their successors, and one Elias-Fano sequence of all successors, made monotone by
+the place of the context, with a quantised probability each. An n-gram is found by successor search
+relative to its context. All are memory-mapped from an unnamed file that ends with the task.
+
+An n-gram is only asked about if training has its context. If no other slice mentions the context, all
+its successors are in the slice at hand, so they are counted there, with the same result.
+
+Probabilities are smoothed towards the shorter context: P(w | u v) = c(u v w) / (c(u v) + M) +
+M / (c(u v) + M) P(w | v), and so on down to P(w) = (c(w) + 1) / (N + V + 1). Both quantities of an
+n-gram are quantised to 8 bits. The first word of a text has just the start of the text as context.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperlane.llm.hashing import BASE, WordHasher, lowered, mix
-from paperlane.llm.tasks import columns_besides, rows_per_batch
+from paperlane.llm.tasks import columns_besides, rows_per_batch, shuffles_removed
 from paperlane.session import materialize
 
 END = np.uint64(0x1F83D9ABFB41BD6B)  # stands for the end of a text
@@ -144,7 +148,7 @@ class Trie:
     """Contexts and their successors."""
 
     def __init__(self, context: np.ndarray, word: np.ndarray, count: np.ndarray, seen: np.ndarray, weight: float):
-        """From distinct pairs, sorted, with their counts and the counts of their contexts."""
+        """From distinct n-grams, sorted, with their counts and the counts of their contexts."""
         self.contexts, first = np.unique(context, return_index=True)
         self.universe = int(word.max()) + 1 if len(word) else 1
         place = np.searchsorted(self.contexts, context)
@@ -152,22 +156,27 @@ class Trie:
         self.pointers = EliasFano(np.append(first, len(context)).astype(np.uint64), len(context) + 1)
         self.probability = mapped(quantise(count / (seen + weight)))
 
-    def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Levels of the pairs; 0 where the trie does not have a pair."""
+    def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Levels and places of the n-grams; level 0 where the trie does not have one."""
         if not len(self.contexts):
-            return np.zeros(len(word), dtype=np.uint8)
+            return np.zeros(len(word), dtype=np.uint8), np.zeros(len(word), dtype=np.int64)
         place = np.minimum(np.searchsorted(self.contexts, context), len(self.contexts) - 1)
         known = (self.contexts[place] == context) & (word < self.universe)
         wanted = place.astype(np.uint64) * np.uint64(self.universe) + np.where(known, word, np.uint64(0))
         at = self.words.successor(wanted)
         ends = self.pointers.get(place + 1).astype(np.int64)
         found = known & (at < ends) & self.words.holds(wanted, at)
-        return np.where(found, self.probability[np.minimum(at, len(self.probability) - 1)], 0).astype(np.uint8)
+        at = np.minimum(at, len(self.probability) - 1)
+        return np.where(found, self.probability[at], 0).astype(np.uint8), at
 
 
 PACK = "pack bigint, words binary, counts binary, tokens binary, lengths binary, train binary"
 
 
+def by_count(seen: np.ndarray) -> np.ndarray:
+    return np.argsort(-seen.astype(np.int64), kind="stable")
+
+
 def pack_texts(kept: Sequence[str]) -> Callable:
     """Slices of documents: their rows, distinct words with training counts, and tokens by number."""
 
@@ -189,8 +198,11 @@ def pack_texts(kept: Sequence[str]) -> Callable:
                 own = train[at : i + 1]
                 seen = np.bincount(local[np.repeat(own, lengths)], minlength=len(words))
                 rows = pa.StructArray.from_arrays([c.slice(at, i + 1 - at) for c in batch.columns[:-2]], names=list(kept))
+                # numbers by falling count are small, and take fewer bytes
+                often = np.empty(len(words), dtype=np.int64)
+                often[by_count(seen)] = np.arange(len(words))
                 values = (
-                    squeeze(words, rising=True), squeeze(seen), squeeze(local), squeeze(lengths), own.tobytes(),
+                    squeeze(words, rising=True), squeeze(seen), squeeze(often[local]), squeeze(lengths), own.tobytes(),
                 )
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([number]), *(pa.array([v], pa.binary()) for v in values), pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)],
@@ -247,37 +259,84 @@ def count_words(ranges: int) -> Callable:
 
 
 class Pack:
-    """A pack with the answers about its words."""
+    """A pack with the answers about its words, and its distinct n-grams of one level at a time."""
 
     def __init__(self, row: dict, ranges: int):
         words = unsqueeze(row["words"], rising=True)
         self.lengths = unsqueeze(row["lengths"]).astype(np.int64)
-        self.tokens = unsqueeze(row["tokens"]).astype(np.int64)
-        self.train = np.frombuffer(row["train"], dtype=bool)
+        self.tokens = by_count(unsqueeze(row["counts"]))[unsqueeze(row["tokens"]).astype(np.int64)]
+        self.train = np.repeat(np.frombuffer(row["train"], dtype=bool), self.lengths)
         self.counts, self.ids = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.uint64)
         answers = {a["range"]: a for a in row["answers"]}
         for r, some in split(word_range(words, ranges), ranges):
             self.counts[some] = unsqueeze(answers[r]["counts"])
             self.ids[some] = unsqueeze(answers[r]["ids"], rising=True)
-        end = int(np.searchsorted(words, END))
-        starts = np.cumsum(self.lengths) - self.lengths
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        # by the numbers of context and word, so that both come in order
+        self.order = np.argsort(self.ids, kind="stable")
+        self.rank = np.empty(len(words), dtype=np.int64)
+        self.rank[self.order] = np.arange(len(words))
         before = np.empty_like(self.tokens)
         before[1:] = self.tokens[:-1]
-        before[starts] = end
-        # by the numbers of context and word, so that both come in order
-        order = np.argsort(self.ids, kind="stable")
-        rank = np.empty(len(words), dtype=np.int64)
-        rank[order] = np.arange(len(words))
-        codes, self.which = np.unique(rank[before] * len(words) + rank[self.tokens], return_inverse=True)
-        self.context, self.word = order[codes // len(words)], order[codes % len(words)]
-        self.starts = starts
-
-    def pair_ranges(self, ranges: int, hot: int) -> Iterator[tuple[int, np.ndarray]]:
-        """Distinct pairs of each range; only the successors of hot contexts are spread."""
-        place = mix(self.ids[self.context])
-        spread = self.counts[self.context] > hot
-        place = np.where(spread, mix(place + self.ids[self.word] * np.uint64(BASE)), place)
-        return split((place % np.uint64(ranges)).astype(np.int64), ranges)
+        before[self.starts] = int(np.searchsorted(words, END))
+        self._after(self.rank[before], self.ids[self.order], self.counts[self.order], np.zeros(len(words), dtype=bool))
+
+    def _after(self, place: np.ndarray, ids: np.ndarray, counts: np.ndarray, alone: np.ndarray) -> None:
+        """Distinct n-grams, given the place of each token's context (-1 for none) among contexts by number."""
+        self.context_ids, self.context_counts, self.context_alone = ids, counts, alone
+        at = np.flatnonzero(place >= 0)
+        codes, which = np.unique(place[at] * len(self.order) + self.rank[self.tokens[at]], return_inverse=True)
+        self.which = np.full(len(self.tokens), -1)
+        self.which[at] = which
+        self.context, self.word = codes // len(self.order), self.order[codes % len(self.order)]
+        self.seen = np.bincount(which[self.train[at]], minlength=len(codes))
+
+    def by_range(self, ranges: int, hot: int) -> Iterator[tuple[int, np.ndarray]]:
+        """N-grams to ask each range about; only the successors of hot contexts are spread."""
+        asked = np.flatnonzero(~self.context_alone[self.context])
+        context = self.context[asked]
+        place = mix(self.context_ids[context])
+        spread = self.context_counts[context] > hot
+        place = np.where(spread, mix(place + self.ids[self.word[asked]] * np.uint64(BASE)), place)
+        for r, some in split((place % np.uint64(ranges)).astype(np.int64), ranges):
+            yield r, asked[some]
+
+    def learn(self, answers: Sequence[dict] | None, ranges: int, hot: int, weight: float) -> None:
+        """Take what the ranges say about the n-grams."""
+        own = self.context_alone[self.context]
+        p = self.seen / (self.context_counts[self.context] + weight)
+        self.level = np.where(own & (self.seen > 0), quantise(p), 0).astype(np.uint8)
+        self.count, self.alone, self.number = self.seen.astype(np.int64), own, np.zeros(len(own), dtype=np.uint64)
+        told = {a["range"]: a for a in answers or ()}
+        for r, some in self.by_range(ranges, hot):
+            a = told[r]
+            self.level[some] = np.frombuffer(a["levels"], dtype=np.uint8)
+            if a["alone"] is None:
+                continue
+            known = some[self.level[some] > 0]
+            alone = np.unpackbits(np.frombuffer(a["alone"], dtype=np.uint8), count=len(known)).astype(bool)
+            self.alone[known[alone]] = True
+            self.count[known[~alone]] = unsqueeze(a["counts"])
+            self.number[known[~alone]] = unsqueeze(a["numbers"], rising=True) * np.uint64(ranges) + np.uint64(r)
+
+    def deepen(self) -> None:
+        """Go on to n-grams one word longer, after those that training has."""
+        order = np.argsort(self.number, kind="stable")
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        before = np.empty_like(self.which)
+        before[1:] = self.which[:-1]
+        before[self.starts] = -1
+        # the last entry stands for tokens without an n-gram
+        place = np.append(np.where(self.level > 0, rank, -1), -1)[before]
+        self._after(place, self.number[order], self.count[order], self.alone[order])
+
+    def smooth(self, p: np.ndarray, weight: float) -> None:
+        """Turn the probability of each token after the shorter context into that of this level."""
+        at = np.flatnonzero(self.which >= 0)
+        gram = self.which[at]
+        back = restore(quantise(weight / (self.context_counts + weight)))
+        p[at] = restore(self.level)[gram] + back[self.context[gram]] * p[at]
 
 
 def packs_of(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[tuple[dict, Pack]]:
@@ -287,20 +346,22 @@ def packs_of(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[tuple[d
             yield row, Pack(row, ranges)
 
 
-def announce_pairs(ranges: int, hot: int) -> Callable:
+def announce_grams(n: int, ranges: int, hot: int, weight: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, pack in packs_of(batches, ranges):
-            seen = np.bincount(pack.which[np.repeat(pack.train, pack.lengths)], minlength=len(pack.word)).astype(np.uint32)
+            for shorter in range(2, n):
+                pack.learn(row[f"grams_{shorter}"], ranges, hot, weight)
+                pack.deepen()
             out: list[list] = [[] for _ in range(7)]
-            for r, some in pack.pair_ranges(ranges, hot):
-                # pairs are in order of their context
+            for r, some in pack.by_range(ranges, hot):
+                # n-grams are in order of their context
                 context = pack.context[some]
                 first = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
                 context = context[first]
-                counts = pack.counts[context]
+                counts = pack.context_counts[context]
                 for column, value in zip(out, (
-                    r, row["pack"], squeeze(pack.ids[context], rising=True), squeeze(np.where(counts > hot, counts, 0)),
-                    squeeze(np.diff(np.append(first, len(some)))), squeeze(pack.ids[pack.word[some]]), squeeze(seen[some]),
+                    r, row["pack"], squeeze(pack.context_ids[context], rising=True), squeeze(np.where(counts > hot, counts, 0)),
+                    squeeze(np.diff(np.append(first, len(some)))), squeeze(pack.ids[pack.word[some]]), squeeze(pack.seen[some]),
                 ), strict=True):
                     column.append(value)
             kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
@@ -309,9 +370,13 @@ def announce_pairs(ranges: int, hot: int) -> Callable:
     return run
 
 
-def answer_pairs(weight: float) -> Callable:
+def answer_grams(weight: float, last: bool) -> Callable:
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        """Build the part of the trie that lies in a range, and look up the pairs of all packs."""
+        """Build the part of a level that lies in a range, and look up the n-grams of all packs.
+
+        Unless the level is the last, those of the trie also get their place, from which their number
+        follows, and their count; of those that only one pack mentions it has the count already.
+        """
         runs = [unsqueeze(x).astype(np.int64) for x in group["runs"]]
         sizes = [int(x.sum()) for x in runs]
         context = np.concatenate([np.repeat(unsqueeze(x, rising=True), n) for x, n in zip(group["contexts"], runs, strict=True)])
@@ -319,39 +384,52 @@ def answer_pairs(weight: float) -> Callable:
         word = np.concatenate([unsqueeze(x) for x in group["words"]])
         count = np.concatenate([unsqueeze(x).astype(np.int64) for x in group["counts"]])
         order = np.lexsort((word, context))
-        order = order[count[order] > 0]
         c, w = context[order], word[order]
         new = np.ones(len(order), dtype=bool)
         new[1:] = (c[1:] != c[:-1]) | (w[1:] != w[:-1])
+        which = np.empty(len(order), dtype=np.int64)
+        which[order] = np.cumsum(new) - 1
         first = np.flatnonzero(new)
-        sums = np.add.reduceat(count[order], first) if len(first) else np.zeros(0, dtype=np.int64)
+        asked = c[first], w[first]
+        sums = np.add.reduceat(count[order], first)
+        alone = np.diff(np.append(first, len(order))) == 1
+        trained = sums > 0
+        first, sums, alone = first[trained], sums[trained], alone[trained]
         # a context is seen as often as all its successors; of a hot one only some are here, so it comes along
         contexts, place = np.unique(c[first], return_inverse=True)
         totals = np.bincount(place, weights=sums, minlength=len(contexts)).astype(np.int64)
-        told = seen[order][first]
+        told = seen[order[first]]
         trie = Trie(c[first], w[first], sums, np.where(told > 0, told, totals[place] if len(contexts) else 0), weight)
-        del order, c, w, new, seen, count
-        levels = np.split(trie.find(context, word), np.cumsum(sizes)[:-1])
-        return pd.DataFrame({"pack": group["pack"].to_numpy(), "range": group["range"].to_numpy(), "levels": [x.tobytes() for x in levels]})
+        del order, c, w, new, seen, count, context, word
+        found = pd.DataFrame({"pack": group["pack"].to_numpy(), "range": group["range"].to_numpy(), "levels": None, "alone": None, "numbers": None, "counts": None})
+        # each distinct n-gram is looked up once
+        answers = zip(*(np.split(x[which], np.cumsum(sizes)[:-1]) for x in trie.find(*asked)), strict=True)
+        rows = []
+        for level, at in answers:
+            at = at[level > 0]
+            single = alone[at]
+            more = (np.packbits(single).tobytes(), squeeze(at[~single], rising=True), squeeze(sums[at[~single]]))
+            rows.append((level.tobytes(), *((None,) * 3 if last else more)))
+        found[["levels", "alone", "numbers", "counts"]] = pd.DataFrame(rows, dtype=object)
+        return found
 
     return run
 
 
-def score_packs(ranges: int, hot: int, tokens: int, distinct: int, weight: float, kept: Sequence[str]) -> Callable:
+def score_packs(order: int, ranges: int, hot: int, tokens: int, distinct: int, weight: float, kept: Sequence[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows_at = batch.schema.get_field_index("rows")
             for i, (row, pack) in enumerate(packs_of([batch], ranges)):
-                answers = {a["range"]: a["levels"] for a in row["pairs"]}
-                level = np.zeros(len(pack.word), dtype=np.uint8)
-                for r, some in pack.pair_ranges(ranges, hot):
-                    level[some] = np.frombuffer(answers[r], dtype=np.uint8)
-                single = (pack.counts + 1) / (tokens + (distinct + 1))
-                back = restore(quantise(weight / (pack.counts + weight)))
-                pair = np.log10(restore(level) + back[pack.context] * single[pack.word])
+                single = ((pack.counts + 1) / (tokens + (distinct + 1)))[pack.tokens]
+                p = single.copy()
+                for n in range(2, order + 1):
+                    if n > 2:
+                        pack.deepen()
+                    pack.learn(row[f"grams_{n}"], ranges, hot, weight)
+                    pack.smooth(p, weight)
                 known = np.add.reduceat((pack.counts > 0)[pack.tokens].astype(np.int64), pack.starts)
-                base = np.add.reduceat(np.log10(single)[pack.tokens], pack.starts)
-                score = np.add.reduceat(pair[pack.which], pack.starts)
+                base, score = (np.add.reduceat(np.log10(x), pack.starts) for x in (single, p))
                 rows = batch.column(rows_at)[i].values
                 columns = [rows.field(k) for k in range(len(kept))]
                 made = [pack.lengths, known, np.full(len(known), tokens, dtype=np.int64), base, score]
@@ -364,16 +442,18 @@ ADDED = {"n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "b
 
 
 def score_texts(
-    docs: DataFrame, text: str, train: Column, keep: Sequence[str] | None = None, weight: float = WEIGHT,
+    docs: DataFrame, text: str, train: Column, keep: Sequence[str] | None = None, weight: float = WEIGHT, order: int = 2,
 ) -> DataFrame:
     """Add log10 probabilities of each whole text, learned from the rows where ``train`` holds.
 
-    Tokens are the words that white space parts, A-Z in lower case, and one end per text; a missing
+    ``order`` is the length of the longest n-grams, 2 or more. Tokens are the words that white space parts, A-Z in lower case, and one end per text; a missing
     or empty text is just its end. Added: ``n_tokens``, ``n_known`` (tokens seen in training),
     ``train_tokens`` (of the corpus), ``base_score`` (single words, add-one) and ``score`` (the trie).
     Columns of the same names are replaced. Rows are never merged, so repeated rows stay and each
     counts in training. Words are told apart by 64-bit hashes.
     """
+    if order < 2:
+        raise ValueError("the order is 2 at least")
     spark = docs.sparkSession
     kept = columns_besides(docs, ADDED, keep)
     names = [f"_{i}" for i in range(len(kept))]
@@ -384,7 +464,8 @@ def score_texts(
     kinds = T.StructType([*T.DataType.fromDDL(PACK).fields, T.StructField("rows", T.ArrayType(rows.select(*names).schema))])
     with rows_per_batch(spark, PACKS_PER_BATCH * 1024):
         packs = materialize(rows.mapInArrow(pack_texts(names), kinds), "packs")
-    with rows_per_batch(spark, PACKS_PER_BATCH):
+    # the files of an exchange go when the next table is written
+    with rows_per_batch(spark, PACKS_PER_BATCH), shuffles_removed(spark):
         told = packs.select("pack", "words", "counts").mapInArrow(announce_words(ranges), "range int, pack bigint, words binary, counts binary")
         answers = told.groupBy("range").applyInPandas(count_words(ranges), "pack bigint, range int, counts binary, ids binary, tokens bigint, distinct bigint")
         answers = materialize(answers, "words")
@@ -392,14 +473,24 @@ def score_texts(
         tokens, distinct = total["tokens"] or 0, total["distinct"] or 0
         hot = tokens // (HOT_SHARE * ranges) + 1
 
-        known = answers.groupBy("pack").agg(F.collect_list(F.struct("range", "counts", "ids")).alias("answers"))
-        facts = ["pack", "words", "tokens", "lengths", "train"]
-        full = packs.select(*facts, "rows").join(known, "pack")
-        kinds = "range int, pack bigint, contexts binary, seen binary, runs binary, words binary, counts binary"
-        told = packs.select(*facts).join(known, "pack").mapInArrow(announce_pairs(ranges, hot), kinds)
-        pairs = told.groupBy("range").applyInPandas(answer_pairs(weight), "pack bigint, range int, levels binary")
-        pairs = pairs.groupBy("pack").agg(F.collect_list(F.struct("range", "levels")).alias("pairs"))
+        facts = ["pack", "words", "counts", "tokens", "lengths", "train"]
+        known = [answers.groupBy("pack").agg(F.collect_list(F.struct("range", "counts", "ids")).alias("answers"))]
+
+        def with_answers(some: DataFrame) -> DataFrame:
+            # of longer n-grams, a pack may have none that others mention
+            for x in known:
+                some = some.join(x, "pack", "left")
+            return some
+
+        for n in range(2, order + 1):
+            kinds = "range int, pack bigint, contexts binary, seen binary, runs binary, words binary, counts binary"
+            told = with_answers(packs.select(*facts)).mapInArrow(announce_grams(n, ranges, hot, weight), kinds)
+            kinds = "pack bigint, range int, levels binary, alone binary, numbers binary, counts binary"
+            grams = told.groupBy("range").applyInPandas(answer_grams(weight, n == order), kinds)
+            grams = grams.groupBy("pack").agg(F.collect_list(F.struct("range", "levels", "alone", "numbers", "counts")).alias(f"grams_{n}"))
+            known.append(materialize(grams, f"grams_{n}"))
         kinds = T.StructType([*rows.select(*names).schema.fields, *(T.StructField(n, T.DataType.fromDDL(k)) for n, k in ADDED.items())])
-        scored = full.join(pairs, "pack").mapInArrow(score_packs(ranges, hot, tokens, distinct, weight, names), kinds)
+        full = with_answers(packs.select(*facts, "rows"))
+        scored = full.mapInArrow(score_packs(order, ranges, hot, tokens, distinct, weight, names), kinds)
         scored = materialize(scored, "scored")
     return scored.select(*(F.col(n).alias(c) for c, n in zip(kept, names, strict=True)), *ADDED)

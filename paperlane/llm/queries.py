@@ -161,4 +161,4 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def op9_ngram_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     docs = docs.withColumn("held_out", langid.held_out(F.col("doc_id"), 7, 2))
-    return ngramlm.score_texts(docs, "text", ~F.col("held_out"), keep=["doc_id", "held_out"])
+    return ngramlm.score_texts(docs, "text", ~F.col("held_out"), keep=["doc_id", "held_out"], order=3)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 SLICE_CHARS = 1 << 20
 BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def slices(texts: Iterable[str | None], chars: int = SLICE_CHARS) -> Iterator[list[str]]:
@@ -47,6 +48,17 @@ def tune_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """The files of shuffles are removed as soon as the query they belong to has ended."""
+    before = spark.conf.get(CLEANUP_SETTING)
+    spark.conf.set(CLEANUP_SETTING, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP_SETTING, before)
+
+
 @contextmanager
 def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
     """Arrow batches of so many rows for the jobs run inside."""

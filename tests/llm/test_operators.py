@@ -464,6 +464,46 @@ def test_small_ranges_and_hot_contexts(spark, monkeypatch):
     assert all(math.isclose(one[i], other[i], rel_tol=1e-12) for i in one)
 
 
+@pytest.mark.parametrize("order", [3, 4])
+def test_longer_contexts(spark, docs, nothing, monkeypatch, order):
+    train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2
+    rows = ngramlm.score_texts(docs, "text", train, keep=["doc_id", "text"], order=order).collect()
+    # several slices ask about the same n-grams, ranges are small, and contexts are spread
+    monkeypatch.setattr(ngramlm, "PACK_BYTES", 1 << 10)
+    monkeypatch.setattr(ngramlm, "LEAST_RANGES", 3)
+    monkeypatch.setattr(ngramlm, "HOT_SHARE", 100)
+    others = ngramlm.score_texts(docs, "text", train, keep=["doc_id", "text"], order=order).collect()
+    assert len(rows) == len(others) == len(TEXTS) + 2
+
+    def grams(row, n):
+        own = [None, *SPACES.findall(lower(row["text"])), None]
+        return [tuple(own[max(0, k + 1 - n) : k + 1]) for k in range(1, len(own))]
+
+    counts, single = Counter(), Counter()
+    for r in rows:
+        if r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 7 != 2:
+            single.update(g[-1] for g in grams(r, 1))
+            for n in range(2, order + 1):
+                counts.update(g for g in grams(r, n) if len(g) == n)
+    before = Counter()
+    for g, n in counts.items():
+        before[g[:-1]] += n
+    total, weight = sum(single.values()), ngramlm.WEIGHT
+
+    def p(gram):
+        if len(gram) == 1:
+            return (single[gram[0]] + 1) / (total + len(single) + 1)
+        return (counts[gram] + weight * p(gram[1:])) / (before[gram[:-1]] + weight)
+
+    for r in [*rows, *others]:
+        own = grams(r, order)
+        exact, pairs = (sum(math.log10(p(g)) for g in x) for x in (own, grams(r, 2)))
+        assert abs(r["score"] - exact) <= 0.04 * len(own)
+        if r["doc_id"] == 8:
+            assert abs(exact - pairs) > 0.04 * len(own)  # a model of pairs is told apart
+    assert ngramlm.score_texts(nothing, "text", train, order=order).count() == 0
+
+
 # 10
 
 
