@@ -7,6 +7,9 @@ save adders reduce the bitmaps of equal weight until one per digit of the sum is
 sums are then selected from the most significant digit downward; of the vectors on the boundary, all
 equal by then, the smallest ids are taken. Blocks of queries meet blocks of vectors, and only the
 best of each block go on.
+
+Vectors with large components lie in blocks of their own, which have up to 64 digits; where a sum
+could need more than 64 bits, it is put together as a Python integer.
 """
 
 from __future__ import annotations
@@ -25,13 +28,20 @@ from paperlane.session import materialize
 SCALE, TOP = 64, 20
 BLOCK_ROWS, LEAST_BLOCKS = 16_384, 8
 QUERY_ROWS, QUERIES_AT_ONCE = 256, 16
-LARGEST = 1 << 27  # larger components could overflow a sum of 64 bits
+LARGE = 1 << 27  # from here on components make a block with more digits, so they get blocks of their own
+LONG = 1 << 63
 
 
 def whole_numbers(vector: Column, scale: int) -> Column:
     """Components times ``scale``, rounded down; NULL for a vector that takes no part."""
-    good = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < LARGEST))
-    return F.when(good, F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("int")))
+    good = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+
+    def whole(x: Column) -> Column:
+        scaled = F.floor(x.cast("double") * scale)
+        fits = (x.cast("double") * scale >= float(-LONG)) & (x.cast("double") * scale < float(LONG))
+        return F.when(fits, scaled.cast("bigint")).otherwise(F.raise_error(F.lit("a component times the scale does not fit a long")).cast("bigint"))
+
+    return F.when(good, F.transform(vector, whole))
 
 
 def as_matrix(vectors) -> np.ndarray:
@@ -48,11 +58,12 @@ def build_block(group: pd.DataFrame) -> pd.DataFrame:
     group = group.sort_values("id")
     values = as_matrix(group["vector"].tolist())
     low = values.min(axis=0)
-    raised = values - low
+    # modulo 2^64, so that any difference of two longs is right
+    raised = values.view(np.uint64) - low.view(np.uint64)
     digits = max(1, int(raised.max(initial=0)).bit_length())
-    padded = np.zeros((-(-len(raised) // 64) * 64, raised.shape[1]), dtype=np.int64)
+    padded = np.zeros((-(-len(raised) // 64) * 64, raised.shape[1]), dtype=np.uint64)
     padded[: len(raised)] = raised
-    slices = [np.packbits((padded >> b & 1).astype(np.uint8).T, axis=1, bitorder="little") for b in range(digits)]
+    slices = [np.packbits((padded >> np.uint64(b) & np.uint64(1)).astype(np.uint8).T, axis=1, bitorder="little") for b in range(digits)]
     return pd.DataFrame({
         "block": [int(group["block"].iloc[0])], "ids": [group["id"].to_numpy(dtype=np.int64).tobytes()],
         "low": [low.tobytes()], "digits": [digits], "slices": [b"".join(s.tobytes() for s in slices)],
@@ -119,19 +130,26 @@ class Block:
         self.rows = np.packbits(everyone, bitorder="little").view(np.uint64)
 
     def search(self, ids: np.ndarray, queries: np.ndarray, top: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Per query its id, and the ids and scores of the highest vectors of the block."""
+        """Per query its id, and the ids and scores of the highest vectors of the block.
+
+        A score below all longs is None. One above all would be among the best, so it is an error.
+        """
         width = len(self.low)
         q = np.zeros((len(queries), width), dtype=np.int64)
         q[:, : min(width, queries.shape[1])] = queries[:, :width]
-        size, negative = np.abs(q), q < 0
+        size, negative = np.abs(q).view(np.uint64), q < 0
+        bits = max(1, int(size.max(initial=0)).bit_length())
+        low_bits = int(np.abs(self.low).view(np.uint64).max(initial=0)).bit_length()
+        wide = bits + max(self.digits, low_bits) + width.bit_length() > 61
+        number = object if wide else np.int64
         # sums count a raised component, and for a negative factor what it lacks of the largest number
-        offset = (q * self.low).sum(axis=1) - (size * negative).sum(axis=1) * ((1 << self.digits) - 1)
+        offset = (q.astype(number) * self.low.astype(number)).sum(axis=1)
+        offset = offset - (size.astype(number) * negative).sum(axis=1) * ((1 << self.digits) - 1)
         columns = []
-        bits = max(1, int(size.max(initial=0)).bit_length())
         for k in range(bits + self.digits - 1):
             chosen: list[list[int]] = [[] for _ in q]
             for i in range(max(0, k - self.digits + 1), min(bits, k + 1)):
-                for row, d in zip(*np.nonzero(size >> i & 1)):
+                for row, d in zip(*np.nonzero(size >> np.uint64(i) & np.uint64(1))):
                     chosen[row].append((k - i + negative[row, d] * self.digits) * width + d)
             most = max(map(len, chosen), default=0)
             index = np.full((len(q), most), len(self.bitmaps) - 1)
@@ -146,7 +164,11 @@ class Block:
             mine = [d[i] for d in digits]
             places = highest(mine, rows, top)
             word, bit = places // 64, (places % 64).astype(np.uint64)
-            scores = sum(((d[word] >> bit) & np.uint64(1)).astype(np.int64) << k for k, d in enumerate(mine)) + offset[i]
+            scores = sum(((d[word] >> bit) & np.uint64(1)).astype(number) * (1 << k) for k, d in enumerate(mine)) + offset[i]
+            if wide:
+                if max(scores, default=0) >= LONG:
+                    raise OverflowError(f"a score of the query {own} does not fit a long")
+                scores = np.array([x if x >= -LONG else None for x in scores], dtype=object)
             yield own, self.ids[places], scores
 
 
@@ -162,7 +184,7 @@ def search_pairs(top: int):
                     found = list(block.search(ids[some], queries[some], top))
                     owner = np.repeat([q for q, _, _ in found], [len(x) for _, x, _ in found])
                     names, scores = (np.concatenate([x[i] for x in found]) for i in (1, 2))
-                    columns = [pa.array(x.astype(np.int64)) for x in (owner, names, scores)]
+                    columns = [*(pa.array(x.astype(np.int64)) for x in (owner, names)), pa.array(scores, pa.int64())]
                     yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score"])
 
     return run
@@ -180,20 +202,32 @@ def top_inner_products(
 
     Components times ``scale`` are rounded down to whole numbers, products are exact. Returns
     ``query_id``, ``rank`` from 1, ``vec_id`` and ``score``; ties go to the smaller id. Rows without
-    an id, and vectors that are missing or hold a missing, infinite or undefined component, or one
-    whose whole number has more than 27 bits, take no part. Shorter vectors count as filled up with
-    zeros. Of repeated query ids the least vector asks; repeated other rows all answer.
+    an id, and vectors that are missing or hold a missing, infinite or undefined component, take no
+    part. A whole number or a score of the result that does not fit a long is an error. Shorter
+    vectors count as filled up with zeros. Of repeated query ids the least vector asks; repeated
+    other rows all answer.
     """
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), whole_numbers(F.col(vector), scale).alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     rows = rows.filter("id IS NOT NULL AND vector IS NOT NULL")
-    sizes = rows.agg(F.count("*").alias("n"), F.count_if("asks").alias("queries")).first()
-    blocks = max(LEAST_BLOCKS, -(-sizes["n"] // BLOCK_ROWS))
-    parts = max(1, -(-sizes["queries"] // QUERY_ROWS))
-
-    spread = rows.select((F.pmod(F.xxhash64("id", "vector"), F.lit(blocks))).cast("int").alias("block"), "id", "vector")
+    large = F.exists("vector", lambda x: (x >= LARGE) | (x <= -LARGE))
+    sizes = rows.agg(
+        F.count_if(~large).alias("n"), F.count_if(large).alias("large"),
+        F.count_if(F.col("asks") & ~large).alias("queries"), F.count_if(F.col("asks") & large).alias("large_queries"),
+    ).first()
+
+    def place(key: Column, usual: int, more: int) -> Column:
+        """Number of a group; those with large components come after the others."""
+        own = F.pmod(key, F.lit(usual))
+        return (F.when(large, usual + F.pmod(key, F.lit(more))).otherwise(own) if more else own).cast("int")
+
+    usual, more = max(LEAST_BLOCKS, -(-sizes["n"] // BLOCK_ROWS)), -(-sizes["large"] // BLOCK_ROWS)
+    some, others = max(1, -(-sizes["queries"] // QUERY_ROWS)), -(-sizes["large_queries"] // QUERY_ROWS)
+    blocks, parts = usual + more, some + others
+
+    spread = rows.select(place(F.xxhash64("id", "vector"), usual, more).alias("block"), "id", "vector")
     index = spread.groupBy("block").applyInPandas(build_block, "block int, ids binary, low binary, digits int, slices binary")
     asked = rows.filter("asks").groupBy("id").agg(F.min("vector").alias("vector"))
-    asked = asked.select(F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"), "id", "vector")
+    asked = asked.select(place(F.xxhash64("id"), some, others).alias("part"), "id", "vector")
     asked = asked.groupBy("part").applyInPandas(pack_queries, "part int, query_ids binary, queries binary")
     with rows_per_batch(vectors.sparkSession, 1):
         # every block of vectors goes to each part of the queries
@@ -202,4 +236,6 @@ def top_inner_products(
         found = pairs.select("ids", "low", "digits", "slices", "query_ids", "queries").mapInArrow(search_pairs(top), "query_id bigint, vec_id bigint, score bigint")
         found = materialize(found, "found")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
+    found = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+    fits = F.when(F.col("score").isNull(), F.raise_error(F.lit("a score does not fit a long")).cast("bigint")).otherwise(F.col("score"))
+    return found.select("query_id", "rank", "vec_id", fits.alias("score"))

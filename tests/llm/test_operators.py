@@ -299,6 +299,36 @@ def test_top_inner_products(spark):
     assert topk.top_inner_products(empty, F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_large_components(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(120)]
+    rows += [(i, [float(x) for x in rng.normal(size=4) * 10.0 ** rng.integers(5, 8)]) for i in range(120, 180)]
+    rows += [(180, [2.0**21, 0.0, 0.0, 0.0]), (181, [-(2.0**21), 0.0, 0.0, 0.0]), (182, [2.0**57 - 64, 0.0, 0.0, 0.0])]
+    rows = [(i, [0.0, *v[1:]] if i % 20 == 0 and i < 180 else v) for i, v in rows if i != 180] + [(200, [0.0, 0.0, 0.0, -(2.0**25)])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = topk.top_inner_products(table, F.col("vec_id") % 20 == 0, top=15)
+    whole = {i: [math.floor(64 * x) for x in v] for i, v in rows}
+    expected = set()
+    for q, a in whole.items():
+        if q % 20 == 0:
+            scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in whole.items() if i != q)[:15]
+            expected |= {(q, rank, i, -s) for rank, (s, i) in enumerate(scores, 1)}
+    assert any(i >= 120 for _, _, i, _ in expected)
+    assert {tuple(r) for r in found.collect()} == expected
+
+    def top(rows, n):
+        table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+        return [tuple(r) for r in topk.top_inner_products(table, F.col("vec_id") % 20 == 0, top=n).collect()]
+
+    # the ends of the range, and a score below it that is not among the best
+    ends = [(0, [2.0**25]), (1, [2.0**26 - 1]), (2, [-(2.0**26)]), (3, [-(2.0**40)])]
+    assert top(ends, 2) == [(0, 1, 1, 2**31 * (2**32 - 64)), (0, 2, 2, -(2**63))]
+    assert top([(0, [1 / 64]), (1, [-(2.0**57)])], 1) == [(0, 1, 1, -(2**63))]
+    for bad in ([(0, [2.0**30]), (1, [2.0**30])], [(0, [2.0**30]), (1, [-(2.0**30)])], [(0, [1.0]), (1, [1e300])]):
+        with pytest.raises(Exception, match="does not fit a long"):
+            top(bad, 2)
+
+
 # 6
 
 
