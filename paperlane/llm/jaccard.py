@@ -16,7 +16,9 @@ the short ones bring up.
    lowest set, so a set goes to few places, and no pairs are formed before they meet.
 4. *Probe.* A meeting is split into blocks of bounded size, and each two blocks are compared in one
    task: short lists count their pairs, long ones are probed for all sets at once, as columns of
-   0 and 1 whose product counts what two sets share. Only a spanning forest of the links goes on.
+   0 and 1 whose product counts what two sets share. A spanning forest of the links goes on to the
+   components. For the number of links, a pair that meets under several names counts under the lowest
+   one only, and each set gets one number for each two blocks; pairs are listed on demand.
 
 Shingles are 64-bit hashes. Documents with equal texts, and texts with equal sets, are one node.
 """
@@ -279,9 +281,15 @@ def forest(links: np.ndarray) -> np.ndarray:
     return root
 
 
-def compare(percent: int):
+def compare(percent: int, give: str = "forest"):
+    """Links between two blocks, or within one.
+
+    ``give`` is "forest" for a spanning forest (a, b); "counts" for that and, with b missing, the number n
+    of rows linked to each set a; "pairs" for all linked pairs (a, b) with their overlap n. Counts and pairs
+    leave out what also meets under a lower head.
+    """
+
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        """Spanning forest of the links between two blocks, or within one."""
         nodes = group["node"].to_numpy(dtype=np.int64)
         sets = group["shingles"].tolist()
         sizes = np.array([len(s) for s in sets])
@@ -293,22 +301,61 @@ def compare(percent: int):
         values = np.concatenate(sets)
         overlap = shared_counts(values, np.repeat(left, sizes), np.repeat(right, sizes), (len(one), len(two)))
         linked = 100 * overlap >= percent * (sizes[one][:, None] + sizes[two][None, :] - overlap)
+        if give != "forest":
+            head = int(group["head"].iloc[0])
+            lower = [h[h < head] for h in group["heads"]]
+            numbers = [len(h) for h in lower]
+            counted = linked.copy()
+            if any(numbers):
+                counted &= shared_counts(np.concatenate(lower), np.repeat(left, numbers), np.repeat(right, numbers), linked.shape) == 0
+            if within:
+                np.fill_diagonal(counted, False)
+        if give == "pairs":
+            i, j = np.nonzero(np.triu(counted) if within else counted)
+            return pd.DataFrame({"a": nodes[one[i]], "b": nodes[two[j]], "n": overlap[i, j].astype(np.int64)})
         links = np.zeros((len(sets), len(sets)), dtype=bool)
         links[np.ix_(one, two)] = linked
         links |= links.T
         root = forest(links)
         child = np.flatnonzero(root != np.arange(len(root)))
-        return pd.DataFrame({"a": nodes[child], "b": nodes[root[child]]})
+        found = pd.DataFrame({"a": nodes[child], "b": nodes[root[child]]})
+        if give == "forest":
+            return found
+        n, weights = np.zeros(len(sets), dtype=np.int64), group["weight"].to_numpy(dtype=np.int64)
+        n[one] += counted @ weights[two]
+        if not within:
+            n[two] += weights[one] @ counted
+        some = np.flatnonzero(n)
+        counts = pd.DataFrame({"a": nodes[some], "n": n[some]})
+        return pd.concat([found.astype("Int64"), counts.astype("Int64")]).reindex(columns=["a", "b", "n"]).astype("Int64")
 
     return run
 
 
-def classes(sets: DataFrame, percent: int) -> DataFrame:
-    """``node`` and ``root`` (the lowest node of its component) for every set."""
-    pairs = block_pairs(meetings(merged_lists(sets, percent)))
-    compared = pairs.join(sets.select("node", "shingles"), "node").groupBy("head", "low", "high")
-    joined = components(compared.applyInPandas(compare(percent), "a bigint, b bigint"))
-    return sets.select("node").join(joined, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+def meeting_blocks(sets: DataFrame, percent: int, weights: DataFrame | None = None):
+    """The sets of each two blocks that are compared; with all heads of a set if ``weights`` are given."""
+    met = meetings(merged_lists(sets, percent))
+    facts = sets.select("node", "shingles")
+    if weights is not None:
+        facts = facts.join(met.groupBy("node").agg(F.collect_list("head").alias("heads")), "node").join(weights, "node")
+    return block_pairs(met).join(facts, "node").groupBy("head", "low", "high")
+
+
+def classes(sets: DataFrame, percent: int, weights: DataFrame | None = None) -> DataFrame:
+    """``node`` and ``root`` (the lowest node of its component) for every set.
+
+    ``weights`` has the number of rows (``weight``) of each node; with it, ``links`` is the number of
+    other rows that a row of the node is linked with.
+    """
+    blocks = meeting_blocks(sets, percent, weights)
+    if weights is None:
+        joined = components(blocks.applyInPandas(compare(percent), "a bigint, b bigint"))
+        return sets.select("node").join(joined, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    found = materialize(blocks.applyInPandas(compare(percent, "counts"), "a bigint, b bigint, n bigint"), "links")
+    joined = components(found.filter("b IS NOT NULL").select("a", "b"))
+    counts = found.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
+    links = F.coalesce("n", F.lit(0)) + F.col("weight") - 1
+    return weights.join(joined, "node", "left").join(counts, "node", "left").select("node", F.coalesce("root", "node").alias("root"), links.alias("links"))
 
 
 def text_key(text: str) -> Column:
@@ -316,8 +363,8 @@ def text_key(text: str) -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
 
 
-def classes_by_text(docs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
-    """Per distinct text its key, the size of its set, the smallest id of its class and the class's name."""
+def stored_sets(docs: DataFrame, text: str, words: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sizes of the sets of distinct texts; the node of each that may have a partner; the sets of the nodes."""
     key = text_key(text)
     texts = docs.filter(F.col(text).isNotNull()).select(key.alias("key"), F.col(text).alias("text"))
 
@@ -332,37 +379,73 @@ def classes_by_text(docs: DataFrame, doc_id: str, text: str, words: int, percent
     node = F.conv(F.hex(F.substring("digest", at, 8)), 16, -10).cast("bigint")
     stored = stored.withColumn("node", node)
     sets = materialize(stored.select("node", "shingles").dropDuplicates(["node"]), "nodes")
-    rooted = classes(sets, percent)
+    return facts, stored.select("key", "node").distinct(), sets
+
 
-    low = materialize(docs.select(key.alias("key"), F.col(doc_id).alias("id")).groupBy("key").agg(F.min("id").alias("low")), "low")
-    members = stored.select("key", "node").distinct().join(rooted, "node").join(low, "key").select("key", "root", "low")
+def classes_by_text(docs: DataFrame, doc_id: str, text: str, words: int, percent: int, links: bool = False) -> DataFrame:
+    """Per distinct text its key, the size of its set, the smallest id of its class and the class's name.
+
+    With ``links`` also the number of other rows that a row of the text is linked with.
+    """
+    key = text_key(text)
+    facts, stored, sets = stored_sets(docs, text, words, percent)
+    low = materialize(docs.select(key.alias("key"), F.col(doc_id).alias("id")).groupBy("key").agg(F.min("id").alias("low"), F.count("*").alias("copies")), "low")
+    weights = None
+    if links:
+        weights = materialize(stored.join(low, "key").groupBy("node").agg(F.sum("copies").alias("weight")), "weights")
+    rooted = classes(sets, percent, weights)
+
+    counted = ["links"] if links else []
+    members = stored.join(rooted, "node").join(low, "key").select("key", "root", "low", *counted)
     members = materialize(members, "members")
     lowest = materialize(members.groupBy("root").agg(F.min("low").alias("lowest"), F.min("key").alias("first")), "lowest")
-    named = members.join(lowest, "root").select("key", "lowest", "first")
+    named = members.join(lowest, "root").select("key", "lowest", "first", *counted)
     known = low.join(facts.select("key", "n"), "key", "left").join(named, "key", "left")
     known = known.select(
         F.col("key").alias("_key_"), F.coalesce("n", F.lit(0)).cast("long").alias("_n_"),
         F.when(F.col("first").isNull(), F.col("low")).otherwise(F.col("lowest")).alias("_component_"), F.coalesce("first", "key").alias("_class_"),
+        # a text without a partner is linked with its copies, if it has a word
+        *(F.when(F.col("n") > 0, F.coalesce(c, F.col("copies") - 1)).otherwise(F.lit(0)).cast("long").alias("_links_") for c in counted),
     )
     return materialize(known, "known")
 
 
 def near_duplicate_classes(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE, percent: int = PERCENT,
-    size: str = "n_shingles", component: str = "component_id", keep: Sequence[str] | None = None,
+    size: str = "n_shingles", component: str = "component_id", keep: Sequence[str] | None = None, links: str | None = "n_links",
 ) -> DataFrame:
-    """Add to each document the size of its shingle set and the smallest id reachable by links.
+    """Add to each document the size of its shingle set, the smallest id reachable by links, and their number.
+
+    The number counts the other rows that the document itself is linked with, copies included; no
+    column is added, and links are not counted, if ``links`` is None.
 
     Words are what white space parts, with A-Z in lower case. A missing or empty text has no set and
     is linked with nothing: its component is its own id. Rows with the same text or the same set are
     linked, however many there are; a missing id never names a component that has another id. Columns
     named like the added ones are replaced.
     """
-    kept = columns_besides(docs, (size, component), keep)
-    known = classes_by_text(docs, doc_id, text, words, percent)
+    kept = columns_besides(docs, (size, component, *([links] if links else [])), keep)
+    known = classes_by_text(docs, doc_id, text, words, percent, links is not None)
     found = docs.select(*kept, text_key(text).alias("_key_"), F.col(doc_id).alias("_id_")).join(known, "_key_", "left")
     named = F.when(F.col("_n_") > 0, F.col("_component_")).otherwise(F.col("_id_"))
-    return found.select(*kept, F.col("_n_").alias(size), named.alias(component))
+    return found.select(*kept, F.col("_n_").alias(size), named.alias(component), *([F.col("_links_").alias(links)] if links else []))
+
+
+def near_duplicate_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """All links between different sets: the smallest ids of both, and how many shingles they share.
+
+    Each pair is listed once, as ``low_id``, ``high_id`` and ``n_shared``; documents with equal sets stand
+    as one. In a group of near copies the number of pairs grows with the square of its size.
+    """
+    _, stored, sets = stored_sets(docs, text, words, percent)
+    ids = docs.select(text_key(text).alias("key"), F.col(doc_id).alias("id"))
+    ids = materialize(stored.join(ids, "key").groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("weight")), "ids")
+    pairs = meeting_blocks(sets, percent, ids.select("node", "weight")).applyInPandas(compare(percent, "pairs"), "a bigint, b bigint, n bigint")
+    for side in ("a", "b"):
+        pairs = pairs.join(ids.select(F.col("node").alias(side), F.col("id").alias(f"{side}_id")), side)
+    turned = F.col("b_id") < F.col("a_id")
+    low, high = F.when(turned, F.col("b_id")).otherwise(F.col("a_id")), F.when(turned, F.col("a_id")).otherwise(F.col("b_id"))
+    return pairs.select(low.alias("low_id"), high.alias("high_id"), F.col("n").alias("n_shared"))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

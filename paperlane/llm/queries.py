@@ -30,6 +30,12 @@ SPACED_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     least AS (SELECT reach.a AS r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.b GROUP BY 1)
     SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d JOIN least USING (r) LEFT JOIN n USING (r)""")
 def op1_jaccard_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicate_classes(table(spark, folder, "documents"), keep=["doc_id"], links=None)
+
+
+@query(SQL["op1_jaccard_classes"].rpartition("SELECT")[0] + """SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+    FROM d JOIN least USING (r) LEFT JOIN n USING (r) LEFT JOIN (SELECT a AS r, count(*) AS n_links FROM around GROUP BY a) USING (r)""")
+def op1_jaccard_links(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicate_classes(table(spark, folder, "documents"), keep=["doc_id"])
 
 

@@ -102,6 +102,41 @@ def test_jaccard_threshold_and_chains(spark):
     assert {r["component_id"] for r in found.filter("doc_id >= 10").collect()} == {10}
 
 
+def plain_links(rows):
+    """Number of rows linked with each, and the linked pairs of different sets by smallest id."""
+    sets = []
+    for _, t in rows:
+        w = SPACES.findall(lower(t))
+        sets.append(frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset())
+
+    def linked(x, y):
+        return bool(x and y) and 100 * len(x & y) >= 75 * len(x | y)
+
+    numbers = [sum(linked(x, y) for y in sets) - bool(x) for x in sets]
+    least = {x: min((i for (i, _), y in zip(rows, sets) if y == x and i is not None), default=None) for x in sets}
+    pairs = [(*sorted((least[x], least[y])), len(x & y)) for k, x in enumerate(least) for y in list(least)[:k] if linked(x, y)]
+    return sorted([(i, n) for (i, _), n in zip(rows, numbers)], key=repr), sorted(pairs, key=repr)
+
+
+def test_links(spark, docs, nothing, monkeypatch):
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    # copies, near copies that share lists of many heads, and chains
+    words = [f"w{i}" for i in range(90)]
+    near = [" ".join(words[k : k + 40]) for k in range(0, 40, 2) for _ in range(1 + k % 3)]
+    near += [" ".join([*words[:30], f"v{k}", *words[31:60]]) for k in range(60)]
+    many = spark.createDataFrame([*rows, *((100 + i, t) for i, t in enumerate(near))], "doc_id bigint, text string")
+    for blocks in (256, 7):
+        monkeypatch.setattr(jaccard, "BLOCK_SETS", blocks)
+        for table in (docs, many):
+            own = [(r["doc_id"], r["text"]) for r in table.collect()]
+            numbers, pairs = plain_links(own)
+            assert collected(jaccard.near_duplicate_classes(table).select("doc_id", "n_links")) == numbers
+            assert collected(jaccard.near_duplicate_pairs(table)) == pairs
+    assert sum(n for _, n in numbers) > 2 * len(pairs) > 2 * len(near)
+    assert jaccard.near_duplicate_classes(nothing).columns[-1] == "n_links"
+    assert jaccard.near_duplicate_pairs(nothing).count() == 0
+
+
 def test_one_of_each(docs):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     kept = [r["doc_id"] for r in jaccard.one_of_each(docs).collect()]
