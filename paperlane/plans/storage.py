@@ -64,12 +64,11 @@ def ocr_results(t: Tables) -> DataFrame:
 @query("""SELECT CAST(conv_id AS varchar) AS "messageId", role AS attachment FROM conversations""")
 def export_messages(t: Tables) -> DataFrame:
     base = new_work_path(t.spark, "exports")
-    message = F.struct(
+    messages = t("conversations").select(
         F.col("conv_id").cast("string").alias("messageId"), F.array(F.struct(F.col("role").alias("id"))).alias("attachments")
     )
-    parts = t("conversations").groupBy((F.col("conv_id") % 64).alias("part")).agg(F.to_json(F.collect_list(message)).alias("value"))
     for folder in ("export_1200", "log_1200"):
-        parts.write.partitionBy("part").text(f"{base}/2024_01_02/{folder}")
+        documents.write_exports(messages, f"{base}/2024_01_02/{folder}")
     found = documents.read_exports(t.spark, base, ["2024_01_02"])
     return found.select("messageId", F.explode("attachments.id").alias("attachment"))
 

@@ -12,6 +12,7 @@ from paperlane.functions.parse import BLOCK_TYPE, blocks_to_text, text_to_blocks
 from paperlane.sources.tables import location
 
 EXPORT_SCHEMA = "messageId string, attachments array<struct<id:string>>"
+EXPORT_ROWS = 10_000  # messages of a file
 
 
 def blocks_json(text: Column) -> Column:
@@ -57,6 +58,18 @@ def read_ocr_blocks(
     )
 
 
+def write_exports(messages: DataFrame, path: str, rows: int = EXPORT_ROWS) -> None:
+    """Files with a JSON array of at most ``rows`` messages each.
+
+    Messages are chunked as they lie in their partitions, so no file depends on a key, and there are
+    more files for more rows.
+    """
+    chunk = F.expr(f"monotonically_increasing_id() div {rows}")
+    numbered = messages.select(F.struct(*messages.columns).alias("message"), chunk.alias("chunk"))
+    arrays = numbered.groupBy("chunk").agg(F.to_json(F.collect_list("message")).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+
 def read_exports(spark: SparkSession, base: str, days: Sequence[str]) -> DataFrame:
     """Messages of all export files in the folders of the given days (yyyy_MM_dd).
 

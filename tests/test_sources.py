@@ -95,6 +95,19 @@ def test_exports(spark, tmp_path):
     assert found.select(F.explode("attachments.id")).count() == 3
 
 
+def test_exports_of_a_hot_message(spark, tmp_path):
+    messages = spark.range(2500, numPartitions=3).select(
+        F.lit("m1").alias("messageId"), F.array(F.struct(F.col("id").cast("string").alias("id"))).alias("attachments")
+    )
+    documents.write_exports(messages, str(tmp_path / "2024_01_02" / "export_1"), rows=100)
+    sizes = [len(json.loads(x.read_text())) for x in tmp_path.glob("*/*/part-*")]
+    assert max(sizes) <= 100 and sum(sizes) == 2500
+    found = documents.read_exports(spark, str(tmp_path), ["2024_01_02"]).select("messageId", F.explode("attachments.id").alias("id"))
+    assert found.distinct().count() == found.count() == 2500
+    documents.write_exports(messages.limit(0), str(tmp_path / "2024_01_03" / "export_1"))
+    assert documents.read_exports(spark, str(tmp_path), ["2024_01_03"]).select(F.explode("attachments")).count() == 0
+
+
 @pytest.fixture(scope="module")
 def learned(spark):
     rows = [(i, f"{'alpha beta' if i % 2 else 'gamma delta'} word{i % 5}", float(i % 2)) for i in range(120)]
