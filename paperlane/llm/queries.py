@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlane.llm import bpe, decontamination, jaccard, langid, ngramlm, pii, repeats, topk, unigram, urls
+from paperlane.llm import bpe, decontamination, jaccard, langid, mixing, ngramlm, pii, repeats, topk, unigram, urls
 from paperlane.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -168,3 +168,23 @@ def op9_ngram_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     docs = docs.withColumn("held_out", langid.held_out(F.col("doc_id"), 7, 2))
     return ngramlm.score_texts(docs, "text", ~F.col("held_out"), keep=["doc_id", "held_out"], order=3)
+
+
+SIZE_SQL = r"CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS bigint)"
+
+
+@query(f"""WITH d AS (SELECT doc_id, source, {SIZE_SQL} AS size,
+        CAST('0x' || substr(md5(coalesce(CAST(doc_id AS varchar), '') || ':' || coalesce(text, '') || ':42'), 1, 13) AS bigint) / CAST(4503599627370496 AS double) AS chance FROM documents),
+    s AS (SELECT source, CAST(sum(size) AS hugeint) AS size, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM d GROUP BY source),
+    o AS (SELECT *, sum(size) OVER () - 3 * coalesce(sum(size) OVER w, 0) AS words, sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS weights
+        FROM s WINDOW w AS (ORDER BY 6 * size // weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    level AS (SELECT words, weights FROM o WHERE words * weight <= 3 * size * weights ORDER BY weights DESC LIMIT 1),
+    t AS (SELECT source, CAST(size AS bigint) AS source_size, CASE WHEN words * weight > 3 * size * weights THEN CAST(3 * size AS double)
+        ELSE CAST(words * weight AS double) / CAST(weights AS double) END AS target FROM (SELECT source, size, weight FROM s), level),
+    r AS (SELECT *, CASE WHEN source_size > 0 THEN least(target / CAST(source_size AS double), 3) ELSE 0 END AS rate FROM t)
+    SELECT doc_id, d.size, source_size, target, d.size * CAST(floor(rate) + CASE WHEN chance < rate - floor(rate) THEN 1 ELSE 0 END AS bigint) AS taken
+    FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source""")
+def op11_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = mixing.repetitions(docs, "text", "source", ["doc_id", "text"], keep=["doc_id"])
+    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
