@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlane.llm import bpe, decontamination, jaccard, langid, mixing, ngramlm, pii, repeats, topk, unigram, urls
+from paperlane.llm import bpe, decontamination, divergence, jaccard, langid, mixing, ngramlm, pii, prefixes, repeats, topk, unigram, urls
 from paperlane.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -188,3 +188,52 @@ def op11_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = mixing.repetitions(docs, "text", "source", ["doc_id", "text"], keep=["doc_id"])
     return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+TERMS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(f"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {TERMS_SQL} AS w FROM documents),
+    t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+    kept AS (SELECT lang, term, CAST(count(*) AS hugeint) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+    c AS (SELECT lang, source, term, CAST(count(*) AS hugeint) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    totals AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+    langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+    p AS (SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000 * (coalesce(n, 0) + 5)) // (total + 5 * v) AS p,
+        1 + (1000000000 * (lang_n + 5)) // (lang_total + 5 * v) AS q
+        FROM totals JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+    sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f FROM p AS a JOIN p AS b USING (lang, term) GROUP BY a.lang, a.source, b.source),
+    found AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0) AS value FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN sums AS s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+        UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+    ranked AS (SELECT lang, source, part, item, CAST(value AS bigint) AS value,
+        CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS int) AS rank FROM found)
+    SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50""")
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+# CRC-32 of the digits of a number, bit by bit
+CRC_SQL = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST({0} AS varchar), ''), lambda x: CAST(ord(x) AS bigint))),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+@query(f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+    o AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || ':' || text)) AS own FROM t GROUP BY conv_id),
+    h AS (SELECT conv_id, own, {CRC_SQL.format("conv_id")} % 6 AS h FROM o),
+    c AS (SELECT h.conv_id, list_concat(coalesce(b.own, [])[1 : h.h], h.own[h.h + 1 :]) AS turns FROM h LEFT JOIN o AS b ON b.conv_id = h.conv_id - h.conv_id % 100),
+    p AS (SELECT conv_id, len(turns) AS n, d, md5(to_json(turns[1 : d])) AS k,
+        md5(to_json(turns[1 : d - 1])) AS parent, length(turns[d].text) AS chars FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM c)),
+    node AS (SELECT d, k, min(CASE WHEN d > 0 THEN parent END) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, max(coalesce(chars, 0)) AS chars,
+        sha256(coalesce(string_agg(CAST(conv_id AS varchar), ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends_sha256 FROM p GROUP BY d, k),
+    childs AS (SELECT d - 1 AS d, parent AS k, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1, 2),
+    whole AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN childs USING (d, k)),
+    -- each node lies on the path of its smallest conversation
+    sums AS (SELECT p.d, p.k, sum(CASE WHEN u.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((u.n_convs - 1) * u.chars) AS saved
+        FROM whole AS u JOIN p ON p.conv_id = u.conv_id AND p.d <= u.d GROUP BY p.d, p.k)
+    SELECT w.conv_id, w.d AS depth, up.conv_id AS parent_conv_id, w.n_convs, w.n_children, CAST(s.n_leaves AS bigint) AS n_leaves,
+        CAST(s.saved AS bigint) AS saved_tokens, w.ends_sha256
+    FROM whole AS w JOIN sums AS s USING (d, k) LEFT JOIN node AS up ON up.d = w.d - 1 AND up.k = w.parent""")
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixes.prefix_trie(table(spark, folder, "conversations"))
