@@ -16,12 +16,15 @@ An n-gram is only asked about if training has its context. If no other slice men
 its successors are in the slice at hand, so they are counted there, with the same result.
 
 Probabilities are smoothed towards the shorter context: P(w | u v) = c(u v w) / (c(u v) + M) +
-M / (c(u v) + M) P(w | v), and so on down to P(w) = (c(w) + 1) / (N + V + 1). Both quantities of an
-n-gram are quantised to 8 bits. The first word of a text has just the start of the text as context.
+M / (c(u v) + M) P(w | v), and so on down to P(w) = (c(w) + 1) / (N + V + 1). The share of an n-gram is
+quantised to 8 bits, rounded down and below 1; the rest of a context follows from its count. So what follows
+a context has at most a probability of 1 in all. The first word of a text has just the start of the
+text as context.
 """
 
 from __future__ import annotations
 
+import math
 import tempfile
 import zlib
 from collections.abc import Callable, Iterator, Sequence
@@ -40,22 +43,27 @@ from paperlane.session import materialize
 
 END = np.uint64(0x1F83D9ABFB41BD6B)  # stands for the end of a text
 WEIGHT = 4.0
-LOWEST, LEVELS = -9.0, 254
+LEVELS = 254
 PACK_BYTES = 1 << 22
 TEXT_PER_RANGE, LEAST_RANGES = 16 << 20, 16
 HOT_SHARE = 8  # a context with more than this part of a range's tokens is spread over ranges
 PACKS_PER_BATCH = 4
 
 
-def quantise(p: np.ndarray) -> np.ndarray:
-    """Levels 1 to 255 of a probability, even in its logarithm."""
-    level = np.rint((np.log10(np.maximum(p, 1e-300)) - LOWEST) / -LOWEST * LEVELS)
-    return (np.clip(level, 0, LEVELS) + 1).astype(np.uint8)
+def decades(tokens: int, weight: float) -> int:
+    """Powers of ten that the shares of n-grams take up, as none is below that of one token among all."""
+    return max(1, math.ceil(math.log10(tokens + weight + 1)))
 
 
-def restore(level: np.ndarray) -> np.ndarray:
-    """Probability of a level; level 0 stands for none."""
-    table = np.concatenate([[0.0], 10 ** (LOWEST - LOWEST * np.arange(LEVELS + 1) / LEVELS)])
+def quantise(p: np.ndarray, span: int) -> np.ndarray:
+    """Levels 1 to 254 of a share below 1, even in its logarithm, rounded down."""
+    level = np.floor((np.log10(np.maximum(p, 1e-300)) + span) / span * LEVELS)
+    return (np.clip(level, 0, LEVELS - 1) + 1).astype(np.uint8)
+
+
+def restore(level: np.ndarray, span: int) -> np.ndarray:
+    """Share of a level; level 0 stands for none."""
+    table = np.concatenate([[0.0], 10 ** (span * np.arange(LEVELS) / LEVELS - span)])
     return table[level]
 
 
@@ -147,14 +155,14 @@ class EliasFano:
 class Trie:
     """Contexts and their successors."""
 
-    def __init__(self, context: np.ndarray, word: np.ndarray, count: np.ndarray, seen: np.ndarray, weight: float):
+    def __init__(self, context: np.ndarray, word: np.ndarray, count: np.ndarray, seen: np.ndarray, weight: float, span: int):
         """From distinct n-grams, sorted, with their counts and the counts of their contexts."""
         self.contexts, first = np.unique(context, return_index=True)
         self.universe = int(word.max()) + 1 if len(word) else 1
         place = np.searchsorted(self.contexts, context)
         self.words = EliasFano(place.astype(np.uint64) * np.uint64(self.universe) + word, max(1, len(self.contexts)) * self.universe)
         self.pointers = EliasFano(np.append(first, len(context)).astype(np.uint64), len(context) + 1)
-        self.probability = mapped(quantise(count / (seen + weight)))
+        self.probability = mapped(quantise(count / (seen + weight), span))
 
     def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Levels and places of the n-grams; level 0 where the trie does not have one."""
@@ -301,11 +309,11 @@ class Pack:
         for r, some in split((place % np.uint64(ranges)).astype(np.int64), ranges):
             yield r, asked[some]
 
-    def learn(self, answers: Sequence[dict] | None, ranges: int, hot: int, weight: float) -> None:
+    def learn(self, answers: Sequence[dict] | None, ranges: int, hot: int, weight: float, span: int) -> None:
         """Take what the ranges say about the n-grams."""
         own = self.context_alone[self.context]
         p = self.seen / (self.context_counts[self.context] + weight)
-        self.level = np.where(own & (self.seen > 0), quantise(p), 0).astype(np.uint8)
+        self.level = np.where(own & (self.seen > 0), quantise(p, span), 0).astype(np.uint8)
         self.count, self.alone, self.number = self.seen.astype(np.int64), own, np.zeros(len(own), dtype=np.uint64)
         told = {a["range"]: a for a in answers or ()}
         for r, some in self.by_range(ranges, hot):
@@ -331,12 +339,12 @@ class Pack:
         place = np.append(np.where(self.level > 0, rank, -1), -1)[before]
         self._after(place, self.number[order], self.count[order], self.alone[order])
 
-    def smooth(self, p: np.ndarray, weight: float) -> None:
+    def smooth(self, p: np.ndarray, weight: float, span: int) -> None:
         """Turn the probability of each token after the shorter context into that of this level."""
         at = np.flatnonzero(self.which >= 0)
         gram = self.which[at]
-        back = restore(quantise(weight / (self.context_counts + weight)))
-        p[at] = restore(self.level)[gram] + back[self.context[gram]] * p[at]
+        back = weight / (self.context_counts + weight)
+        p[at] = restore(self.level, span)[gram] + back[self.context[gram]] * p[at]
 
 
 def packs_of(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[tuple[dict, Pack]]:
@@ -346,11 +354,11 @@ def packs_of(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[tuple[d
             yield row, Pack(row, ranges)
 
 
-def announce_grams(n: int, ranges: int, hot: int, weight: float) -> Callable:
+def announce_grams(n: int, ranges: int, hot: int, weight: float, span: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, pack in packs_of(batches, ranges):
             for shorter in range(2, n):
-                pack.learn(row[f"grams_{shorter}"], ranges, hot, weight)
+                pack.learn(row[f"grams_{shorter}"], ranges, hot, weight, span)
                 pack.deepen()
             out: list[list] = [[] for _ in range(7)]
             for r, some in pack.by_range(ranges, hot):
@@ -370,7 +378,7 @@ def announce_grams(n: int, ranges: int, hot: int, weight: float) -> Callable:
     return run
 
 
-def answer_grams(weight: float, last: bool) -> Callable:
+def answer_grams(weight: float, span: int, last: bool) -> Callable:
     def run(group: pd.DataFrame) -> pd.DataFrame:
         """Build the part of a level that lies in a range, and look up the n-grams of all packs.
 
@@ -399,7 +407,7 @@ def answer_grams(weight: float, last: bool) -> Callable:
         contexts, place = np.unique(c[first], return_inverse=True)
         totals = np.bincount(place, weights=sums, minlength=len(contexts)).astype(np.int64)
         told = seen[order[first]]
-        trie = Trie(c[first], w[first], sums, np.where(told > 0, told, totals[place] if len(contexts) else 0), weight)
+        trie = Trie(c[first], w[first], sums, np.where(told > 0, told, totals[place] if len(contexts) else 0), weight, span)
         del order, c, w, new, seen, count, context, word
         found = pd.DataFrame({"pack": group["pack"].to_numpy(), "range": group["range"].to_numpy(), "levels": None, "alone": None, "numbers": None, "counts": None})
         # each distinct n-gram is looked up once
@@ -416,7 +424,7 @@ def answer_grams(weight: float, last: bool) -> Callable:
     return run
 
 
-def score_packs(order: int, ranges: int, hot: int, tokens: int, distinct: int, weight: float, kept: Sequence[str]) -> Callable:
+def score_packs(order: int, ranges: int, hot: int, tokens: int, distinct: int, weight: float, span: int, kept: Sequence[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows_at = batch.schema.get_field_index("rows")
@@ -426,8 +434,8 @@ def score_packs(order: int, ranges: int, hot: int, tokens: int, distinct: int, w
                 for n in range(2, order + 1):
                     if n > 2:
                         pack.deepen()
-                    pack.learn(row[f"grams_{n}"], ranges, hot, weight)
-                    pack.smooth(p, weight)
+                    pack.learn(row[f"grams_{n}"], ranges, hot, weight, span)
+                    pack.smooth(p, weight, span)
                 known = np.add.reduceat((pack.counts > 0)[pack.tokens].astype(np.int64), pack.starts)
                 base, score = (np.add.reduceat(np.log10(x), pack.starts) for x in (single, p))
                 rows = batch.column(rows_at)[i].values
@@ -442,7 +450,7 @@ ADDED = {"n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "b
 
 
 def score_texts(
-    docs: DataFrame, text: str, train: Column, keep: Sequence[str] | None = None, weight: float = WEIGHT, order: int = 2,
+    docs: DataFrame, text: str, train: Column, keep: Sequence[str] | None = None, weight: float = WEIGHT, order: int = 3,
 ) -> DataFrame:
     """Add log10 probabilities of each whole text, learned from the rows where ``train`` holds.
 
@@ -471,7 +479,7 @@ def score_texts(
         answers = materialize(answers, "words")
         total = answers.agg(F.sum("tokens").alias("tokens"), F.sum("distinct").alias("distinct")).first()
         tokens, distinct = total["tokens"] or 0, total["distinct"] or 0
-        hot = tokens // (HOT_SHARE * ranges) + 1
+        hot, span = tokens // (HOT_SHARE * ranges) + 1, decades(tokens, weight)
 
         facts = ["pack", "words", "counts", "tokens", "lengths", "train"]
         known = [answers.groupBy("pack").agg(F.collect_list(F.struct("range", "counts", "ids")).alias("answers"))]
@@ -484,13 +492,13 @@ def score_texts(
 
         for n in range(2, order + 1):
             kinds = "range int, pack bigint, contexts binary, seen binary, runs binary, words binary, counts binary"
-            told = with_answers(packs.select(*facts)).mapInArrow(announce_grams(n, ranges, hot, weight), kinds)
+            told = with_answers(packs.select(*facts)).mapInArrow(announce_grams(n, ranges, hot, weight, span), kinds)
             kinds = "pack bigint, range int, levels binary, alone binary, numbers binary, counts binary"
-            grams = told.groupBy("range").applyInPandas(answer_grams(weight, n == order), kinds)
+            grams = told.groupBy("range").applyInPandas(answer_grams(weight, span, n == order), kinds)
             grams = grams.groupBy("pack").agg(F.collect_list(F.struct("range", "levels", "alone", "numbers", "counts")).alias(f"grams_{n}"))
             known.append(materialize(grams, f"grams_{n}"))
         kinds = T.StructType([*rows.select(*names).schema.fields, *(T.StructField(n, T.DataType.fromDDL(k)) for n, k in ADDED.items())])
         full = with_answers(packs.select(*facts, "rows"))
-        scored = full.mapInArrow(score_packs(order, ranges, hot, tokens, distinct, weight, names), kinds)
+        scored = full.mapInArrow(score_packs(order, ranges, hot, tokens, distinct, weight, span, names), kinds)
         scored = materialize(scored, "scored")
     return scored.select(*(F.col(n).alias(c) for c, n in zip(kept, names, strict=True)), *ADDED)

@@ -497,7 +497,7 @@ def test_elias_fano():
 
 def test_scores(docs, nothing):
     train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2
-    rows = ngramlm.score_texts(docs, "text", train, keep=["doc_id", "text", "score"]).collect()
+    rows = ngramlm.score_texts(docs, "text", train, keep=["doc_id", "text", "score"], order=2).collect()
     assert len(rows) == len(TEXTS) + 2
 
     def tokens(row):
@@ -519,6 +519,26 @@ def test_scores(docs, nothing):
     assert ngramlm.score_texts(nothing, "text", train).count() == 0
 
 
+def test_shares_of_a_context_add_up_to_at_most_one():
+    rng = np.random.default_rng(3)
+    for total in (1, 5, 300, 10**6, 10**13):
+        span = ngramlm.decades(total, ngramlm.WEIGHT)
+        counts = np.append(rng.integers(1, max(2, total // 1000), 50), total)
+        for c in (counts[:-1], counts[-1:]):
+            share = ngramlm.restore(ngramlm.quantise(c / (c.sum() + ngramlm.WEIGHT), span), span)
+            exact, rest = c / (c.sum() + ngramlm.WEIGHT), ngramlm.WEIGHT / (c.sum() + ngramlm.WEIGHT)
+            assert (share <= exact).all() and share.sum() + rest <= 1
+            assert (share >= exact * 10 ** (-1.001 * span / ngramlm.LEVELS)).all()
+
+
+def test_no_text_is_more_than_certain(spark):
+    # after each word the next one is sure, as often as counts lead to shares close to 1
+    rows = [(i, "a b c d e f " * 300) for i in range(40)]
+    table = spark.createDataFrame(rows, "doc_id int, text string")
+    for order in (2, 3, 4):
+        assert all(r["score"] < 0 for r in ngramlm.score_texts(table, "text", F.lit(True), order=order).collect())
+
+
 def test_small_ranges_and_hot_contexts(spark, monkeypatch):
     rows = [(i, " ".join(["hot", RNG.choice(WORDS)] * RNG.randint(1, 30))) for i in range(60)]
     table = spark.createDataFrame(rows, "doc_id int, text string").repartition(3)
