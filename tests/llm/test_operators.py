@@ -522,9 +522,10 @@ def test_scores(docs, nothing):
 def test_shares_of_a_context_add_up_to_at_most_one():
     rng = np.random.default_rng(3)
     for total in (1, 5, 300, 10**6, 10**13):
-        span = ngramlm.decades(total, ngramlm.WEIGHT)
         counts = np.append(rng.integers(1, max(2, total // 1000), 50), total)
         for c in (counts[:-1], counts[-1:]):
+            # a corpus has at least the tokens of one of its contexts
+            span = ngramlm.decades(int(c.sum()), ngramlm.WEIGHT)
             share = ngramlm.restore(ngramlm.quantise(c / (c.sum() + ngramlm.WEIGHT), span), span)
             exact, rest = c / (c.sum() + ngramlm.WEIGHT), ngramlm.WEIGHT / (c.sum() + ngramlm.WEIGHT)
             assert (share <= exact).all() and share.sum() + rest <= 1
