@@ -178,15 +178,19 @@ class Trie:
         return np.where(found, self.probability[at], 0).astype(np.uint8), at
 
 
-PACK = "pack bigint, words binary, counts binary, tokens binary, lengths binary, train binary"
+PACK = "pack bigint, words binary, end bigint, counts binary, tokens binary, lengths binary, train binary"
 
 
 def by_count(seen: np.ndarray) -> np.ndarray:
     return np.argsort(-seen.astype(np.int64), kind="stable")
 
 
-def pack_texts(kept: Sequence[str]) -> Callable:
-    """Slices of documents: their rows, distinct words with training counts, and tokens by number."""
+def pack_texts(kept: Sequence[str], ranges: int) -> Callable:
+    """Slices of documents: their rows, distinct words with training counts, and tokens by number.
+
+    Words come by range and hash, so that what the ranges say of them comes in the same order, and their
+    hashes are not needed any more.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, number = WordHasher(), TaskContext.get().partitionId() << 32
@@ -203,6 +207,10 @@ def pack_texts(kept: Sequence[str]) -> Callable:
                 tokens = np.insert(hashes, np.cumsum(counts), END)
                 lengths = counts + 1
                 words, local = np.unique(tokens, return_inverse=True)
+                dealt = np.argsort(word_range(words, ranges), kind="stable")
+                words, back = words[dealt], np.empty(len(dealt), dtype=np.int64)
+                back[dealt] = np.arange(len(dealt))
+                local = back[local]
                 own = train[at : i + 1]
                 seen = np.bincount(local[np.repeat(own, lengths)], minlength=len(words))
                 rows = pa.StructArray.from_arrays([c.slice(at, i + 1 - at) for c in batch.columns[:-2]], names=list(kept))
@@ -212,9 +220,10 @@ def pack_texts(kept: Sequence[str]) -> Callable:
                 values = (
                     squeeze(words, rising=True), squeeze(seen), squeeze(often[local]), squeeze(lengths), own.tobytes(),
                 )
+                first, *others = (pa.array([v], pa.binary()) for v in values)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([number]), *(pa.array([v], pa.binary()) for v in values), pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)],
-                    names=["pack", "words", "counts", "tokens", "lengths", "train", "rows"],
+                    [pa.array([number]), first, pa.array([int(np.flatnonzero(words == END)[0])]), *others, pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)],
+                    names=["pack", "words", "end", "counts", "tokens", "lengths", "train", "rows"],
                 )
                 number += 1
                 at, size, texts = i + 1, 0, []
@@ -269,25 +278,23 @@ def count_words(ranges: int) -> Callable:
 class Pack:
     """A pack with the answers about its words, and its distinct n-grams of one level at a time."""
 
-    def __init__(self, row: dict, ranges: int):
-        words = unsqueeze(row["words"], rising=True)
+    def __init__(self, row: dict):
         self.lengths = unsqueeze(row["lengths"]).astype(np.int64)
         self.tokens = by_count(unsqueeze(row["counts"]))[unsqueeze(row["tokens"]).astype(np.int64)]
         self.train = np.repeat(np.frombuffer(row["train"], dtype=bool), self.lengths)
-        self.counts, self.ids = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.uint64)
-        answers = {a["range"]: a for a in row["answers"]}
-        for r, some in split(word_range(words, ranges), ranges):
-            self.counts[some] = unsqueeze(answers[r]["counts"])
-            self.ids[some] = unsqueeze(answers[r]["ids"], rising=True)
+        answers = sorted(row["answers"], key=lambda a: a["range"])
+        self.counts = np.concatenate([unsqueeze(a["counts"]) for a in answers]).astype(np.int64)
+        self.ids = np.concatenate([unsqueeze(a["ids"], rising=True) for a in answers])
+        words = len(self.ids)
         self.starts = np.cumsum(self.lengths) - self.lengths
         # by the numbers of context and word, so that both come in order
         self.order = np.argsort(self.ids, kind="stable")
-        self.rank = np.empty(len(words), dtype=np.int64)
-        self.rank[self.order] = np.arange(len(words))
+        self.rank = np.empty(words, dtype=np.int64)
+        self.rank[self.order] = np.arange(words)
         before = np.empty_like(self.tokens)
         before[1:] = self.tokens[:-1]
-        before[self.starts] = int(np.searchsorted(words, END))
-        self._after(self.rank[before], self.ids[self.order], self.counts[self.order], np.zeros(len(words), dtype=bool))
+        before[self.starts] = row["end"]
+        self._after(self.rank[before], self.ids[self.order], self.counts[self.order], np.zeros(words, dtype=bool))
 
     def _after(self, place: np.ndarray, ids: np.ndarray, counts: np.ndarray, alone: np.ndarray) -> None:
         """Distinct n-grams, given the place of each token's context (-1 for none) among contexts by number."""
@@ -347,16 +354,16 @@ class Pack:
         p[at] = restore(self.level, span)[gram] + back[self.context[gram]] * p[at]
 
 
-def packs_of(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[tuple[dict, Pack]]:
+def packs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Pack]]:
     for batch in batches:
         for i in range(batch.num_rows):
             row = {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names) if name != "rows"}
-            yield row, Pack(row, ranges)
+            yield row, Pack(row)
 
 
 def announce_grams(n: int, ranges: int, hot: int, weight: float, span: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, pack in packs_of(batches, ranges):
+        for row, pack in packs_of(batches):
             for shorter in range(2, n):
                 pack.learn(row[f"grams_{shorter}"], ranges, hot, weight, span)
                 pack.deepen()
@@ -428,7 +435,7 @@ def score_packs(order: int, ranges: int, hot: int, tokens: int, distinct: int, w
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows_at = batch.schema.get_field_index("rows")
-            for i, (row, pack) in enumerate(packs_of([batch], ranges)):
+            for i, (row, pack) in enumerate(packs_of([batch])):
                 single = ((pack.counts + 1) / (tokens + (distinct + 1)))[pack.tokens]
                 p = single.copy()
                 for n in range(2, order + 1):
@@ -471,7 +478,7 @@ def score_texts(
 
     kinds = T.StructType([*T.DataType.fromDDL(PACK).fields, T.StructField("rows", T.ArrayType(rows.select(*names).schema))])
     with rows_per_batch(spark, PACKS_PER_BATCH * 1024):
-        packs = materialize(rows.mapInArrow(pack_texts(names), kinds), "packs")
+        packs = materialize(rows.mapInArrow(pack_texts(names, ranges), kinds), "packs")
     # the files of an exchange go when the next table is written
     with rows_per_batch(spark, PACKS_PER_BATCH), shuffles_removed(spark):
         told = packs.select("pack", "words", "counts").mapInArrow(announce_words(ranges), "range int, pack bigint, words binary, counts binary")
@@ -481,7 +488,7 @@ def score_texts(
         tokens, distinct = total["tokens"] or 0, total["distinct"] or 0
         hot, span = tokens // (HOT_SHARE * ranges) + 1, decades(tokens, weight)
 
-        facts = ["pack", "words", "counts", "tokens", "lengths", "train"]
+        facts = ["pack", "end", "counts", "tokens", "lengths", "train"]
         known = [answers.groupBy("pack").agg(F.collect_list(F.struct("range", "counts", "ids")).alias("answers"))]
 
         def with_answers(some: DataFrame) -> DataFrame:
