@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import math
 import tempfile
-import zlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -44,6 +43,7 @@ from paperlane.session import materialize
 END = np.uint64(0x1F83D9ABFB41BD6B)  # stands for the end of a text
 WEIGHT = 4.0
 LEVELS = 254
+CODEC = pa.Codec("zstd", compression_level=1)
 PACK_BYTES = 1 << 22
 TEXT_PER_RANGE, LEAST_RANGES = 16 << 20, 16
 HOT_SHARE = 8  # a context with more than this part of a range's tokens is spread over ranges
@@ -73,13 +73,14 @@ def squeeze(values: np.ndarray, rising: bool = False) -> bytes:
     if rising and len(values):
         values = np.diff(values, prepend=np.uint64(0))
     width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
-    planes = values.view(np.uint8).reshape(-1, 8)[:, :width].T
-    return bytes([width]) + zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return bytes([width]) + len(values).to_bytes(8, "little") + CODEC.compress(planes.tobytes(), asbytes=True)
 
 
 def unsqueeze(data: bytes, rising: bool = False) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data[1:]), dtype=np.uint8).reshape(data[0], -1)
-    out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    n = int.from_bytes(data[1:9], "little")
+    planes = np.frombuffer(CODEC.decompress(data[9:], n * data[0]), dtype=np.uint8).reshape(data[0], n)
+    out = np.zeros((n, 8), dtype=np.uint8)
     out[:, : data[0]] = planes.T
     out = out.view("<u8").ravel()
     return np.cumsum(out, dtype=np.uint64) if rising else out
@@ -108,48 +109,46 @@ class EliasFano:
         size = len(values) + (universe >> self.shift) + 2
         bits = np.zeros(-(-size // 64) * 64, dtype=np.uint8)
         bits[high + np.arange(len(values))] = 1
-        words = np.packbits(bits, bitorder="little")
-        zeros = 64 - bits.reshape(-1, 64).sum(axis=1, dtype=np.int64)
-        self.bits = mapped(words.reshape(-1, 8).ravel())
+        words = np.packbits(bits, bitorder="little").view("<u8")
+        zeros = 64 - np.bitwise_count(words).astype(np.int64)
+        self.bits = mapped(words)
         self.zeros = mapped(np.concatenate([[0], np.cumsum(zeros)]))  # before each 64 bits
 
     def _before_zero(self, k: np.ndarray) -> np.ndarray:
         """Number of values whose high part is below k: the ones before the k-th zero, from 1 on."""
-        out = np.zeros(len(k), dtype=np.int64)
-        words = self.bits.reshape(-1, 8)
-        for at in range(0, len(k), 1 << 15):
-            wanted = k[at : at + (1 << 15)]
-            word = np.searchsorted(self.zeros, wanted, "left") - 1
-            inside = np.unpackbits(words[np.maximum(word, 0)], axis=1, bitorder="little") == 0
-            place = (np.cumsum(inside, axis=1, dtype=np.int8) == (wanted - self.zeros[np.maximum(word, 0)])[:, None]).argmax(axis=1)
-            out[at : at + (1 << 15)] = np.where(wanted > 0, np.maximum(word, 0) * 64 + place - (wanted - 1), 0)
-        return out
+        word = np.maximum(np.searchsorted(self.zeros, k, "left") - 1, 0)
+        left = k - self.zeros[word]
+        part = ~self.bits[word]
+        place = np.zeros(len(k), dtype=np.int64)
+        # halve the part that holds the zero looked for
+        for width in (32, 16, 8, 4, 2, 1):
+            low = part & np.uint64((1 << width) - 1)
+            inside = np.bitwise_count(low).astype(np.int64)
+            above = inside < left
+            left -= np.where(above, inside, 0)
+            place += np.where(above, width, 0)
+            part = np.where(above, part >> np.uint64(width), low)
+        return np.where(k > 0, word * 64 + place - (k - 1), 0)
 
     def get(self, i: np.ndarray) -> np.ndarray:
         """Values at some places."""
-        ones = np.flatnonzero(np.unpackbits(self.bits, bitorder="little"))
+        ones = np.flatnonzero(np.unpackbits(self.bits.view(np.uint8), bitorder="little"))
         return (ones[i] - i).astype(np.uint64) << np.uint64(self.shift) | self.low[i].astype(np.uint64)
 
-    def successor(self, values: np.ndarray) -> np.ndarray:
-        """Place of the first value that is not below each given one."""
+    def successor(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of the first value that is not below each given one, and whether it is that value."""
+        if not self.n:
+            return np.zeros(len(values), dtype=np.int64), np.zeros(len(values), dtype=bool)
         high = (values >> np.uint64(self.shift)).astype(np.int64)
-        low = values & np.uint64((1 << self.shift) - 1)
+        low = (values & np.uint64((1 << self.shift) - 1)).astype(self.low.dtype)
         begin, end = self._before_zero(high), self._before_zero(high + 1)
+        last = end.copy()
         while (open_ := begin < end).any():
             middle = (begin + end) // 2
             less = open_ & (self.low[np.minimum(middle, self.n - 1)] < low)
             begin = np.where(less, middle + 1, begin)
             end = np.where(open_ & ~less, middle, end)
-        return begin
-
-    def holds(self, values: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """Whether the value at each place is the given one; places come from ``successor``."""
-        if not self.n:
-            return np.zeros(len(values), dtype=bool)
-        high = (values >> np.uint64(self.shift)).astype(np.int64)
-        inside = places < self._before_zero(high + 1)
-        same = self.low[np.minimum(places, self.n - 1)] == (values & np.uint64((1 << self.shift) - 1))
-        return inside & same
+        return begin, (begin < last) & (self.low[np.minimum(begin, self.n - 1)] == low)
 
 
 class Trie:
@@ -171,9 +170,9 @@ class Trie:
         place = np.minimum(np.searchsorted(self.contexts, context), len(self.contexts) - 1)
         known = (self.contexts[place] == context) & (word < self.universe)
         wanted = place.astype(np.uint64) * np.uint64(self.universe) + np.where(known, word, np.uint64(0))
-        at = self.words.successor(wanted)
+        at, held = self.words.successor(wanted)
         ends = self.pointers.get(place + 1).astype(np.int64)
-        found = known & (at < ends) & self.words.holds(wanted, at)
+        found = known & (at < ends) & held
         at = np.minimum(at, len(self.probability) - 1)
         return np.where(found, self.probability[at], 0).astype(np.uint8), at
 
