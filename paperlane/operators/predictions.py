@@ -179,20 +179,25 @@ def found_pairs(predictions: DataFrame, names: PredictionNames = PredictionNames
 
 def flatten(
     predictions: DataFrame, metadata: Sequence[str], names: PredictionNames = PredictionNames(),
-    pairs: Sequence[str] | None = None,
+    pairs: Sequence[str] | None = None, others: str = "n_other_pairs",
 ) -> DataFrame:
     """One row per attachment: metadata of its first row and one column per ``type__subtype``.
 
-    Without a list of pairs all that occur are found first. A missing subtype gives the pair
-    ``type__``; rows without a type belong to no pair.
+    Without a list of pairs all that occur are found first. With one, the column ``others`` counts the
+    known pairs of an attachment that are not listed. A missing subtype gives the pair ``type__``; rows
+    without a type belong to no pair.
     """
-    pairs = found_pairs(predictions, names) if pairs is None else pairs
+    listed = found_pairs(predictions, names) if pairs is None else pairs
     first = keep_first(predictions, [names.entity], [F.col(names.order)]).select(
         F.col(names.entity).alias("_entity"), *metadata
     )
     values = _first_values(predictions, pair_name(names), names)
     wide = values.join(first, F.col(names.entity).eqNullSafe(F.col("_entity")))
-    return wide.select(names.entity, *metadata, *[F.col("_values")[p].alias(p) for p in pairs])
+    columns = [F.col("_values")[p].alias(p) for p in listed]
+    if pairs is not None:
+        unlisted = F.array_except(F.map_keys("_values"), F.array(*map(F.lit, pairs)).cast("array<string>"))
+        columns.append(F.size(unlisted).cast("long").alias(others))
+    return wide.select(names.entity, *metadata, *columns)
 
 
 def class_summary(

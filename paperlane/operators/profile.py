@@ -69,19 +69,23 @@ def hour_day_counts(df: DataFrame, column: str) -> DataFrame:
     return counts.withColumn("weekday", F.date_format("day", "E"))
 
 
-def hour_day_matrix(df: DataFrame, column: str, days: Sequence[str] | None = None) -> DataFrame:
+def hour_day_matrix(
+    df: DataFrame, column: str, days: Sequence[str] | None = None, others: str = "other_days"
+) -> DataFrame:
     """One row per hour, one column per day (yyyy-MM-dd), 0 where there is no row.
 
-    Without a list of days all that occur are found first.
+    Without a list of days all that occur are found first. With one, the column ``others`` counts the
+    rows of days that are not listed, so that none is lost unseen. Rows without a time belong nowhere.
     """
     keyed = df.select(
         F.date_format(column, "yyyy-MM-dd").alias("day"), F.hour(column).alias("hour")
-    )
+    ).filter("day IS NOT NULL")
     if days is None:
-        found = keyed.select("day").filter("day IS NOT NULL").distinct().orderBy("day")
+        found = keyed.select("day").distinct().orderBy("day")
         days = [row["day"] for row in found.collect()]
-    keyed = keyed.filter(F.col("day").isin(*days))
-    return keyed.groupBy("hour").pivot("day", list(days)).count().na.fill(0)
+        return keyed.groupBy("hour").pivot("day", days).count().na.fill(0)
+    keyed = keyed.withColumn("day", F.when(F.col("day").isin(*days), F.col("day")).otherwise(others))
+    return keyed.groupBy("hour").pivot("day", [*days, others]).count().na.fill(0)
 
 
 def known_per_day(df: DataFrame, time: str, columns: Sequence[str]) -> DataFrame:

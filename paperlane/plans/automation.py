@@ -187,15 +187,32 @@ def prediction_pivot(t: Tables) -> DataFrame:
     return op.pivot_first(predictions(t), SUBTYPES, NAMES)
 
 
-# The columns follow from the data on both sides.
-@query(f"""WITH {PREDS_SQL}, keyed AS (SELECT id, attachment_id, type || '__' || coalesce(subtype, '') AS pair, value
-        FROM preds WHERE type IS NOT NULL),
-    first AS (SELECT attachment_id, arg_min(ticket_uuid, id) AS ticket_uuid, arg_min(created_at, id) AS created_at
-        FROM preds GROUP BY attachment_id)
-    SELECT * FROM first LEFT JOIN (PIVOT keyed ON pair USING arg_min(value, id) FILTER (value IS NOT NULL)
-        GROUP BY attachment_id) USING (attachment_id)""")
+# All pairs that the predictions can have; the count of others stays 0.
+PAIRS = tuple(
+    f"{type_}__{subtype}" for type_, subtypes in (
+        ("classifier_alpha", ("class_pred", "class_prob", "is_positive")), ("classifier_beta", ("class_pred", "class_prob")),
+        ("extraction", ("", "case_id", "due_date", "name")),
+    ) for subtype in subtypes
+)
+
+
+def _flatten_sql(pairs: tuple[str, ...]) -> str:
+    columns = ", ".join(f"arg_min(value, id) FILTER (pair = '{p}' AND value IS NOT NULL) AS \"{p}\"" for p in pairs)
+    listed = ", ".join(f"'{p}'" for p in pairs)
+    return f"""WITH {PREDS_SQL}, keyed AS (SELECT *, type || '__' || coalesce(subtype, '') AS pair FROM preds)
+    SELECT attachment_id, arg_min(ticket_uuid, id) AS ticket_uuid, arg_min(created_at, id) AS created_at, {columns},
+        count(DISTINCT pair) FILTER (value IS NOT NULL AND pair NOT IN ({listed})) AS n_other_pairs
+    FROM keyed GROUP BY attachment_id"""
+
+
+@query(_flatten_sql(PAIRS))
 def prediction_flatten(t: Tables) -> DataFrame:
-    return op.flatten(predictions(t), ["ticket_uuid", "created_at"], NAMES)
+    return op.flatten(predictions(t), ["ticket_uuid", "created_at"], NAMES, PAIRS)
+
+
+@query(_flatten_sql(PAIRS[:3]))
+def prediction_flatten_chosen(t: Tables) -> DataFrame:
+    return op.flatten(predictions(t), ["ticket_uuid", "created_at"], NAMES, PAIRS[:3])
 
 
 @query(f"""WITH {PREDS_SQL}

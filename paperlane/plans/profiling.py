@@ -77,11 +77,23 @@ def hour_day_counts(t: Tables) -> DataFrame:
     return op.hour_day_counts(t("events"), "ts")
 
 
-# The columns follow from the data on both sides.
-@query("""SELECT * FROM (PIVOT (SELECT CAST(hour(ts) AS int) AS hour, strftime(ts, '%Y-%m-%d') AS day FROM events)
-    ON day USING count(*) GROUP BY hour)""")
+# The days of the tables; rows of any other day would show in a column of their own.
+DAYS = [f"2024-01-{day:02}" for day in range(1, 31)]
+
+
+@query(f"""SELECT CAST(hour(ts) AS int) AS hour, {', '.join(f"""count(*) FILTER (CAST(ts AS date) = DATE '{d}') AS "{d}" """ for d in DAYS)},
+    count(*) FILTER (CAST(ts AS date) NOT BETWEEN DATE '{DAYS[0]}' AND DATE '{DAYS[-1]}') AS other_days
+    FROM events WHERE ts IS NOT NULL GROUP BY 1""")
 def hour_day_matrix(t: Tables) -> DataFrame:
-    return op.hour_day_matrix(t("events"), "ts")
+    return op.hour_day_matrix(t("events"), "ts", DAYS)
+
+
+# Most days are not listed here, so that the count of the others is put to the test.
+@query("""SELECT CAST(hour(ts) AS int) AS hour, count(*) FILTER (CAST(ts AS date) = DATE '2024-01-09') AS "2024-01-09",
+    count(*) FILTER (CAST(ts AS date) = DATE '2031-01-01') AS "2031-01-01",
+    count(*) FILTER (CAST(ts AS date) <> DATE '2024-01-09') AS other_days FROM events WHERE ts IS NOT NULL GROUP BY 1""")
+def hour_day_chosen(t: Tables) -> DataFrame:
+    return op.hour_day_matrix(t("events"), "ts", ["2024-01-09", "2031-01-01"])
 
 
 @query("""SELECT CAST(ts AS date) AS day, count(nullif(event_type, 'error')) AS event_type,

@@ -56,6 +56,7 @@ def test_flatten_names_missing_parts(spark):
         assert [c for c in wide.columns if c.startswith("ext__")] == ["ext__", "ext__name"]
         row = wide.first()
         assert (row["ext__"], row["ext__name"]) == ("v", "n")
+    assert op.flatten(rows, ["ticket_uuid"], NAMES, ["ext__name"]).first()["n_other_pairs"] == 1
 
 
 def test_flatten_keeps_attachments_without_a_pair(spark):
