@@ -11,7 +11,7 @@ from paperlane.operators import quality, tfidf
 from paperlane.plans.registry import REGISTRY, Tables, query
 from paperlane.plans.texts import VOCABULARY_SQL, tokenized
 from paperlane.session import new_work_path
-from paperlane.sources import documents, models, tables
+from paperlane.sources import documents, models, records, tables
 
 ROOT = "store://results/"
 
@@ -24,6 +24,16 @@ def csv_round_trip(t: Tables) -> DataFrame:
     return tables.read_corpus(t.spark, path, rows.schema)
 
 
+@query("""SELECT doc_id, text || chr(13) || chr(10) || '"' || lang || '","' || chr(10) AS text, lang FROM documents""")
+def csv_split_round_trip(t: Tables) -> DataFrame:
+    path = new_work_path(t.spark, "csv")
+    # line breaks of both kinds, lone quotes and separators inside the texts
+    text = F.concat("text", F.lit('\r\n"'), "lang", F.lit('","\n'))
+    rows = t("documents").select("doc_id", text.alias("text"), "lang")
+    tables.write_table(rows, path, "csv", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return records.read_split_corpus(t.spark, path, rows.schema)
+
+
 @query("SELECT event_id, event_type FROM events")
 def many_files(t: Tables) -> DataFrame:
     path = new_work_path(t.spark, "chunks")

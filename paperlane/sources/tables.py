@@ -8,10 +8,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+
 def read_corpus(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """CSV corpus whose texts hold line breaks and doubled quotes.
 
-    Such a file cannot be split, so convert it to parquet once and read that from then on.
+    One task reads a file; ``records.read_split_corpus`` gives a large file to many. Convert it to parquet once
+    and read that from then on.
     """
     reader = spark.read.schema(schema).option("header", True)
     return reader.option("multiLine", True).option("escape", '"').csv(path)
