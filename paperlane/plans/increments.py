@@ -9,11 +9,15 @@ from pyspark.sql.types import StructType
 from paperlane.functions.ids import text_hash
 from paperlane.functions.parse import text_to_blocks
 from paperlane.operators import corpus
-from paperlane.plans.loading import AS_OF, PREFIX
+from paperlane.plans.automation import JOB_COLUMNS, JOBS_SQL
+from paperlane.plans.loading import AS_OF, PREFIX, corpus_sql, existing_corpus, new_rows
 from paperlane.plans.registry import Tables, query
 from paperlane.session import new_work_path
+from paperlane.sources import batches
+from paperlane.sources.key_index import KeyIndex, append_unknown
 from paperlane.sources.tables import append_rows
 from paperlane.streaming import incremental as op
+from paperlane.streaming import job_state
 
 
 def stream_source(t: Tables, name: str) -> tuple[str, StructType]:
@@ -72,3 +76,54 @@ def job_table_append(t: Tables) -> DataFrame:
         rows = corpus.fill_ids(t(name).select("text"), PREFIX)
         append_rows(corpus.job_registrations(rows, AS_OF), path)
     return t.spark.read.parquet(path).select("job_id", "ocr_link", "status", "created_at")
+
+
+# Two tables grow together. One batch comes twice, one run is cut off before its commit.
+@query("""SELECT 'events' AS name, event_id FROM events
+    UNION ALL SELECT 'errors', event_id FROM events WHERE event_type = 'error'""")
+def batch_append(t: Tables) -> DataFrame:
+    root = new_work_path(t.spark, "batches")
+    events = t("events").select("event_id", "event_type")
+    for part, name in enumerate(("even", "odd")):
+        rows = events.filter(F.col("event_id") % 2 == part)
+        batches.write_attempt(rows, root, "events", f"cut-off-{name}")
+        for _ in range(2):
+            batches.append_batch(t.spark, {"events": rows, "errors": rows.filter("event_type = 'error'")}, root, name)
+    found = [batches.read_committed(t.spark, root, n).select(F.lit(n).alias("name"), "event_id") for n in ("events", "errors")]
+    return found[0].unionByName(found[1])
+
+
+@query(corpus_sql())
+def corpus_upsert_indexed(t: Tables) -> DataFrame:
+    root = new_work_path(t.spark, "corpus")
+    index = KeyIndex(t.spark, root, "corpus", "ticket_uuid", "string", f"corpus_keys_{root.rpartition('-')[2]}", 16)
+    batches.append_batch(t.spark, {"corpus": existing_corpus(t)}, root, "start")
+    rows = corpus.fill_ids(new_rows(t), PREFIX)
+    # copies inside the new rows stay, so they have to come in the same batch; the last one is started twice
+    half = F.pmod(F.xxhash64("ticket_uuid"), F.lit(2))
+    for part in (0, 1, 1):
+        append_unknown(t.spark, rows.filter(half == part), index, f"part {part}")
+    return batches.read_committed(t.spark, root, "corpus")
+
+
+# The watermark at the end is what the timers have run up to; it has whole milliseconds.
+@query(f"""WITH {JOBS_SQL}, clock AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR AS now FROM events), submitted AS (
+        SELECT job_id, min(created_at) AS submitted_at FROM job_events WHERE status = 'SUBMITTED' GROUP BY job_id
+    ), ended AS (
+        SELECT job_id, arg_min(created_at, id) AS ended_at, arg_min(status, id) AS status FROM job_events JOIN submitted USING (job_id)
+        WHERE status IN ('SUCCEEDED', 'FAILED') AND created_at >= submitted_at GROUP BY job_id
+    ), lost AS (SELECT job_id, min(created_at) AS first_seen FROM job_events GROUP BY job_id
+        HAVING min(created_at) < (SELECT now - INTERVAL 7 DAY FROM clock) AND count(*) FILTER (status IN ('SUCCEEDED', 'FAILED')) = 0)
+    SELECT job_id, submitted_at, CASE WHEN submitted_at IS NULL THEN NULL WHEN ended_at <= submitted_at + INTERVAL 7200 SECOND THEN status
+        WHEN now > submitted_at + INTERVAL 7200 SECOND THEN 'TIMEOUT' ELSE 'SUBMITTED' END AS outcome, first_seen, first_seen IS NOT NULL AS lost
+    FROM submitted FULL JOIN lost USING (job_id) LEFT JOIN ended USING (job_id), clock""")
+def stream_job_states(t: Tables) -> DataFrame:
+    folder, path, state = (new_work_path(t.spark, name) for name in ("job-events", "job-changes", "job-state"))
+    events = t("events").selectExpr(*JOB_COLUMNS)
+    day = F.dayofmonth("created_at")
+    # three runs, each of which goes on where the one before has stopped
+    for part in (day <= 10, (day > 10) & (day <= 20), day > 20):
+        events.filter(part).write.mode("append").parquet(folder)
+        stream = op.read_stream(t.spark, folder, events.schema)
+        job_state.run_job_states(stream, path, state, 7200, 7, "1 hour")
+    return job_state.read_job_states(t.spark, path).filter("submitted_at IS NOT NULL OR lost")

@@ -76,7 +76,12 @@ def grown_corpus(t: Tables) -> DataFrame:
     return op.upsert_corpus(existing_corpus(t), new_rows(t), REQUIRED, PREFIX)
 
 
-@query(f"WITH {_CORPUS_CTE} SELECT * FROM corpus")
+def corpus_sql() -> str:
+    """The grown corpus."""
+    return f"WITH {_CORPUS_CTE} SELECT * FROM corpus"
+
+
+@query(corpus_sql())
 def corpus_upsert(t: Tables) -> DataFrame:
     return grown_corpus(t)
 
