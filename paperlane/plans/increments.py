@@ -16,8 +16,7 @@ from paperlane.session import new_work_path
 from paperlane.sources import batches
 from paperlane.sources.key_index import KeyIndex, append_unknown
 from paperlane.sources.tables import append_rows
-from paperlane.streaming import incremental as op
-from paperlane.streaming import job_state
+from paperlane.streaming import exports, incremental as op, job_state
 
 
 def stream_source(t: Tables, name: str) -> tuple[str, StructType]:
@@ -127,3 +126,28 @@ def stream_job_states(t: Tables) -> DataFrame:
         stream = op.read_stream(t.spark, folder, events.schema)
         job_state.run_job_states(stream, path, state, 7200, 7, "1 hour")
     return job_state.read_job_states(t.spark, path).filter("submitted_at IS NOT NULL OR lost")
+
+
+# Errors play the part of exports, one folder per hour; an hour without any is a gap in an hourly schedule.
+@query("""WITH e AS (SELECT date_trunc('hour', ts) AS slot, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1),
+    s AS (SELECT slot, n, CASE WHEN slot - lag(slot) OVER (ORDER BY slot) <= INTERVAL 1 HOUR THEN 0 ELSE 1 END AS new FROM e),
+    r AS (SELECT slot, n, sum(new) OVER (ORDER BY slot) AS session FROM s),
+    sessions AS (SELECT min(slot) AS first_export, max(slot) AS last_export, CAST(sum(n) AS bigint) AS n_messages FROM r GROUP BY session),
+    done AS (SELECT * FROM sessions WHERE last_export + INTERVAL 1 HOUR <= (SELECT max(slot) - INTERVAL 2 HOUR FROM e)),
+    gaps AS (SELECT 'errors' AS feed, lag(last_export) OVER (ORDER BY first_export) AS last_export, first_export AS next_export, n_messages FROM done)
+    SELECT * FROM gaps WHERE last_export IS NOT NULL""")
+def stream_export_gaps(t: Tables) -> DataFrame:
+    root, path, state = (new_work_path(t.spark, name) for name in ("exports", "sessions", "sessions-state"))
+    base = f"{root}/errors"
+    messages = t("events").filter("event_type = 'error'").select(
+        F.date_format("ts", "yyyy_MM_dd").alias("day"), F.date_format("ts", "HH00").alias("time"),
+        F.col("event_id").cast("string").alias("messageId"), F.array(F.struct(F.col("event_type").alias("id"))).alias("attachments"),
+    )
+    # two runs: the second one goes on with the session that the first one left open
+    for half in ("day < '2024_01_16'", "day >= '2024_01_16'"):
+        part = messages.filter(half).repartition("day", "time")
+        part.write.partitionBy("day", "time").mode("append").json(base)
+        # files of Spark have a message per line
+        stream = exports.read_export_stream(t.spark, base, exports.without_names, multiLine=False)
+        exports.run_export_sessions(stream, path, state, "1 hour", "2 hours")
+    return exports.schedule_gaps(t.spark, path)

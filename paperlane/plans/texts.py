@@ -9,7 +9,7 @@ from paperlane.functions import extract, keys, parse, text as tx
 from paperlane.functions.predicates import differs
 from paperlane.operators import profile, tfidf, tokens as op
 from paperlane.plans.registry import Tables, query, rounded
-from paperlane.session import materialize
+from paperlane.session import materialize, new_work_path
 from paperlane.sources.documents import blocks_json, text_from_json
 
 _B = tx.BLANKS
@@ -140,6 +140,19 @@ def tfidf_vocabulary(t: Tables) -> DataFrame:
     return rounded(tfidf.vocabulary(tokenized(t), "tokenized"), "idf")
 
 
+# Three batches, one of which comes twice, with the sums merged in between; the last one is empty.
+@query(f"""WITH {VOCABULARY_SQL}
+    SELECT term, CAST(idx AS int) AS idx, cf, df, round_even(idf, 6) AS idf FROM vocab""")
+def tfidf_vocabulary_growing(t: Tables) -> DataFrame:
+    growing = tfidf.GrowingCounts(t.spark, new_work_path(t.spark, "terms"))
+    docs = tokenized(t)
+    for number, part in enumerate(("lang = 'en'", "lang = 'en'", "lang = 'de'", "lang <> 'en' AND lang <> 'de'", "lang IS NULL")):
+        growing.add(docs.filter(part), "tokenized", part)
+        if number == 2:
+            growing.merge()
+    return rounded(growing.vocabulary(), "idf")
+
+
 @query(f"""WITH {VOCABULARY_SQL}, tf AS (
         SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(tokenized) AS term FROM tok) GROUP BY 1, 2
     ), raw AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN vocab USING (term))

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperlane.functions.parse import BLOCK_TYPE, blocks_to_text, text_to_blocks
+from paperlane.session import new_work_path
 from paperlane.sources.tables import location
 
 EXPORT_SCHEMA = "messageId string, attachments array<struct<id:string>>"
 EXPORT_ROWS = 10_000  # messages of a file
+FILES_PER_READ = 10_000  # names in one filter of a scan
 
 
 def blocks_json(text: Column) -> Column:
@@ -41,23 +44,41 @@ def path_below(path: Column, folder: str) -> Column:
 
 
 def read_ocr_blocks(
-    spark: SparkSession, links: DataFrame, folder: str, link: str = "ocr_link", root: str = ""
+    spark: SparkSession, links: DataFrame, folder: str, link: str = "ocr_link", root: str = "", files: int = FILES_PER_READ
 ) -> DataFrame:
     """Text per link from a folder with one JSON file per job; without a file the text is empty.
 
-    A link is ``root`` and the path of its file below the folder. Files that no link names are listed,
-    but their contents go no further than the join.
+    A link is ``root`` and the path of its file below the folder. The folder is listed, and only files that a
+    link names are opened. Their names reach the scan as a filter on the path, ``files`` at a time, so the
+    driver holds a bounded number of them besides the listing that any scan has there.
     """
-    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True).select(
-        path_below(F.col("_metadata.file_path"), folder).alias("_file"), F.col("value").alias("_json")
-    )
     below = F.when(F.col(link).startswith(root), F.substr(F.col(link), F.lit(len(root) + 1)))
     wanted = links.withColumn("_file", below)
-    return wanted.join(files, "_file", "left").select(
+    found = named_files(spark, wanted.select("_file"), folder)
+    whole = spark.read.text(folder, wholetext=True, recursiveFileLookup=True).select(
+        F.col("_metadata.file_path").alias("_path"), F.col("value").alias("_json")
+    )
+    store, rest = new_work_path(spark, "ocr"), found.toLocalIterator()
+    columns = "_file string, _json string"
+    spark.createDataFrame([], columns).write.parquet(store)
+    while paths := [row["_path"] for row in islice(rest, files)]:
+        # the scan drops all other files before it deals out work
+        part = whole.filter(F.col("_path").isin(paths)).select(path_below(F.col("_path"), folder).alias("_file"), "_json")
+        part.write.mode("append").parquet(store)
+    return wanted.join(spark.read.schema(columns).parquet(store), "_file", "left").select(
         *links.columns, text_from_json(F.col("_json")).alias("text")
     )
 
 
+def named_files(spark: SparkSession, wanted: DataFrame, folder: str) -> DataFrame:
+    """Full paths (``_path``) of the files below a folder that ``_file`` names; no file is opened."""
+    # the contents are a column that is not asked for, so that the scan has no reason to open a file
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    paths = listed.select("path", F.col("_metadata.file_path").alias("_path"))
+    paths = paths.select(path_below(F.col("_path"), folder).alias("_file"), "_path")
+    return paths.join(wanted.filter("_file IS NOT NULL").distinct(), "_file", "left_semi").select("_path")
+
+
 def write_exports(messages: DataFrame, path: str, rows: int = EXPORT_ROWS) -> None:
     """Files with a JSON array of at most ``rows`` messages each.
 

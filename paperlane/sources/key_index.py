@@ -46,7 +46,8 @@ class KeyIndex:
 
     def catch_up(self) -> int:
         """Add the keys of batches that were committed since the last time; their number."""
-        held = batches.commits(self.spark, self.root).filter(F.array_contains("tables", self.table))
+        # a batch of merged ones holds no new keys
+        held = batches.commits(self.spark, self.root).filter(F.array_contains("tables", self.table) & (F.size("merged") == 0))
         log = f"{self.path}-log"
         known = batches.commits(self.spark, log)
         missing = [r["attempt"] for r in held.join(known, "batch", "left_anti").select("attempt").collect()]

@@ -5,15 +5,21 @@ Checkpoints and sinks lie in folders that all executors reach; the caller names
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming.listener import QueryProgressEvent, QueryStartedEvent, QueryTerminatedEvent
 
 from paperlane.operators.joins import drop_known
 
+REPORT_SECONDS = 120
+
 
 def resume_append(
     spark: SparkSession, source: DataFrame, key: str, enrich: Callable[[DataFrame], DataFrame],
@@ -90,26 +96,57 @@ def hourly_counts(messages: DataFrame, time: str) -> DataFrame:
     )
 
 
+class _LateRows(StreamingQueryListener):
+    """Adds up the rows that the batches of one query left out as too late, as each batch reports them.
+
+    A query itself only remembers its last batches.
+    """
+
+    def __init__(self, name: str):
+        self.name, self.run, self.late, self.ended = name, None, 0, threading.Event()
+
+    def onQueryStarted(self, event: QueryStartedEvent) -> None:
+        if event.name == self.name:
+            self.run = event.runId
+
+    def onQueryProgress(self, event: QueryProgressEvent) -> None:
+        if event.progress.runId == self.run:
+            self.late += sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+
+    def onQueryTerminated(self, event: QueryTerminatedEvent) -> None:
+        if event.runId == self.run:
+            self.ended.set()
+
+
 def run_hourly_counts(
     stream: DataFrame, message_id: str, time: str, path: str, checkpoint: str, delay: str = "1 day"
 ) -> int:
     """Count the messages of all new files per hour of arrival; open hours are counted as well.
 
     Every batch writes the hours it has changed into its own folder, which it replaces if it has to
-    run again. Returns the number of rows that came after the delay and were left out.
+    run again. Returns the number of rows that came after the delay and were left out, in all batches of
+    this run.
     """
     counts = hourly_counts(unique_messages(stream, message_id, time, delay), time)
 
     def write(hours: DataFrame, batch: int) -> None:
         hours.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
-    query = (
-        counts.writeStream.outputMode("update").foreachBatch(write)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    states = [s for progress in query.recentProgress for s in progress["stateOperators"]]
-    return sum(s["numRowsDroppedByWatermark"] for s in states)
+    listener = _LateRows(f"hourly-{uuid.uuid4().hex}")
+    streams = stream.sparkSession.streams
+    streams.addListener(listener)
+    try:
+        query = (
+            counts.writeStream.outputMode("update").foreachBatch(write).queryName(listener.name)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        # reports come in order and a little later than the batches; the end of the query is the last one
+        if not listener.ended.wait(REPORT_SECONDS):
+            raise TimeoutError("no report of the end of the query")
+    finally:
+        streams.removeListener(listener)
+    return listener.late
 
 
 def read_hourly_counts(spark: SparkSession, path: str, delay: str = "1 day") -> DataFrame:
