@@ -43,7 +43,7 @@ from paperlane.session import materialize
 END = np.uint64(0x1F83D9ABFB41BD6B)  # stands for the end of a text
 WEIGHT = 4.0
 LEVELS = 254
-CODEC = pa.Codec("zstd", compression_level=1)
+CODEC = "zstd"
 PACK_BYTES = 1 << 22
 TEXT_PER_RANGE, LEAST_RANGES = 16 << 20, 16
 HOT_SHARE = 8  # a context with more than this part of a range's tokens is spread over ranges
@@ -74,12 +74,12 @@ def squeeze(values: np.ndarray, rising: bool = False) -> bytes:
         values = np.diff(values, prepend=np.uint64(0))
     width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
     planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T)
-    return bytes([width]) + len(values).to_bytes(8, "little") + CODEC.compress(planes.tobytes(), asbytes=True)
+    return bytes([width]) + len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), CODEC, asbytes=True)
 
 
 def unsqueeze(data: bytes, rising: bool = False) -> np.ndarray:
     n = int.from_bytes(data[1:9], "little")
-    planes = np.frombuffer(CODEC.decompress(data[9:], n * data[0]), dtype=np.uint8).reshape(data[0], n)
+    planes = np.frombuffer(pa.decompress(data[9:], n * data[0], CODEC), dtype=np.uint8).reshape(data[0], n)
     out = np.zeros((n, 8), dtype=np.uint8)
     out[:, : data[0]] = planes.T
     out = out.view("<u8").ravel()
