@@ -3,8 +3,9 @@
 Patterns find the base spans: e-mail addresses, IP addresses, card and phone numbers. All other
 number runs and words with an @ are candidates. Candidates and base spans of a document are the
 nodes of a random field: neighbours are linked in a chain, and nodes that are equal or alike (the
-same last digits, the same address) are linked over any distance, each to its next occurrence.
-Sum-product messages pass along both kinds of links; base spans are clamped to their kind. A
+same last digits, the same address) are linked over any distance: each to one node that stands for the
+group, so that any two of them are two steps apart, however many there are.
+Sum-product messages pass along both kinds of links until they settle; base spans are clamped to their kind. A
 candidate becomes a span of a kind if its marginal says so and links of likeness connect it to a
 base span of that kind, so that one document labels the same thing the same way.
 
@@ -38,7 +39,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NUMBER = re.compile(r"[0-9][0-9\x20().-]*[0-9]")
-ADDRESS = re.compile(r"[^\s@]{1,256}@[^\s@]{1,256}")
+NO_GAP = re.compile(r"[^\s@]++")
 WORD_BEFORE = re.compile(r"(\w{1,40})\W{0,8}\Z")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 
@@ -47,7 +48,7 @@ CHAIN_GAP = 200
 CONTEXTS = 32
 FEATURES = 2 + 7 + 5 + 3 + CONTEXTS
 SAMPLE_DOCUMENTS, SAMPLE_NODES = 4_000, 40_000
-ROUNDS, DAMPING, THRESHOLD = 30, 0.3, 0.5
+ROUNDS, DAMPING, THRESHOLD = 200, 0.3, 0.5  # messages settle long before, unless they swing
 CLAMP = 30.0
 
 
@@ -71,6 +72,20 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, done))
 
 
+def addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of words around a single @, of any length, found from each @ outwards."""
+    done = 0
+    at = text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] != "@" and not text[start - 1].isspace():
+            start -= 1
+        if start < at and (word := NO_GAP.match(text, at + 1)):
+            done = word.end()
+            yield start, done
+        at = text.find("@", max(at + 1, done))
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """Spans of the four patterns as (start, end, label), by start, then by kind."""
     found = [(start, end, 1) for start, end in emails(text)]
@@ -138,7 +153,7 @@ def graph(texts: list[str]) -> Graph:
         starts = [s for s, _ in taken]
         if "@" in text or any(c in text for c in "0123456789"):
             others = [(m.start(), m.end()) for m in NUMBER.finditer(text) if len(NOT_DIGIT.sub("", m[0])) >= ALIKE_DIGITS]
-            others += [(m.start(), m.end()) for m in ADDRESS.finditer(text)] if "@" in text else []
+            others += addresses(text)
             for s, e in others:
                 i = int(np.searchsorted(starts, e, "left"))
                 if i == 0 or ends[i - 1] <= s:
@@ -189,9 +204,16 @@ def marginals(g: Graph, w: Weights, rounds: int = ROUNDS) -> np.ndarray:
     belief = (g.features @ w.unary).astype(np.float64)
     known = np.flatnonzero(g.label >= 0)
     belief[known, g.label[known]] += CLAMP
-    edges = np.vstack([g.chain, g.alike])
+    # a node for each group of alike nodes, without features of its own
+    group = groups(g)
+    members = np.flatnonzero(np.bincount(group, minlength=len(group))[group] > 1)
+    hubs, hub = np.unique(group[members], return_inverse=True)
+    own = len(belief)
+    belief = np.vstack([belief, np.zeros((len(hubs), LABELS))])
+    alike = np.column_stack([members, own + hub])
+    edges = np.vstack([g.chain, alike])
     if len(edges):
-        forward = np.concatenate([np.repeat(w.chain[None], len(g.chain), 0), np.repeat(w.alike[None], len(g.alike), 0)])
+        forward = np.concatenate([np.repeat(w.chain[None], len(g.chain), 0), np.repeat(w.alike[None], len(alike), 0)])
         source = np.concatenate([edges[:, 0], edges[:, 1]])
         target = np.concatenate([edges[:, 1], edges[:, 0]])
         tables = np.concatenate([forward, forward.transpose(0, 2, 1)])
@@ -207,6 +229,7 @@ def marginals(g: Graph, w: Weights, rounds: int = ROUNDS) -> np.ndarray:
             if moved < 1e-4:
                 break
         np.add.at(belief, target, messages)
+    belief = belief[:own]
     return np.exp(belief - log_sum(belief, 1)[:, None])
 
 

@@ -1,6 +1,7 @@
 """Each operator against a plain version on a small table with all odd cases."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -298,21 +299,69 @@ def test_skip_links_add_spans(spark, docs):
     assert all([(s["start"], s["end"]) for s in r["spans"] if s["base"]] == [x[:2] for x in plain_base(r["text"] or "")] for r in everything.collect())
 
 
-def test_messages_are_exact_on_a_chain():
-    rng = np.random.default_rng(1)
-    g = pii.Graph([(0, 1)] * 3, [0] * 3, np.array([-1, 3, -1]), rng.normal(size=(3, pii.FEATURES)).astype(np.float32), np.array([[0, 1]]), np.array([[1, 2]]))
-    w = pii.Weights(rng.normal(size=(pii.FEATURES, 5)) * 0.1, rng.normal(size=(5, 5)), rng.normal(size=(5, 5)))
+def exact_marginals(g, w):
+    """Sums over all labelings of the nodes and of one node for each group of alike ones."""
+    n = len(g.spans)
+    group = pii.groups(g).tolist()
+    hubs = sorted({x for x in group if group.count(x) > 1})
     theta = g.features @ w.unary
-    theta[1, 3] += pii.CLAMP
-    total = np.zeros((3, 5))
-    for a in range(5):
-        for b in range(5):
-            for c in range(5):
-                p = math.exp(theta[0, a] + theta[1, b] + theta[2, c] + w.chain[a, b] + w.alike[b, c])
-                total[0, a] += p
-                total[1, b] += p
-                total[2, c] += p
-    assert np.allclose(pii.marginals(g, w), total / total.sum(axis=1, keepdims=True), atol=1e-4)
+    for i in np.flatnonzero(g.label >= 0):
+        theta[i, g.label[i]] += pii.CLAMP
+    total = np.zeros((n, pii.LABELS))
+    for labels in itertools.product(range(pii.LABELS), repeat=n + len(hubs)):
+        p = sum(theta[i, labels[i]] for i in range(n)) + sum(w.chain[labels[a], labels[b]] for a, b in g.chain)
+        p += sum(w.alike[labels[i], labels[n + hubs.index(group[i])]] for i in range(n) if group[i] in hubs)
+        total[np.arange(n), labels[:n]] += math.exp(p)
+    return total / total.sum(axis=1, keepdims=True)
+
+
+def small_field(seed, n, chain, alike, label, size=0.5):
+    rng = np.random.default_rng(seed)
+    links = [np.array(x, dtype=np.int64).reshape(len(x), 2) for x in (chain, alike)]
+    g = pii.Graph([(0, 1)] * n, [0] * n, np.array(label), rng.normal(size=(n, pii.FEATURES)).astype(np.float32), *links)
+    return g, pii.Weights(rng.normal(size=(pii.FEATURES, 5)) * 0.1, rng.normal(size=(5, 5)) * size, rng.normal(size=(5, 5)) * size)
+
+
+def test_messages_are_exact_without_loops():
+    for seed, chain, alike, label in ((1, [(0, 1)], [(1, 2)], [-1, 3, -1]), (2, [(0, 1), (1, 2)], [], [-1, -1, -1]), (3, [(1, 2)], [(0, 1), (1, 3)], [2, -1, -1, -1])):
+        g, w = small_field(seed, len(label), chain, alike, label, 1.0)
+        assert np.allclose(pii.marginals(g, w), exact_marginals(g, w), atol=1e-3)
+
+
+def test_messages_are_close_with_loops():
+    # neighbours that are alike as well, and two groups that cross
+    for seed in range(4):
+        for chain, alike in (([(0, 1), (1, 2)], [(0, 2)]), ([(0, 1), (1, 2), (2, 3)], [(0, 2), (1, 3)])):
+            n = 1 + max(b for _, b in chain)
+            g, w = small_field(seed, n, chain, alike, [4] + [-1] * (n - 1))
+            assert np.abs(pii.marginals(g, w) - exact_marginals(g, w)).max() < 0.05
+
+
+def test_alike_nodes_agree_over_any_distance():
+    n = 400
+    g, w = small_field(5, n, [(i, i + 1) for i in range(n - 1)], [(i, i + 1) for i in range(n - 1)], [3] + [-1] * (n - 1))
+    g.features[:] = 0
+    strong = pii.Weights(w.unary, np.zeros((5, 5)), np.eye(5) * 6)
+    assert (pii.marginals(g, strong)[:, 3] > 0.9).all()
+
+
+def test_addresses_of_any_length():
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("a@b \n.") for _ in range(30)) for _ in range(3000)] + ["x" * 5000 + "@" + "y" * 5000, "@@a@@b@c@d"]
+    for text in texts:
+        assert list(pii.addresses(text)) == [m.span() for m in re.finditer(r"[^\s@]+@[^\s@]+", text)]
+
+
+def test_personal_data_in_odd_tables(spark, nothing):
+    weights = pii.fit(np.zeros(0, dtype=np.int64), np.zeros((0, pii.FEATURES + 3 * pii.LABELS)))
+    assert pii.learn(nothing, "text").unary.shape == weights.unary.shape
+    found = pii.detect(nothing, "text", weights, masked="masked")
+    assert found.count() == 0 and found.columns[-2:] == ["spans", "masked"]
+    # columns of the same names in other letters are replaced, and repeated rows stay
+    rows = spark.createDataFrame([("a@b.cd", 1, "old", "old")] * 2 + [(None, 2, "old", None), ("", 3, None, None)], "text string, doc_id int, Spans string, MASKED string")
+    found = pii.detect(rows, "text", weights, masked="masked")
+    assert found.columns == ["text", "doc_id", "spans", "masked"]
+    assert [(r["doc_id"], len(r["spans"]), r["masked"]) for r in found.orderBy("doc_id").collect()] == [(1, 1, "[EMAIL]"), (1, 1, "[EMAIL]"), (2, 0, ""), (3, 0, "")]
 
 
 # 5
