@@ -240,7 +240,7 @@ def shared_counts(values: np.ndarray, left: np.ndarray, right: np.ndarray, shape
     ``values`` are the shingles of both, ``left`` and ``right`` the number of the set on each side, -1
     where it is not on that side.
     """
-    overlap = np.zeros(shape, dtype=np.float32)
+    overlap = np.zeros(shape, dtype=np.int64)
     order = np.argsort(values, kind="stable")
     values, left, right = values[order], left[order], right[order]
     new = np.ones(len(values), dtype=bool)
@@ -264,10 +264,16 @@ def shared_counts(values: np.ndarray, left: np.ndarray, right: np.ndarray, shape
         x[left[place][on], column[on]] = 1
         on = right[place] >= 0
         y[right[place][on], column[on]] = 1
-        overlap += x @ y.T
+        # a product counts at most COLUMNS shingles, which is exact; sums of any size are whole numbers
+        overlap += (x @ y.T).astype(np.int64)
     return overlap
 
 
+def alike(overlap: np.ndarray, sizes: np.ndarray, others: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of the given sizes are linked, for a table of overlaps; in whole numbers of any size."""
+    return 100 * overlap >= percent * (sizes[:, None] + others[None, :] - overlap)
+
+
 def forest(links: np.ndarray) -> np.ndarray:
     """Root of each node of a symmetric table of links."""
     root = np.full(len(links), -1)
@@ -300,7 +306,7 @@ def compare(percent: int, give: str = "forest"):
         left[one], right[two] = np.arange(len(one)), np.arange(len(two))
         values = np.concatenate(sets)
         overlap = shared_counts(values, np.repeat(left, sizes), np.repeat(right, sizes), (len(one), len(two)))
-        linked = 100 * overlap >= percent * (sizes[one][:, None] + sizes[two][None, :] - overlap)
+        linked = alike(overlap, sizes[one], sizes[two], percent)
         if give != "forest":
             head = int(group["head"].iloc[0])
             lower = [h[h < head] for h in group["heads"]]
@@ -312,7 +318,7 @@ def compare(percent: int, give: str = "forest"):
                 np.fill_diagonal(counted, False)
         if give == "pairs":
             i, j = np.nonzero(np.triu(counted) if within else counted)
-            return pd.DataFrame({"a": nodes[one[i]], "b": nodes[two[j]], "n": overlap[i, j].astype(np.int64)})
+            return pd.DataFrame({"a": nodes[one[i]], "b": nodes[two[j]], "n": overlap[i, j]})
         links = np.zeros((len(sets), len(sets)), dtype=bool)
         links[np.ix_(one, two)] = linked
         links |= links.T
