@@ -3,11 +3,12 @@
 A rule is a regular expression over host and path together with the literal tokens that every URL it
 matches must contain. The rule is filed under the one of its tokens that is rarest among all URLs. A
 URL fetches the rules filed under its own tokens, and only those run their regular expressions.
-Rules without a token are filed under the empty token, which every URL has.
+Rules without a token are filed under the empty token, which every URL has if there is such a rule.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -15,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paperlane.llm.sizes import broadcast_within
 from paperlane.session import materialize
 
 ALLOW, BLOCK = "allow", "block"
@@ -66,21 +68,26 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+RULE = "array<struct<rule: string, verdict: string, regex: string, tokens: array<string>, grade: int>>"
+
+
 def rule_table(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
-    rows = [(r.name, r.verdict, r.regex, list(r.tokens), r.grade) for r in rules]
-    return spark.createDataFrame(rows, "rule string, verdict string, regex string, tokens array<string>, grade int")
+    """The rules as a table, from one constant; no Python runs on executors."""
+    rows = [{"rule": r.name, "verdict": r.verdict, "regex": r.regex, "tokens": list(r.tokens), "grade": r.grade} for r in rules]
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), RULE)))
 
 
 def tokens_of(address: Column) -> Column:
-    """The distinct tokens of an address, and the empty one."""
-    return F.array_union(F.split(F.lower(address), "[^a-z0-9]+"), F.array(F.lit("")))
+    """The distinct tokens of an address."""
+    return F.filter(F.array_distinct(F.split(F.lower(address), "[^a-z0-9]+")), lambda token: token != "")
 
 
 def index_rules(rules: DataFrame, addresses: DataFrame) -> DataFrame:
     """Rules with the token each is filed under: its rarest one among all addresses."""
     listed = rules.select("rule", "grade", F.explode("tokens").alias("token")).distinct()
+    wanted = broadcast_within(materialize(listed.select("token").distinct(), "wanted"))
     seen = addresses.select(F.explode(tokens_of(F.col("address"))).alias("token"))
-    counts = seen.join(listed.select("token").distinct(), "token").groupBy("token").agg(F.count("*").alias("n"))
+    counts = seen.join(wanted, "token").groupBy("token").agg(F.count("*").alias("n"))
     order = Window.partitionBy("rule", "grade").orderBy(F.coalesce("n", F.lit(0)), "token")
     rarest = listed.join(counts, "token", "left").withColumn("place", F.row_number().over(order)).filter("place = 1")
     filed = rules.join(rarest.select("rule", "grade", "token"), ["rule", "grade"], "left")
@@ -102,7 +109,12 @@ def judge(df: DataFrame, url: str, rules: Sequence[Rule], default: str = ALLOW)
     addresses = rows.select(F.col("_address_").alias("address"))
 
     index = materialize(index_rules(rule_table(df.sparkSession, rules), addresses), "rules")
-    fetched = addresses.distinct().select("address", F.explode(tokens_of(F.col("address"))).alias("token")).join(index, "token")
+    tokens = tokens_of(F.col("address"))
+    if not all(r.tokens for r in rules):
+        # only where a rule is filed under it is the empty token looked up, once per address
+        tokens = F.array_append(tokens, F.lit(""))
+    # rules stay with the tasks that read addresses, if they are few bytes; a token of many addresses is no hot key then
+    fetched = addresses.distinct().select("address", F.explode(tokens).alias("token")).join(broadcast_within(index), "token")
     matching = fetched.filter(F.expr("address RLIKE regex"))
     best = F.min_by(F.struct("rule", "verdict"), F.struct(-F.col("grade"), -F.length("rule"), "rule"))
     verdicts = matching.groupBy("address").agg(best.alias("best"))
