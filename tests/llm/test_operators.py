@@ -92,6 +92,22 @@ def test_jaccard_classes(docs, nothing):
     assert jaccard.near_duplicate_classes(nothing).count() == 0
 
 
+def test_links_of_very_large_sets_are_exact():
+    # sizes and overlaps that single precision does not tell apart
+    for size in (1_565_893, 2_000_003, 40_000_001, 10**12 + 39):
+        least = -(-75 * 2 * size // 175)
+        overlap = np.array([[least - 1, least]], dtype=np.int64)
+        linked = jaccard.alike(overlap, np.array([size]), np.array([size, size]), 75)
+        assert linked.tolist() == [[False, True]]
+
+
+def test_overlaps_are_whole_numbers():
+    values = np.tile(np.arange(70_000, dtype=np.uint64), 40)
+    side = np.repeat(np.arange(40), 70_000)
+    found = jaccard.shared_counts(values, side, side, (40, 40))
+    assert found.dtype == np.int64 and (found == 70_000).all()
+
+
 def test_jaccard_threshold_and_chains(spark):
     # a chain of neighbours that are linked, though its ends are not; overlap of exactly 75 %
     words = [f"w{i}" for i in range(60)]
