@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paperlane.functions import extract, keys, parse, text as tx
 from paperlane.functions.predicates import differs
-from paperlane.operators import profile, tfidf, tokens as op
+from paperlane.operators import lemmas, profile, tfidf, tokens as op
 from paperlane.plans.registry import Tables, query, rounded
 from paperlane.session import materialize, new_work_path
 from paperlane.sources.documents import blocks_json, text_from_json
@@ -164,6 +164,40 @@ def tfidf_weights(t: Tables) -> DataFrame:
     return rounded(tfidf.weights(docs, "doc_id", "tokenized", tfidf.vocabulary(docs, "tokenized")), "weight")
 
 
+LEMMA_SQL = rf"""{_TOKENS_CTE}, w AS (SELECT DISTINCT word FROM (SELECT unnest(tokenized) AS word FROM tok)
+        WHERE length(word) >= 3 AND regexp_matches(word, '^\p{{L}}+$')
+    ), parted AS (SELECT left(word, length(word) - k) AS stem, right(word, k) AS ending
+        FROM (SELECT word, unnest(range(1, least(length(word) - 3, 4) + 1)) AS k FROM w WHERE length(word) > 3)
+    ), paying AS (SELECT ending FROM (
+            SELECT ending, count(*) AS words, sum(length(stem) - 2) - length(ending) AS gain FROM parted
+            WHERE stem IN (SELECT word FROM w) GROUP BY ending) WHERE words > 1 AND gain > 0 ORDER BY gain DESC, ending LIMIT 200
+    ), sets AS (SELECT stem, list(ending ORDER BY length(ending), ending) AS endings
+        FROM (SELECT stem, ending FROM parted JOIN paying USING (ending) UNION ALL SELECT word, '' FROM w) GROUP BY stem HAVING count(*) > 1
+    ), paradigms AS (SELECT endings, count(*) AS stems, (len(endings) - 1) * sum(length(stem))
+            + (count(*) - 1) * length(array_to_string(endings, '')) - 2 * count(*) AS gain FROM sets GROUP BY endings HAVING count(*) > 1
+    ), ranked AS (SELECT ending, endings[1] AS replacement, gain, row_number() OVER
+            (PARTITION BY ending ORDER BY gain DESC, array_to_string(endings, ',') DESC) AS place
+        FROM (SELECT unnest(endings) AS ending, endings, gain FROM paradigms WHERE gain > 0)
+    ), rules AS (SELECT ending, replacement, CAST(gain AS bigint) AS gain FROM ranked WHERE place = 1 AND ending <> replacement)"""
+
+
+@query(f"WITH {LEMMA_SQL} SELECT * FROM rules")
+def lemma_rules(t: Tables) -> DataFrame:
+    return lemmas.learn_rules(materialize(tokenized(t).select("tokenized"), "tokens"), "tokenized")
+
+
+@query(f"""WITH {LEMMA_SQL}, words AS (SELECT word, count(*) AS n FROM (SELECT unnest(tokenized) AS word FROM tok) GROUP BY word),
+    found AS (SELECT word, arg_max(left(word, length(word) - length(ending)) || replacement, length(ending)) AS lemma
+        FROM words JOIN rules ON ends_with(word, ending) AND length(word) - length(ending) >= 3 GROUP BY word)
+    SELECT coalesce(lemma, word) AS lemma, count(*) AS n_words, CAST(sum(n) AS bigint) AS n_total FROM words LEFT JOIN found USING (word) GROUP BY 1""")
+def lemma_counts(t: Tables) -> DataFrame:
+    docs = materialize(tokenized(t).select("tokenized"), "tokens")
+    endings = lemmas.Endings.from_rules(lemmas.learn_rules(docs, "tokenized"))
+    words = docs.select(F.explode("tokenized").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    based = words.groupBy(endings(F.col("word")).alias("lemma"))
+    return based.agg(F.count("*").alias("n_words"), F.sum("n").alias("n_total"))
+
+
 # Adds an id, a date and a name with a cue to every text; valid in both SQL dialects.
 ENRICHED = """concat(text, chr(10), 'Az 1', lpad(CAST(doc_id AS string), 11, '0'), ' vom ',
     CASE lang WHEN 'en' THEN '31.02.2024' WHEN 'de' THEN '3. Mai 2024' WHEN 'fr' THEN '2024-05-17'
