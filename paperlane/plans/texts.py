@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paperlane.functions import extract, keys, parse, text as tx
 from paperlane.functions.predicates import differs
-from paperlane.operators import lemmas, profile, tfidf, tokens as op
+from paperlane.operators import lemmas, persons, profile, tfidf, tokens as op
 from paperlane.plans.registry import Tables, query, rounded
 from paperlane.session import materialize, new_work_path
 from paperlane.sources.documents import blocks_json, text_from_json
@@ -312,6 +312,77 @@ def name_extraction(t: Tables) -> DataFrame:
     return picked.withColumn("name", extract.clean_name(F.col("picked")))
 
 
+# Some texts name a person without a cue.
+MIXED = f"CASE WHEN lang = 'fr' THEN replace({ENRICHED}, 'gegen Frau', 'an Frau') ELSE {ENRICHED} END"
+_SHAPE = f"""CASE WHEN tok = chr(10) THEN 0 WHEN regexp_replace(lower(tok), '[^\\p{{L}}]+', '', 'g') IN ({_SALUTED}) THEN 1
+    WHEN regexp_matches(tok, '^\\p{{Lu}}[\\p{{L}}-]+,$') THEN 2 WHEN regexp_matches(tok, '^\\p{{Lu}}[\\p{{L}}-]+$') THEN 3
+    WHEN regexp_matches(tok, '^\\p{{Lu}}\\p{{L}}{{0,3}}\\.$') THEN 4 WHEN regexp_matches(tok, '[0-9]') THEN 5
+    WHEN regexp_matches(tok, '^\\p{{Ll}}') THEN 6 ELSE 7 END"""
+_PERSON_CTE = f"""src AS (SELECT doc_id, {MIXED} AS text FROM documents),
+    ctx AS (SELECT row_number() OVER () AS r, doc_id, text, string_split({_CONTEXT}, chr(10)) AS l FROM src),
+    named AS (SELECT r, l, CASE WHEN len(l) < 2 THEN NULL WHEN length(trim(l[1])) > 1 THEN 1 WHEN length(trim(l[2])) > 1 THEN 2 END AS pick FROM ctx),
+    lines AS (SELECT r, pick, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM named WHERE pick IS NOT NULL),
+    toks AS (SELECT r, i, unnest(t) AS tok, unnest(range(len(t))) AS k, i = pick AS own FROM
+        (SELECT r, i, pick, CASE WHEN i > 1 THEN [chr(10)] ELSE [] END || regexp_extract_all(line, '{_NO}+') AS t FROM lines)),
+    tags AS (SELECT {_SHAPE} AS shape, CAST(own AND tok <> chr(10) AS int) AS tag,
+        coalesce(lag(CAST(own AND tok <> chr(10) AS int)) OVER (PARTITION BY r ORDER BY i, k), 0) AS before FROM toks),
+    possible AS (SELECT 'shape' AS kind, g AS given, w AS what FROM range(2) AS a(g), range(8) AS b(w) UNION ALL SELECT 'step', g, w FROM range(2) AS a(g), range(2) AS b(w)),
+    counts AS (SELECT 'shape' AS kind, tag AS given, shape AS what, count(*) AS n FROM tags GROUP BY ALL
+        UNION ALL SELECT 'step', before, tag, count(*) FROM tags GROUP BY ALL),
+    filled AS (SELECT kind, given, what, coalesce(n, 0) + 1 AS n FROM possible LEFT JOIN counts USING (kind, given, what)),
+    scores AS (SELECT kind, CAST(given AS int) AS given, CAST(what AS int) AS what,
+        CAST(round(ln(CAST(n AS double) / sum(n) OVER (PARTITION BY kind, given)) * 1000) AS bigint) AS score FROM filled)"""
+
+
+def mixed_texts(t: Tables) -> DataFrame:
+    return t("documents").select("doc_id", F.expr(MIXED).alias("text"))
+
+
+@query(f"WITH {_PERSON_CTE} SELECT * FROM scores")
+def person_tagger(t: Tables) -> DataFrame:
+    return persons.tagger_scores(mixed_texts(t), "text")
+
+
+_NONE = "-1000000000000000"
+_FROM_NAME = {tag: f"acc.score1 + steps[{3 + tag}] > acc.score0 + steps[{1 + tag}]" for tag in (0, 1)}
+_STEP_SQL = f"""{{'shape': x.shape, 'place': acc.place + 1,
+    'score0': greatest(acc.score0 + steps[1], acc.score1 + steps[3]) + other[x.shape + 1],
+    'first0': CASE WHEN {_FROM_NAME[0]} THEN acc.first1 ELSE acc.first0 END,
+    'end0': CASE WHEN {_FROM_NAME[0]} THEN CASE WHEN acc.end1 < 0 THEN acc.place ELSE acc.end1 END ELSE acc.end0 END,
+    'score1': greatest(acc.score0 + steps[2], acc.score1 + steps[4]) + name[x.shape + 1],
+    'first1': CASE WHEN CASE WHEN {_FROM_NAME[1]} THEN acc.first1 ELSE acc.first0 END < 0 THEN acc.place
+        WHEN {_FROM_NAME[1]} THEN acc.first1 ELSE acc.first0 END,
+    'end1': CASE WHEN {_FROM_NAME[1]} THEN acc.end1 ELSE acc.end0 END}}"""
+
+
+def _start_sql(shape: str) -> str:
+    parts = {"score0": 0, "first0": -1, "end0": -1, "score1": _NONE, "first1": -1, "end1": -1}
+    return f"{{'shape': {shape}, 'place': CAST(0 AS bigint), " + ", ".join(f"'{k}': CAST({v} AS bigint)" for k, v in parts.items()) + "}"
+
+
+@query(f"""WITH {_PERSON_CTE}, model AS (SELECT
+        (SELECT list(score ORDER BY what) FROM scores WHERE kind = 'shape' AND given = 0) AS other,
+        (SELECT list(score ORDER BY what) FROM scores WHERE kind = 'shape' AND given = 1) AS name,
+        (SELECT list(score ORDER BY given, what) FROM scores WHERE kind = 'step') AS steps),
+    plain AS (SELECT r, doc_id, regexp_extract_all(text, '
+|{_NO}+') AS t FROM ctx WHERE l IS NULL),
+    walk AS (SELECT r, doc_id, t, list_reduce(list_concat([{_start_sql('0')}], list_transform(list_transform(t, lambda tok: {_SHAPE}), lambda s: {_start_sql('s')})),
+        lambda acc, x: {_STEP_SQL}) AS z FROM plain, model),
+    span AS (SELECT r, doc_id, t, CASE WHEN z.score1 > z.score0 THEN z.first1 ELSE z.first0 END AS a,
+        CASE WHEN z.score1 > z.score0 THEN CASE WHEN z.end1 < 0 THEN z.place ELSE z.end1 END ELSE z.end0 END AS e FROM walk),
+    line AS (SELECT r, 'cue' AS found_by, CASE WHEN contains(line, ',') THEN trim(split_part(line, ',', 2)) || ' ' || trim(split_part(line, ',', 1)) ELSE line END AS picked
+        FROM (SELECT r, trim(l[pick]) AS line FROM named WHERE pick IS NOT NULL)
+        UNION ALL SELECT r, 'tagger', array_to_string(t[a + 1 : e], ' ') FROM span WHERE a >= 0),
+    w AS (SELECT r, found_by, list_filter(list_transform(list_filter(regexp_split_to_array(lower(picked), '{_ANY}+'), lambda x: x <> 'c/o'),
+        lambda x: regexp_replace(x, '[^\\p{{L}}-]+', '', 'g')), lambda x: x <> '' AND x NOT IN ({_SALUTED})) AS words FROM line),
+    clean AS (SELECT r, found_by, nullif(array_to_string(list_transform(words, lambda x: upper(substr(x, 1, 1)) || substr(x, 2)), ' '), '') AS name FROM w)
+    SELECT doc_id, c.name AS cue_name, g.name AS tagged_name FROM ctx LEFT JOIN clean AS c ON c.r = ctx.r AND c.found_by = 'cue'
+        LEFT JOIN clean AS g ON g.r = ctx.r AND g.found_by = 'tagger'""")
+def person_names(t: Tables) -> DataFrame:
+    texts = mixed_texts(t)
+    return persons.person_names(texts, "text", persons.learn_tagger(texts, "text")).drop("text")
+
+
 @query(f"""WITH {_ENRICHED_CTE}
     SELECT doc_id, regexp_matches(text, '(?i)\\b(herrn?|frau|fräulein)\\b') AS has_salutation FROM src""")
 def salutation(t: Tables) -> DataFrame:
