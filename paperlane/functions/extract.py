@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from paperlane.functions.binding import evaluate_once
-from paperlane.functions.text import BLANKS
+from paperlane.functions.text import BLANKS, cut_piece, running_sums, text_blocks
 
 # looking at the first character before the word boundary keeps the search fast
 CASE_ID_PATTERN = r"(?U)(?=1)\b1[0-9]{10,12}\b"
@@ -59,21 +59,20 @@ def date_matches(text: Column, valid_only: bool = True) -> Column:
     """
     found = F.regexp_extract_all(text, F.lit(DATE_PATTERN), F.lit(0))
     between = F.split(text, DATE_PATTERN, -1)
-    span_type = "array<struct<text:string,start:int,end:int>>"
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(span_type).alias("spans"))
-
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["hit"])
-        span = F.struct(pair["hit"].alias("text"), start.alias("start"), end.alias("end"))
-        return F.struct(
-            end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans")
-        )
 
     # the piece after the last match has no match to go with, so its hit is NULL
-    pairs = F.arrays_zip(between.alias("gap"), found.alias("hit"))
-    hits = F.filter(pairs, lambda pair: pair["hit"].isNotNull())
-    spans = F.aggregate(hits, zero, step, lambda state: state["spans"])
+    pairs = F.filter(F.arrays_zip(between.alias("gap"), found.alias("hit")), lambda pair: pair["hit"].isNotNull())
+
+    def placed(pairs: Column) -> Column:
+        ends = running_sums(F.transform(pairs, lambda pair: F.length(pair["gap"]) + F.length(pair["hit"])))
+        return F.transform(
+            F.arrays_zip(pairs.alias("pair"), ends.alias("end")),
+            lambda x: F.struct(
+                x["pair"]["hit"].alias("text"), (x["end"].cast("int") - F.length(x["pair"]["hit"])).alias("start"), x["end"].cast("int").alias("end"),
+            ),
+        )
+
+    spans = evaluate_once(pairs, placed)
     if valid_only:
         spans = F.filter(spans, lambda span: F.year(parse_day(span["text"])) >= MIN_YEAR)
     return evaluate_once(spans, lambda found: F.when(F.size(found) > 0, found))
@@ -89,12 +88,16 @@ def date_contexts(text: Column, spans: Column, window: int = 40) -> Column:
     texts = F.transform(spans, lambda span: span["text"])
     first = evaluate_once(F.struct(texts.alias("texts"), F.array_distinct(texts).alias("distinct")), firsts)
 
-    def context(span: Column) -> Column:
-        start = F.greatest(span["start"] - window, F.lit(0))
-        end = F.least(span["end"] + window, F.length(text))
-        return F.substring(text, start + 1, end - start)
+    def contexts(both: Column) -> Column:
+        def context(span: Column) -> Column:
+            start = F.greatest(span["start"] - window, F.lit(0))
+            end = F.least(span["end"] + window, both["length"])
+            return cut_piece(both["blocks"], start, end - start)
+
+        return F.transform(both["first"], context)
 
-    return F.transform(first, context)
+    both = F.struct(first.alias("first"), text_blocks(text).alias("blocks"), F.length(text).alias("length"))
+    return F.when(spans.isNotNull(), evaluate_once(both, contexts))
 
 
 def name_context(text: Column, window: int = 15) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from paperlane.functions.binding import evaluate_once
 
 # Every Unicode blank but the line feed.
+BLOCK = 4096  # signs of a block of a text
 BLANKS = "\t\x0b\x0c\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 # The tags, each with the pattern it stands for, in the order of replacement.
@@ -142,20 +143,70 @@ def mark_tokens(
     return text
 
 
+def running_sums(numbers: Column) -> Column:
+    """Running sums of an array of whole numbers.
+
+    An array that grows entry by entry is copied at each step, so sums are made in runs of about the square
+    root of their number, first over whole runs and then inside each.
+    """
+
+    def sums(values: Column, start: Column) -> Column:
+        begin = F.struct(start.cast("long").alias("sum"), F.array().cast("array<bigint>").alias("all"))
+
+        def step(state: Column, x: Column) -> Column:
+            total = state["sum"] + x
+            return F.struct(total.alias("sum"), F.concat(state["all"], F.array(total)).alias("all"))
+
+        return F.aggregate(values, begin, step, lambda state: state["all"])
+
+    def in_runs(values: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(values).cast("double"))).cast("int")
+        cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / width).cast("int")), lambda i: F.slice(values, i * width + 1, width))
+
+        def joined(both: Column) -> Column:
+            def inside(run: Column, i: Column) -> Column:
+                return sums(run, F.when(i == 0, F.lit(0)).otherwise(F.get(both["ends"], i - 1)))
+
+            return F.flatten(F.transform(both["runs"], inside))
+
+        def with_ends(runs: Column) -> Column:
+            totals = F.transform(runs, lambda run: F.aggregate(run, F.lit(0).cast("long"), lambda x, y: x + y))
+            return evaluate_once(F.struct(runs.alias("runs"), sums(totals, F.lit(0)).alias("ends")), joined)
+
+        return F.when(F.size(values) > 0, evaluate_once(cut, with_ends)).otherwise(F.array().cast("array<bigint>"))
+
+    return evaluate_once(numbers, in_runs)
+
+
+def text_blocks(text: Column) -> Column:
+    """A text in blocks of equal length, from which pieces are cut without counting signs from its start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def cut_piece(blocks: Column, start: Column, length: Column) -> Column:
+    """``length`` signs of a text in blocks, from a place counted from 0; as ``substring`` of the whole text."""
+    first, inside = F.floor(start / BLOCK).cast("int"), start % BLOCK
+    count = F.floor((inside + F.greatest(length, F.lit(0))) / BLOCK).cast("int") + 1
+    return F.substring(F.array_join(F.slice(blocks, first + 1, count), ""), inside + 1, length)
+
+
 def mark_spans(text: Column, spans: Column, opening: str = "[[", closing: str = "]]") -> Column:
     """Put marks around spans ``(text, start, end)`` that are in order and do not overlap."""
 
-    def marked(spans: Column) -> Column:
+    def marked(both: Column) -> Column:
+        spans, blocks = both["spans"], both["blocks"]
+
         def piece(span: Column, i: Column) -> Column:
             done = F.when(i == 0, 0).otherwise(F.get(spans, i - 1)["end"])
-            before = F.substring(text, done + 1, span["start"] - done)
+            before = cut_piece(blocks, done, span["start"] - done)
             return F.concat(before, F.lit(opening), span["text"], F.lit(closing))
 
         done = F.coalesce(F.try_element_at(spans, F.lit(-1))["end"], F.lit(0))
         return F.concat(F.array_join(F.transform(spans, piece), ""), F.substring(text, done + 1, F.length(text)))
 
     empty = F.array().cast("array<struct<text:string,start:int,end:int>>")
-    return evaluate_once(F.coalesce(spans, empty), marked)
+    both = F.struct(F.coalesce(spans, empty).alias("spans"), text_blocks(text).alias("blocks"))
+    return F.when(text.isNotNull(), evaluate_once(both, marked))
 
 
 def show_line_breaks(text: Column, mark: str = "<LINE_BREAK>") -> Column:
