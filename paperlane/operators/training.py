@@ -67,6 +67,17 @@ def score(model: RandomForestClassificationModel, df: DataFrame) -> DataFrame:
     )
 
 
+def tree_votes(model: RandomForestClassificationModel, df: DataFrame) -> DataFrame:
+    """Add ``votes``: what each tree alone says of class 1, in the order of the trees. Their mean is the score."""
+    kept = df.columns
+    for i, tree in enumerate(model.trees):
+        # of a tree's outputs only the probability is made
+        alone = tree.copy().setPredictionCol("").setRawPredictionCol("").setProbabilityCol(f"_vote_{i}")
+        df = alone.transform(df)
+    votes = [positive_probability(f"_vote_{i}") for i in range(len(model.trees))]
+    return df.select(*kept, F.array(*votes).alias("votes"))
+
+
 def cross_validate(
     df: DataFrame, classifier: RandomForestClassifier, fold: str, k: int, parallelism: int = 5
 ) -> DataFrame:

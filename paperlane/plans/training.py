@@ -95,6 +95,37 @@ def forest_invariants(t: Tables) -> DataFrame:
     )
 
 
+# A score is the mean of the votes of all trees, it differs between rows, and the forest has learned what it was shown.
+@query(f"""WITH {_RANKED} SELECT count(*) AS n_rows, count(*) AS n_mean_votes, {TREES} AS n_trees, true AS has_many_scores,
+    true AS knows_training_rows FROM split_rows WHERE split = 'test'""")
+def forest_consistency(t: Tables) -> DataFrame:
+    rows = features(t)
+    train = rows.filter("split = 'train'")
+    model = op.forest(TREES).fit(train)
+    scored = op.tree_votes(model, op.score(model, rows.filter("split = 'test'")))
+    mean = F.aggregate("votes", F.lit(0.0), lambda x, y: x + y) / F.size("votes")
+    known = op.score(model, train).select((F.col("label") == 1).alias("y_true"), "y_pred_prob")
+    area = ev.roc_auc(known, "y_true", "y_pred_prob").select((F.col("roc_auc") > 0.95).alias("knows_training_rows"))
+    checked = scored.agg(
+        F.count("*").alias("n_rows"), F.count_if(F.abs(F.col("y_pred_prob") - mean) < 1e-9).alias("n_mean_votes"),
+        F.max(F.size("votes")).alias("n_trees"), (F.count_distinct("y_pred_prob") > F.lit(10)).alias("has_many_scores"),
+    )
+    # one row each
+    return checked.join(area, F.lit(True))
+
+
+# The scores of a fold are those of a forest grown without it, which is grown here once more.
+@query(f"""WITH {_RANKED} SELECT count(*) AS n_rows, count(*) AS n_same_scores FROM fold_rows WHERE fold = 0""")
+def cv_left_out(t: Tables) -> DataFrame:
+    rows = features(t)
+    folded = materialize(op.stratified_folds(rows, "label", "doc_id", FOLDS), "folds")
+    scores = op.cross_validate(folded, op.forest(TREES), "fold", FOLDS).filter("fold = 0")
+    model = op.forest(TREES).fit(folded.filter("fold <> 0"))
+    again = op.score(model, folded.filter("fold = 0")).select("doc_id", F.col("y_pred_prob").alias("again"))
+    same = F.count_if(F.col("y_pred_prob") == F.col("again"))
+    return scores.join(again, "doc_id").agg(F.count("*").alias("n_rows"), same.alias("n_same_scores"))
+
+
 @query(f"""WITH {_RANKED} SELECT fold, count(*) FILTER (quality = 1) AS n_positive, count(*) FILTER (quality = 0) AS n_negative
     FROM fold_rows GROUP BY fold""")
 def cv_invariants(t: Tables) -> DataFrame:
