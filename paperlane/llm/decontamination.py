@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperlane.llm.sizes import broadcast_if_small
+from paperlane.llm.sizes import broadcast_within
 from paperlane.session import materialize
 
 WINDOW = 10
@@ -32,22 +32,33 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def windows_of(items: DataFrame, size: int) -> DataFrame:
-    """Windows of the items: item, its words, first place, number of words. Rows without words have none."""
-    rows = items.filter(F.size("words") > 0).withColumn("length", F.least(F.size("words"), F.lit(size)))
-    starts = F.sequence(F.lit(0), F.size("words") - F.col("length"))
-    return rows.select("*", F.explode(starts).alias("first"))
+def item_places(items: DataFrame, size: int) -> DataFrame:
+    """Every word of the items: item, term, place, and the first places of the first and last window around it.
+
+    A window has ``size`` words, or all of a shorter item. Items without words have no windows.
+    """
+    words = items.select("item", F.size("words").alias("n"), F.posexplode("words").alias("place", "term"))
+    length = F.least("n", F.lit(size))
+    return words.select(
+        "item", "term", "place", length.alias("length"),
+        F.greatest(F.col("place") - length + 1, F.lit(0)).alias("low"), F.least("place", F.col("n") - length).alias("high"),
+    )
+
+
+def in_windows(places: DataFrame) -> DataFrame:
+    """Each place once for every window around it, whose first place is ``first``."""
+    return places.withColumn("first", F.explode(F.sequence("low", "high"))).drop("low", "high")
 
 
-def rare_places(windows: DataFrame, counts: DataFrame, lists: int) -> DataFrame:
+def rare_places(places: DataFrame, counts: DataFrame, lists: int) -> DataFrame:
     """Places in the items whose terms are among the rarest distinct ones of some window."""
-    inside = windows.select("item", "first", "length", F.posexplode(F.expr("slice(words, first + 1, length)")).alias("place", "term"))
-    known = inside.join(counts, "term", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    # counts are looked up once per place, and a small vocabulary comes to the places
+    known = places.join(broadcast_within(counts), "term", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     # of a term that occurs twice in a window, the first place
-    once = known.groupBy("item", "first", "length", "term", "n").agg(F.min("place").alias("place"))
+    once = in_windows(known).groupBy("item", "first", "term", "n").agg(F.min("place").alias("place"))
     order = Window.partitionBy("item", "first").orderBy("n", "term")
     rare = once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= lists)
-    return rare.select("term", "item", (F.col("first") + F.col("place")).alias("place")).distinct()
+    return rare.select("term", "item", "place").distinct()
 
 
 class Index:
@@ -63,30 +74,61 @@ class Index:
 
         words = docs.select(words_of(F.col(text)).alias("words"))
         vocabulary = materialize(self.items.select(F.explode("words").alias("term")).distinct(), "vocabulary")
-        seen = words.select(F.explode("words").alias("term")).join(broadcast_if_small(vocabulary), "term")
-        counts = seen.groupBy("term").agg(F.count("*").alias("n"))
-        self.places = materialize(rare_places(windows_of(self.items, size), counts, lists), "places")
+        seen = words.select(F.explode("words").alias("term")).join(broadcast_within(vocabulary), "term")
+        counts = materialize(seen.groupBy("term").agg(F.count("*").alias("n")), "counts")
+        self.places = materialize(rare_places(item_places(self.items, size), counts, lists), "places")
 
         terms = materialize(self.places.select("term").distinct(), "terms")
         tokens = docs.select(text_key(F.col(text)).alias("key"), F.posexplode(words_of(F.col(text))).alias("position", "term"))
-        self.postings = materialize(tokens.join(broadcast_if_small(terms), "term"), "postings")
+        self.postings = materialize(tokens.join(broadcast_within(terms), "term"), "postings")
 
     def alignments(self) -> DataFrame:
         """Where an item may start in a document: the places of the item whose adjusted postings meet there."""
-        adjusted = self.postings.join(broadcast_if_small(self.places), "term")
+        adjusted = self.postings.join(broadcast_within(self.places), "term")
         adjusted = adjusted.select("key", "item", (F.col("position") - F.col("place")).alias("start"), "place")
-        return adjusted.groupBy("key", "item", "start").agg(F.sort_array(F.collect_set("place")).alias("places"))
+        # equal texts have the same postings
+        return adjusted.groupBy("key", "item", "start").agg(F.count_distinct("place").alias("places"))
 
     def candidates(self) -> DataFrame:
-        """Per text, the alignments at which some window has all its listed terms."""
-        need = windows_of(self.items, self.size).join(self.places, "item").filter("place >= first AND place < first + length")
-        need = need.groupBy("item", "first").agg(F.sort_array(F.collect_set("place")).alias("needed"))
+        """Alignments (key, item, start) at which some window may have all its listed terms."""
+        spots = item_places(self.items, self.size).join(self.places.select("item", "place"), ["item", "place"])
         # a window's own rarest terms are among the listed places inside it; two of them must be there
-        least = need.groupBy("item").agg(F.min(F.size("needed")).alias("fewest"))
-        items = self.items.join(least, "item").select("item", "ids", "words", "fewest")
-        met = self.alignments().join(broadcast_if_small(materialize(items, "listed")), "item")
-        met = met.filter(F.size("places") >= F.least("fewest", F.lit(2)))
-        return met.groupBy("key").agg(F.collect_list(F.struct("start", "words", "ids")).alias("alignments"))
+        need = in_windows(spots).groupBy("item", "first").agg(F.count("*").alias("needed"))
+        least = materialize(need.groupBy("item").agg(F.min("needed").alias("fewest")), "needed")
+        met = self.alignments().join(broadcast_within(least), "item")
+        return met.filter(F.col("places") >= F.least("fewest", F.lit(2))).select("key", "item", "start")
+
+    def hits(self, docs: DataFrame, text: str) -> DataFrame:
+        """Per text with any: ``key``, ``n_hit`` and the ids of the items whose windows occur, as JSON.
+
+        Texts that have candidates are split once more; of a text, an alignment takes along only the words under the
+        item. So no row holds more than a text and an item, however many alignments there are.
+        """
+        found = materialize(self.candidates(), "candidates")
+        keys = materialize(found.select("key").distinct(), "keys")
+        texts = docs.select(text_key(F.col(text)).alias("key"), F.col(text).alias("text")).join(broadcast_within(keys), "key", "left_semi")
+        texts = texts.dropDuplicates(["key"]).select("key", words_of(F.col("text")).alias("words"))
+        sizes = self.items.select("item", F.size("words").alias("n"))
+        # an item may begin before the text does
+        before = F.greatest(-F.col("start"), F.lit(0))
+        cut = F.slice("words", F.greatest("start", F.lit(0)) + 1, F.greatest(F.col("n") - before, F.lit(0)))
+        under = found.join(sizes, "item").join(texts, "key").select("key", "item", "start", before.alias("before"), cut.alias("under"))
+        both = under.join(self.items, "item")
+        length = F.least(F.size("words"), F.lit(self.size))
+        first = F.sequence(F.col("before"), F.size("words") - length)
+
+        def same(i: Column) -> Column:
+            return F.slice("under", i - F.col("before") + 1, length) == F.slice("words", i + 1, length)
+
+        firsts = F.filter(F.when(F.col("before") <= F.size("words") - length, first), same)
+        matched = both.select("key", "ids", "start", length.alias("length"), firsts.alias("firsts")).filter(F.size("firsts") > 0)
+        matched = materialize(matched, "matched")
+        windows = matched.select("key", "start", "length", F.explode("firsts").alias("first"))
+        at = F.col("start") + F.col("first")
+        covered = windows.select("key", at.alias("at"), "length").distinct()
+        covered = covered.select("key", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("length") - 1)).alias("place")).distinct()
+        listed = matched.select("key", F.explode("ids").alias("id")).distinct().groupBy("key").agg(F.to_json(F.array_sort(F.collect_list("id"))).alias("ids"))
+        return covered.groupBy("key").agg(F.count("*").alias("n_hit")).join(listed, "key", "left")
 
 
 def contamination(
@@ -103,23 +145,12 @@ def contamination(
     added = ("n_words", "n_hit", "items", "contaminated")
     kept = [c for c in docs.columns if c.lower() not in added]
     index = Index(docs, items, text, item_text, item_id, size)
-    candidates = materialize(index.candidates(), "candidates")
-
-    rows = docs.select(*kept, words_of(F.col(text)).alias("_words_"), text_key(F.col(text)).alias("key"))
-    rows = rows.join(broadcast_if_small(candidates), "key", "left")
-    # first places of an alignment's windows, then those whose words are all as in the item
-    at = f"""filter(sequence(0, size(a.words) - least(size(a.words), {size})), i -> a.start + i >= 0 AND
-        slice(_words_, a.start + i + 1, least(size(a.words), {size})) = slice(a.words, i + 1, least(size(a.words), {size})))"""
-    hits = F.expr(f"transform(alignments, a -> struct(a.ids AS ids, least(size(a.words), {size}) AS length, transform({at}, i -> a.start + i) AS starts))")
-    rows = rows.withColumn("_hits_", F.when(F.col("alignments").isNotNull(), hits))
-    places = F.expr("array_distinct(flatten(transform(_hits_, h -> flatten(transform(h.starts, s -> sequence(s, s + h.length - 1))))))")
-    ids = F.expr("array_sort(array_distinct(flatten(transform(filter(_hits_, h -> size(h.starts) > 0), h -> h.ids))))")
-    n_hit = F.coalesce(F.size(places), F.lit(0)).cast("long")
-    return rows.select(
-        *kept, F.size("_words_").cast("long").alias("n_words"),
-        F.when(F.col("_hits_").isNull(), F.lit(0)).otherwise(n_hit).cast("long").alias("n_hit"),
-        F.coalesce(ids, F.array().cast("array<string>")).alias("items"),
-    ).withColumn("contaminated", F.col("n_hit") > 0)
+    hits = materialize(index.hits(docs, text), "hits").withColumnsRenamed({"key": "_key_", "n_hit": "_n_hit_", "ids": "_ids_"})
+    rows = docs.select(*kept, F.size(words_of(F.col(text))).cast("long").alias("n_words"), text_key(F.col(text)).alias("_key_"))
+    found = rows.join(broadcast_within(hits), "_key_", "left")
+    ids = F.coalesce(F.from_json("_ids_", "array<string>"), F.array().cast("array<string>"))
+    n_hit = F.coalesce("_n_hit_", F.lit(0)).cast("long")
+    return found.select(*kept, "n_words", n_hit.alias("n_hit"), ids.alias("items"), (n_hit > 0).alias("contaminated"))
 
 
 def near_matches(
@@ -133,9 +164,10 @@ def near_matches(
     ``position`` (of the rarest term in the text).
     """
     index = Index(docs, items, text, item_text, item_id, size, lists=1)
-    windows = windows_of(index.items, size).join(index.places, "item").filter("place >= first AND place < first + length")
-    windows = windows.select("term", "ids", "first", F.expr("array_distinct(slice(words, first + 1, length))").alias("terms"), "length")
-    spots = index.postings.distinct().join(broadcast_if_small(materialize(windows, "windows")), "term")
+    spots = in_windows(item_places(index.items, size).join(index.places.select("item", "place"), ["item", "place"]))
+    words = index.items.select("item", "ids", "words")
+    windows = spots.join(words, "item").select("term", "ids", "first", F.expr("array_distinct(slice(words, first + 1, length))").alias("terms"), "length")
+    spots = index.postings.distinct().join(windows, "term")
     texts = docs.select(text_key(F.col(text)).alias("key"), words_of(F.col(text)).alias("words")).dropDuplicates(["key"])
     reach = F.expr(f"slice(words, greatest(position - length - {slop}, 0) + 1, position + 1 + length + {slop} - greatest(position - length - {slop}, 0))")
     near = spots.join(texts, "key").filter(F.size(F.array_except("terms", reach)) == 0)
