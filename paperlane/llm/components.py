@@ -8,17 +8,23 @@ from pyspark.sql import functions as F
 from paperlane.session import materialize
 
 
+def stored_low(low: DataFrame) -> DataFrame:
+    """The smallest node of each star, stored: both sides of the join that follows are then plain shuffles, and
+    the edges of a star with most of them can be split."""
+    return materialize(low, "low")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node links its larger neighbours to the smallest node it knows, itself included."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+    low = stored_low(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")))
     linked = both.filter("b > a").join(low.withColumnRenamed("a", "node"), F.col("a") == F.col("node"))
     return linked.select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a <> b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node links its smaller neighbours and itself to the smallest of them; here a > b."""
-    low = edges.groupBy("a").agg(F.min("b").alias("low"))
+    low = stored_low(edges.groupBy("a").agg(F.min("b").alias("low")))
     linked = edges.join(low.withColumnRenamed("a", "node"), F.col("a") == F.col("node"))
     moved = linked.select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a <> b")
     return moved.unionByName(low.select("a", F.col("low").alias("b"))).distinct()
