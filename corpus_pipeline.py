@@ -17,18 +17,41 @@ from paperlane.llm.registry import table
 from paperlane.llm.tasks import tune_batches
 from paperlane.session import materialize
 
+FEW = 0.0005  # share of labelled documents that may lie below the cosine from which the floor follows
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def language_floor(scored: DataFrame) -> float:
+    """Half of the cosine that all but a few (``FEW``) of the documents with a label reach; 0 without any.
+
+    Cosines are counted in thousandths over all rows, so the result is exact and the same in every run. Short
+    clean texts have low cosines too, hence the half.
+    """
+    cosine = F.floor(F.col("_cosine_") * 1000).cast("int").alias("cosine")
+    bins = scored.filter("lang IS NOT NULL AND _letters_").groupBy(cosine).agg(F.count("*").alias("n"))
+    # at most a thousand and one rows
+    counts = sorted((row["cosine"], row["n"]) for row in bins.collect())
+    left = FEW * sum(n for _, n in counts)
+    for value, n in counts:
+        left -= n
+        if left < 0:
+            return value / 2000
+    return 0.0
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language stays unknown. A missing label is filled in, others stay.
+    """Drop documents that are in no known language: without a letter, or less like every language than
+    hardly any document with a label is like its nearest one. A missing label is filled in, others stay.
 
     Where no document has a label there is nothing to learn, and only those without a letter go.
     """
     tune_batches(spark)
     known = langid.profiles(docs, "text", "lang")
     found = langid.identify(docs, "text", known, out="_language_", score="_cosine_", keep=COLUMNS)
-    some = found.filter(F.col("_language_") != langid.UNKNOWN if known else F.col("text").rlike(r"\p{L}"))
+    letters = F.col("_language_") != langid.UNKNOWN if known else F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    # stored, as all cosines are counted before any document is judged
+    found = materialize(found.withColumn("_letters_", letters), "languages")
+    some = found.filter("_letters_").filter(F.col("_cosine_") >= language_floor(found))
     guessed = F.when(F.col("_language_") != langid.UNKNOWN, F.col("_language_"))
     return some.withColumn("lang", F.coalesce("lang", guessed)).select(*COLUMNS)
 

@@ -24,7 +24,8 @@ def folder(spark, tmp_path_factory):
 def test_stages(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
-    expected = [(r["doc_id"], r["text"]) for r in docs.collect() if r["text"] and re.search(r"[^\W\d_]", r["text"])]
+    # a text of one letter, without a label, is like no language: its cosine is 0
+    expected = [(r["doc_id"], r["text"]) for r in docs.collect() if r["text"] and re.search(r"[^\W\d_]", r["text"]) and set(r["text"]) != {"x"}]
     classes = plain_classes(expected)
     texts = dict(expected)
     expected = sorted({c for _, _, c in classes})
@@ -47,3 +48,22 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark, folder):
         assert found.columns == list(corpus_pipeline.COLUMNS), name
         assert found.count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == 0
+
+
+def test_noise_with_a_few_letters_goes(spark, folder):
+    words = "the of and to in is that it was for on are as with his they at be this from".split()
+    clean = [(i, " ".join(words[(i * k + k) % 20] for k in range(1, 60)), "en", "s", 0) for i in range(200)]
+    noise = [(900, "<<< >>> %% 12 ## w", None, "s", 0), (901, "0x 7q 11 ~~ 9z " * 40, None, "s", 0), (902, "?? " * 9 + "k", None, "s", 0)]
+    # short clean texts, with and without a label, stay
+    short = [(800, "the", "en", "s", 0), (801, "This was it.", None, "s", 0)]
+    docs = spark.createDataFrame([*clean, *noise, *short], SCHEMA)
+    kept = {r["doc_id"]: r["lang"] for r in corpus_pipeline.identify_language(spark, docs, folder).collect()}
+    assert set(kept) == {*range(200), 800, 801} and set(kept.values()) == {"en"}
+
+
+def test_the_floor_follows_from_the_labelled_documents(spark):
+    rows = [(0.5 + i / 10_000, "en", True) for i in range(4000)] + [(0.2, "en", True), (0.01, None, True), (0.0, "en", False)]
+    scored = spark.createDataFrame(rows, "_cosine_ double, lang string, _letters_ boolean")
+    # two in 4001 may lie below; the third lowest is 0.5
+    assert corpus_pipeline.language_floor(scored) == 0.25
+    assert corpus_pipeline.language_floor(scored.limit(0)) == 0.0
