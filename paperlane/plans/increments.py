@@ -35,20 +35,36 @@ def stream_hourly(t: Tables) -> DataFrame:
     return op.read_hourly_counts(t.spark, path, delay="1 hour")
 
 
-@query("""SELECT doc_id, sha256(text) AS job_id, CAST(len(list_filter(string_split(text, chr(10)),
-    lambda x: trim(x) <> '')) AS int) AS n_lines FROM documents""")
-def resume_append(t: Tables) -> DataFrame:
-    path = new_work_path(t.spark, "enriched")
+_ENRICHED = """SELECT doc_id, sha256(text) AS job_id, CAST(len(list_filter(string_split(text, chr(10)),
+    lambda x: trim(x) <> '')) AS int) AS n_lines FROM documents"""
 
-    def enrich(rows: DataFrame) -> DataFrame:
-        lines = F.size(text_to_blocks(F.col("text")))
-        return rows.select("doc_id", text_hash(F.col("text")).alias("job_id"), lines.alias("n_lines"))
 
+def _enrich(rows: DataFrame) -> DataFrame:
+    lines = F.size(text_to_blocks(F.col("text")))
+    return rows.select("doc_id", text_hash(F.col("text")).alias("job_id"), lines.alias("n_lines"))
+
+
+# The second run finds the labelled documents in the index and enriches the others; the third one is a repetition.
+@query(_ENRICHED)
+def resume_append_indexed(t: Tables) -> DataFrame:
+    root = new_work_path(t.spark, "enriched")
+    index = KeyIndex(t.spark, root, "enriched", "doc_id", "bigint", f"enriched_keys_{root.rpartition('-')[2]}", 16)
+    documents = t("documents")
+    seen = documents.join(t("labels").select("doc_id"), "doc_id", "left_semi")
+    for batch, rows in (("labelled", seen), ("all", documents), ("again", documents)):
+        append_unknown(t.spark, rows, index, batch, _enrich)
+    index.close()
+    return batches.read_committed(t.spark, root, "enriched")
+
+
+@query(_ENRICHED)
+def resume_append(t: Tables) -> DataFrame:
+    path = new_work_path(t.spark, "enriched")
     documents = t("documents")
     # a run that saw the labelled documents only, then one that sees all of them
     seen = documents.join(t("labels").select("doc_id"), "doc_id", "left_semi")
-    op.resume_append(t.spark, seen, "doc_id", enrich, path)
-    return op.resume_append(t.spark, documents, "doc_id", enrich, path)
+    op.resume_append(t.spark, seen, "doc_id", _enrich, path)
+    return op.resume_append(t.spark, documents, "doc_id", _enrich, path)
 
 
 @query("SELECT page_id, sha256(html) AS job_id FROM pages")
@@ -102,6 +118,7 @@ def corpus_upsert_indexed(t: Tables) -> DataFrame:
     half = F.pmod(F.xxhash64("ticket_uuid"), F.lit(2))
     for part in (0, 1, 1):
         append_unknown(t.spark, rows.filter(half == part), index, f"part {part}")
+    index.close()
     return batches.read_committed(t.spark, root, "corpus")
 
 

@@ -8,6 +8,8 @@ the two leaves nothing out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +46,10 @@ class KeyIndex:
         keys = rows.select(column).filter(column.isNotNull()).distinct().repartition(self.buckets, column)
         keys.write.bucketBy(self.buckets, self.key).sortBy(self.key).mode("append").format("parquet").option("path", self.path).saveAsTable(self.name)
 
+    def close(self) -> None:
+        """Take the name out of the catalog; the files stay and can be opened again."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def catch_up(self) -> int:
         """Add the keys of batches that were committed since the last time; their number."""
         # a batch of merged ones holds no new keys
@@ -70,7 +76,12 @@ class KeyIndex:
         return rows.join(held, self.key, "left_anti")
 
 
-def append_unknown(spark: SparkSession, rows: DataFrame, index: KeyIndex, batch: str) -> bool:
-    """Add the rows of a batch whose key is new to the indexed table; False if the batch is there already."""
+def append_unknown(
+    spark: SparkSession, rows: DataFrame, index: KeyIndex, batch: str, enrich: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> bool:
+    """Add the rows of a batch whose key is new to the indexed table; False if the batch is there already.
+
+    ``enrich`` is applied to these rows alone, so costly work is not done again. It keeps the key.
+    """
     index.catch_up()
-    return batches.append_batch(spark, {index.table: index.unknown(rows)}, index.root, batch)
+    return batches.append_batch(spark, {index.table: enrich(index.unknown(rows))}, index.root, batch)

@@ -84,8 +84,12 @@ def test_known_keys_are_dropped_and_the_index_follows(spark, tmp_path):
     assert append_unknown(spark, keyed(spark, ["a", "d", "e"]), other, "3")
     assert other.catch_up() == 1 and other.catch_up() == 0
     assert [r["k"] for r in batches.read_committed(spark, root, "t").filter("k IN ('d', 'e')").orderBy("k").collect()] == ["d", "e"]
-    spark.sql("DROP TABLE keys_one")
-    spark.sql("DROP TABLE keys_two")
+    index.close()
+    other.close()
+    # the files stay, and a name can be given again
+    again = index_of(spark, root, "keys_one")
+    assert {r["k"] for r in again.keys().collect()} >= {"a", "b", "c", "d"} and again.catch_up() == 0
+    again.close()
 
 
 def test_old_keys_are_not_moved(spark, tmp_path):
@@ -107,7 +111,7 @@ def test_old_keys_are_not_moved(spark, tmp_path):
                 assert "Exchange" not in line and "ShuffleQueryStage" not in line
                 if "Join" in line:
                     break
-    spark.sql("DROP TABLE keys_plan")
+    index.close()
 
 
 # jobs
