@@ -47,11 +47,15 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     tune_batches(spark)
     known = langid.profiles(docs, "text", "lang")
-    found = langid.identify(docs, "text", known, out="_language_", score="_cosine_", keep=COLUMNS)
-    letters = F.col("_language_") != langid.UNKNOWN if known else F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    # stored, as all cosines are counted before any document is judged
-    found = materialize(found.withColumn("_letters_", letters), "languages")
-    some = found.filter("_letters_").filter(F.col("_cosine_") >= language_floor(found))
+
+    def judged(some: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+        found = langid.identify(some, "text", known, out="_language_", score="_cosine_", keep=keep)
+        letters = F.col("_language_") != langid.UNKNOWN if known else F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+        return found.withColumn("_letters_", letters)
+
+    # labelled texts are read twice, which takes less than keeping a copy of all texts until the floor is known
+    floor = language_floor(judged(docs.filter("lang IS NOT NULL"), ("lang",))) if known else 0.0
+    some = judged(docs, COLUMNS).filter(F.col("_letters_") & (F.col("_cosine_") >= floor))
     guessed = F.when(F.col("_language_") != langid.UNKNOWN, F.col("_language_"))
     return some.withColumn("lang", F.coalesce("lang", guessed)).select(*COLUMNS)
 
