@@ -106,12 +106,16 @@ def name_context(text: Column, window: int = 15) -> Column:
     Line breaks inside the context are kept, other blanks at its start are not.
     """
     cues = "|".join(CUES)
+    # looking at the first character of a cue before what is in front of it keeps the search fast
     pattern = (
-        rf"(?iu)(?:^|{ANY_BLANK})(?:{cues})"
+        rf"(?iu)(?=[g.])(?<!{NO_BLANK})(?:{cues})"
         rf"((?:{ANY_BLANK}+{NO_BLANK}+){{1,{window}}})"
     )
-    context = F.regexp_extract(text, pattern, 1)
-    return F.nullif(F.regexp_replace(context, f"^[{BLANKS}]+", ""), F.lit(""))
+
+    def trimmed(context: Column) -> Column:
+        return F.nullif(F.regexp_replace(context, f"^[{BLANKS}]+", ""), F.lit(""))
+
+    return evaluate_once(F.regexp_extract(text, pattern, 1), trimmed)
 
 
 def pick_name(context: Column) -> Column:

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperlane.functions.binding import evaluate_once
 from paperlane.functions.extract import NO_BLANK, SALUTATION_WORDS, clean_name, name_context, pick_name
 
 BREAK, SALUTED, WITH_COMMA, CAPITAL, SHORT, NUMBER, LOWER, ANYTHING = range(8)
@@ -37,24 +38,30 @@ def shape(token: Column) -> Column:
     )
 
 
+def context_tags(context: Column) -> Column:
+    """The shapes of the words of a context, each with whether it lies on the line of the name; NULL if no name is found."""
+    def marked(lines: Column) -> Column:
+        picked = F.when(F.length(F.trim(F.get(lines, F.lit(0)))) > 1, 0).otherwise(1)
+
+        def tagged(line: Column, i: Column) -> Column:
+            words = F.transform(
+                F.regexp_extract_all(line, F.lit(f"{NO_BLANK}+"), F.lit(0)), lambda w: F.struct(shape(w).alias("shape"), (i == picked).alias("name")),
+            )
+            line_break = F.struct(F.lit(BREAK).alias("shape"), F.lit(False).alias("name"))
+            return F.concat(F.when(i > 0, F.array(line_break)).otherwise(F.slice(words, 1, 0)), words)
+
+        return F.flatten(F.transform(lines, tagged))
+
+    return F.when(pick_name(context).isNotNull(), evaluate_once(F.split(context, "\n"), marked))
+
+
 def marked_contexts(texts: DataFrame, text: str) -> DataFrame:
     """``tags``: the shapes of the words after a cue, each with whether it lies on the line of the name.
 
     Only contexts in which a name is found teach anything. A context has a bounded number of words.
     """
-    contexts = texts.select(name_context(F.col(text)).alias("context")).filter(pick_name(F.col("context")).isNotNull())
-    lines = F.split("context", "\n")
-    first = F.length(F.trim(F.get(lines, F.lit(0)))) > 1
-    numbered = contexts.select(lines.alias("lines"), F.when(first, 0).otherwise(1).alias("picked"))
-
-    def tagged(line: Column, i: Column) -> Column:
-        words = F.transform(
-            F.regexp_extract_all(line, F.lit(f"{NO_BLANK}+"), F.lit(0)), lambda w: F.struct(shape(w).alias("shape"), (i == F.col("picked")).alias("name")),
-        )
-        line_break = F.struct(F.lit(BREAK).alias("shape"), F.lit(False).alias("name"))
-        return F.concat(F.when(i > 0, F.array(line_break)).otherwise(F.slice(words, 1, 0)), words)
-
-    return numbered.select(F.flatten(F.transform("lines", tagged)).alias("tags"))
+    # the filter looks at an exploded value, so that it is not worked out again below
+    return texts.select(F.explode(F.array(evaluate_once(name_context(F.col(text)), context_tags))).alias("tags")).filter("tags IS NOT NULL")
 
 
 @dataclass(frozen=True)
@@ -70,24 +77,30 @@ def tagger_scores(texts: DataFrame, text: str) -> DataFrame:
 
     Every event counts once more than it was seen. What comes before the first word is no name.
     """
-    tags = marked_contexts(texts, text)
-    rows = tags.select(F.posexplode("tags").alias("place", "tag"), "tags")
-    before = F.when(F.col("place") > 0, F.get("tags", F.col("place") - 1)["name"]).otherwise(False)
-    seen = rows.select("tag.shape", F.col("tag.name").cast("int").alias("tag"), before.cast("int").alias("before"))
-    events = F.array(
-        F.struct(F.lit("shape").alias("kind"), F.col("tag").alias("given"), F.col("shape").alias("what")),
-        F.struct(F.lit("step").alias("kind"), F.col("before").alias("given"), F.col("tag").alias("what")),
-    )
-    counts = seen.select(F.inline(events)).groupBy("kind", "given", "what").agg(F.count("*").alias("n"))
+    def events(tags: Column) -> Column:
+        def both(tag: Column, i: Column) -> Column:
+            before = F.when(i > 0, F.get(tags, i - 1)["name"]).otherwise(False).cast("int")
+            name = tag["name"].cast("int")
+            return F.array(
+                F.struct(F.lit("shape").alias("kind"), name.alias("given"), tag["shape"].alias("what")),
+                F.struct(F.lit("step").alias("kind"), before.alias("given"), name.alias("what")),
+            )
+
+        return F.flatten(F.transform(tags, both))
+
+    # one expression from the text to its events: plans repeat a column's work wherever a filter or a generator names it
+    found = evaluate_once(name_context(F.col(text)), lambda context: evaluate_once(context_tags(context), events))
+    counts = texts.select(F.inline(found)).groupBy("kind", "given", "what").agg(F.count("*").alias("n"))
     # all events there can be, twenty rows
     possible = texts.sparkSession.range(1).select(F.inline(F.array(*[
         F.struct(F.lit(kind).alias("kind"), F.lit(given).alias("given"), F.lit(what).alias("what"))
         for kind, n in (("shape", SHAPES), ("step", 2)) for given in (0, 1) for what in range(n)
     ])))
     full = possible.join(counts, ["kind", "given", "what"], "left").withColumn("n", F.coalesce("n", F.lit(0)) + 1)
-    totals = full.groupBy("kind", "given").agg(F.sum("n").alias("total"))
-    score = F.round(F.ln(F.col("n") / F.col("total")) * UNIT).cast("long")
-    return full.join(totals, ["kind", "given"]).select("kind", "given", "what", score.alias("score"))
+    # twenty rows, so that the texts are read once
+    total = F.sum("n").over(Window.partitionBy("kind", "given"))
+    score = F.round(F.ln(F.col("n") / total) * UNIT).cast("long")
+    return full.select("kind", "given", "what", score.alias("score"))
 
 
 def learn_tagger(texts: DataFrame, text: str) -> Tagger:

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from paperlane.functions.extract import name_context
 from paperlane.operators import persons
 
 TEXTS = [
@@ -83,3 +84,19 @@ def test_long_texts_take_linear_time(spark):
     tagger = persons.learn_tagger(spark.createDataFrame([(t,) for t in TEXTS], "text string"), "text")
     df = spark.createDataFrame([("wort " * 200_000 + "Eva Muster",)], "text string")
     assert persons.person_names(df, "text", tagger).drop("text").first()["cue_name"] is None
+
+
+def test_each_text_is_searched_once(spark):
+    df = spark.createDataFrame([(t,) for t in TEXTS], "text string")
+    for table in (persons.tagger_scores(df, "text"), persons.marked_contexts(df, "text")):
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        # each search for a cue names the pattern
+        assert plan.count("gegen") == 1
+
+
+@pytest.mark.parametrize("text,context", [
+    ("gegen", None), ("gegen a", "a"), ("xgegen a", None), ("x GEGEN b\nc", "b\nc"), ("gegen gegen x", "gegen x"), (".gegen a ./. q", "q"),
+    ("\u00a0gegen\u2003a", "a"), ("", None), (None, None), ("\U0001f600gegen a ./. b", "b"),
+])
+def test_cues_follow_a_blank(one, text, context):
+    assert one(name_context, text) == context
