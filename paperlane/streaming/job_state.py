@@ -7,24 +7,26 @@ do not depend on when or in how many pieces the events are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from datetime import UTC, datetime
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from paperlane.operators.jobs import TERMINAL
 from paperlane.streaming.incremental import utc_clock, utc_instant
 
-STATE = "submitted bigint, seen bigint, ended boolean, ids array<bigint>, stamps array<bigint>, succeeded array<boolean>, told string"
+TOLD = "struct<submitted: bigint, seen: bigint, outcome: string, lost: boolean>"
+STATES = f"job string, submitted bigint, seen bigint, ended boolean, first struct<order: bigint, back: bigint, succeeded: boolean>, told {TOLD}, changed boolean"
+ENDS = "job string, order bigint, back bigint, succeeded boolean"
+EVENTS = "job string, submitted bigint, seen bigint, ended boolean, order bigint, succeeded boolean"
+CLOCK = "watermark bigint, before bigint"
 CHANGE = "job string, submitted bigint, seen bigint, outcome string, lost boolean"
 DAY, SECOND, MILLI = 86_400_000_000, 1_000_000, 1000
 NO_ORDER = (1 << 63) - 1
 
 
 class Job:
-    """The state of one job; times are microseconds."""
+    """The rules for the state of one job, event by event; times are microseconds. ``advance`` applies them to all jobs at once."""
 
     def __init__(self, kept: tuple | None = None):
         submitted, seen, ended, ids, stamps, succeeded, told = kept or (None, None, False, [], [], [], None)
@@ -77,34 +79,55 @@ class Job:
         return due
 
 
-def job_changes(events: DataFrame, timeout_seconds: int, days: int) -> DataFrame:
-    """Changes of jobs in a stream of events (``job``, ``status``, ``order``, ``time`` with a watermark)."""
-    timeout, age = timeout_seconds * SECOND, days * DAY
-
-    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        job = Job(state.get if state.exists else None)
-        for frame in frames:
-            for order, status, at in zip(frame["order"], frame["status"], frame["at"], strict=True):
-                job.take(int(order), status, int(at))
-            job.thin()
-        watermark = state.getCurrentWatermarkMs()
-        now = watermark * MILLI
-        outcome, lost = job.outcome(now, timeout), job.lost(now, age)
-        tell = f"{job.submitted} {outcome} {lost} {job.seen if lost else ''}"
-        changed = tell != job.told
-        job.told = tell
-        state.update(job.kept())
-        due = job.timers(now, timeout, age)
-        if due:
-            # the watermark has whole milliseconds, and a timer rings once it is later
-            state.setTimeoutTimestamp(max(min(due) // MILLI, watermark, 1))
-        if changed:
-            kinds = {"job": "object", "submitted": "Int64", "seen": "Int64", "outcome": "object", "lost": "bool"}
-            row = pd.DataFrame([(key[0], job.submitted, job.seen if lost else None, outcome, lost)], columns=list(kinds))
-            yield row.astype(kinds)
-
-    rows = events.select("job", "status", "order", "time", F.unix_micros("time").alias("at"))
-    return rows.groupBy("job").applyInPandasWithState(update, CHANGE, STATE, "update", GroupStateTimeout.EventTimeTimeout)
+def as_events(stream: DataFrame, job: str, status: str, time: str, order: str) -> DataFrame:
+    """What the state needs to know of each event: its job, its time, and the parts of a state it may change."""
+    at, ended = F.unix_micros(utc_instant(F.col(time))), F.col(status).isin(*TERMINAL)
+    # an end without a place in the order is never the first one
+    place = F.when(ended & (F.col(order).cast("long") != NO_ORDER), F.col(order).cast("long"))
+    return stream.filter(F.col(job).isNotNull() & F.col(status).isNotNull() & F.col(time).isNotNull()).select(
+        F.col(job).cast("string").alias("job"), F.when(F.col(status) == "SUBMITTED", at).alias("submitted"), at.alias("seen"), ended.alias("ended"),
+        place.alias("order"), (F.col(status) == "SUCCEEDED").alias("succeeded"),
+    )
+
+
+def advance(jobs: DataFrame, ends: DataFrame, events: DataFrame, now: int, timeout_seconds: int, days: int) -> tuple[DataFrame, DataFrame]:
+    """The states after some more events, as of ``now``, and all ends that have been kept or come, in columns of ``ENDS``.
+
+    The same rules as those of ``Job``, for all jobs at once. ``told`` is what there is to tell of a job, ``changed``
+    whether that is new.
+    """
+    came = events.filter("order IS NOT NULL").select("job", "order", (-F.col("seen")).alias("back"), "succeeded")
+    ends = ends.unionByName(came)
+    parts = jobs.select("job", "submitted", "seen", "ended", "told").unionByName(
+        events.select("job", "submitted", "seen", "ended", F.lit(None).cast(TOLD).alias("told"))
+    )
+    summed = parts.groupBy("job").agg(
+        F.min("submitted").alias("submitted"), F.min("seen").alias("seen"), F.bool_or("ended").alias("ended"), F.max("told").alias("before"),
+    )
+    # of equal places the latest end comes first
+    late = ends.join(summed.select("job", "submitted"), "job").filter(-F.col("back") >= F.col("submitted"))
+    first = late.groupBy("job").agg(F.min(F.struct("order", "back", "succeeded")).alias("first"))
+    due = F.col("submitted") + timeout_seconds * SECOND
+    outcome = (
+        F.when(F.col("submitted").isNull(), F.lit(None))
+        .when(-F.col("first.back") <= due, F.when(F.col("first.succeeded"), "SUCCEEDED").otherwise("FAILED"))
+        .when(F.lit(now) > due, "TIMEOUT").otherwise("SUBMITTED")
+    )
+    judged = summed.join(first, "job", "left").withColumn("outcome", outcome)
+    judged = judged.withColumn("lost", ~F.col("ended") & (F.col("seen") < now - days * DAY))
+    told = F.struct("submitted", F.when(F.col("lost"), F.col("seen")).alias("seen"), "outcome", "lost")
+    states = judged.select("job", "submitted", "seen", "ended", "first", told.alias("told"), (~told.eqNullSafe(F.col("before"))).alias("changed"))
+    return states, ends
+
+
+def thin(ends: DataFrame, states: DataFrame) -> DataFrame:
+    """Ends that may still count: the first one by order since the submission does, and the submission can only turn
+    out to be earlier. So none behind that end is of use, nor one behind another one that is as late."""
+    known = ends.join(states.filter("first IS NOT NULL").select("job", "first"), "job", "left")
+    useful = known.filter(F.col("first").isNull() | (F.struct("order", "back") <= F.struct("first.order", "first.back")))
+    before = Window.partitionBy("job").orderBy("order", "back", "succeeded").rowsBetween(Window.unboundedPreceding, -1)
+    latest = F.min("back").over(before)
+    return useful.withColumn("latest", latest).filter(F.col("latest").isNull() | (F.col("back") < F.col("latest"))).select("job", "order", "back", "succeeded")
 
 
 def run_job_states(
@@ -114,25 +137,45 @@ def run_job_states(
     """Follow all jobs through the events that arrived since the last run; then stop.
 
     Events later than ``delay`` behind the newest one are left out. Times without a zone are taken as UTC.
-    Each batch writes the changes it has made into a folder of its own, which it replaces if it has to run
-    again. A job's state stays, as an event may come after any time; it is about a hundred bytes.
+    Each batch writes the changes it has made into a folder of its own, which it replaces if it has to
+    run again. The states lie next to the checkpoint, as of the last two batches, so that a batch that runs again finds
+    what it started from. A job's state stays, as an event may come after any time; it is about a hundred bytes.
     Returns the watermark, up to which timers have run; None if there was nothing to do.
     """
-    events = stream.select(
-        F.col(job).alias("job"), F.col(status).alias("status"), F.coalesce(F.col(order).cast("long"), F.lit(NO_ORDER)).alias("order"), utc_instant(F.col(time)).alias("time"),
-    ).filter("job IS NOT NULL AND status IS NOT NULL AND time IS NOT NULL")
-    changes = job_changes(events.withWatermark("time", delay), timeout_seconds, days)
+    spark, root, done = stream.sparkSession, f"{checkpoint}/job-states", []
+    wait = F.expr(f"unix_micros(timestamp'1970-02-01 00:00:00Z') - unix_micros(timestamp'1970-02-01 00:00:00Z' - INTERVAL {delay})")
+    wait = spark.range(1).select(wait).first()[0] // MILLI
+
+    def stored(name: str, schema: str, batch: int) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{root}/{name}/{batch % 2}") if batch >= 0 else spark.createDataFrame([], schema)
+
+    def store(rows: DataFrame, name: str, schema: str, batch: int) -> DataFrame:
+        rows.write.mode("overwrite").parquet(f"{root}/{name}/{batch % 2}")
+        return stored(name, schema, batch)
 
     def write(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        clock = stored("clock", CLOCK, batch - 1).first()
+        watermark, late = (clock["watermark"], clock["before"] if done else clock["watermark"]) if clock else (0, 0)
+        came = store(rows, "events", EVENTS, batch)
+        newest = came.agg(F.max("seen")).first()[0]
+        now = max(watermark, newest // MILLI - wait) if newest is not None else watermark
+        # as any operator with a watermark, a batch leaves out what the batch before it made late
+        events = came.filter(F.col("seen") > late * MILLI)
+        states, ends = advance(stored("jobs", STATES, batch - 1), stored("ends", ENDS, batch - 1), events, now * MILLI, timeout_seconds, days)
+        states = store(states, "jobs", STATES, batch)
+        store(thin(ends, states), "ends", ENDS, batch)
+        states.filter("changed").select("job", "told.*").write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        store(spark.range(1).select(F.lit(now).cast("long").alias("watermark"), F.lit(watermark).cast("long").alias("before")), "clock", CLOCK, batch)
+        done.append(now)
 
     query = (
-        changes.writeStream.outputMode("update").foreachBatch(write)
+        as_events(stream, job, status, time, order).writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    last = query.lastProgress
-    return last["eventTime"].get("watermark") if last else None
+    if not done:
+        return None
+    return datetime.fromtimestamp(done[-1] / 1000, UTC).strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z"
 
 
 def read_job_states(spark: SparkSession, path: str) -> DataFrame:
