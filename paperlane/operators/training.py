@@ -13,6 +13,7 @@ from pyspark.util import inheritable_thread_target
 
 from paperlane.functions.numbers import round_even
 from paperlane.operators.order import shuffled_rank
+from paperlane.session import materialize
 
 
 def stratified_split(
@@ -67,15 +68,23 @@ def score(model: RandomForestClassificationModel, df: DataFrame) -> DataFrame:
     )
 
 
-def tree_votes(model: RandomForestClassificationModel, df: DataFrame) -> DataFrame:
-    """Add ``votes``: what each tree alone says of class 1, in the order of the trees. Their mean is the score."""
-    kept = df.columns
-    for i, tree in enumerate(model.trees):
-        # of a tree's outputs only the probability is made
-        alone = tree.copy().setPredictionCol("").setRawPredictionCol("").setProbabilityCol(f"_vote_{i}")
-        df = alone.transform(df)
-    votes = [positive_probability(f"_vote_{i}") for i in range(len(model.trees))]
-    return df.select(*kept, F.array(*votes).alias("votes"))
+def tree_votes(model: RandomForestClassificationModel, df: DataFrame, at_once: int = 10) -> DataFrame:
+    """Add ``votes``: what each tree alone says of class 1, in the order of the trees. Their mean is the score.
+
+    A job is sent with the trees it asks, so a few vote ``at_once``, and the rows are written with their votes so far.
+    """
+    kept, trees = df.columns, model.trees
+    votes = F.array().cast("array<double>")
+    for start in range(0, len(trees), at_once):
+        some = trees[start : start + at_once]
+        for i, tree in enumerate(some):
+            # of a tree's outputs only the probability is made
+            alone = tree.copy().setPredictionCol("").setRawPredictionCol("").setProbabilityCol(f"_vote_{i}")
+            df = alone.transform(df)
+        new = F.array(*(positive_probability(f"_vote_{i}") for i in range(len(some))))
+        df = materialize(df.select(*kept, F.concat(votes, new).alias("votes")), "votes")
+        votes = F.col("votes")
+    return df
 
 
 def cross_validate(
