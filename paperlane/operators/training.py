@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -15,6 +16,13 @@ from paperlane.functions.numbers import round_even
 from paperlane.operators.order import shuffled_rank
 from paperlane.session import materialize
 
+SMALL = 10_000  # training rows up to which a forest is grown by one fit
+TREES_PER_PART = 10
+ROWS_PER_TASK = 250_000  # training rows that a task of a part reads
+TASKS = 16  # tasks that the parts which grow at a time may have together
+
+Forest = RandomForestClassificationModel | Sequence[RandomForestClassificationModel]
+
 
 def stratified_split(
     df: DataFrame, label: str, key: str, test_share: float = 0.2, seed: int = 42
@@ -61,19 +69,64 @@ def positive_probability(column: str = "probability") -> Column:
     return vector_to_array(F.col(column))[1]
 
 
-def score(model: RandomForestClassificationModel, df: DataFrame) -> DataFrame:
-    """Add ``y_pred_prob``; all other columns, the key among them, stay in place."""
-    return model.transform(df).withColumn("y_pred_prob", positive_probability()).select(
-        *df.columns, "y_pred_prob"
-    )
+def _parts(classifier: RandomForestClassifier, df: DataFrame, small: int, per_task: int) -> tuple[list, DataFrame, int]:
+    """The classifiers of the parts of a forest, the rows for each of them, and how many may grow at a time; 0 for one part."""
+    trees, seed = classifier.getNumTrees(), classifier.getSeed()
+    n = df.count()
+    if n <= small or trees <= TREES_PER_PART:
+        return [classifier], df, 0
+    tasks = -(-n // per_task)
+    parts = [
+        # bootstraps are seeded by seed and task, so seeds lie far apart
+        classifier.copy({classifier.numTrees: min(TREES_PER_PART, trees - done), classifier.seed: seed + 10_000 * done})
+        for done in range(0, trees, TREES_PER_PART)
+    ]
+    return parts, df.coalesce(tasks), max(1, TASKS // tasks)
+
+
+def grow(
+    classifier: RandomForestClassifier, df: DataFrame, small: int = SMALL, per_task: int = ROWS_PER_TASK
+) -> list[RandomForestClassificationModel]:
+    """Grow a forest, in parts of ten trees each if there are more than ``small`` rows.
+
+    Each task that reads rows sends statistics of all nodes of its trees, however few of its rows they hold, so one
+    fit costs nodes times tasks. A part is read by few tasks, one per ``per_task`` rows, and parts grow side
+    by side instead. All rows take part in the bootstrap of every tree. They are read by each part, so they should
+    have been written.
+    """
+    parts, rows, width = _parts(classifier, df, small, per_task)
+    with ThreadPoolExecutor(max(1, width)) as pool:
+        return list(pool.map(inheritable_thread_target(df.sparkSession)(lambda part: part.fit(rows)), parts))
 
 
-def tree_votes(model: RandomForestClassificationModel, df: DataFrame, at_once: int = 10) -> DataFrame:
+def _models(forest: Forest) -> list[RandomForestClassificationModel]:
+    return [forest] if isinstance(forest, RandomForestClassificationModel) else list(forest)
+
+
+def score(model: Forest, df: DataFrame) -> DataFrame:
+    """Add ``y_pred_prob``, the mean vote of all trees; all other columns, the key among them, stay in place.
+
+    Of a forest in parts, each part scores in a job of its own, which is sent with its trees alone.
+    """
+    kept, parts = df.columns, _models(model)
+    if len(parts) == 1:
+        scored = parts[0].transform(df).withColumn("y_pred_prob", positive_probability())
+        return scored.select(*kept, "y_pred_prob")
+    total, trees = F.lit(0.0), sum(part.getNumTrees for part in parts)
+    for part in parts:
+        alone = part.copy().setPredictionCol("").setRawPredictionCol("").setProbabilityCol("_part")
+        summed = total + positive_probability("_part") * part.getNumTrees
+        df = materialize(alone.transform(df).select(*kept, summed.alias("_total")), "part_scores")
+        total = F.col("_total")
+    return df.select(*kept, (total / trees).alias("y_pred_prob"))
+
+
+def tree_votes(model: Forest, df: DataFrame, at_once: int = 10) -> DataFrame:
     """Add ``votes``: what each tree alone says of class 1, in the order of the trees. Their mean is the score.
 
     A job is sent with the trees it asks, so a few vote ``at_once``, and the rows are written with their votes so far.
     """
-    kept, trees = df.columns, model.trees
+    kept, trees = df.columns, [tree for part in _models(model) for tree in part.trees]
     votes = F.array().cast("array<double>")
     for start in range(0, len(trees), at_once):
         some = trees[start : start + at_once]

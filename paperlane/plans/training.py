@@ -77,7 +77,7 @@ def features(t: Tables) -> DataFrame:
 @query()
 def forest_scores(t: Tables) -> DataFrame:
     rows = features(t)
-    model = op.forest(TREES).fit(rows.filter("split = 'train'"))
+    model = op.grow(op.forest(TREES), rows.filter("split = 'train'"))
     scored = op.score(model, rows.filter("split = 'test'"))
     return scored.select("doc_id", (F.col("label") == 1).alias("y_true"), "y_pred_prob")
 
@@ -101,7 +101,7 @@ def forest_invariants(t: Tables) -> DataFrame:
 def forest_consistency(t: Tables) -> DataFrame:
     rows = features(t)
     train = rows.filter("split = 'train'")
-    model = op.forest(TREES).fit(train)
+    model = op.grow(op.forest(TREES), train)
     scored = op.tree_votes(model, op.score(model, rows.filter("split = 'test'")))
     mean = F.aggregate("votes", F.lit(0.0), lambda x, y: x + y) / F.size("votes")
     # curves take several jobs, and each would be sent with the whole forest
