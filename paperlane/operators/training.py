@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -141,16 +141,24 @@ def tree_votes(model: Forest, df: DataFrame, at_once: int = 10) -> DataFrame:
 
 
 def cross_validate(
-    df: DataFrame, classifier: RandomForestClassifier, fold: str, k: int, parallelism: int = 5
+    df: DataFrame, classifier: RandomForestClassifier, fold: str, k: int, parallelism: int = 5,
+    small: int = SMALL, per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Out-of-fold scores of all rows: each fold is scored by a forest grown on the others.
 
-    A forest grows level by level in short jobs, so several folds are fitted at a time.
+    A forest grows level by level in short jobs, so several folds, or parts of their forests (see ``grow``), are
+    fitted at a time. A fold in parts is scored as soon as it has them, while the next ones grow.
     """
-    def fit(i: int) -> DataFrame:
-        model = classifier.fit(df.filter(F.col(fold) != i))
-        return score(model, df.filter(F.col(fold) == i))
-
-    with ThreadPoolExecutor(min(k, parallelism)) as pool:
-        scored = list(pool.map(inheritable_thread_target(df.sparkSession)(fit), range(k)))
+    plans = [_parts(classifier, df.filter(F.col(fold) != i), small, per_task) for i in range(k)]
+    fit = inheritable_thread_target(df.sparkSession)(lambda part, rows: part.fit(rows))
+    width = min(width or parallelism for _, _, width in plans)
+
+    scored = []
+    with ThreadPoolExecutor(width) as pool:
+        fits: list[list[Future]] = [[pool.submit(fit, part, rows) for part in parts] for parts, rows, _ in plans]
+        for i in range(k):
+            # the forest of a fold in parts is let go once it is scored
+            models = [future.result() for future in fits[i]]
+            fits[i] = []
+            scored.append(score(models, df.filter(F.col(fold) == i)))
     return reduce(DataFrame.unionByName, scored)

@@ -121,7 +121,7 @@ def cv_left_out(t: Tables) -> DataFrame:
     rows = features(t)
     folded = materialize(op.stratified_folds(rows, "label", "doc_id", FOLDS), "folds")
     scores = op.cross_validate(folded, op.forest(TREES), "fold", FOLDS).filter("fold = 0")
-    model = op.forest(TREES).fit(folded.filter("fold <> 0"))
+    model = op.grow(op.forest(TREES), folded.filter("fold <> 0"))
     again = op.score(model, folded.filter("fold = 0")).select("doc_id", F.col("y_pred_prob").alias("again"))
     same = F.count_if(F.col("y_pred_prob") == F.col("again"))
     return scores.join(again, "doc_id").agg(F.count("*").alias("n_rows"), same.alias("n_same_scores"))

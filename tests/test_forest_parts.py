@@ -50,3 +50,13 @@ def test_one_part_is_a_single_fit(rows):
     one = training.score(training.grow(classifier, rows), rows)
     same = one.join(training.score(classifier.fit(rows), rows).select("id", F.col("y_pred_prob").alias("again")), "id")
     assert same.filter("y_pred_prob = again").count() == 300
+
+
+def test_folds_in_parts_leave_their_rows_out(rows):
+    classifier = training.forest(12, max_depth=4)
+    scored = training.cross_validate(rows, classifier, "fold", 3, small=100, per_task=60)
+    assert scored.count() == 300
+    for i in range(3):
+        left_out = training.grow(classifier, rows.filter(F.col("fold") != i), small=100, per_task=60)
+        again = training.score(left_out, rows.filter(F.col("fold") == i)).select("id", F.col("y_pred_prob").alias("again"))
+        assert scored.filter(F.col("fold") == i).join(again, "id").filter("y_pred_prob = again").count() == 100
