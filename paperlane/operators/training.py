@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from paperlane.functions.numbers import round_even
+from paperlane.operators import forests
 from paperlane.operators.order import shuffled_rank
 from paperlane.session import materialize
 
@@ -21,7 +22,8 @@ TREES_PER_PART = 10
 ROWS_PER_TASK = 250_000  # training rows that a task of a part reads
 TASKS = 16  # tasks that the parts which grow at a time may have together
 
-Forest = RandomForestClassificationModel | Sequence[RandomForestClassificationModel]
+Part = RandomForestClassificationModel | forests.GrownTrees
+Forest = RandomForestClassificationModel | Sequence[Part]
 
 
 def stratified_split(
@@ -86,29 +88,51 @@ def _parts(classifier: RandomForestClassifier, df: DataFrame, small: int, per_ta
 
 def grow(
     classifier: RandomForestClassifier, df: DataFrame, small: int = SMALL, per_task: int = ROWS_PER_TASK
-) -> list[RandomForestClassificationModel]:
+) -> list[Part]:
     """Grow a forest, in parts of ten trees each if there are more than ``small`` rows.
 
-    Each task that reads rows sends statistics of all nodes of its trees, however few of its rows they hold, so one
-    fit costs nodes times tasks. A part is read by few tasks, one per ``per_task`` rows, and parts grow side
-    by side instead. All rows take part in the bootstrap of every tree. They are read by each part, so they should
-    have been written.
+    The trees of the parts are grown by tasks (``forests.grow``) and stay in a table, so the driver holds none of them.
+    Rows are read several times, so they should have been written.
+
+    Settings and labels that tasks do not know (weights, categories, other measures or shares of features, more than
+    two classes) are left to Spark's fits. Each task that reads rows sends statistics of all nodes of its trees there,
+    however few of its rows they hold, so one fit costs nodes times tasks. A part is read by few tasks, one per
+    ``per_task`` rows, and parts grow side by side instead. In both ways all rows take part in the bootstrap of every tree.
     """
     parts, rows, width = _parts(classifier, df, small, per_task)
+    if width and forests.fits(classifier, df):
+        grown = forests.grow(classifier, df, [part.getNumTrees() for part in parts])
+        if grown is not None:
+            return grown
     with ThreadPoolExecutor(max(1, width)) as pool:
         return list(pool.map(inheritable_thread_target(df.sparkSession)(lambda part: part.fit(rows)), parts))
 
 
-def _models(forest: Forest) -> list[RandomForestClassificationModel]:
+def _models(forest: Forest) -> list[Part]:
     return [forest] if isinstance(forest, RandomForestClassificationModel) else list(forest)
 
 
+def _grown(trees: Sequence[Part]) -> bool:
+    return isinstance(trees[0], forests.GrownTrees)
+
+
 def score(model: Forest, df: DataFrame) -> DataFrame:
     """Add ``y_pred_prob``, the mean vote of all trees; all other columns, the key among them, stay in place.
 
-    Of a forest in parts, each part scores in a job of its own, which is sent with its trees alone.
+    Of a forest in parts, each part scores in a job of its own, which is sent with its trees alone. Trees that tasks have
+    grown score in jobs that are sent with a bounded number of bytes.
     """
     kept, parts = df.columns, _models(model)
+    if _grown(parts):
+        trees = [tree for part in parts for tree in part.trees]
+        total = F.lit(0.0)
+        for some in forests.in_turns(trees, len(trees)):
+            votes, sent = forests.asked(df.sparkSession, some)
+            summed = total + F.aggregate(votes, F.lit(0.0), lambda x, y: x + y)
+            df = materialize(df.select(*kept, summed.alias("_total")), "part_scores")
+            sent.destroy()
+            total = F.col("_total")
+        return df.select(*kept, (total / len(trees)).alias("y_pred_prob"))
     if len(parts) == 1:
         scored = parts[0].transform(df).withColumn("y_pred_prob", positive_probability())
         return scored.select(*kept, "y_pred_prob")
@@ -128,6 +152,13 @@ def tree_votes(model: Forest, df: DataFrame, at_once: int = 10) -> DataFrame:
     """
     kept, trees = df.columns, [tree for part in _models(model) for tree in part.trees]
     votes = F.array().cast("array<double>")
+    if _grown(trees):
+        for some in forests.in_turns(trees, at_once):
+            new, sent = forests.asked(df.sparkSession, some)
+            df = materialize(df.select(*kept, F.concat(votes, new).alias("votes")), "votes")
+            sent.destroy()
+            votes = F.col("votes")
+        return df
     for start in range(0, len(trees), at_once):
         some = trees[start : start + at_once]
         for i, tree in enumerate(some):
