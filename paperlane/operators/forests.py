@@ -169,7 +169,8 @@ def _pack(cuts: np.ndarray):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batches(batches):
             bins, labels = binned(_matrix(batch.column(0)), cuts), batch.column(1).to_numpy().astype(np.uint8)
-            yield pa.record_batch({"bins": pa.array([bins.tobytes()], pa.binary()), "labels": pa.array([labels.tobytes()], pa.binary())})
+            packed = pa.compress(bins.tobytes(), "zstd", asbytes=True)
+            yield pa.record_batch({"bins": pa.array([packed], pa.binary()), "labels": pa.array([labels.tobytes()], pa.binary())})
 
     return run
 
@@ -183,9 +184,9 @@ class _Rows:
         self.labels, self.hashes, self.n = np.zeros(n, np.uint8), np.zeros(n, np.uint64), 0
         self.factors = np.random.default_rng(7).integers(1, 2**63, features + 1, dtype=np.uint64)
 
-    def add(self, bins: bytes, labels: bytes) -> None:
+    def add(self, bins: pa.Buffer, labels: pa.Buffer) -> None:
         y = np.frombuffer(labels, np.uint8)
-        x = np.frombuffer(bins, np.uint8).reshape(-1, len(y))
+        x = np.frombuffer(pa.decompress(bins, len(self.bins) * len(y), "zstd"), np.uint8).reshape(-1, len(y))
         here = slice(self.n, self.n + len(y))
         self.bins[:, here], self.labels[here] = x, y
         hashes = y * self.factors[-1]

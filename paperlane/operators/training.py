@@ -21,6 +21,7 @@ SMALL = 10_000  # training rows up to which a forest is grown by one fit
 TREES_PER_PART = 10
 ROWS_PER_TASK = 250_000  # training rows that a task of a part reads
 TASKS = 16  # tasks that the parts which grow at a time may have together
+FOLDS_AT_ONCE = 2  # folds whose trees are grown by tasks
 
 Part = RandomForestClassificationModel | forests.GrownTrees
 Forest = RandomForestClassificationModel | Sequence[Part]
@@ -180,6 +181,18 @@ def cross_validate(
     A forest grows level by level in short jobs, so several folds, or parts of their forests (see ``grow``), are
     fitted at a time. A fold in parts is scored as soon as it has them, while the next ones grow.
     """
+    if forests.fits(classifier, df):
+        # of folds whose trees are grown by tasks, two keep them busy
+        counts = {row[fold]: row["count"] for row in df.groupBy(fold).count().filter(F.col(fold).between(0, k - 1)).collect()}
+        least = sum(counts.values()) - max(counts.values(), default=0)
+        if least > small and classifier.getNumTrees() > TREES_PER_PART:
+
+            def leave_out(i: int) -> DataFrame:
+                model = grow(classifier, df.filter(F.col(fold) != i), small, per_task)
+                return score(model, df.filter(F.col(fold) == i))
+
+            with ThreadPoolExecutor(FOLDS_AT_ONCE) as pool:
+                return reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(df.sparkSession)(leave_out), range(k)))
     plans = [_parts(classifier, df.filter(F.col(fold) != i), small, per_task) for i in range(k)]
     fit = inheritable_thread_target(df.sparkSession)(lambda part, rows: part.fit(rows))
     width = min(width or parallelism for _, _, width in plans)

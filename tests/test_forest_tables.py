@@ -52,6 +52,16 @@ def test_a_forest_does_not_depend_on_where_rows_lie(rows):
     assert other != found[0]
 
 
+def test_folds_are_grown_by_tasks(rows, no_spark_fit):
+    classifier = training.forest(12, max_depth=6)
+    scored = training.cross_validate(rows, classifier, "fold", 3, small=100)
+    assert scored.columns == [*rows.columns, "y_pred_prob"] and scored.count() == 450
+    for i in range(3):
+        left_out = training.grow(classifier, rows.filter(F.col("fold") != i), small=100)
+        fold = scored.filter(F.col("fold") == i)
+        assert {r["id"]: r["y_pred_prob"] for r in fold.collect()} == scores(left_out, rows.filter(F.col("fold") == i))
+
+
 @pytest.mark.parametrize("change", ["weights", "labels", "entropy"])
 def test_what_tasks_do_not_know_is_left_to_spark(rows, change):
     df = rows.withColumn("w", F.lit(2.0)).withColumn("label", F.col("label") + (F.lit(float(change == "labels")) * (F.col("id") % 2)))
