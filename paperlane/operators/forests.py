@@ -196,6 +196,22 @@ class _Rows:
         self.n += len(y)
 
 
+def _drawn(draw: np.random.Generator, nodes: int, features: int, tries: int) -> np.ndarray:
+    """So many different features for each node, in order; Floyd's method, by which all sets are equally likely."""
+    out = np.full((nodes, tries), -1)
+    for i, last in enumerate(range(features - tries, features)):
+        pick = draw.integers(0, last + 1, nodes)
+        out[:, i] = np.where((out[:, :i] == pick[:, None]).any(1), last, pick)
+    return np.sort(out, 1)
+
+
+def _share_of_squares(some: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Squares by sums, 0 for 0 by 0; both arrays are overwritten."""
+    some *= some
+    some /= np.maximum(of, 1, out=of)
+    return some
+
+
 def _best_splits(bins, rows, value, sizes, total, ones, tried, width, least):
     """Feature, cut and purity of the best split of each node; rows of a node stand together."""
     k, n = len(sizes), bins.shape[1]
@@ -205,15 +221,19 @@ def _best_splits(bins, rows, value, sizes, total, ones, tried, width, least):
     for f in tried.T:
         at = np.repeat(f * n, sizes)
         at += rows
-        at = slot + flat[at]
-        below = np.bincount(at, value, k * width).reshape(k, width).cumsum(1)[:, :-1]
-        p = np.floor(below / ODD)
-        t = below - p * ODD
+        at = flat.take(at) + slot
+        below = np.bincount(at, value, k * width).reshape(k, width)[:, :-1].cumsum(1)
+        p = np.floor(below * (1 / ODD))
+        t = below
+        t -= p * ODD
         above, q = total[:, None] - t, ones[:, None] - p
-        few = (t < least) | (above < least)
+        # a child without rows gains nothing
+        few = (t < least) | (above < least) if least > 1 else None
         # the Gini gain grows with this sum
-        purity = p * p / np.maximum(t, 1) + q * q / np.maximum(above, 1)
-        purity[few] = -np.inf
+        purity = _share_of_squares(p, t)
+        purity += _share_of_squares(q, above)
+        if few is not None:
+            purity[few] = -np.inf
         c = purity.argmax(1)
         found = purity[each, c]
         better = found > best
@@ -228,6 +248,7 @@ def grow_tree(
     """One tree over the rows with a weight, level by level."""
     features, n = bins.shape
     tries = max(1, math.ceil(math.sqrt(features)))
+    bins = np.asarray(bins)
     flat = bins.reshape(-1)
     rows = np.flatnonzero(weights)
     value = weights[rows] * (1.0 + ODD * labels[rows])
@@ -245,7 +266,7 @@ def grow_tree(
         for a in range(0, len(at), NODES_AT_ONCE):
             b = min(a + NODES_AT_ONCE, len(at))
             here, nodes = slice(starts[a], starts[b]), at[a:b]
-            tried = np.sort(np.argpartition(draw.random((b - a, features), np.float32), tries - 1, 1)[:, :tries], 1)
+            tried = _drawn(draw, b - a, features, tries)
             f, c, purity = _best_splits(bins, rows[here], value[here], sizes[a:b], total[nodes], ones[nodes], tried, width, least)
             whole = ones[nodes] ** 2 / total[nodes]
             split = (purity > whole * (1 + 1e-12)) & (2 * (purity - whole) / total[nodes] >= gain)

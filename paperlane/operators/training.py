@@ -178,7 +178,7 @@ def cross_validate(
 ) -> DataFrame:
     """Out-of-fold scores of all rows: each fold is scored by a forest grown on the others.
 
-    A forest grows level by level in short jobs, so several folds, or parts of their forests (see ``grow``), are
+    Above ``small`` rows the trees of two folds at a time are grown by tasks (see ``grow``). A fit of Spark grows level by level in short jobs, so several folds, or parts of their forests (see ``grow``), are
     fitted at a time. A fold in parts is scored as soon as it has them, while the next ones grow.
     """
     if forests.fits(classifier, df):
